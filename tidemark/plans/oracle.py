@@ -80,3 +80,267 @@ SELECT f.*,
   {_RUN_TS} AS ale_transform_time
 FROM ({_FLAT_DISTINCT}) f
 """
+
+_ORDER_ENV = f"""
+SELECT o.*, c.*, {_LANDING_PATH} AS source_path
+FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+"""
+
+ORACLE_SQL["scan_nested"] = """
+SELECT o.o_orderkey, c.c_custkey,
+  CAST(o.o_orderdate AS DATE) AS date_, CAST(hour(o.o_orderdate) AS INTEGER) AS hr_,
+  CAST(coalesce(li.n, 0) AS BIGINT) AS n_items
+FROM orders o
+LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) li ON li.l_orderkey = o.o_orderkey
+"""
+
+ORACLE_SQL["file_lineage"] = """
+SELECT o.o_orderkey, l.l_linenumber, l.l_partkey,
+  CAST(o.o_orderdate AS DATE) AS date_, CAST(hour(o.o_orderdate) AS INTEGER) AS hr_, true AS is_uri
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+"""
+
+ORACLE_SQL["struct_flatten"] = _ORDER_ENV
+
+ORACLE_SQL["explode_records"] = f"""
+SELECT o.*, c.*, {_LANDING_PATH} AS source_path, l.*
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+"""
+
+ORACLE_SQL["explode_outer_records"] = f"""
+SELECT o.*, c.*, {_LANDING_PATH} AS source_path, l.*
+FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+"""
+
+ORACLE_SQL["project"] = "SELECT l_shipdate, l_orderkey, l_linenumber, l_quantity FROM lineitem"
+
+ORACLE_SQL["add_columns"] = f"""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+  TRY_CAST(trunc(l_quantity) AS BIGINT) AS l_quantity,
+  l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate,
+  CAST(l_shipdate AS DATE) AS transaction_date, {_RUN_TS} AS ale_transform_time
+FROM lineitem
+"""
+
+# -- casts ----------------------------------------------------------------------
+
+
+def _bigint_text(x: str) -> str:
+    return f"TRY_CAST(NULLIF(regexp_extract(trim({x}), '^([+-]?[0-9]+)([.][0-9]*)?$', 1), '') AS BIGINT)"
+
+
+_K_TEXT = "regexp_extract(props, '([0-9]+)', 1)"
+
+ORACLE_SQL["conform_schema"] = """
+SELECT CAST(event_id AS VARCHAR) AS event_id, ts, CAST(user_id AS INTEGER) AS user_id, event_type,
+  TRY_CAST(trunc(value) AS BIGINT) AS value, props, CAST(NULL AS BIGINT) AS props_k
+FROM events
+"""
+
+ORACLE_SQL["cast_bigint"] = f"""
+SELECT event_id,
+  TRY_CAST(trunc(value) AS BIGINT) AS value_bigint,
+  {_bigint_text('props')} AS props_bigint,
+  {_bigint_text(_K_TEXT)} AS k_bigint,
+  {_bigint_text('event_type')} AS type_bigint,
+  {_bigint_text('CAST(value AS VARCHAR)')} AS value_text_bigint
+FROM events
+"""
+
+ORACLE_SQL["cast_double"] = f"""
+SELECT event_id,
+  CAST(user_id AS DOUBLE) AS user_double,
+  TRY_CAST(trim(props) AS DOUBLE) AS props_double,
+  TRY_CAST(trim({_K_TEXT}) AS DOUBLE) AS k_double,
+  TRY_CAST(trim(event_type) AS DOUBLE) AS type_double
+FROM events
+"""
+
+ORACLE_SQL["cast_string"] = """
+SELECT CAST(l_orderkey AS VARCHAR) AS orderkey_text, CAST(l_linenumber AS VARCHAR) AS linenumber_text,
+  CAST(l_shipdate AS VARCHAR) AS shipdate_text, l_returnflag
+FROM lineitem
+"""
+
+ORACLE_SQL["cast_timestamp"] = """
+SELECT event_id,
+  TRY_CAST(CAST(ts AS VARCHAR) AS TIMESTAMP) AS ts_from_text,
+  TIMESTAMP '1970-01-01 00:00:00' + to_microseconds((event_id * 3600 + 1704067200) * 1000000) AS ts_from_epoch_s,
+  TIMESTAMP '1970-01-01 00:00:00' + to_microseconds((event_id * 3600 + 1704067200) * 1000000) AS ts_from_epoch_ms,
+  TRY_CAST(trim(event_type) AS TIMESTAMP) AS ts_bad
+FROM events
+"""
+
+ORACLE_SQL["derive_date"] = """
+SELECT event_id, CAST(ts AS DATE) AS transaction_date,
+  CAST(strftime(ts, '%Y-%m-%d') AS DATE) AS date_from_text
+FROM events
+"""
+
+
+def _reject(col: str, target: str, cast_expr: str) -> str:
+    return (
+        f"SELECT '{col}' AS column_name, '{target}' AS target_type, "
+        f"CAST(count(*) FILTER (WHERE {col} IS NOT NULL AND ({cast_expr}) IS NULL) AS BIGINT) AS rejected "
+        "FROM events"
+    )
+
+
+ORACLE_SQL["cast_rejects"] = "\nUNION ALL\n".join(
+    [
+        _reject("event_id", "bigint", "TRY_CAST(event_id AS BIGINT)"),
+        _reject("ts", "timestamp_ntz", "TRY_CAST(ts AS TIMESTAMP)"),
+        _reject("user_id", "int", "TRY_CAST(user_id AS INTEGER)"),
+        _reject("event_type", "bigint", _bigint_text("event_type")),
+        _reject("value", "bigint", "TRY_CAST(trunc(value) AS BIGINT)"),
+        _reject("props", "bigint", _bigint_text("props")),
+    ]
+)
+
+# -- paths, keys, windows ---------------------------------------------------------
+
+_D = "strftime(ts, '%Y-%m-%d')"
+_H = "CAST(hour(ts) AS VARCHAR)"
+_EVENT_PATH = f"""CASE
+  WHEN event_type = 'error' THEN 'landing/events/date=' || {_D} || '/' || CAST(event_id AS VARCHAR) || '.avro'
+  WHEN event_type = 'signup' THEN 'landing/date=' || {_D} || '/replay/date=1999-12-31/hr=' || {_H} || '/' || CAST(event_id AS VARCHAR) || '.avro'
+  ELSE 'landing/events/date=' || {_D} || '/hr=' || {_H} || '/' || CAST(event_id AS VARCHAR) || '.avro'
+END"""
+
+ORACLE_SQL["path_partitions"] = f"""
+SELECT event_id, file_path, {_path_date('file_path')} AS date_, {_path_hour('file_path')} AS hr_
+FROM (SELECT event_id, {_EVENT_PATH} AS file_path FROM events) p
+"""
+
+ORACLE_SQL["partition_keys"] = """
+SELECT DISTINCT 'events/date=' || strftime(CAST(ts AS DATE), '%Y-%m-%d') AS partition_key, CAST(ts AS DATE) AS day
+FROM events
+"""
+
+ORACLE_SQL["trailing_days"] = """
+SELECT event_id, ts, user_id, event_type, value FROM events
+WHERE ts >= TIMESTAMP '2024-01-24 00:00:00' AND ts < TIMESTAMP '2024-01-31 00:00:00'
+"""
+
+ORACLE_SQL["retention"] = """
+SELECT CAST(ts AS DATE) AS transaction_date, count(*) AS n_rows FROM events
+WHERE CAST(ts AS DATE) < DATE '2024-01-21' GROUP BY 1
+"""
+
+ORACLE_SQL["surrogate_key"] = """
+SELECT event_id, md5(concat_ws('|', coalesce(CAST(event_id AS VARCHAR), ''), coalesce(CAST(user_id AS VARCHAR), ''),
+  coalesce(event_type, ''), coalesce(CAST(ts AS VARCHAR), ''))) AS row_id
+FROM events
+"""
+
+ORACLE_SQL["stamp_rows"] = f"SELECT event_id, ts, {_RUN_TS} AS ale_transform_time FROM events"
+
+# -- dedup -------------------------------------------------------------------------
+
+ORACLE_SQL["distinct_rows"] = "SELECT DISTINCT text, lang, source, n_chars FROM documents"
+
+ORACLE_SQL["dedup_by_key"] = "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem"
+
+ORACLE_SQL["dedup_latest"] = """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (
+    PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST,
+      l_quantity DESC NULLS LAST, l_extendedprice DESC NULLS LAST, l_discount DESC NULLS LAST,
+      l_tax DESC NULLS LAST, l_returnflag DESC NULLS LAST, l_linestatus DESC NULLS LAST) AS rn
+  FROM lineitem) t
+WHERE rn = 1
+"""
+
+ORACLE_SQL["dup_count"] = """
+SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS dup_count FROM lineitem
+"""
+
+# -- merge / partitions --------------------------------------------------------------
+
+_EVENT_ROWS = "SELECT event_id, ts, user_id, event_type, value, props, CAST(ts AS DATE) AS transaction_date FROM events"
+_STORED = f"SELECT *, CAST(NULL AS VARCHAR) AS batch FROM ({_EVENT_ROWS}) e WHERE ts < TIMESTAMP '2024-01-20 00:00:00'"
+_NEW = f"SELECT *, 'new' AS batch FROM ({_EVENT_ROWS}) e WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'"
+
+ORACLE_SQL["merge_union"] = f"{_NEW}\nUNION ALL\n{_STORED}"
+
+ORACLE_SQL["merge_insert_only"] = f"""
+SELECT * FROM ({_STORED}) s
+UNION ALL
+SELECT * FROM ({_NEW}) n
+WHERE NOT EXISTS (SELECT 1 FROM ({_STORED}) s2
+                  WHERE s2.event_id = n.event_id AND s2.transaction_date = n.transaction_date)
+"""
+
+_TOUCHED = f"SELECT DISTINCT transaction_date FROM ({_NEW}) n"
+
+ORACLE_SQL["touched_partitions"] = _TOUCHED
+
+ORACLE_SQL["existing_partitions"] = f"""
+{_TOUCHED} WHERE transaction_date IN (SELECT transaction_date FROM ({_STORED}) s)
+"""
+
+ORACLE_SQL["scan_partitions"] = f"""
+SELECT * FROM ({_STORED}) s WHERE transaction_date IN ({_TOUCHED})
+"""
+
+ORACLE_SQL["partition_overwrite"] = f"""
+SELECT * FROM ({_STORED}) s WHERE transaction_date NOT IN ({_TOUCHED})
+UNION ALL {_NEW}
+"""
+
+ORACLE_SQL["upsert_partitions"] = ORACLE_SQL["merge_insert_only"]
+ORACLE_SQL["replay_idempotent"] = ORACLE_SQL["merge_insert_only"]
+
+# -- audit ---------------------------------------------------------------------------
+
+_END_TS = "ts + to_microseconds(CAST(trunc(value * 1000000) AS BIGINT))"
+_STATUS = "CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'Started' ELSE 'COMPLETED' END"
+_AUDIT = f"""
+SELECT 'run-' || CAST(event_id AS VARCHAR) AS etl_run_id,
+  'job_' || CAST(user_id AS VARCHAR) AS etl_job_name,
+  strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || '+0000' AS etl_start_time,
+  strftime({_END_TS}, '%Y-%m-%d %H:%M:%S.%f') || '+0000' AS etl_end_time,
+  {_STATUS} AS etl_status,
+  ts AS start_ts, {_END_TS} AS end_ts
+FROM events
+"""
+
+ORACLE_SQL["audit_append"] = f"""
+SELECT etl_run_id, etl_job_name, etl_start_time, etl_end_time, etl_status FROM ({_AUDIT}) a
+"""
+
+ORACLE_SQL["audit_scan"] = f"""
+SELECT etl_run_id, etl_job_name, epoch_us(start_ts) AS start_us, epoch_us(end_ts) AS end_us, etl_status
+FROM ({_AUDIT}) a
+"""
+
+ORACLE_SQL["latest_run"] = f"""
+SELECT etl_job_name, etl_run_id, etl_start_time, etl_end_time, etl_status FROM (
+  SELECT *, row_number() OVER (PARTITION BY etl_job_name ORDER BY start_ts DESC, etl_run_id DESC) AS rn
+  FROM ({_AUDIT}) a) t
+WHERE rn = 1
+"""
+
+ORACLE_SQL["watermark"] = f"""
+SELECT etl_job_name,
+  coalesce(max(epoch_us(start_ts)) FILTER (WHERE etl_status = 'COMPLETED'), -62135596800000000) AS watermark_us
+FROM ({_AUDIT}) a GROUP BY etl_job_name
+"""
+
+# -- files ---------------------------------------------------------------------------
+
+ORACLE_SQL["file_inventory"] = "SELECT DISTINCT CAST(ts AS DATE) AS date, true AS files_nonempty FROM events"
+
+ORACLE_SQL["incremental_files"] = """
+SELECT event_id, ts, CAST(ts AS DATE) AS date FROM events
+WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'
+  AND CAST(ts AS DATE) BETWEEN DATE '2024-01-17' AND DATE '2024-01-30'
+"""
+
+ORACLE_SQL["write_layout"] = """
+SELECT CAST(ts AS DATE) AS transaction_date, count(*) AS n_rows, true AS within_cap FROM events GROUP BY 1
+"""

@@ -1,26 +1,484 @@
 """Registered queries, one per operator of the inventory.
 
-Fixed parameters (run stamp, window end) make results repeatable so they
-can be compared with the oracle SQL in ``tidemark.plans.oracle``.
+Fixed parameters (run stamp, window end, batch split) make results
+repeatable so they can be compared with the oracle SQL in
+``tidemark.plans.oracle``. Queries that exercise sinks write to a fresh
+folder under the session's checkpoint root and return what they read back.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.casts import cast_rejects, conform, to_bigint, to_double, to_timestamp_ntz
+from tidemark.functions.ids import content_id, run_stamp
+from tidemark.functions.paths import partition_key, path_date, path_hour, trailing_days_on_timestamp
+from tidemark.operators.audit import latest_run, watermark, with_parsed_times
+from tidemark.operators.dedup import dedup_by_key, dedup_latest, distinct_rows, dup_count
+from tidemark.operators.flatten import flatten_structs
+from tidemark.operators.merge import (
+    collect_partition_values,
+    existing_partitions,
+    merge_insert_only,
+    merge_union,
+    restrict_to_partitions,
+    touched_partitions,
+)
+from tidemark.plans.batches import EVENT_KEYS, audit_rows, event_rows, new_events, stored_events
 from tidemark.plans.catalog import register
-from tidemark.plans.landing import nested_results
-from tidemark.plans.transform import transform
+from tidemark.plans.etl import upsert_partitions
+from tidemark.plans.landing import nested_results, order_envelopes
+from tidemark.plans.tables import load
+from tidemark.plans.transform import flatten_records, transform
+from tidemark.schema import PARTITION_COLUMN
+from tidemark.session import scratch_path
+from tidemark.sinks.audit import append_audit, read_audit
+from tidemark.sinks.parquet import write_partitioned
+from tidemark.sources.files import file_inventory, window_globs
+from tidemark.sources.nested import read_nested
 
 # Fixed values of the test runs.
 RUN_TS = _dt.datetime(2024, 2, 1, 0, 0, 0)
 AS_OF = _dt.date(2024, 1, 30)
 WINDOW_DAYS = 7
+INCREMENTAL_WINDOW_DAYS = 14
+RETENTION_DAYS = 10
+LAYOUT_MAX_RECORDS = 100
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+# -- flatten job and its parts ---------------------------------------------
 
 
 @register("flatten_pipeline")
 def q_flatten_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform(nested_results(spark, sf_dir), run_ts=RUN_TS)
+
+
+def land_nested(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> str:
+    """Write the nested records as files under ``date=D/hr=H`` (landing zone)."""
+    root = scratch_path(spark, "landing")
+    nested = nested_results(spark, sf_dir).withColumns(
+        {"date": F.to_date("module.o_orderdate"), "hr": F.hour("module.o_orderdate")}
+    )
+    write_partitioned(nested.drop("source_path"), root, ["date", "hr"], mode="error", dynamic=False)
+    return root
+
+
+def _landed_schema(spark: SparkSession, sf_dir: str):
+    return nested_results(spark, sf_dir).drop("source_path").schema
+
+
+@register("scan_nested")
+def q_scan_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = land_nested(spark, sf_dir)
+    recs = read_nested(spark, root, _landed_schema(spark, sf_dir), fmt="parquet", base_path=root)
+    items = F.when(F.col("data").isNull(), F.lit(0)).otherwise(F.size("data"))
+    return (
+        recs.select(
+            F.col("module.o_orderkey").alias("o_orderkey"),
+            F.col("customerInfo.c_custkey").alias("c_custkey"),
+            items.alias("n"),
+            path_date(F.col("source_path")).alias("date_"),
+            path_hour(F.col("source_path")).alias("hr_"),
+        )
+        .groupBy("o_orderkey", "c_custkey", "date_", "hr_")
+        .agg(F.sum("n").cast("bigint").alias("n_items"))
+    )
+
+
+@register("file_lineage")
+def q_file_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = land_nested(spark, sf_dir)
+    recs = read_nested(spark, root, _landed_schema(spark, sf_dir), fmt="parquet", base_path=root)
+    flat = flatten_records(recs, keep=["source_path"])
+    return flat.select(
+        "o_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        path_date(F.col("source_path")).alias("date_"),
+        path_hour(F.col("source_path")).alias("hr_"),
+        F.col("source_path").startswith("file:").alias("is_uri"),
+    )
+
+
+@register("struct_flatten")
+def q_struct_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    env = order_envelopes(load(spark, sf_dir, "orders"), load(spark, sf_dir, "customer"))
+    return flatten_structs(env, ["module", "customerInfo"], keep=["source_path"])
+
+
+@register("explode_records")
+def q_explode_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten_records(nested_results(spark, sf_dir), outer=False)
+
+
+@register("explode_outer_records")
+def q_explode_outer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten_records(nested_results(spark, sf_dir), outer=True)
+
+
+@register("project")
+def q_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "lineitem").select("l_shipdate", "l_orderkey", "l_linenumber", "l_quantity")
+
+
+@register("add_columns")
+def q_add_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem")
+    return li.withColumns(
+        {
+            "l_quantity": to_bigint(F.col("l_quantity")),
+            PARTITION_COLUMN: F.to_date("l_shipdate"),
+            "ale_transform_time": run_stamp(RUN_TS),
+        }
+    )
+
+
+# -- casts ---------------------------------------------------------------------
+
+EVENT_TARGET = [
+    ("event_id", "string"),
+    ("ts", "timestamp_ntz"),
+    ("user_id", "int"),
+    ("event_type", "string"),
+    ("value", "bigint"),
+    ("props", "string"),
+    ("props_k", "bigint"),
+]
+
+
+@register("conform_schema")
+def q_conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conform(load(spark, sf_dir, "events"), EVENT_TARGET, missing="null")
+
+
+def _k_text():
+    return F.regexp_extract(F.col("props"), r"([0-9]+)", 1)
+
+
+@register("cast_bigint")
+def q_cast_bigint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = load(spark, sf_dir, "events")
+    s = "string"
+    from pyspark.sql import types as T
+
+    st = T.StringType()
+    return ev.select(
+        "event_id",
+        to_bigint(F.col("value"), T.DoubleType()).alias("value_bigint"),
+        to_bigint(F.col("props"), st).alias("props_bigint"),
+        to_bigint(_k_text(), st).alias("k_bigint"),
+        to_bigint(F.col("event_type"), st).alias("type_bigint"),
+        to_bigint(F.col("value").cast(s), st).alias("value_text_bigint"),
+    )
+
+
+@register("cast_double")
+def q_cast_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import types as T
+
+    st = T.StringType()
+    ev = load(spark, sf_dir, "events")
+    return ev.select(
+        "event_id",
+        to_double(F.col("user_id"), T.LongType()).alias("user_double"),
+        to_double(F.col("props"), st).alias("props_double"),
+        to_double(_k_text(), st).alias("k_double"),
+        to_double(F.col("event_type"), st).alias("type_double"),
+    )
+
+
+@register("cast_string")
+def q_cast_string(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_orderkey").try_cast("string").alias("orderkey_text"),
+        F.col("l_linenumber").try_cast("string").alias("linenumber_text"),
+        F.col("l_shipdate").try_cast("string").alias("shipdate_text"),
+        F.col("l_returnflag").try_cast("string").alias("l_returnflag"),
+    )
+
+
+# 2024-01-01 00:00:00 UTC in epoch seconds (fixed value)
+EPOCH_2024 = 1_704_067_200
+
+
+@register("cast_timestamp")
+def q_cast_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import types as T
+
+    ev = load(spark, sf_dir, "events")
+    epoch_s = F.col("event_id") * F.lit(3600) + F.lit(EPOCH_2024)
+    return ev.select(
+        "event_id",
+        to_timestamp_ntz(F.col("ts").cast("string"), T.StringType()).alias("ts_from_text"),
+        to_timestamp_ntz(epoch_s, T.LongType()).alias("ts_from_epoch_s"),
+        to_timestamp_ntz(epoch_s * F.lit(1000), T.LongType(), unit="ms").alias("ts_from_epoch_ms"),
+        to_timestamp_ntz(F.col("event_type"), T.StringType()).alias("ts_bad"),
+    )
+
+
+@register("derive_date")
+def q_derive_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = load(spark, sf_dir, "events")
+    return ev.select(
+        "event_id",
+        F.to_date("ts").alias(PARTITION_COLUMN),
+        F.to_date(F.date_format("ts", "yyyy-MM-dd")).alias("date_from_text"),
+    )
+
+
+@register("cast_rejects")
+def q_cast_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = [
+        ("event_id", "bigint"),
+        ("ts", "timestamp_ntz"),
+        ("user_id", "int"),
+        ("event_type", "bigint"),
+        ("value", "bigint"),
+        ("props", "bigint"),
+    ]
+    return cast_rejects(load(spark, sf_dir, "events"), spec)
+
+
+# -- paths, partition keys and windows ------------------------------------------
+
+
+def event_paths(ev: DataFrame):
+    day = F.date_format("ts", "yyyy-MM-dd")
+    hr = F.hour("ts").cast("string")
+    name = F.concat(F.col("event_id").cast("string"), F.lit(".avro"))
+    normal = F.concat(F.lit("landing/events/date="), day, F.lit("/hr="), hr, F.lit("/"), name)
+    no_hour = F.concat(F.lit("landing/events/date="), day, F.lit("/"), name)
+    replay = F.concat(F.lit("landing/date="), day, F.lit("/replay/date=1999-12-31/hr="), hr, F.lit("/"), name)
+    return (
+        F.when(F.col("event_type") == "error", no_hour)
+        .when(F.col("event_type") == "signup", replay)
+        .otherwise(normal)
+    )
+
+
+@register("path_partitions")
+def q_path_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = load(spark, sf_dir, "events").select("event_id", event_paths(load(spark, sf_dir, "events")).alias("file_path"))
+    return ev.select(
+        "event_id", "file_path", path_date(F.col("file_path")).alias("date_"), path_hour(F.col("file_path")).alias("hr_")
+    )
+
+
+@register("partition_keys")
+def q_partition_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = load(spark, sf_dir, "events").select(F.to_date("ts").alias("day")).distinct()
+    return days.select(partition_key(F.col("day"), "events/").alias("partition_key"), "day")
+
+
+@register("trailing_days")
+def q_trailing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = load(spark, sf_dir, "events")
+    return ev.where(trailing_days_on_timestamp(F.col("ts"), AS_OF, WINDOW_DAYS)).select(
+        "event_id", "ts", "user_id", "event_type", "value"
+    )
+
+
+@register("retention")
+def q_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions older than the retention horizon, with their row counts."""
+    rows = event_rows(spark, sf_dir)
+    horizon = F.date_sub(F.lit(AS_OF), RETENTION_DAYS - 1)
+    return (
+        rows.where(F.col(PARTITION_COLUMN) < horizon)
+        .groupBy(PARTITION_COLUMN)
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+    )
+
+
+# -- ids and stamps -------------------------------------------------------------
+
+
+@register("surrogate_key")
+def q_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = load(spark, sf_dir, "events")
+    return ev.select("event_id", content_id("event_id", "user_id", "event_type", "ts").alias("row_id"))
+
+
+@register("stamp_rows")
+def q_stamp_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = load(spark, sf_dir, "events")
+    return ev.select("event_id", "ts", run_stamp(RUN_TS).alias("ale_transform_time"))
+
+
+# -- dedup ---------------------------------------------------------------------------
+
+
+@register("distinct_rows")
+def q_distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_rows(load(spark, sf_dir, "documents").drop("doc_id"))
+
+
+@register("dedup_by_key")
+def q_dedup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_by_key(load(spark, sf_dir, "lineitem"), LINE_KEYS).select(*LINE_KEYS)
+
+
+@register("dedup_latest")
+def q_dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_latest(load(spark, sf_dir, "lineitem"), LINE_KEYS, ["l_shipdate"])
+
+
+@register("dup_count")
+def q_dup_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dup_count(load(spark, sf_dir, "lineitem"), LINE_KEYS)
+
+
+# -- merge and partitions ---------------------------------------------------------
+
+
+@register("merge_union")
+def q_merge_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_union(new_events(spark, sf_dir), stored_events(spark, sf_dir))
+
+
+@register("merge_insert_only")
+def q_merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_insert_only(new_events(spark, sf_dir), stored_events(spark, sf_dir), EVENT_KEYS)
+
+
+@register("touched_partitions")
+def q_touched_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return touched_partitions(new_events(spark, sf_dir), PARTITION_COLUMN)
+
+
+@register("existing_partitions")
+def q_existing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    touched = touched_partitions(new_events(spark, sf_dir), PARTITION_COLUMN)
+    return existing_partitions(touched, stored_events(spark, sf_dir), PARTITION_COLUMN)
+
+
+def _write_stored(spark: SparkSession, sf_dir: str) -> str:
+    target = scratch_path(spark, "stored")
+    stored = stored_events(spark, sf_dir).withColumn("batch", F.lit(None).cast("string"))
+    write_partitioned(stored, target, [PARTITION_COLUMN])
+    return target
+
+
+@register("scan_partitions")
+def q_scan_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _write_stored(spark, sf_dir)
+    touched = collect_partition_values(touched_partitions(new_events(spark, sf_dir), PARTITION_COLUMN), PARTITION_COLUMN)
+    return restrict_to_partitions(spark.read.parquet(target), PARTITION_COLUMN, touched)
+
+
+@register("partition_overwrite")
+def q_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _write_stored(spark, sf_dir)
+    write_partitioned(new_events(spark, sf_dir), target, [PARTITION_COLUMN])
+    return spark.read.parquet(target)
+
+
+@register("upsert_partitions")
+def q_upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _write_stored(spark, sf_dir)
+    upsert_partitions(spark, new_events(spark, sf_dir), target, EVENT_KEYS)
+    return spark.read.parquet(target)
+
+
+@register("replay_idempotent")
+def q_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _write_stored(spark, sf_dir)
+    for _ in range(2):  # the same batch delivered twice
+        upsert_partitions(spark, new_events(spark, sf_dir), target, EVENT_KEYS)
+    return spark.read.parquet(target)
+
+
+# -- audit -------------------------------------------------------------------------
+
+
+@register("audit_append")
+def q_audit_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "audit")
+    append_audit(audit_rows(spark, sf_dir), root)
+    return read_audit(spark, root)
+
+
+@register("audit_scan")
+def q_audit_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "audit")
+    append_audit(audit_rows(spark, sf_dir), root)
+    parsed = with_parsed_times(read_audit(spark, root))
+    return parsed.select(
+        "etl_run_id",
+        "etl_job_name",
+        F.unix_micros("start_ts").alias("start_us"),
+        F.unix_micros("end_ts").alias("end_us"),
+        "etl_status",
+    )
+
+
+@register("latest_run")
+def q_latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_run(audit_rows(spark, sf_dir))
+
+
+@register("watermark")
+def q_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wm = watermark(audit_rows(spark, sf_dir))
+    return wm.select("etl_job_name", F.unix_micros("watermark_ts").alias("watermark_us"))
+
+
+# -- files -------------------------------------------------------------------------
+
+
+def _land_events(spark: SparkSession, df: DataFrame, root: str, max_records: int | None = None) -> None:
+    write_partitioned(
+        df.withColumn("date", F.to_date("ts")), root, ["date"], mode="append", dynamic=False,
+        max_records_per_file=max_records,
+    )
+
+
+@register("file_inventory")
+def q_file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "events-landing")
+    _land_events(spark, event_rows(spark, sf_dir), root)
+    inv = file_inventory(spark, root, glob="*.parquet")
+    return inv.groupBy("date").agg((F.min("length") > 0).alias("files_nonempty"))
+
+
+@register("partition_file_counts")
+def q_partition_file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "events-landing")
+    _land_events(spark, event_rows(spark, sf_dir), root)
+    inv = file_inventory(spark, root, glob="*.parquet")
+    return inv.groupBy("date").agg(F.count(F.lit(1)).alias("n_files"))
+
+
+@register("incremental_files")
+def q_incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land two deliveries; read only the window's files newer than the first."""
+    root = scratch_path(spark, "events-landing")
+    rows = event_rows(spark, sf_dir)
+    _land_events(spark, stored_events(spark, sf_dir).drop("batch"), root)
+    time.sleep(1.1)  # file times have (at worst) one-second resolution
+    mark = _dt.datetime.now(_dt.timezone.utc)
+    time.sleep(1.1)
+    _land_events(spark, rows.where(F.col("ts") >= F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")), root)
+    paths = window_globs(root, AS_OF, INCREMENTAL_WINDOW_DAYS)
+    recs = spark.read.option("basePath", root).parquet(*paths)
+    fresh = recs.where(F.col("_metadata.file_modification_time") > F.lit(mark))
+    return fresh.select("event_id", "ts", "date")
+
+
+@register("write_layout")
+def q_write_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "layout")
+    write_partitioned(event_rows(spark, sf_dir), root, [PARTITION_COLUMN], max_records_per_file=LAYOUT_MAX_RECORDS)
+    back = spark.read.parquet(root).withColumn("_file", F.col("_metadata.file_path"))
+    per_file = back.groupBy(PARTITION_COLUMN, "_file").agg(F.count(F.lit(1)).alias("n"))
+    return per_file.groupBy(PARTITION_COLUMN).agg(
+        F.sum("n").cast("bigint").alias("n_rows"),
+        (F.max("n") <= LAYOUT_MAX_RECORDS).alias("within_cap"),
+    )
