@@ -62,6 +62,16 @@ def epoch_to_timestamp_ntz(col: Column, unit: str = "s") -> Column:
     return F.timestamp_add("MICROSECOND", micros, F.expr(_EPOCH_NTZ))
 
 
+def ntz_as_utc_instant(col: Column) -> Column:
+    """Wall-clock ``timestamp_ntz`` read as UTC -> zoned ``timestamp``.
+
+    Independent of the session time zone (no DST gaps or repeats), so it can
+    drive watermarks and epoch arithmetic.
+    """
+    micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), col)
+    return F.timestamp_micros(micros)
+
+
 def to_timestamp_ntz(col: Column, source: T.DataType | None = None, unit: str = "s") -> Column:
     if source is not None and isinstance(source, _NUMERIC):
         return epoch_to_timestamp_ntz(col, unit)

@@ -121,8 +121,9 @@ def run_etl(
     run_id = run_id or f"{job_name}-{uuid.uuid4().hex[:12]}"
     wm = job_watermark(read_audit(spark, audit_root), job_name)
     records = scan_window(spark, landing_root, schema, wm, as_of, days, fmt)
-    flat = transform(records.drop(*[c for c in records.columns if c not in schema.fieldNames() + ["source_path"]]),
-                     run_ts=run_ts or start.replace(tzinfo=None))
+    records = records.select(*schema.fieldNames(), "source_path")
+    # no separate distinct: the key dedup of the merge removes exact copies too
+    flat = transform(records, run_ts=run_ts or start.replace(tzinfo=None), distinct=False)
     replaced = upsert_partitions(spark, flat, target, keys)
     end = _dt.datetime.now(_dt.timezone.utc)
     append_audit(audit_record(spark, run_id, job_name, start, end, STATUS_COMPLETED), audit_root)

@@ -344,3 +344,28 @@ WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'
 ORACLE_SQL["write_layout"] = """
 SELECT CAST(ts AS DATE) AS transaction_date, count(*) AS n_rows, true AS within_cap FROM events GROUP BY 1
 """
+
+# -- streaming -----------------------------------------------------------------------
+
+ORACLE_SQL["stream_ingest"] = _EVENT_ROWS
+ORACLE_SQL["stream_dedup"] = _EVENT_ROWS
+
+# -- the whole job ---------------------------------------------------------------------
+
+_ETL_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "transaction_date"]
+_ETL_ORDER = ", ".join(
+    f"{n} DESC NULLS LAST" for n in _RESULT_NAMES if n not in _ETL_KEYS and n != "file_path"
+)
+
+ORACLE_SQL["etl_end_to_end"] = f"""
+SELECT * EXCLUDE (rn, file_path) FROM (
+  SELECT f.*,
+    CAST(f.o_orderdate AS DATE) AS date_,
+    CAST(hour(f.o_orderdate) AS INTEGER) AS hr_,
+    CAST(f.l_shipdate AS DATE) AS transaction_date,
+    {_RUN_TS} AS ale_transform_time,
+    row_number() OVER (PARTITION BY f.l_orderkey, f.l_linenumber, f.l_partkey, f.l_suppkey,
+                       CAST(f.l_shipdate AS DATE) ORDER BY {_ETL_ORDER}) AS rn
+  FROM ({_FLAT_DISTINCT}) f) t
+WHERE rn = 1
+"""

@@ -89,5 +89,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     spark.sparkContext.setLogLevel("ERROR")
     apply_recommended_conf(spark)
+    # Local data is tiny: let AQE keep more, smaller partitions so writes of
+    # many small day folders run on all cores (no effect on large data).
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     checkpoint_root(spark)
     return spark
