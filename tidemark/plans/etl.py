@@ -50,6 +50,33 @@ def read_stored(spark: SparkSession, target: str, schema: T.StructType | None) -
         raise
 
 
+def _partition_dir_value(v) -> str:
+    return "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
+
+
+def read_partitions(
+    spark: SparkSession, target: str, part_col: str, values: list, schema: T.StructType | None
+) -> DataFrame | None:
+    """Only the listed partitions of ``target`` (None if none exists yet).
+
+    One brace glob over the partition folders: the file listing is bounded
+    by the batch's partitions, not by the table's whole history.
+    """
+    if not values:
+        return None
+    alts = ",".join(sorted({_partition_dir_value(v) for v in values}))
+    pattern = f"{target.rstrip('/')}/{part_col}={{{alts}}}"
+    try:
+        reader = spark.read.option("basePath", target)
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.parquet(pattern)
+    except AnalysisException as e:
+        if _missing(e):
+            return None
+        raise
+
+
 def upsert_partitions(
     spark: SparkSession,
     new: DataFrame,
@@ -67,11 +94,13 @@ def upsert_partitions(
     if not touched:
         return []
     batch = dedup_latest(new, keys, order_by=[])  # deterministic survivor within the batch
-    stored = read_stored(spark, target, new.schema)
-    if stored is not None:
-        merged = merge_dedup(batch, restrict_to_partitions(stored, part_col, touched), keys, prefer)
-    else:
-        merged = batch
+    stored = read_partitions(spark, target, part_col, touched, new.schema)
+    if stored is None:
+        # nothing stored in these partitions: no read of what we overwrite
+        write_partitioned(batch.select(*new.columns), target, [part_col])
+        return touched
+    merged = merge_dedup(batch, restrict_to_partitions(stored, part_col, touched), keys, prefer)
+    # the merge reads the partitions it replaces: cut lineage first
     staged = stage(merged.select(*new.columns), spark, "merge")
     write_partitioned(staged, target, [part_col])
     return touched
