@@ -57,3 +57,21 @@ def test_incremental_equals_one_shot_and_replay_is_harmless(spark, sf_small):
     third = run_etl(spark, inc_land, inc_target, inc_audit, "job", schema, fmt="parquet")
     assert third["partitions"] == 0
     assert _keys(spark, one_target) == _keys(spark, inc_target)
+
+
+def test_upsert_prefer_new_rebuilds_only_touched_partitions(spark):
+    import datetime as dt
+
+    from tidemark.plans.etl import upsert_partitions
+
+    target = scratch_path(spark, "t")
+    d1, d2, d3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
+    stored = spark.createDataFrame([(1, "s", d1), (2, "s", d2)], "k long, v string, transaction_date date")
+    write_partitioned(stored, target, ["transaction_date"])
+    new = spark.createDataFrame([(2, "n", d2), (3, "n", d3), (3, "m", d3)], "k long, v string, transaction_date date")
+    upsert_partitions(spark, new, target, ["k", "transaction_date"], prefer="new")
+    got = sorted((r["k"], r["v"]) for r in spark.read.parquet(target).collect())
+    assert got == [(1, "s"), (2, "n"), (3, "n")]
+    upsert_partitions(spark, new, target, ["k", "transaction_date"], prefer="stored")
+    again = sorted((r["k"], r["v"]) for r in spark.read.parquet(target).collect())
+    assert again == got

@@ -2,8 +2,8 @@
 
 Order matters for recovery: the audit record that moves the watermark is
 written last, after the data. A run that dies anywhere before that is simply
-re-run: it re-reads the same files, and the insert-only merge makes the
-replay harmless (rows already stored are kept, never duplicated).
+re-run: it re-reads the same files, and the insert-only merge (append of
+not-yet-stored keys) makes the replay harmless.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from tidemark.operators.audit import STATUS_COMPLETED, audit_record, job_watermark
 from tidemark.operators.dedup import dedup_latest
 from tidemark.operators.merge import (
+    anti_by_keys,
     collect_partition_values,
     merge_dedup,
     restrict_to_partitions,
@@ -38,18 +39,6 @@ def _missing(e: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in s or "Path does not exist" in s or "UNABLE_TO_INFER_SCHEMA" in s
 
 
-def read_stored(spark: SparkSession, target: str, schema: T.StructType | None) -> DataFrame | None:
-    try:
-        reader = spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(target)
-    except AnalysisException as e:
-        if _missing(e):
-            return None
-        raise
-
-
 def _partition_dir_value(v) -> str:
     return "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
 
@@ -85,22 +74,32 @@ def upsert_partitions(
     part_col: str = PARTITION_COLUMN,
     prefer: str = "stored",
 ) -> list:
-    """Merge ``new`` into the touched partitions of ``target`` and replace them.
-
-    Returns the replaced partition values. Untouched partitions are not read
-    (partition filter) and not rewritten (dynamic overwrite).
+    """Merge ``new`` into ``target``; returns the touched partition values.
+
+    ``prefer="stored"`` (insert-only, the default): stored rows never change,
+    so nothing is rewritten. Only the batch rows whose key is not stored yet
+    are appended; the anti join reads just the key columns of the touched
+    partitions. A crash anywhere is repaired by re-running: rows that made it
+    are now "stored" and are not appended twice.
+
+    ``prefer="new"`` / ``"latest"``: the touched partitions are rebuilt from
+    stored + batch, staged under the checkpoint root (the merge reads what it
+    replaces), then swapped in by dynamic partition overwrite. Untouched
+    partitions are neither read nor rewritten in either mode.
     """
     touched = collect_partition_values(touched_partitions(new, part_col), part_col)
     if not touched:
         return []
     batch = dedup_latest(new, keys, order_by=[])  # deterministic survivor within the batch
     stored = read_partitions(spark, target, part_col, touched, new.schema)
+    if prefer == "stored":
+        fresh = batch if stored is None else anti_by_keys(batch, stored, keys)
+        write_partitioned(fresh.select(*new.columns), target, [part_col], mode="append", dynamic=False)
+        return touched
     if stored is None:
-        # nothing stored in these partitions: no read of what we overwrite
         write_partitioned(batch.select(*new.columns), target, [part_col])
         return touched
     merged = merge_dedup(batch, restrict_to_partitions(stored, part_col, touched), keys, prefer)
-    # the merge reads the partitions it replaces: cut lineage first
     staged = stage(merged.select(*new.columns), spark, "merge")
     write_partitioned(staged, target, [part_col])
     return touched
