@@ -1,12 +1,13 @@
 """Properties of the incremental job: no-op when idle, incremental = one-shot,
 replays harmless."""
 
+import datetime as dt
 import time
 
 from pyspark.sql import functions as F
 
 from tidemark.plans.etl import run_etl
-from tidemark.plans.landing import nested_results
+from tidemark.plans.landing import delivery, nested_results
 from tidemark.session import scratch_path
 from tidemark.sinks.audit import read_audit
 from tidemark.sinks.parquet import write_partitioned
@@ -15,9 +16,11 @@ STABLE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "transaction_d
 
 
 def _nested(spark, sf):
-    return nested_results(spark, sf).drop("source_path").withColumns(
-        {"date": F.to_date("module.o_orderdate"), "hr": F.hour("module.o_orderdate")}
-    )
+    return nested_results(spark, sf).drop("source_path")
+
+
+def _deliver(df, root, day):
+    write_partitioned(delivery(df, day), root, ["date", "hr"], mode="append", dynamic=False)
 
 
 def _keys(spark, target):
@@ -26,7 +29,7 @@ def _keys(spark, target):
 
 def test_empty_run_is_noop_and_audited(spark, sf_small):
     landing, target, audit = (scratch_path(spark, n) for n in ("l", "t", "a"))
-    schema = _nested(spark, sf_small).drop("date", "hr").schema
+    schema = _nested(spark, sf_small).schema
     out = run_etl(spark, landing, target, audit, "job", schema, fmt="parquet")
     assert out["partitions"] == 0
     assert read_audit(spark, audit).count() == 1
@@ -34,21 +37,22 @@ def test_empty_run_is_noop_and_audited(spark, sf_small):
 
 def test_incremental_equals_one_shot_and_replay_is_harmless(spark, sf_small):
     nested = _nested(spark, sf_small)
-    schema = nested.drop("date", "hr").schema
+    schema = nested.schema
+    d1, d2 = dt.date(2024, 1, 29), dt.date(2024, 1, 30)
     cut = F.col("module.o_orderdate") < F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
 
     one_land, one_target, one_audit = (scratch_path(spark, n) for n in ("l", "t", "a"))
-    write_partitioned(nested, one_land, ["date", "hr"], mode="append", dynamic=False)
+    _deliver(nested, one_land, d2)
     time.sleep(1.1)
     run_etl(spark, one_land, one_target, one_audit, "job", schema, fmt="parquet")
 
     inc_land, inc_target, inc_audit = (scratch_path(spark, n) for n in ("l", "t", "a"))
-    write_partitioned(nested.where(cut), inc_land, ["date", "hr"], mode="append", dynamic=False)
+    _deliver(nested.where(cut), inc_land, d1)
     time.sleep(1.1)
     first = run_etl(spark, inc_land, inc_target, inc_audit, "job", schema, fmt="parquet")
     time.sleep(1.1)
     # second delivery: the rest, plus a full re-delivery of the first part
-    write_partitioned(nested, inc_land, ["date", "hr"], mode="append", dynamic=False)
+    _deliver(nested, inc_land, d2)
     second = run_etl(spark, inc_land, inc_target, inc_audit, "job", schema, fmt="parquet")
     assert first["partitions"] > 0 and second["partitions"] > 0
     assert _keys(spark, one_target) == _keys(spark, inc_target)

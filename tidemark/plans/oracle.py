@@ -88,7 +88,7 @@ FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
 
 ORACLE_SQL["scan_nested"] = """
 SELECT o.o_orderkey, c.c_custkey,
-  CAST(o.o_orderdate AS DATE) AS date_, CAST(hour(o.o_orderdate) AS INTEGER) AS hr_,
+  DATE '2024-01-30' AS date_, CAST(o.o_orderkey % 24 AS INTEGER) AS hr_,
   CAST(coalesce(li.n, 0) AS BIGINT) AS n_items
 FROM orders o
 LEFT JOIN customer c ON c.c_custkey = o.o_custkey
@@ -97,7 +97,7 @@ LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) l
 
 ORACLE_SQL["file_lineage"] = """
 SELECT o.o_orderkey, l.l_linenumber, l.l_partkey,
-  CAST(o.o_orderdate AS DATE) AS date_, CAST(hour(o.o_orderdate) AS INTEGER) AS hr_, true AS is_uri
+  DATE '2024-01-30' AS date_, CAST(o.o_orderkey % 24 AS INTEGER) AS hr_, true AS is_uri
 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
 """
 
@@ -360,8 +360,9 @@ _ETL_ORDER = ", ".join(
 ORACLE_SQL["etl_end_to_end"] = f"""
 SELECT * EXCLUDE (rn, file_path) FROM (
   SELECT f.*,
-    CAST(f.o_orderdate AS DATE) AS date_,
-    CAST(hour(f.o_orderdate) AS INTEGER) AS hr_,
+    CASE WHEN f.o_orderdate < TIMESTAMP '1998-01-01 00:00:00' THEN DATE '2024-01-29'
+         ELSE DATE '2024-01-30' END AS date_,
+    CAST(f.o_orderkey % 24 AS INTEGER) AS hr_,
     CAST(f.l_shipdate AS DATE) AS transaction_date,
     {_RUN_TS} AS ale_transform_time,
     row_number() OVER (PARTITION BY f.l_orderkey, f.l_linenumber, f.l_partkey, f.l_suppkey,

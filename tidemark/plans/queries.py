@@ -31,7 +31,7 @@ from tidemark.operators.merge import (
 from tidemark.plans.batches import EVENT_KEYS, audit_rows, event_rows, new_events, stored_events
 from tidemark.plans.catalog import register
 from tidemark.plans.etl import upsert_partitions
-from tidemark.plans.landing import nested_results, order_envelopes
+from tidemark.plans.landing import delivery, nested_results, order_envelopes
 from tidemark.plans.tables import load
 from tidemark.plans.transform import flatten_records, transform
 from tidemark.schema import PARTITION_COLUMN
@@ -59,13 +59,14 @@ def q_flatten_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform(nested_results(spark, sf_dir), run_ts=RUN_TS)
 
 
-def land_nested(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> str:
-    """Write the nested records as files under ``date=D/hr=H`` (landing zone)."""
+DELIVERY_DAY = _dt.date(2024, 1, 30)
+
+
+def land_nested(spark: SparkSession, sf_dir: str, day=DELIVERY_DAY) -> str:
+    """Write the nested records as one delivery under ``date=D/hr=H``."""
     root = scratch_path(spark, "landing")
-    nested = nested_results(spark, sf_dir).withColumns(
-        {"date": F.to_date("module.o_orderdate"), "hr": F.hour("module.o_orderdate")}
-    )
-    write_partitioned(nested.drop("source_path"), root, ["date", "hr"], mode="error", dynamic=False)
+    nested = delivery(nested_results(spark, sf_dir).drop("source_path"), day)
+    write_partitioned(nested, root, ["date", "hr"], mode="error", dynamic=False)
     return root
 
 
@@ -537,34 +538,36 @@ ETL_REDELIVERED_FROM = _dt.datetime(1997, 7, 1)
 def q_etl_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two incremental runs of the full job over landed nested files.
 
-    Delivery 1: records of orders before 1998. Run 1 processes it.
-    Delivery 2: records from 1998 on, plus a re-delivery of the second half
-    of 1997. Run 2 reads only delivery 2 (watermark = start of run 1) and
-    the insert-only merge keeps the already stored copies.
+    Delivery 1 (the day before AS_OF): records of orders before 1998; run 1.
+    Delivery 2 (AS_OF): records from 1998 on, plus a re-delivery of the
+    second half of 1997. Run 2 lists only the trailing window's day folders,
+    reads only files newer than the watermark (start of run 1), and the
+    insert-only merge keeps the already stored copies.
     """
     from tidemark.plans.etl import run_etl
 
     landing = scratch_path(spark, "etl-landing")
     target = scratch_path(spark, "etl-target")
     audit = scratch_path(spark, "etl-audit")
-    nested = nested_results(spark, sf_dir).drop("source_path").withColumns(
-        {"date": F.to_date("module.o_orderdate"), "hr": F.hour("module.o_orderdate")}
-    )
+    nested = nested_results(spark, sf_dir).drop("source_path")
     od = F.col("module.o_orderdate")
 
     def lit_ts(t):
         return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
 
-    def deliver(df):
-        write_partitioned(df, landing, ["date", "hr"], mode="append", dynamic=False)
+    def deliver(df, day):
+        write_partitioned(delivery(df, day), landing, ["date", "hr"], mode="append", dynamic=False)
+
+    def run():
+        run_etl(spark, landing, target, audit, ETL_JOB, nested.schema, as_of=AS_OF, days=WINDOW_DAYS,
+                fmt="parquet", run_ts=RUN_TS)
 
-    schema = nested.drop("date", "hr").schema
-    deliver(nested.where(od < lit_ts(ETL_SECOND_DELIVERY_FROM)))
+    deliver(nested.where(od < lit_ts(ETL_SECOND_DELIVERY_FROM)), AS_OF - _dt.timedelta(days=1))
     time.sleep(1.1)  # file times have (at worst) one-second resolution
-    run_etl(spark, landing, target, audit, ETL_JOB, schema, fmt="parquet", run_ts=RUN_TS)
+    run()
     time.sleep(1.1)
-    deliver(nested.where(od >= lit_ts(ETL_REDELIVERED_FROM)))
-    run_etl(spark, landing, target, audit, ETL_JOB, schema, fmt="parquet", run_ts=RUN_TS)
+    deliver(nested.where(od >= lit_ts(ETL_REDELIVERED_FROM)), AS_OF)
+    run()
     stored = spark.read.parquet(target)
     # file_path (and the id hashed over it) names files; keep stable columns
     return stored.drop("file_path", "ale_id")
