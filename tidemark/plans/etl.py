@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,8 +143,13 @@ def run_etl(
     keys: Sequence[str] = RESULT_KEYS,
     run_id: str | None = None,
     run_ts: _dt.datetime | None = None,
+    flat_target: str | None = None,
 ) -> dict:
-    """One incremental run. Returns a small summary (driver-side values)."""
+    """One incremental run. Returns a small summary (driver-side values).
+
+    ``flat_target``: optional second output holding every flat row of the
+    run before key de-duplication (day-partitioned, appended).
+    """
     start = _dt.datetime.now(_dt.timezone.utc)
     run_id = run_id or f"{job_name}-{uuid.uuid4().hex[:12]}"
     wm = job_watermark(read_audit(spark, audit_root), job_name)
@@ -152,7 +157,12 @@ def run_etl(
     records = records.select(*schema.fieldNames(), "source_path")
     # no separate distinct: the key dedup of the merge removes exact copies too
     flat = transform(records, run_ts=run_ts or start.replace(tzinfo=None), distinct=False)
+    seen = Observation(f"flat_rows_{run_id}")
+    flat = flat.observe(seen, F.count(F.lit(1)).alias("flat_rows"))
+    if flat_target:
+        write_partitioned(flat, flat_target, [PARTITION_COLUMN], mode="append", dynamic=False)
     replaced = upsert_partitions(spark, flat, target, keys)
     end = _dt.datetime.now(_dt.timezone.utc)
     append_audit(audit_record(spark, run_id, job_name, start, end, STATUS_COMPLETED), audit_root)
-    return {"run_id": run_id, "watermark": wm, "partitions": len(replaced)}
+    metrics = seen.get  # set by the first action over ``flat`` (touched partitions)
+    return {"run_id": run_id, "watermark": wm, "partitions": len(replaced), **metrics}

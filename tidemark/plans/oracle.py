@@ -370,3 +370,19 @@ SELECT * EXCLUDE (rn, file_path) FROM (
   FROM ({_FLAT_DISTINCT}) f) t
 WHERE rn = 1
 """
+
+ORACLE_SQL["flat_layer"] = f"""
+SELECT f.* EXCLUDE (file_path),
+  DATE '2024-01-30' AS date_,
+  CAST(f.o_orderkey % 24 AS INTEGER) AS hr_,
+  CAST(f.l_shipdate AS DATE) AS transaction_date,
+  {_RUN_TS} AS ale_transform_time,
+  count(*) OVER () AS run_flat_rows
+FROM (SELECT {_RESULT_SELECT}
+      FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+      LEFT JOIN customer c ON c.c_custkey = o.o_custkey) f
+"""
+
+ORACLE_SQL["surrogate_key_random"] = """
+SELECT count(*) AS n_rows, count(*) AS n_ids, 36 AS id_len FROM events
+"""

@@ -571,3 +571,34 @@ def q_etl_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = spark.read.parquet(target)
     # file_path (and the id hashed over it) names files; keep stable columns
     return stored.drop("file_path", "ale_id")
+
+
+@register("flat_layer")
+def q_flat_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run that also keeps the flat, not de-duplicated rows in a second
+    output (the reference configures such a layer but never writes it)."""
+    from tidemark.plans.etl import run_etl
+
+    landing = scratch_path(spark, "flat-landing")
+    target = scratch_path(spark, "flat-target")
+    flat_target = scratch_path(spark, "flat-layer")
+    audit = scratch_path(spark, "flat-audit")
+    nested = nested_results(spark, sf_dir).drop("source_path")
+    write_partitioned(delivery(nested, AS_OF), landing, ["date", "hr"], mode="append", dynamic=False)
+    summary = run_etl(spark, landing, target, audit, ETL_JOB, nested.schema, as_of=AS_OF, days=WINDOW_DAYS,
+                      fmt="parquet", run_ts=RUN_TS, flat_target=flat_target)
+    flat = spark.read.parquet(flat_target).drop("file_path", "ale_id")
+    return flat.withColumn("run_flat_rows", F.lit(summary["flat_rows"]).cast("bigint"))
+
+
+@register("surrogate_key_random")
+def q_surrogate_key_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Random (UUID v4) ids: one per row, all distinct."""
+    from tidemark.functions.ids import random_id
+
+    ids = load(spark, sf_dir, "events").select(random_id().alias("row_id"))
+    return ids.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("row_id").alias("n_ids"),
+        F.min(F.length("row_id")).alias("id_len"),
+    )
