@@ -164,5 +164,7 @@ def run_etl(
     replaced = upsert_partitions(spark, flat, target, keys)
     end = _dt.datetime.now(_dt.timezone.utc)
     append_audit(audit_record(spark, run_id, job_name, start, end, STATUS_COMPLETED), audit_root)
-    metrics = seen.get  # set by the first action over ``flat`` (touched partitions)
+    # no touched partition means no flat row; otherwise the first action over
+    # ``flat`` (the touched-partition probe) has filled the observation
+    metrics = seen.get if replaced else {"flat_rows": 0}
     return {"run_id": run_id, "watermark": wm, "partitions": len(replaced), **metrics}
