@@ -43,23 +43,32 @@ def _partition_dir_value(v) -> str:
     return "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
 
 
+# Up to this many partitions are addressed by path (one lookup each on the
+# driver); beyond it the table root is listed (a parallel Spark job) and
+# pruned by a partition filter.
+GLOB_PARTITION_LIMIT = 64
+
+
 def read_partitions(
     spark: SparkSession, target: str, part_col: str, values: list, schema: T.StructType | None
 ) -> DataFrame | None:
     """Only the listed partitions of ``target`` (None if none exists yet).
 
-    One brace glob over the partition folders: the file listing is bounded
-    by the batch's partitions, not by the table's whole history.
+    Few partitions (the usual trailing window): a brace glob over their
+    folders, so listing is bounded by the batch, not by the table's history.
+    Many partitions (a backfill): list the root once and prune.
     """
     if not values:
         return None
-    alts = ",".join(sorted({_partition_dir_value(v) for v in values}))
-    pattern = f"{target.rstrip('/')}/{part_col}={{{alts}}}"
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(schema)
     try:
-        reader = spark.read.option("basePath", target)
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(pattern)
+        if len(values) > GLOB_PARTITION_LIMIT:
+            return restrict_to_partitions(reader.parquet(target), part_col, values)
+        alts = ",".join(sorted({_partition_dir_value(v) for v in values}))
+        pattern = f"{target.rstrip('/')}/{part_col}={{{alts}}}"
+        return reader.option("basePath", target).parquet(pattern)
     except AnalysisException as e:
         if _missing(e):
             return None
