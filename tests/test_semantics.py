@@ -258,3 +258,21 @@ def test_audit_latest_and_watermark(spark):
     assert job_watermark(audits, "j") == t(2024, 1, 1, 10, tzinfo=dt.timezone.utc)
     assert job_watermark(audits, "k") == FLOOR_TIME
     assert job_watermark(audits, "nope") == FLOOR_TIME
+
+
+# -- nested scan from JSON files ----------------------------------------------------------
+
+
+def test_read_nested_json_with_schema_and_lineage(spark):
+    from tidemark.plans.transform import flatten_records
+    from tidemark.session import scratch_path
+    from tidemark.sources.nested import read_nested
+
+    root = scratch_path(spark, "json-landing")
+    rows = nested_rows(spark).withColumn("date", F.lit("2024-01-30").cast("date")).withColumn("hr", F.lit(3))
+    rows.write.partitionBy("date", "hr").json(root)
+    recs = read_nested(spark, root, NESTED, fmt="json", base_path=root)
+    flat = flatten_records(recs, keep=["source_path"], on_collision="prefix")
+    got = sorted((r["id"], r["v"]) for r in flat.collect())
+    assert got == [(1, 10), (1, 11)]
+    assert all("/date=2024-01-30/hr=3/" in r["source_path"] for r in flat.collect())
