@@ -276,3 +276,12 @@ def test_read_nested_json_with_schema_and_lineage(spark):
     got = sorted((r["id"], r["v"]) for r in flat.collect())
     assert got == [(1, 10), (1, 11)]
     assert all("/date=2024-01-30/hr=3/" in r["source_path"] for r in flat.collect())
+
+
+def test_double_text_prefilter_keeps_all_parseable_forms(spark):
+    vals = ["1.5", " -2e3 ", ".5", "+7.", "NaN", "-Infinity", "1.5d", "abc", "{\"k\": 1}", "", None]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = col_values(df.select(to_double(F.col("s"), T.StringType()).alias("d")), "d")
+    plain = col_values(df.select(F.trim(F.col("s")).try_cast("double").alias("d")), "d")
+    same = [(a == b) or (a != a and b != b) for a, b in zip(got, plain)]  # NaN != NaN
+    assert all(same), list(zip(vals, got, plain))

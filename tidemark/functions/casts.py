@@ -30,23 +30,40 @@ def _as_type(t: T.DataType | str) -> T.DataType:
     return T._parse_datatype_string(t)
 
 
+# Fixed value: the start every parseable floating-point text has (sign, then
+# a digit, a dot, NaN or Infinity). Text not starting like this is skipped
+# before the cast; it could not parse anyway.
+FLOAT_START = r"(?i)^[+-]?([0-9.]|nan|inf)"
+
+
+def _integral(col: Column, target: str) -> Column:
+    """Integer part of numeric text; junk and overflow -> NULL.
+
+    The cast runs only on text the pattern matched: a failed string ->
+    integral ``try_cast`` costs an exception per row, which on junk-heavy
+    columns is most of the projection's time.
+    """
+    digits = F.regexp_extract(F.trim(col), INTEGRAL_TEXT, 1)
+    return F.when(digits != F.lit(""), digits.try_cast(target))
+
+
 def to_bigint(col: Column, source: T.DataType | None = None) -> Column:
     """bigint; strings keep their integer part, junk and overflow -> NULL."""
     if isinstance(source, T.StringType):
-        digits = F.regexp_extract(F.trim(col), INTEGRAL_TEXT, 1)
-        return digits.try_cast("bigint")
+        return _integral(col, "bigint")
     return col.try_cast("bigint")
 
 
 def to_int(col: Column, source: T.DataType | None = None) -> Column:
     if isinstance(source, T.StringType):
-        return F.regexp_extract(F.trim(col), INTEGRAL_TEXT, 1).try_cast("int")
+        return _integral(col, "int")
     return col.try_cast("int")
 
 
 def to_double(col: Column, source: T.DataType | None = None) -> Column:
     if isinstance(source, T.StringType):
-        return F.trim(col).try_cast("double")
+        text = F.trim(col)
+        return F.when(text.rlike(FLOAT_START), text.try_cast("double"))
     return col.try_cast("double")
 
 
