@@ -93,6 +93,16 @@ def collect_partition_values(parts: DataFrame, part_col: str, limit: int = MAX_P
     return [r[0] for r in rows]
 
 
+def partition_row_counts(df: DataFrame, part_col: str, limit: int = MAX_PARTITION_VALUES) -> list[tuple]:
+    """(partition value, rows) of a batch: the touched partitions and the
+    run's row counts in one pruned aggregate, bounded like the value list."""
+    counts = df.groupBy(F.col(f"`{part_col}`")).agg(F.count(F.lit(1)).alias("rows"))
+    rows = counts.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} partition values; refuse to plan a pruned read")
+    return [(r[0], r[1]) for r in rows]
+
+
 def restrict_to_partitions(stored: DataFrame, part_col: str, values: list) -> DataFrame:
     """Filter on the partition column only: becomes a partition filter."""
     has_null = any(v is None for v in values)

@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,7 @@ from tidemark.operators.merge import (
     anti_by_keys,
     collect_partition_values,
     merge_dedup,
+    partition_row_counts,
     restrict_to_partitions,
     touched_partitions,
 )
@@ -82,6 +83,7 @@ def upsert_partitions(
     keys: Sequence[str],
     part_col: str = PARTITION_COLUMN,
     prefer: str = "stored",
+    touched: list | None = None,
 ) -> list:
     """Merge ``new`` into ``target``; returns the touched partition values.
 
@@ -96,7 +98,8 @@ def upsert_partitions(
     replaces), then swapped in by dynamic partition overwrite. Untouched
     partitions are neither read nor rewritten in either mode.
     """
-    touched = collect_partition_values(touched_partitions(new, part_col), part_col)
+    if touched is None:
+        touched = collect_partition_values(touched_partitions(new, part_col), part_col)
     if not touched:
         return []
     batch = dedup_latest(new, keys, order_by=[])  # deterministic survivor within the batch
@@ -166,14 +169,16 @@ def run_etl(
     records = records.select(*schema.fieldNames(), "source_path")
     # no separate distinct: the key dedup of the merge removes exact copies too
     flat = transform(records, run_ts=run_ts or start.replace(tzinfo=None), distinct=False)
-    seen = Observation(f"flat_rows_{run_id}")
-    flat = flat.observe(seen, F.count(F.lit(1)).alias("flat_rows"))
-    if flat_target:
+    # one pruned pass: touched partitions and the run's row counts
+    counts = partition_row_counts(flat, PARTITION_COLUMN)
+    if flat_target and counts:
         write_partitioned(flat, flat_target, [PARTITION_COLUMN], mode="append", dynamic=False)
-    replaced = upsert_partitions(spark, flat, target, keys)
+    replaced = upsert_partitions(spark, flat, target, keys, touched=[v for v, _ in counts])
     end = _dt.datetime.now(_dt.timezone.utc)
     append_audit(audit_record(spark, run_id, job_name, start, end, STATUS_COMPLETED), audit_root)
-    # no touched partition means no flat row; otherwise the first action over
-    # ``flat`` (the touched-partition probe) has filled the observation
-    metrics = seen.get if replaced else {"flat_rows": 0}
-    return {"run_id": run_id, "watermark": wm, "partitions": len(replaced), **metrics}
+    return {
+        "run_id": run_id,
+        "watermark": wm,
+        "partitions": len(replaced),
+        "flat_rows": sum(n for _, n in counts),
+    }

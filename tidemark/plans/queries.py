@@ -487,7 +487,7 @@ def q_write_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- streaming --------------------------------------------------------------------
 
-STREAM_FILES_PER_TRIGGER = 8
+STREAM_FILES_PER_TRIGGER = 32
 
 
 def _land_two_deliveries(spark: SparkSession, sf_dir: str, root: str) -> None:
