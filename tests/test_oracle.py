@@ -35,3 +35,16 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "transaction_date" in df.columns
+
+
+TIME_SENSITIVE = ["audit_scan", "watermark", "incremental_files", "cast_timestamp", "derive_date", "flatten_pipeline"]
+
+
+@pytest.mark.parametrize("name", TIME_SENSITIVE)
+def test_results_do_not_depend_on_session_time_zone(spark, con, sf_small, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        same_result(QUERIES[name](spark, sf_small), con, SQL[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
