@@ -13,6 +13,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.casts import cast_rejects, conform, to_bigint, to_double, to_timestamp_ntz
 from tidemark.functions.ids import content_id, run_stamp
@@ -165,9 +166,6 @@ def _k_text():
 @register("cast_bigint")
 def q_cast_bigint(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = load(spark, sf_dir, "events")
-    s = "string"
-    from pyspark.sql import types as T
-
     st = T.StringType()
     return ev.select(
         "event_id",
@@ -175,14 +173,12 @@ def q_cast_bigint(spark: SparkSession, sf_dir: str) -> DataFrame:
         to_bigint(F.col("props"), st).alias("props_bigint"),
         to_bigint(_k_text(), st).alias("k_bigint"),
         to_bigint(F.col("event_type"), st).alias("type_bigint"),
-        to_bigint(F.col("value").cast(s), st).alias("value_text_bigint"),
+        to_bigint(F.col("value").cast("string"), st).alias("value_text_bigint"),
     )
 
 
 @register("cast_double")
 def q_cast_double(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import types as T
-
     st = T.StringType()
     ev = load(spark, sf_dir, "events")
     return ev.select(
@@ -211,8 +207,6 @@ EPOCH_2024 = 1_704_067_200
 
 @register("cast_timestamp")
 def q_cast_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import types as T
-
     ev = load(spark, sf_dir, "events")
     epoch_s = F.col("event_id") * F.lit(3600) + F.lit(EPOCH_2024)
     return ev.select(
@@ -250,7 +244,9 @@ def q_cast_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- paths, partition keys and windows ------------------------------------------
 
 
-def event_paths(ev: DataFrame):
+def event_paths():
+    """Landing path of each event; some are malformed on purpose (no hour,
+    two date= segments) to exercise the path rules."""
     day = F.date_format("ts", "yyyy-MM-dd")
     hr = F.hour("ts").cast("string")
     name = F.concat(F.col("event_id").cast("string"), F.lit(".avro"))
@@ -266,7 +262,8 @@ def event_paths(ev: DataFrame):
 
 @register("path_partitions")
 def q_path_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = load(spark, sf_dir, "events").select("event_id", event_paths(load(spark, sf_dir, "events")).alias("file_path"))
+    events = load(spark, sf_dir, "events")
+    ev = events.select("event_id", event_paths().alias("file_path"))
     return ev.select(
         "event_id", "file_path", path_date(F.col("file_path")).alias("date_"), path_hour(F.col("file_path")).alias("hr_")
     )
