@@ -285,3 +285,37 @@ def test_double_text_prefilter_keeps_all_parseable_forms(spark):
     plain = col_values(df.select(F.trim(F.col("s")).try_cast("double").alias("d")), "d")
     same = [(a == b) or (a != a and b != b) for a, b in zip(got, plain)]  # NaN != NaN
     assert all(same), list(zip(vals, got, plain))
+
+
+def test_zoned_timestamp_from_epoch_and_text(spark):
+    from tidemark.functions.casts import to_timestamp
+
+    df = spark.createDataFrame([(86_400, "2024-01-02 03:04:05+00:00")], "e long, s string")
+    row = df.select(
+        F.unix_micros(to_timestamp(F.col("e"), T.LongType())).alias("a"),
+        F.unix_micros(to_timestamp(F.col("e") * 1000, T.LongType(), unit="ms")).alias("b"),
+        F.unix_micros(to_timestamp(F.col("s"), T.StringType())).alias("c"),
+    ).first()
+    assert row["a"] == row["b"] == 86_400_000_000
+    assert row["c"] == int(dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
+
+
+def test_discover_lists_only_window_files_newer_than_watermark(spark):
+    import time
+
+    from tidemark.session import scratch_path
+    from tidemark.sources.files import discover, file_inventory
+
+    root = scratch_path(spark, "inv")
+    base = spark.range(10).withColumn("v", F.col("id"))
+    base.withColumn("date", F.lit("2024-01-20").cast("date")).write.partitionBy("date").parquet(root)
+    time.sleep(1.1)
+    mark = dt.datetime.now(dt.timezone.utc)
+    time.sleep(1.1)
+    for day in ("2024-01-20", "2024-01-29", "2024-01-10"):
+        base.withColumn("date", F.lit(day).cast("date")).write.mode("append").partitionBy("date").parquet(root)
+    found = discover(spark, root, dt.date(2024, 1, 30), 14, mark, glob="*.parquet")
+    days = sorted({r["date"] for r in found.collect()})
+    assert days == [dt.date(2024, 1, 20), dt.date(2024, 1, 29)]
+    assert set(found.columns) >= {"path", "modificationTime", "length", "date"}
+    assert file_inventory(spark, root + "/missing").count() == 0
