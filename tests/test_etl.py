@@ -79,3 +79,19 @@ def test_upsert_prefer_new_rebuilds_only_touched_partitions(spark):
     upsert_partitions(spark, new, target, ["k", "transaction_date"], prefer="stored")
     again = sorted((r["k"], r["v"]) for r in spark.read.parquet(target).collect())
     assert again == got
+
+
+def test_job_entry_point_runs_one_incremental_run(spark, sf_small):
+    import datetime as dt
+
+    from tidemark.jobs.etl_job import main
+
+    nested = _nested(spark, sf_small)
+    landing, target, audit = (scratch_path(spark, n) for n in ("l", "t", "a"))
+    _deliver(nested, landing, dt.date(2024, 1, 30))
+    time.sleep(1.1)
+    ddl = nested.schema.simpleString()[len("struct<"):-1]
+    out = main(["--landing", landing, "--target", target, "--audit", audit, "--job", "j",
+                "--schema-ddl", ddl, "--format", "parquet", "--days", "7", "--as-of", "2024-01-30"])
+    assert out["partitions"] > 0 and out["flat_rows"] == nested.selectExpr("explode(data)").count()
+    assert read_audit(spark, audit).count() == 1
