@@ -95,3 +95,33 @@ def test_job_entry_point_runs_one_incremental_run(spark, sf_small):
                 "--schema-ddl", ddl, "--format", "parquet", "--days", "7", "--as-of", "2024-01-30"])
     assert out["partitions"] > 0 and out["flat_rows"] == nested.selectExpr("explode(data)").count()
     assert read_audit(spark, audit).count() == 1
+
+
+def test_merge_without_partition_list_matches_listed(spark, monkeypatch):
+    import datetime as dt
+
+    import tidemark.plans.etl as etl
+    from tidemark.operators.merge import partition_row_counts
+
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    stored = spark.createDataFrame([(1, "s", days[0]), (2, "s", days[1]), (9, "s", None)],
+                                   "k long, v string, transaction_date date")
+    new = spark.createDataFrame([(2, "n", days[1]), (3, "n", days[2]), (9, "n", None), (4, "n", None)],
+                                "k long, v string, transaction_date date")
+    results = []
+    for listed in (True, False):
+        target = scratch_path(spark, "t")
+        write_partitioned(stored, target, ["transaction_date"])
+        if not listed:
+            monkeypatch.setattr(etl, "collect_partition_values", lambda parts, col: None)
+        out = etl.upsert_partitions(spark, new, target, ["k", "transaction_date"])
+        assert (out is None) == (not listed)
+        results.append(sorted((r["k"], r["v"]) for r in spark.read.parquet(target).collect()))
+        for prefer in ("new",):
+            t2 = scratch_path(spark, "t")
+            write_partitioned(stored, t2, ["transaction_date"])
+            etl.upsert_partitions(spark, new, t2, ["k", "transaction_date"], prefer=prefer)
+            results.append(sorted((r["k"], r["v"]) for r in spark.read.parquet(t2).collect()))
+    assert results[0] == results[2] == [(1, "s"), (2, "s"), (3, "n"), (4, "n"), (9, "s")]
+    assert results[1] == results[3] == [(1, "s"), (2, "n"), (3, "n"), (4, "n"), (9, "n")]
+    assert partition_row_counts(new, "transaction_date", limit=1) == (None, 4)

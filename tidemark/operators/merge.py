@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import _keys, dedup_by_key, dedup_latest
 
-# Hard bound on partition values moved through the driver (the touched-day
-# list). Day partitions bound it by the date range; past it we refuse
-# rather than ship an unbounded list.
+# Bound on partition values moved through the driver (the touched-day list).
+# Past it no list is collected; callers restrict the stored side with a semi
+# join against the batch's partition values instead (exact, no driver list).
 MAX_PARTITION_VALUES = 100_000
 
 
@@ -85,22 +85,33 @@ def existing_partitions(touched: DataFrame, stored: DataFrame, part_col: str) ->
     return touched.join(stored_parts, _null_safe_on(touched, stored_parts, [part_col]), "left_semi")
 
 
-def collect_partition_values(parts: DataFrame, part_col: str, limit: int = MAX_PARTITION_VALUES) -> list:
-    """Bring a bounded list of partition values to the driver (for pruning)."""
+def collect_partition_values(parts: DataFrame, part_col: str, limit: int = MAX_PARTITION_VALUES) -> list | None:
+    """A bounded list of partition values on the driver (for path pruning),
+    or None when there are more than ``limit``: use ``restrict_by_frame``."""
     rows = parts.limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"more than {limit} partition values; refuse to plan a pruned read")
+        return None
     return [r[0] for r in rows]
 
 
-def partition_row_counts(df: DataFrame, part_col: str, limit: int = MAX_PARTITION_VALUES) -> list[tuple]:
-    """(partition value, rows) of a batch: the touched partitions and the
-    run's row counts in one pruned aggregate, bounded like the value list."""
+def partition_row_counts(
+    df: DataFrame, part_col: str, limit: int = MAX_PARTITION_VALUES
+) -> tuple[list | None, int]:
+    """Touched partition values and the batch's row total in one pruned
+    aggregate. Past ``limit`` values the list is None and only the total
+    (a one-row aggregate over the per-partition counts) comes back."""
     counts = df.groupBy(F.col(f"`{part_col}`")).agg(F.count(F.lit(1)).alias("rows"))
     rows = counts.limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"more than {limit} partition values; refuse to plan a pruned read")
-    return [(r[0], r[1]) for r in rows]
+        return None, int(counts.agg(F.sum("rows")).first()[0])
+    return [r[0] for r in rows], sum(r[1] for r in rows)
+
+
+def restrict_by_frame(stored: DataFrame, parts: DataFrame, part_col: str) -> DataFrame:
+    """Stored rows whose partition value occurs in ``parts`` (null-safe semi
+    join; the list never reaches the driver)."""
+    values = parts.select(F.col(f"`{part_col}`").alias("_part")).distinct()
+    return stored.join(values, stored[f"`{part_col}`"].eqNullSafe(values["_part"]), "left_semi")
 
 
 def restrict_to_partitions(stored: DataFrame, part_col: str, values: list) -> DataFrame:

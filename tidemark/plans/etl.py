@@ -24,6 +24,7 @@ from tidemark.operators.merge import (
     collect_partition_values,
     merge_dedup,
     partition_row_counts,
+    restrict_by_frame,
     restrict_to_partitions,
     touched_partitions,
 )
@@ -51,20 +52,29 @@ GLOB_PARTITION_LIMIT = 64
 
 
 def read_partitions(
-    spark: SparkSession, target: str, part_col: str, values: list, schema: T.StructType | None
+    spark: SparkSession,
+    target: str,
+    part_col: str,
+    values: list | None,
+    schema: T.StructType | None,
+    parts: DataFrame | None = None,
 ) -> DataFrame | None:
-    """Only the listed partitions of ``target`` (None if none exists yet).
+    """Only the touched partitions of ``target`` (None if none exists yet).
 
     Few partitions (the usual trailing window): a brace glob over their
     folders, so listing is bounded by the batch, not by the table's history.
-    Many partitions (a backfill): list the root once and prune.
+    Many partitions (a backfill): list the root once and prune. Too many to
+    list on the driver (``values`` is None): restrict with a semi join
+    against ``parts``, the batch's partition values.
     """
-    if not values:
+    if values is not None and not values:
         return None
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     try:
+        if values is None:
+            return restrict_by_frame(reader.parquet(target), parts, part_col)
         if len(values) > GLOB_PARTITION_LIMIT:
             return restrict_to_partitions(reader.parquet(target), part_col, values)
         alts = ",".join(sorted({_partition_dir_value(v) for v in values}))
@@ -84,8 +94,9 @@ def upsert_partitions(
     part_col: str = PARTITION_COLUMN,
     prefer: str = "stored",
     touched: list | None = None,
-) -> list:
-    """Merge ``new`` into ``target``; returns the touched partition values.
+) -> list | None:
+    """Merge ``new`` into ``target``; returns the touched partition values
+    (None when there were too many to collect and a semi join was used).
 
     ``prefer="stored"`` (insert-only, the default): stored rows never change,
     so nothing is rewritten. Only the batch rows whose key is not stored yet
@@ -100,10 +111,10 @@ def upsert_partitions(
     """
     if touched is None:
         touched = collect_partition_values(touched_partitions(new, part_col), part_col)
-    if not touched:
+    if touched is not None and not touched:
         return []
     batch = dedup_latest(new, keys, order_by=[])  # deterministic survivor within the batch
-    stored = read_partitions(spark, target, part_col, touched, new.schema)
+    stored = read_partitions(spark, target, part_col, touched, new.schema, parts=new)
     if prefer == "stored":
         fresh = batch if stored is None else anti_by_keys(batch, stored, keys)
         write_partitioned(fresh.select(*new.columns), target, [part_col], mode="append", dynamic=False)
@@ -111,7 +122,7 @@ def upsert_partitions(
     if stored is None:
         write_partitioned(batch.select(*new.columns), target, [part_col])
         return touched
-    merged = merge_dedup(batch, restrict_to_partitions(stored, part_col, touched), keys, prefer)
+    merged = merge_dedup(batch, stored, keys, prefer)
     staged = stage(merged.select(*new.columns), spark, "merge")
     write_partitioned(staged, target, [part_col])
     return touched
@@ -169,16 +180,17 @@ def run_etl(
     records = records.select(*schema.fieldNames(), "source_path")
     # no separate distinct: the key dedup of the merge removes exact copies too
     flat = transform(records, run_ts=run_ts or start.replace(tzinfo=None), distinct=False)
-    # one pruned pass: touched partitions and the run's row counts
-    counts = partition_row_counts(flat, PARTITION_COLUMN)
-    if flat_target and counts:
+    # one pruned pass: touched partitions and the run's row count
+    touched, flat_rows = partition_row_counts(flat, PARTITION_COLUMN)
+    if flat_target and flat_rows:
         write_partitioned(flat, flat_target, [PARTITION_COLUMN], mode="append", dynamic=False)
-    replaced = upsert_partitions(spark, flat, target, keys, touched=[v for v, _ in counts])
+    # touched is None when too many partitions to list: the merge semi-joins
+    replaced = upsert_partitions(spark, flat, target, keys, touched=touched) if flat_rows else []
     end = _dt.datetime.now(_dt.timezone.utc)
     append_audit(audit_record(spark, run_id, job_name, start, end, STATUS_COMPLETED), audit_root)
     return {
         "run_id": run_id,
         "watermark": wm,
-        "partitions": len(replaced),
-        "flat_rows": sum(n for _, n in counts),
+        "partitions": len(replaced) if replaced is not None else -1,
+        "flat_rows": flat_rows,
     }
