@@ -96,5 +96,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     # per folder by default; on 8 local cores a few dozen tasks are faster
     # (on a cluster, size this to the executor cores).
     spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", "64")
+    # Nesting keeps bounded arrays per group; let the object hash aggregate
+    # hold more groups per task before it falls back to sorting.
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "4096")
     checkpoint_root(spark)
     return spark
