@@ -125,3 +125,22 @@ def test_merge_without_partition_list_matches_listed(spark, monkeypatch):
     assert results[0] == results[2] == [(1, "s"), (2, "s"), (3, "n"), (4, "n"), (9, "s")]
     assert results[1] == results[3] == [(1, "s"), (2, "n"), (3, "n"), (4, "n"), (9, "n")]
     assert partition_row_counts(new, "transaction_date", limit=1) == (None, 4)
+
+
+def test_job_entry_point_accepts_schema_json(spark, sf_small, tmp_path):
+    import datetime as dt
+    import json
+
+    from tidemark.jobs.etl_job import main
+
+    nested = _nested(spark, sf_small)
+    landing, target, audit = (scratch_path(spark, n) for n in ("l", "t", "a"))
+    _deliver(nested, landing, dt.date(2024, 1, 30))
+    schema_file = tmp_path / "schema.json"
+    schema_file.write_text(json.dumps(nested.schema.jsonValue()))
+    time.sleep(1.1)
+    args = ["--landing", landing, "--target", target, "--audit", audit, "--job", "j",
+            "--schema-json", str(schema_file), "--format", "parquet", "--days", "0"]
+    first = main(args)
+    second = main(args)  # nothing new since the first run
+    assert first["flat_rows"] > 0 and second["flat_rows"] == 0 and second["partitions"] == 0

@@ -319,3 +319,10 @@ def test_discover_lists_only_window_files_newer_than_watermark(spark):
     assert days == [dt.date(2024, 1, 20), dt.date(2024, 1, 29)]
     assert set(found.columns) >= {"path", "modificationTime", "length", "date"}
     assert file_inventory(spark, root + "/missing").count() == 0
+
+
+def test_merge_prefer_latest_keeps_greatest_order_value(spark):
+    stored = spark.createDataFrame([(1, 5, "s"), (2, 9, "s"), (3, None, "s")], "k long, t long, v string")
+    new = spark.createDataFrame([(1, 7, "n"), (2, 3, "n"), (3, 1, "n"), (4, 1, "n")], "k long, t long, v string")
+    got = sorted((r["k"], r["v"]) for r in merge_dedup(new, stored, ["k"], prefer="latest", order_by=["t"]).collect())
+    assert got == [(1, "n"), (2, "s"), (3, "n"), (4, "n")]
