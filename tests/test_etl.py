@@ -144,3 +144,18 @@ def test_job_entry_point_accepts_schema_json(spark, sf_small, tmp_path):
     first = main(args)
     second = main(args)  # nothing new since the first run
     assert first["flat_rows"] > 0 and second["flat_rows"] == 0 and second["partitions"] == 0
+
+
+def test_window_defaults_to_today(spark):
+    import datetime as dt
+
+    from tidemark.plans.etl import scan_window
+
+    landing = scratch_path(spark, "l")
+    today = dt.datetime.now(dt.timezone.utc).date()
+    for day in (today, today - dt.timedelta(days=10)):
+        spark.range(3).withColumn("date", F.lit(day.isoformat()).cast("date")).write.mode("append") \
+            .partitionBy("date").parquet(landing)
+    schema = spark.range(1).schema
+    recs = scan_window(spark, landing, schema, dt.datetime(2000, 1, 1, tzinfo=dt.timezone.utc), days=7, fmt="parquet")
+    assert recs.count() == 3

@@ -142,6 +142,8 @@ def scan_window(
     The modification-time condition is on ``_metadata`` and prunes files at
     planning; the window is a path glob, so other days are never listed.
     """
+    if days and as_of is None:
+        as_of = _dt.datetime.now(_dt.timezone.utc).date()  # window ends today (UTC)
     paths = window_globs(landing_root, as_of, days) if days else landing_root
     try:
         df = read_nested(spark, paths, schema, fmt=fmt, base_path=landing_root)
