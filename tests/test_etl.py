@@ -159,3 +159,18 @@ def test_window_defaults_to_today(spark):
     schema = spark.range(1).schema
     recs = scan_window(spark, landing, schema, dt.datetime(2000, 1, 1, tzinfo=dt.timezone.utc), days=7, fmt="parquet")
     assert recs.count() == 3
+
+
+def test_read_audit_for_one_job_lists_only_its_folder(spark):
+    import datetime as dt
+
+    from tidemark.operators.audit import audit_record
+    from tidemark.sinks.audit import append_audit
+
+    root = scratch_path(spark, "a")
+    t = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    append_audit(audit_record(spark, "r1", "j1", t, t, "COMPLETED"), root)
+    append_audit(audit_record(spark, "r2", "j2", t, t, "COMPLETED"), root)
+    assert [r["etl_run_id"] for r in read_audit(spark, root, "j1").collect()] == ["r1"]
+    assert read_audit(spark, root).count() == 2
+    assert read_audit(spark, root, "nope").count() == 0

@@ -177,7 +177,7 @@ def run_etl(
     """
     start = _dt.datetime.now(_dt.timezone.utc)
     run_id = run_id or f"{job_name}-{uuid.uuid4().hex[:12]}"
-    wm = job_watermark(read_audit(spark, audit_root), job_name)
+    wm = job_watermark(read_audit(spark, audit_root, job_name), job_name)
     records = scan_window(spark, landing_root, schema, wm, as_of, days, fmt)
     records = records.select(*schema.fieldNames(), "source_path")
     # no separate distinct: the key dedup of the merge removes exact copies too
