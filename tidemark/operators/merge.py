@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.dedup import _keys, dedup_by_key, dedup_latest
+from tidemark.operators.dedup import _keys, dedup_latest
 
 # Bound on partition values moved through the driver (the touched-day list).
 # Past it no list is collected; callers restrict the stored side with a semi
@@ -43,8 +43,9 @@ def anti_by_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def merge_insert_only(new: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """stored ∪ (new rows whose key is not stored); one row per new key."""
-    fresh = anti_by_keys(dedup_by_key(new, keys), stored, keys)
+    """stored ∪ (new rows whose key is not stored); one row per new key,
+    chosen deterministically (greatest row) when the batch repeats a key."""
+    fresh = anti_by_keys(dedup_latest(new, keys, order_by=[]), stored, keys)
     return stored.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -63,7 +64,7 @@ def merge_dedup(
     if prefer == "stored":
         return merge_insert_only(new, stored, keys)
     if prefer == "new":
-        fresh = dedup_by_key(new, keys)
+        fresh = dedup_latest(new, keys, order_by=[])
         return fresh.unionByName(anti_by_keys(stored, fresh, keys), allowMissingColumns=True)
     if prefer == "latest":
         return dedup_latest(merge_union(new, stored), keys, order_by)
