@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, language_id, packing, quality_classifier, token_counts, token_store
+from tidemark.llm import decontamination, language_id, packing, quality_classifier, repetition, suffix_tree_lm, token_counts, token_store
 from tidemark.llm.common import crc_fold
 from tidemark.session import scratch_path
 
@@ -23,6 +23,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_fold() == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_tree_lm.score(table(spark, sf_dir, "documents"), crc_fold() != 1)
+    return found.withColumn("held_out", crc_fold() == 1)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, capacity=2048, end_id=0)
 
@@ -31,6 +36,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.judge(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
     names = F.array_join(F.array_sort("items"), ",")
@@ -57,8 +66,10 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_counts": op4_token_counts,
+    "op5_quality_rules": op5_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op7_quality_classifier": op7_quality_classifier,
     "op10_token_store": op10_token_store,
