@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, language_id, packing, quality_classifier, repetition, suffix_tree_lm, token_counts, token_store
+from tidemark.llm import decontamination, jaccard_join, language_id, packing, quality_classifier, repetition, suffix_tree_lm, token_counts, token_store
 from tidemark.llm.common import crc_fold
 from tidemark.session import scratch_path
 
@@ -58,6 +58,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_fold() == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar(table(spark, sf_dir, "documents"), percent=90, length=3)
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-store")
     token_store.write(table(spark, sf_dir, "documents"), path, TOKENIZER, end_id=2)
@@ -72,5 +76,6 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_token_store": op10_token_store,
 }
