@@ -52,14 +52,17 @@ def crc_fold(column: str = "doc_id", folds: int = 5) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     """Write ``df`` to a fresh folder of the shared checkpoint root and read it back.
 
     Later plans start from the files, so a lost executor repeats one read and
-    not the steps before it.
+    not the steps before it. ``release`` asks the driver's JVM to collect its
+    garbage, which lets Spark's cleaner drop the shuffle files of done steps.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if release:
+        df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -33,10 +33,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER_SPLIT_ON_BLANKS, cut, map_arrow, mix64, ship, slices, words
+from tidemark.llm.common import LOWER_SPLIT_ON_BLANKS, cut, map_arrow, mix64, ship, slices, spans_to_rows, words
 from tidemark.llm.components import components
 
 REGION_DOCS = 1024
@@ -112,30 +112,35 @@ def block_keys(values: np.ndarray, t: Threshold, bands: np.ndarray) -> np.ndarra
     return np.concatenate(keys).view(np.int64)
 
 
-def described(docs: DataFrame, t: Threshold, length: int) -> DataFrame:
-    """doc_id, n (set size), set_a and set_b (a 128-bit name of the set), keys."""
+def described(docs: DataFrame, length: int) -> DataFrame:
+    """doc_id, n (set size), set_a and set_b (a 128-bit name of the set)."""
 
     def run(batches):
-        bands = t.bands(1 << 40)
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingles(part.column("text"), length)
                 with np.errstate(over="ignore"):
                     names = [[int(mix64(s ^ np.uint64(c)).sum(dtype=np.uint64).view(np.int64)) for s in sets] for c in (11, 13)]
+                sizes = pa.array([len(s) for s in sets], pa.int64())
+                columns = [part.column("doc_id"), sizes, pa.array(names[0], pa.int64()), pa.array(names[1], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "set_a", "set_b"])
+
+    return map_arrow(docs, run, "doc_id long, n long, set_a long, set_b long")
+
+
+def keyed(docs: DataFrame, t: Threshold, length: int) -> DataFrame:
+    """doc_id, key: one row a block of each document's set."""
+
+    def run(batches):
+        bands = t.bands(1 << 40)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = shingles(part.column("text"), length)
                 keys = [block_keys(s, t, bands) if len(s) else np.zeros(0, np.int64) for s in sets]
-                ends = np.cumsum([0, *map(len, keys)])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(names[0], pa.int64()),
-                        pa.array(names[1], pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *keys]))),
-                    ],
-                    ["doc_id", "n", "set_a", "set_b", "keys"],
-                )
+                ids = part.column("doc_id").take(pa.array(spans_to_rows(np.array([len(k) for k in keys], np.int64))))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate([np.zeros(0, np.int64), *keys]))], ["doc_id", "key"])
 
-    return map_arrow(docs, run, "doc_id long, n long, set_a long, set_b long, keys array<long>")
+    return map_arrow(docs, run, "doc_id long, key long")
 
 
 def needed_sets(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -295,18 +300,17 @@ def similar(docs: DataFrame, percent: int = 90, length: int = 3, id_col: str = "
     """doc_id, n_shingles, component_id for every document."""
     t = Threshold(percent)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    named = cut(described(rows, t, length), "sets")
+    known = rows.filter(F.col("doc_id").isNotNull())
+    named = cut(described(rows, length), "sets")
     # equal sets are one node, named by its smallest id
-    classes = cut(
-        named.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("set_a", "set_b", F.col("n").alias("size")).agg(F.min("doc_id").alias("node")),
-        "classes",
-    )
-    same = (F.col("s.set_a") == F.col("c.set_a")) & (F.col("s.set_b") == F.col("c.set_b"))
-    nodes = named.alias("s").join(classes.alias("c"), same & (F.col("s.doc_id") == F.col("c.node"))).select("doc_id", F.explode("keys").alias("key"))
-    firsts = cut(nodes.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("key", "first"), "keys")
-    agree = nodes.join(firsts, "key").filter("doc_id != first").select(F.col("doc_id").alias("a"), F.col("first").alias("b")).distinct()
-    regions = cut(components(cut(agree, "agreements")).withColumnRenamed("component", "region").withColumnRenamed("id", "doc_id"), "candidates")
-    members = cut(needed_sets(rows.filter(F.col("doc_id").isNotNull()), regions, length).select("region", "doc_id", "n", "shingles"), "members")
+    sized = named.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
+    classes = cut(sized.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node")), "classes", release=True)
+    # the smallest id that agrees in a block is a node, as all equal sets agree; a window streams what a key holds
+    of_key = Window.partitionBy("key")
+    agree = keyed(known, t, length).withColumn("b", F.min("doc_id").over(of_key)).filter("doc_id != b").select(F.col("doc_id").alias("a"), "b").distinct()
+    agree = cut(agree.join(classes.select(F.col("node").alias("a")), "a", "left_semi"), "agreements", release=True)
+    regions = cut(components(agree).withColumnRenamed("component", "region").withColumnRenamed("id", "doc_id"), "candidates")
+    members = cut(needed_sets(known, regions, length).select("region", "doc_id", "n", "shingles"), "members")
     found = cut(join_regions(members, t), "found")
     reached = cut(components(found), "components")
     labelled = classes.join(reached, F.col("node") == F.col("id"), "left").select(

@@ -163,11 +163,12 @@ def training_rows(
     docs: DataFrame, labels: DataFrame, usable: Column, max_rows: int, max_bytes: int, label_col: str, id_col: str, text_col: str
 ) -> tuple[list[bytes], list[int]]:
     """At most ``max_rows`` labelled texts; their ids are chosen before any text is read."""
-    rows = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & usable).groupBy(id_col).agg(F.min(label_col).alias("y"))
-    chosen = rows.select(F.col(id_col).alias("wanted"), "y").orderBy(F.xxhash64("wanted"), "wanted").limit(max_rows)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    found = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("wanted")).filter(F.octet_length(text) <= max_bytes)
-    got = sorted(found.select(F.col(id_col), text.cast("binary"), "y").collect(), key=lambda r: (r[0], r[1]))
+    rows = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & usable)
+    rows = rows.groupBy(F.col(id_col).alias("wanted")).agg(F.min(label_col).alias("y"))
+    chosen = rows.orderBy(F.xxhash64("wanted"), "wanted").limit(max_rows)
+    texts = docs.select(F.col(id_col).alias("wanted"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    found = texts.filter(F.octet_length("text") <= max_bytes).join(F.broadcast(chosen), "wanted")
+    got = sorted(found.select("wanted", F.col("text").cast("binary"), "y").collect(), key=lambda r: (r[0], r[1]))
     return [bytes(r[1]) for r in got], [int(r[2]) for r in got]
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, jaccard_join, language_id, packing, quality_classifier, repetition, suffix_tree_lm, token_counts, token_store
+from tidemark.llm import decontamination, jaccard_join, language_id, line_dedup, packing, quality_classifier, repetition, suffix_tree_lm, token_counts, token_store
 from tidemark.llm.common import crc_fold
 from tidemark.session import scratch_path
 
@@ -62,6 +62,20 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar(table(spark, sf_dir, "documents"), percent=90, length=3)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines (distinct lines) and the places of those that stay."""
+    docs = table(spark, sf_dir, "documents")
+    kept = line_dedup.kept_lines(docs.select("doc_id", "text"), percent=80)
+    sizes = docs.select("doc_id", F.coalesce(F.size(line_dedup.distinct_lines(F.col("text"))), F.lit(0)).alias("n_lines"))
+    met = sizes.join(kept, sizes["doc_id"] == kept["doc"], "left")
+    return met.select(
+        "doc_id",
+        F.greatest("n_lines", F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("kept"), F.lit(0)).cast("long").alias("n_kept"),
+        F.coalesce(F.array_join(F.col("kept").cast("array<string>"), ","), F.lit("")).alias("kept_lines"),
+    )
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-store")
     token_store.write(table(spark, sf_dir, "documents"), path, TOKENIZER, end_id=2)
@@ -77,5 +91,6 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_line_dedup": op9_line_dedup,
     "op10_token_store": op10_token_store,
 }
