@@ -14,9 +14,9 @@ candidates if their lengths, the places of the shared token, and a 64-bit sketch
 of their words (each word sets one bit; the bits that differ are at most the
 words that differ) allow the similarity; candidates are verified on their words.
 
-Dense groups: every line is first held against the earliest line of each of its
-prefix groups, which is one row a prefix token; only lines that this leaves are
-held against all earlier lines of their groups.
+Dense groups: every line is first held against the ``EARLIEST`` first lines of
+each of its prefix groups, at most that many rows a prefix token; only lines
+that this leaves are held against the later lines of groups that have more.
 
 Nulls: a null text has no lines. Rows with a null id are passed through whole.
 Rows that share an id count as one place: a line's first place is all of them.
@@ -26,13 +26,14 @@ An empty table gives an empty table.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut
 
 SLOTS = 1 << 18
 FILTER_SLOTS = 6 << 18
+EARLIEST = 16
 BLANKS = "\t\u000b\f\r"
 
 
@@ -51,37 +52,38 @@ def words_of(line: Column) -> Column:
 
 
 def line_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc, at, line: each distinct line with a word, at the first place it stands."""
+    """doc, at, words: each distinct line with a word, at the first place it stands."""
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.posexplode(distinct_lines(F.col(text_col))).alias("at", "line"))
     worded = rows.filter(F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
-    return worded.groupBy("line").agg(F.min("doc").alias("doc"), F.min_by("at", "doc").alias("at")).select("doc", "at", "line")
+    first = worded.groupBy("line").agg(F.min("doc").alias("doc"), F.min_by("at", "doc").alias("at"))
+    return first.select("doc", "at", words_of(F.col("line")).alias("words"))
 
 
-def _char(table: bytes, place: Column) -> Column:
-    """Value 0 to 63 of one character of a table."""
-    return F.ascii(F.substring(F.lit(table), place + 1, F.lit(1)).cast("string")) - 48
+def _table(values: np.ndarray) -> Column:
+    """Small numbers as a constant array (Spark folds the expression once)."""
+    return F.split(F.lit(",".join(map(str, values.tolist()))), ",").cast("array<tinyint>")
 
 
-def rarity(classes: DataFrame) -> bytes:
-    """For each hash slot, 2 log2 of its tokens' number of occurrences in lines, as a character from '0' on."""
-    token = classes.select(F.explode(words_of(F.col("line"))).alias("token"))
+def rarity(classes: DataFrame) -> Column:
+    """For each hash slot, 2 log2 of its tokens' number of occurrences in lines."""
+    token = classes.select(F.explode("words").alias("token"))
     slot = F.xxhash64("token").bitwiseAND(SLOTS - 1)
     counted = token.groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))  # SLOTS rows at most
     got = counted.select(F.col("slot").cast("int"), F.least(F.floor(2 * F.log2("n")) + 1, F.lit(63)).cast("int").alias("rank")).toArrow()
     table = np.zeros(SLOTS, np.uint8)
     table[got.column("slot").to_numpy()] = got.column("rank").to_numpy()
-    return (table + 48).tobytes()
+    return _table(table)
 
 
-def ordered_tokens(line: Column, table: bytes) -> Column:
-    """The line's tokens as numbers, rarest first: rank in the highest bits, then the hash."""
+def ordered_tokens(words: Column, table: Column) -> Column:
+    """The words as numbers, rarest first: rank in the highest bits, then the hash."""
 
     def number(word: Column) -> Column:
         h = F.xxhash64(word)
-        rank = _char(table, h.bitwiseAND(SLOTS - 1).cast("int")).cast("long")
+        rank = F.get(table, h.bitwiseAND(SLOTS - 1).cast("int")).cast("long")
         return F.shiftleft(rank, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    return F.sort_array(F.transform(words_of(line), number))
+    return F.sort_array(F.transform(words, number))
 
 
 def sketch(tokens: Column) -> Column:
@@ -89,9 +91,9 @@ def sketch(tokens: Column) -> Column:
     return F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
 
 
-def prefixes(classes: DataFrame, table: bytes, percent: int) -> DataFrame:
+def prefixes(classes: DataFrame, table: Column, percent: int) -> DataFrame:
     """token, doc, at, size, place, bits: one row a prefix token of each line."""
-    tokens = classes.select("doc", "at", ordered_tokens(F.col("line"), table).alias("tokens"))
+    tokens = classes.select("doc", "at", ordered_tokens(F.col("words"), table).alias("tokens"))
     sized = tokens.select("doc", "at", F.size("tokens").alias("size"), sketch(F.col("tokens")).alias("bits"), "tokens")
     length = F.col("size") - F.floor((percent * F.col("size") + 99) / 100).cast("int") + 1
     return sized.select("doc", "at", "size", "bits", F.posexplode(F.slice("tokens", F.lit(1), length)).alias("place", "token"))
@@ -126,14 +128,14 @@ def _members(ids: DataFrame, classes: DataFrame) -> DataFrame:
     got = marks.agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("bit"))).alias("value")).toArrow()
     table = np.zeros(FILTER_SLOTS // 6, np.uint8)
     table[got.column("char").to_numpy()] = got.column("value").to_numpy()
-    flag = F.call_function("shiftright", _char((table + 48).tobytes(), (slot / 6).cast("int")), slot % 6).bitwiseAND(1)
+    flag = F.call_function("shiftright", F.get(_table(table), (slot / 6).cast("int")).cast("int"), slot % 6).bitwiseAND(1)
     return classes.filter(flag == 1).join(ids, ["doc", "at"])
 
 
 def _linked(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """doc, at of lines that really link with an earlier one."""
     ids = pairs.select("doc", "at").unionByName(pairs.select(F.col("doc_y").alias("doc"), F.col("at_y").alias("at"))).distinct()
-    texts = cut(_members(ids, classes).select("doc", "at", words_of(F.col("line")).alias("words")), "candidate-lines")
+    texts = cut(_members(ids, classes).select("doc", "at", "words"), "candidate-lines")
     x = texts.select("doc", "at", F.col("words").alias("words_x"))
     y = texts.select(F.col("doc").alias("doc_y"), F.col("at").alias("at_y"), F.col("words").alias("words_y"))
     met = pairs.join(x, ["doc", "at"]).join(y, ["doc_y", "at_y"])
@@ -144,16 +146,13 @@ def _linked(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def kept_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, kept: for each document with any, the places of its kept lines among its distinct lines."""
     classes = cut(line_classes(docs, id_col, text_col), "lines", release=True)
-    table = rarity(classes)
-    rows = prefixes(classes, table, percent)
-    # against the earliest line of each prefix group
-    first = rows.groupBy("token").agg(*(F.min_by(c, "doc").alias(c) for c in ("at", "size", "place", "bits")), F.min("doc").alias("doc"), F.count("*").alias("n"))
-    first = cut(first.filter("n > 1").drop("n"), "first-lines", release=True)
-    easy = cut(_pairs(rows, first, percent), "easy-pairs", release=True)
+    rows = cut(prefixes(classes, rarity(classes), percent), "prefixes", release=True)
+    # a running number needs no more than the current row of a group, however large
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("token").orderBy("doc", "at")))
+    easy = cut(_pairs(ranked, ranked.filter(F.col("rank") <= EARLIEST), percent), "easy-pairs", release=True)
     removed = cut(_linked(easy, classes, percent), "removed")
-    # what is left, against all earlier lines
-    left = rows.join(removed, ["doc", "at"], "left_anti")
-    hard = cut(_pairs(left, rows, percent).join(easy, ["doc", "at", "doc_y", "at_y"], "left_anti"), "pairs", release=True)
+    later = cut(ranked.filter(F.col("rank") > EARLIEST).drop("rank"), "later", release=True)
+    hard = cut(_pairs(later.join(removed, ["doc", "at"], "left_anti"), later, percent), "hard-pairs", release=True)
     removed = removed.unionByName(_linked(hard, classes, percent)).distinct()
     left = classes.select("doc", "at").join(removed, ["doc", "at"], "left_anti")
     return left.groupBy("doc").agg(F.sort_array(F.collect_list("at")).alias("kept"))
