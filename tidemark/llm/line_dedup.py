@@ -110,14 +110,20 @@ def _possible(x: str, y: str, percent: int) -> Column:
     )
 
 
-def _earlier(x: str, y: str) -> Column:
-    """Line y stands before line x."""
-    return (F.col(f"{y}.doc") < F.col(f"{x}.doc")) | ((F.col(f"{y}.doc") == F.col(f"{x}.doc")) & (F.col(f"{y}.at") < F.col(f"{x}.at")))
+def _ranked(rows: DataFrame) -> DataFrame:
+    """Prefix rows of tokens that several lines share, with each line's number among these.
 
+    Running numbers need no more than the current row of a group, however large.
+    """
+    group = Window.partitionBy("token").orderBy("doc", "at")
+    upto = group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = rows.withColumns({"rank": F.count(F.lit(1)).over(upto), "next": F.lead("doc").over(group)})
+    return numbered.filter((F.col("rank") > 1) | F.col("next").isNotNull()).drop("next")
 
-def _pairs(probe: DataFrame, held: DataFrame, percent: int) -> DataFrame:
-    """doc, at of later lines with doc_y, at_y of earlier ones that they may link with."""
-    met = probe.alias("x").join(held.alias("y"), (F.col("x.token") == F.col("y.token")) & _earlier("x", "y") & _possible("x", "y", percent))
+
+def _pairs(probe: DataFrame, held: DataFrame, earliest: Column, percent: int) -> DataFrame:
+    """doc, at of later lines with doc_y, at_y of earlier ones (numbers below ``earliest``) that they may link with."""
+    met = probe.alias("x").join(held.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.rank") < earliest) & _possible("x", "y", percent))
     return met.select("x.doc", "x.at", F.col("y.doc").alias("doc_y"), F.col("y.at").alias("at_y")).distinct()
 
 
@@ -146,13 +152,12 @@ def _linked(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def kept_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, kept: for each document with any, the places of its kept lines among its distinct lines."""
     classes = cut(line_classes(docs, id_col, text_col), "lines", release=True)
-    rows = cut(prefixes(classes, rarity(classes), percent), "prefixes", release=True)
-    # a running number needs no more than the current row of a group, however large
-    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("token").orderBy("doc", "at")))
-    easy = cut(_pairs(ranked, ranked.filter(F.col("rank") <= EARLIEST), percent), "easy-pairs", release=True)
-    removed = cut(_linked(easy, classes, percent), "removed")
-    later = cut(ranked.filter(F.col("rank") > EARLIEST).drop("rank"), "later", release=True)
-    hard = cut(_pairs(later.join(removed, ["doc", "at"], "left_anti"), later, percent), "hard-pairs", release=True)
+    ranked = cut(_ranked(prefixes(classes, rarity(classes), percent)), "prefixes", release=True)
+    first = F.least(F.col("x.rank"), F.lit(EARLIEST + 1))
+    easy = cut(_pairs(ranked, ranked, first, percent), "easy-pairs", release=True)
+    removed = cut(_linked(easy, classes, percent), "removed", release=True)
+    later = ranked.filter(F.col("rank") > EARLIEST)
+    hard = cut(_pairs(later.join(removed, ["doc", "at"], "left_anti"), later, F.col("x.rank"), percent), "hard-pairs", release=True)
     removed = removed.unionByName(_linked(hard, classes, percent)).distinct()
     left = classes.select("doc", "at").join(removed, ["doc", "at"], "left_anti")
     return left.groupBy("doc").agg(F.sort_array(F.collect_list("at")).alias("kept"))
