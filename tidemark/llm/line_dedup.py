@@ -138,15 +138,34 @@ def _members(ids: DataFrame, classes: DataFrame) -> DataFrame:
     return classes.filter(flag == 1).join(ids, ["doc", "at"])
 
 
+def _slots(words: Column) -> Column:
+    """Distinct 16-bit hashes of the words: sets differ in at most as many of these as in words."""
+    return F.array_distinct(F.transform(words, lambda w: (F.xxhash64(w).bitwiseAND(65535) - 32768).cast("smallint")))
+
+
+def _both(pairs: DataFrame, texts: DataFrame, column: str) -> DataFrame:
+    """The pairs with ``column`` of both lines, as x and y."""
+    x = texts.select("doc", "at", F.col(column).alias("x"))
+    y = texts.select(F.col("doc").alias("doc_y"), F.col("at").alias("at_y"), F.col(column).alias("y"))
+    return pairs.join(x, ["doc", "at"]).join(y, ["doc_y", "at_y"])
+
+
+def _of_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The lines that stand in some pair."""
+    ids = pairs.select("doc", "at").unionByName(pairs.select(F.col("doc_y").alias("doc"), F.col("at_y").alias("at"))).distinct()
+    return _members(ids, classes)
+
+
 def _linked(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """doc, at of lines that really link with an earlier one."""
-    ids = pairs.select("doc", "at").unionByName(pairs.select(F.col("doc_y").alias("doc"), F.col("at_y").alias("at"))).distinct()
-    texts = cut(_members(ids, classes).select("doc", "at", "words"), "candidate-lines")
-    x = texts.select("doc", "at", F.col("words").alias("words_x"))
-    y = texts.select(F.col("doc").alias("doc_y"), F.col("at").alias("at_y"), F.col("words").alias("words_y"))
-    met = pairs.join(x, ["doc", "at"]).join(y, ["doc_y", "at_y"])
-    both = F.size(F.array_intersect("words_x", "words_y"))
-    return met.filter(100 * both >= percent * (F.size("words_x") + F.size("words_y") - both)).select("doc", "at").distinct()
+    held = F.struct(_slots(F.col("words")).alias("slots"), F.size("words").alias("n"))
+    small = cut(_of_pairs(pairs, classes).select("doc", "at", held.alias("held")), "candidate-lines", release=True)
+    differ = F.size(F.array_except("x.slots", "y.slots")) + F.size(F.array_except("y.slots", "x.slots"))
+    may = (100 + percent) * differ <= (100 - percent) * (F.col("x.n") + F.col("y.n"))
+    close = cut(_both(pairs, small, "held").filter(may).select(*pairs.columns), "close-pairs", release=True)
+    both = F.size(F.array_intersect("x", "y"))
+    verified = _both(close, _of_pairs(close, classes), "words").filter(100 * both >= percent * (F.size("x") + F.size("y") - both))
+    return verified.select("doc", "at").distinct()
 
 
 def kept_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
