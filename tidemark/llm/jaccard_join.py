@@ -273,6 +273,7 @@ def join_regions(members: DataFrame, t: Threshold, region_docs: int = REGION_DOC
         first = over.groupBy("region").agg(F.min(F.struct(F.xxhash64("doc_id", F.lit(depth)).alias("h"), "doc_id"))["doc_id"].alias("first"))
         is_pivot = (chance < F.least(4 * parts, F.lit(64)) / F.col("docs")) | (F.col("doc_id") == F.col("first"))
         pivots = over.join(first, "region").filter(is_pivot).select("region", "doc_id", "shingles", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+        pivots = cut(pivots, "pivots")  # its own columns, as both sides of the cogroup come from one table
         dealt = over.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), parts))
         cells = dealt.groupBy("region", "part").cogroup(pivots.groupBy("region", "part")).applyInPandas(_cells(t), MEMBERS + ", pivot long, near boolean")
         cells = cut(cells, "cells")
