@@ -171,8 +171,10 @@ def _linked(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def kept_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, kept: for each document with any, the places of its kept lines among its distinct lines."""
     classes = cut(line_classes(docs, id_col, text_col), "lines", release=True)
+    ranked = cut(_ranked(prefixes(classes, rarity(classes), percent)), "prefixes", release=True)
     # nothing is null here; saying so keeps both sides of the join alike, so one shuffle serves them
-    ranked = cut(_ranked(prefixes(classes, rarity(classes), percent)), "prefixes", release=True).dropna()
+    for c in ranked.columns:
+        ranked = ranked.filter(F.col(c).isNotNull())
     first = F.least(F.col("x.rank"), F.lit(EARLIEST + 1))
     easy = cut(_pairs(ranked, ranked, first, percent), "easy-pairs", release=True)
     removed = cut(_linked(easy, classes, percent), "removed", release=True)
