@@ -218,8 +218,8 @@ def score(
     id_col: str = "doc_id",
     text_col: str = "text",
     depth: int = 6,
-    p_min: float = 5e-6,
-    divergence: float = 1e-8,
+    p_min: float = 1e-5,
+    divergence: float = 2e-8,
     smooth: float = 4.0,
     p_word: float = 1e-5,
 ) -> DataFrame:
@@ -227,14 +227,15 @@ def score(
     spark = docs.sparkSession
     learned = docs.filter(training)
     counted = cut(window_counts(learned, text_col, depth), "windows")
-    grams = context_counts(counted, depth, p_min).toPandas()
-    tree = learn(grams["size"].to_numpy(), grams["gram"].to_numpy(), grams["n"].to_numpy(), depth, divergence, smooth)
+    grams = context_counts(counted, depth, p_min).toArrow()
+    tree = learn(*(grams.column(c).to_numpy() for c in ("size", "gram", "n")), depth, divergence, smooth)
+    del grams
     known = cut(word_counts(learned, text_col), "words")
     n_texts = learned.count()  # each has one end
     row = known.agg(F.sum("n"), F.count("*")).first()
     n_all, n_distinct = (row[0] or 0) + n_texts, row[1] + (n_texts > 0)
-    frequent = known.filter((F.col("n") >= p_word * n_all) & (F.octet_length("word") <= 64)).collect()
-    table = {r.word: r.n for r in frequent}
+    frequent = known.filter((F.col("n") >= p_word * n_all) & (F.octet_length("word") <= 64)).toArrow()
+    table = dict(zip(frequent.column("word").to_pylist(), frequent.column("n").to_pylist(), strict=True))
     shared = spark.sparkContext.broadcast((tree, table))
     room = n_all + 0.5 * (n_distinct + 1)
 
