@@ -4,8 +4,8 @@ Jaccard distance is a metric. Documents of unrelated text are all at distance 1
 from each other and from any pivot, so pivots alone tell nothing apart at the
 top. The first regions therefore come from projections, where the bound is the
 triangle inequality on symmetric differences: two sets within the threshold
-differ in at most (1-t)/(1+t) of their summed sizes, so of one block of shingles
-more than that, at least one is the same in both. Sets that agree in a block
+differ in at most (1-t)/(1+t) of their summed sizes, so of more blocks of
+shingles than that, at least one is the same in both. Sets that agree in a block
 are joined to a region (a connected component of these agreements); every link
 lies inside one region.
 
@@ -97,18 +97,24 @@ def shingles(texts: pa.Array, length: int) -> list[np.ndarray]:
 
 
 def block_keys(values: np.ndarray, t: Threshold, bands: np.ndarray) -> np.ndarray:
-    """A key for each block of the set, in its own size band and the next."""
-    n = len(values)
-    band = int(np.searchsorted(bands, n, side="right")) - 1
+    """Keys of the set's blocks, in its own size band and the next.
+
+    Differences spoil at most ``most`` blocks, so a set with more filled blocks
+    than that agrees with each partner in a filled one; only sets with fewer
+    also give keys to their empty blocks.
+    """
+    band = int(np.searchsorted(bands, len(values), side="right")) - 1
     with np.errstate(over="ignore"):
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(values ^ np.uint64(0x5851F42D4C957F2D)))])
         keys = []
         for b in (band, band + 1):
-            blocks = t.differing(2 * int(bands[b + 1] - 1)) + 1
+            most = t.differing(2 * int(bands[b + 1] - 1))
+            blocks = most + 2 + (most + 6) // 7
             edges = np.searchsorted(values >> np.uint64(32), (np.arange(blocks + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(blocks))
-            own = sums[edges[1:]] - sums[edges[:-1]]
+            filled = edges[1:] > edges[:-1]
             place = mix64(np.arange(blocks, dtype=np.uint64) + np.uint64((b + 1) << 40))
-            keys.append(mix64(own + place))
+            own = mix64(sums[edges[1:]] - sums[edges[:-1]] + place)
+            keys.append(own[filled] if filled.sum() > most else own)
     return np.concatenate(keys).view(np.int64)
 
 
