@@ -282,8 +282,8 @@ def test_automaton_equals_longest_suffixes():
     assert np.allclose(whole, alone) and whole[3] > -400
 
 
-def test_language_id(spark, odd, none, sf_small):
-    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+def test_language_id(spark, odd, none):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = by_id(language_id.identify(docs, crc_fold() != 0))
     held = [r for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
     assert sum(got[r.doc_id]["lang_pred"] == r.lang for r in held) >= 0.95 * len(held)

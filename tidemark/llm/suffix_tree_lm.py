@@ -251,7 +251,7 @@ def score(
                 row = spans_to_rows(counts)
                 is_often = c[codes] > 0 if len(codes) else np.zeros(0, bool)
                 base = np.bincount(row[is_often], weights=np.log10((c[codes[is_often]] + 0.5) / room), minlength=n)
-                base += np.log10((n_texts + 0.5) / room)
+                base = base + np.log10((n_texts + 0.5) / room)
                 n_often = np.bincount(row[is_often], minlength=n)
                 number = task + rows + np.arange(n)
                 rows += n
