@@ -157,6 +157,8 @@ def learn(size: np.ndarray, gram: np.ndarray, n: np.ndarray, depth: int, diverge
     tables = {(0, 0): root / root.sum()}  # kept contexts: (length, bytes as a number) -> distribution
     for length in range(1, depth + 1):
         mine = size == length
+        if not mine.any():
+            continue
         order = np.argsort(gram[mine], kind="stable")
         g, c = gram[mine][order], n[mine][order].astype(float)
         contexts, first = np.unique(g >> 8, return_index=True)
