@@ -326,3 +326,14 @@ def test_merge_prefer_latest_keeps_greatest_order_value(spark):
     new = spark.createDataFrame([(1, 7, "n"), (2, 3, "n"), (3, 1, "n"), (4, 1, "n")], "k long, t long, v string")
     got = sorted((r["k"], r["v"]) for r in merge_dedup(new, stored, ["k"], prefer="latest", order_by=["t"]).collect())
     assert got == [(1, "n"), (2, "s"), (3, "n"), (4, "n")]
+
+
+def test_path_key_is_anchored_and_no_rows_mean_no_rejects(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.casts import cast_rejects
+    from tidemark.functions.paths import path_value
+
+    df = spark.createDataFrame([("a/update=1/date=2/f",), ("date=3/f",), ("a/update=4/f",)], "p string")
+    assert [r[0] for r in df.select(path_value(F.col("p"), "date")).collect()] == ["2", "3", None]
+    assert [r["rejected"] for r in cast_rejects(df.limit(0), [("p", "bigint")]).collect()] == [0]

@@ -201,7 +201,7 @@ def cast_rejects(
         src = resolved[name]
         c = F.col(f"`{src}`")
         bad = c.isNotNull() & cast_to(c, target, types[src], unit).isNull()
-        sums.append(F.sum(F.when(bad, 1).otherwise(0)).alias(name))
+        sums.append(F.coalesce(F.sum(F.when(bad, 1).otherwise(0)), F.lit(0)).alias(name))
     counts = df.agg(*sums)
     pairs = ", ".join(
         f"'{name}', '{_as_type(t).simpleString()}', `{name}`" for name, t in spec

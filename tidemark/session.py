@@ -45,7 +45,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged data.
 
     Order: the context's checkpoint dir, then ``spark.checkpoint.dir``; only
-    when both are unset (local tests) a temporary folder is created and set.
+    when both are unset a local session gets a temporary folder; elsewhere this
+    raises, as executors would not see each other's files.
     """
     root = _context_checkpoint_dir(spark)
     if root:
@@ -56,6 +57,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = None
     if root:
         return root.rstrip("/")
+    master = spark.conf.get("spark.master", "local")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     try:
         spark.sparkContext.setCheckpointDir(root)
