@@ -21,6 +21,9 @@ INTEGRAL_TEXT = r"^([+-]?[0-9]+)([.][0-9]*)?$"
 # Epoch at 00:00 without a zone, the origin for numeric -> timestamp_ntz.
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
+# Fixed value: a time of day followed by a UTC offset or Z.
+OFFSET_END = r"[0-9]:[0-9]{2}.*?(Z|[+-][0-9]{1,2}(:?[0-9]{2})?)$"
+
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -36,6 +39,15 @@ def _as_type(t: T.DataType | str) -> T.DataType:
 FLOAT_START = r"(?i)^[+-]?([0-9.]|nan|inf)"
 
 
+# Fixed value: the characters Spark's own casts strip from both ends of a text.
+PADDING = "".join(map(chr, [*range(0x21), 0x7F]))
+
+
+def _strip(col: Column) -> Column:
+    """Without white space and control characters at the ends, as a cast reads it."""
+    return F.trim(col, F.lit(PADDING))
+
+
 def _integral(col: Column, target: str) -> Column:
     """Integer part of numeric text; junk and overflow -> NULL.
 
@@ -43,7 +55,7 @@ def _integral(col: Column, target: str) -> Column:
     integral ``try_cast`` costs an exception per row, which on junk-heavy
     columns is most of the projection's time.
     """
-    digits = F.regexp_extract(F.trim(col), INTEGRAL_TEXT, 1)
+    digits = F.regexp_extract(_strip(col), INTEGRAL_TEXT, 1)
     return F.when(digits != F.lit(""), digits.try_cast(target))
 
 
@@ -62,7 +74,7 @@ def to_int(col: Column, source: T.DataType | None = None) -> Column:
 
 def to_double(col: Column, source: T.DataType | None = None) -> Column:
     if isinstance(source, T.StringType):
-        text = F.trim(col)
+        text = _strip(col)
         return F.when(text.rlike(FLOAT_START), text.try_cast("double"))
     return col.try_cast("double")
 
@@ -90,29 +102,35 @@ def ntz_as_utc_instant(col: Column) -> Column:
 
 
 def to_timestamp_ntz(col: Column, source: T.DataType | None = None, unit: str = "s") -> Column:
+    """Wall-clock timestamp; a text with an offset gives its UTC wall clock."""
     if source is not None and isinstance(source, _NUMERIC):
         return epoch_to_timestamp_ntz(col, unit)
     if isinstance(source, T.StringType):
-        return F.trim(col).try_cast("timestamp_ntz")
+        text = _strip(col)
+        instant = F.unix_micros(text.try_cast("timestamp"))
+        shifted = F.timestamp_add("MICROSECOND", instant, F.expr(_EPOCH_NTZ))
+        return F.when(text.rlike(OFFSET_END), shifted).otherwise(text.try_cast("timestamp_ntz"))
     return col.try_cast("timestamp_ntz")
 
 
 def to_timestamp(col: Column, source: T.DataType | None = None, unit: str = "s") -> Column:
     """Zoned timestamp; numbers are epoch seconds (or ``unit``)."""
     if source is not None and isinstance(source, _NUMERIC):
-        if unit == "s":
-            return F.timestamp_seconds(col)
-        fn = {"ms": F.timestamp_millis, "us": F.timestamp_micros}[unit]
-        return fn(col.try_cast("bigint"))
+        scale = {"s": 1_000_000, "ms": 1_000, "us": 1}[unit]
+        # whole numbers stay exact; what does not fit in microseconds becomes NULL
+        inexact = isinstance(source, (T.FloatType, T.DoubleType))
+        micros = col.try_cast("double") * F.lit(scale) if inexact else F.try_multiply(
+            col.try_cast("decimal(38,6)"), F.lit(scale))
+        return F.timestamp_micros(micros.try_cast("bigint"))
     if isinstance(source, T.StringType):
-        return F.trim(col).try_cast("timestamp")
+        return _strip(col).try_cast("timestamp")
     return col.try_cast("timestamp")
 
 
 def to_date(col: Column, source: T.DataType | None = None) -> Column:
     """Calendar date; '' and junk -> NULL."""
     if isinstance(source, T.StringType):
-        return F.nullif(F.trim(col), F.lit("")).try_cast("date")
+        return F.nullif(_strip(col), F.lit("")).try_cast("date")
     return col.try_cast("date")
 
 
@@ -202,10 +220,12 @@ def cast_rejects(
         c = F.col(f"`{src}`")
         bad = c.isNotNull() & cast_to(c, target, types[src], unit).isNull()
         sums.append(F.coalesce(F.sum(F.when(bad, 1).otherwise(0)), F.lit(0)).alias(name))
-    counts = df.agg(*sums)
-    pairs = ", ".join(
-        f"'{name}', '{_as_type(t).simpleString()}', `{name}`" for name, t in spec
-    )
-    return counts.selectExpr(
-        f"stack({len(spec)}, {pairs}) as (column_name, target_type, rejected)"
-    ).withColumn("rejected", F.col("rejected").cast("bigint"))
+    pairs = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.lit(_as_type(t).simpleString()).alias("target_type"),
+            F.col(f"`{name}`").cast("bigint").alias("rejected"),
+        )
+        for name, t in spec
+    ]
+    return df.agg(*sums).select(F.inline(F.array(*pairs)))
