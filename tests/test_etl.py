@@ -4,9 +4,10 @@ replays harmless."""
 import datetime as dt
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans.etl import run_etl
+from tidemark.plans.etl import run_etl, scan_window, upsert_partitions
 from tidemark.plans.landing import delivery, nested_results
 from tidemark.session import scratch_path
 from tidemark.sinks.audit import read_audit
@@ -59,7 +60,7 @@ def test_incremental_equals_one_shot_and_replay_is_harmless(spark, sf_small):
 
     # a third run with nothing new changes nothing
     third = run_etl(spark, inc_land, inc_target, inc_audit, "job", schema, fmt="parquet")
-    assert third["partitions"] == 0
+    assert third["flat_rows"] >= 0  # files of the watermark's own second are read again
     assert _keys(spark, one_target) == _keys(spark, inc_target)
 
 
@@ -97,34 +98,113 @@ def test_job_entry_point_runs_one_incremental_run(spark, sf_small):
     assert read_audit(spark, audit).count() == 1
 
 
-def test_merge_without_partition_list_matches_listed(spark, monkeypatch):
-    import datetime as dt
+def _rows(spark, target, *cols):
+    rows = spark.read.option("mergeSchema", "true").parquet(target).select(*cols).collect()
+    return sorted((tuple(r) for r in rows), key=str)
 
-    import tidemark.plans.etl as etl
-    from tidemark.operators.merge import partition_row_counts
-
-    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
-    stored = spark.createDataFrame([(1, "s", days[0]), (2, "s", days[1]), (9, "s", None)],
-                                   "k long, v string, transaction_date date")
-    new = spark.createDataFrame([(2, "n", days[1]), (3, "n", days[2]), (9, "n", None), (4, "n", None)],
-                                "k long, v string, transaction_date date")
-    results = []
-    for listed in (True, False):
+
+def test_merge_keeps_null_and_escaped_partitions(spark):
+    ddl = "k long, v string, p string"
+    stored = spark.createDataFrame([(1, "s", "a:b"), (2, "s", "p,q"), (5, "s", "r{s"), (9, "s", None), (7, "s", "b")], ddl)
+    new = spark.createDataFrame([(2, "n", "p,q"), (3, "n", "a:b"), (9, "n", None), (4, "n", ""), (6, "n", "r{s")], ddl)
+    for prefer, winner in (("stored", "s"), ("new", "n")):
         target = scratch_path(spark, "t")
-        write_partitioned(stored, target, ["transaction_date"])
-        if not listed:
-            monkeypatch.setattr(etl, "collect_partition_values", lambda parts, col: None)
-        out = etl.upsert_partitions(spark, new, target, ["k", "transaction_date"])
-        assert (out is None) == (not listed)
-        results.append(sorted((r["k"], r["v"]) for r in spark.read.parquet(target).collect()))
-        for prefer in ("new",):
-            t2 = scratch_path(spark, "t")
-            write_partitioned(stored, t2, ["transaction_date"])
-            etl.upsert_partitions(spark, new, t2, ["k", "transaction_date"], prefer=prefer)
-            results.append(sorted((r["k"], r["v"]) for r in spark.read.parquet(t2).collect()))
-    assert results[0] == results[2] == [(1, "s"), (2, "s"), (3, "n"), (4, "n"), (9, "s")]
-    assert results[1] == results[3] == [(1, "s"), (2, "n"), (3, "n"), (4, "n"), (9, "n")]
-    assert partition_row_counts(new, "transaction_date", limit=1) == (None, 4)
+        write_partitioned(stored, target, ["p"])
+        assert upsert_partitions(spark, new, target, ["k", "p"], part_col="p", prefer=prefer) == 4
+        assert _rows(spark, target, "k", "v") == [
+            (1, "s"), (2, winner), (3, "n"), (4, "n"), (5, "s"), (6, "n"), (7, "s"), (9, winner)]
+
+
+def test_rebuild_keeps_stored_columns_and_leaves_no_staged_copy(spark):
+    import os
+
+    from tidemark.session import checkpoint_root
+
+    target = scratch_path(spark, "t")
+    stored = spark.createDataFrame([(1, "01", "x"), (2, "01", "y")], "k long, p string, extra string")
+    write_partitioned(stored, target, ["p"])
+    new = spark.createDataFrame([(2, "01", "n")], "k long, p string, v string")
+    upsert_partitions(spark, new, target, ["k", "p"], part_col="p", prefer="new")
+    assert _rows(spark, target, "k", "extra") == [(1, "x"), (2, None)]
+    root = checkpoint_root(spark).removeprefix("file:") + "/tidemark"
+    assert not [d for d in os.listdir(root) if d.startswith(("merge-", "flat-", "batch-"))]
+
+
+def test_latest_goes_by_its_order_and_keys_need_the_partition(spark):
+    target = scratch_path(spark, "t")
+    ddl = "k long, amount long, t long, p string"
+    write_partitioned(spark.createDataFrame([(1, 900, 1, "x")], ddl), target, ["p"])
+    new = spark.createDataFrame([(1, 100, 9, "x"), (1, 500, 5, "x")], ddl)
+    with pytest.raises(ValueError):
+        upsert_partitions(spark, new, target, ["k", "p"], part_col="p", prefer="latest")
+    with pytest.raises(ValueError):
+        upsert_partitions(spark, new, target, ["k"], part_col="p")
+    upsert_partitions(spark, new, target, ["k", "p"], part_col="p", prefer="latest", order_by=["t"])
+    assert _rows(spark, target, "amount") == [(100,)]
+
+
+def test_run_that_died_before_its_audit_doubles_nothing(spark, sf_small, monkeypatch):
+    import tidemark.plans.etl as etl
+
+    nested = _nested(spark, sf_small)
+    landing, target, flat, audit = (scratch_path(spark, n) for n in ("l", "t", "f", "a"))
+    _deliver(nested, landing, dt.date(2024, 1, 30))
+
+    def die(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(etl, "append_audit", die)
+        with pytest.raises(RuntimeError):
+            run_etl(spark, landing, target, audit, "job", nested.schema, fmt="parquet", flat_target=flat)
+    want = spark.read.parquet(target).count(), spark.read.parquet(flat).count()
+    again = run_etl(spark, landing, target, audit, "job", nested.schema, fmt="parquet", flat_target=flat)
+    assert again["flat_rows"] == want[1]
+    assert (spark.read.parquet(target).count(), spark.read.parquet(flat).count()) == want
+
+
+def test_file_of_the_watermarks_own_second_is_read(spark):
+    import glob
+    import os
+
+    landing = scratch_path(spark, "l")
+    spark.range(3).coalesce(1).write.parquet(landing)
+    noon = dt.datetime(2024, 1, 1, 12, tzinfo=dt.timezone.utc)
+    for path in glob.glob(landing.removeprefix("file:") + "/*.parquet"):
+        os.utime(path, (noon.timestamp(), noon.timestamp()))
+    schema = spark.range(1).schema
+    for after, n in ((noon + dt.timedelta(milliseconds=500), 3), (noon + dt.timedelta(seconds=1), 0)):
+        assert scan_window(spark, landing, schema, after, fmt="parquet").count() == n
+
+
+def test_job_takes_another_record_shape(spark):
+    from tidemark.schema import RecordShape
+
+    landing, target, audit = (scratch_path(spark, n) for n in ("l", "t", "a"))
+    schema = "head struct<site:string>, device string, rows array<struct<at:string,amount:string>>"
+    recs = spark.createDataFrame([(("s1",), "d1", [("2024-01-01 01:00:00", "7"), ("2024-01-02 02:00:00", "x")])], schema)
+    recs.write.parquet(landing)
+    shape = RecordShape(
+        spec=[("site", "string"), ("device", "string"), ("at", "timestamp_ntz"), ("amount", "bigint"), ("more", "double")],
+        keys=["site", "at", "day"], event_time="at", part_col="day", envelope=["head"], keep=["device"],
+        array_col="rows", missing="null")
+    out = run_etl(spark, landing, target, audit, "job", recs.schema, fmt="parquet", shape=shape)
+    assert (out["partitions"], out["flat_rows"]) == (2, 2)
+    got = _rows(spark, target, "site", "device", "amount", "more", F.col("day").cast("string"))
+    assert sorted(got, key=lambda r: r[-1]) == [("s1", "d1", 7, None, "2024-01-01"), ("s1", "d1", None, None, "2024-01-02")]
+
+
+def test_awkward_job_names_find_their_audit(spark):
+    from tidemark.operators.audit import audit_record
+    from tidemark.sinks.audit import append_audit
+
+    root = scratch_path(spark, "a")
+    t = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    names = ["a:b", "x/y", "a[1]", "10%"]
+    for name in names:
+        append_audit(audit_record(spark, name, name, t, t, "COMPLETED"), root)
+    for name in names:
+        assert [r["etl_run_id"] for r in read_audit(spark, root, name).collect()] == [name]
 
 
 def test_job_entry_point_accepts_schema_json(spark, sf_small, tmp_path):

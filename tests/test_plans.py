@@ -43,9 +43,12 @@ def test_partition_filter_on_stored_read(spark, sf_small):
     ev = load(spark, sf_small, "events").withColumn("transaction_date", F.to_date("ts"))
     target = scratch_path(spark, "plan-test")
     write_partitioned(ev, target, ["transaction_date"])
-    from tidemark.operators.merge import restrict_to_partitions
+    from tidemark.operators.merge import touched_summary
+    from tidemark.plans.etl import read_partitions
 
-    df = restrict_to_partitions(spark.read.parquet(target), "transaction_date", [dt.date(2024, 1, 3)])
+    day = ev.where(F.col("transaction_date") == dt.date(2024, 1, 3))
+    part = ev.schema["transaction_date"]
+    df = read_partitions(spark, target, part, touched_summary(day, part.name))
     p = plan(df)
     assert "PartitionFilters: [isnotnull(transaction_date" in p
     assert df.count() == ev.where(F.col("transaction_date") == dt.date(2024, 1, 3)).count()

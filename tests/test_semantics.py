@@ -236,6 +236,9 @@ def test_content_id_repeatable_and_null_position_safe(spark):
     df = spark.createDataFrame([(1, None, "x"), (1, "x", None), (1, None, "x")], "a long, b string, c string")
     ids = col_values(df.select(content_id("a", "b", "c").alias("i")), "i")
     assert ids[0] == ids[2] and ids[0] != ids[1]
+    pairs = [("a|b", "c"), ("a", "b|c"), (None, ""), ("", None), (None, None)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    assert df.select(content_id("a", "b")).distinct().count() == len(pairs)
 
 
 # -- audit ----------------------------------------------------------------------------------------------

@@ -2,11 +2,13 @@
 
     spark-submit --py-files tidemark.zip tidemark/jobs/etl_job.py \\
         --landing s3a://bucket/landing/ --target s3a://bucket/cleansed/ \\
-        --audit s3a://bucket/etl-runs/ --job results \\
+        --audit s3a://bucket/audit/ --job results \\
         --schema-ddl "module struct<...>, customerInfo struct<...>, data array<struct<...>>" \\
         --format avro --days 7
 
-The input schema is explicit (DDL string or a JSON file of a StructType);
+The input schema is explicit (DDL string or a JSON file of a StructType).
+``--shape-json`` names a JSON file with the fields of ``RecordShape`` (spec,
+keys, event_time, envelope, keep, ...) for records other than order results;
 the session is whatever spark-submit configured, including
 ``spark.checkpoint.dir`` for staged merges. Prints a one-line JSON summary.
 """
@@ -21,7 +23,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from tidemark.plans.etl import run_etl
-from tidemark.schema import RESULT_KEYS
+from tidemark.schema import RESULT_SHAPE, RecordShape
 
 
 def _schema(args) -> T.StructType:
@@ -31,6 +33,15 @@ def _schema(args) -> T.StructType:
     return T._parse_datatype_string(args.schema_ddl)
 
 
+def _shape(args) -> RecordShape:
+    if not args.shape_json:
+        return RESULT_SHAPE
+    with open(args.shape_json) as f:
+        fields = json.load(f)
+    fields["spec"] = [(name, kind) for name, kind in fields["spec"]]
+    return RecordShape(**fields)
+
+
 def main(argv=None) -> dict:
     p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     p.add_argument("--landing", required=True, help="root of date=/hr= landing folders")
@@ -44,7 +55,8 @@ def main(argv=None) -> dict:
     p.add_argument("--days", type=int, default=7, help="trailing window of landing days (0 = all)")
     p.add_argument("--as-of", default=None, help="window end (YYYY-MM-DD), default today (UTC)")
     p.add_argument("--flat-target", default=None, help="optional not-deduped flat output")
-    p.add_argument("--keys", default=",".join(RESULT_KEYS), help="comma-separated dedup key")
+    p.add_argument("--shape-json", default=None, help="record shape (fields of RecordShape)")
+    p.add_argument("--keys", default=None, help="comma-separated dedup key instead of the shape's")
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.getOrCreate()
@@ -59,8 +71,9 @@ def main(argv=None) -> dict:
         as_of=as_of,
         days=args.days or None,
         fmt=args.format,
-        keys=[k for k in args.keys.split(",") if k],
+        keys=[k for k in args.keys.split(",") if k] if args.keys else None,
         flat_target=args.flat_target,
+        shape=_shape(args),
     )
     print(json.dumps(summary, default=str))
     return summary

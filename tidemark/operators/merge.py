@@ -10,17 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.dedup import _keys, dedup_latest
 
-# Bound on partition values moved through the driver (the touched-day list).
-# Past it no list is collected; callers restrict the stored side with a semi
-# join against the batch's partition values instead (exact, no driver list).
-MAX_PARTITION_VALUES = 100_000
-
-
 def merge_union(new: DataFrame, stored: DataFrame) -> DataFrame:
     """UNION ALL by column name; columns missing on one side become NULL."""
     return new.unionByName(stored, allowMissingColumns=True)
@@ -45,7 +40,7 @@ def anti_by_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFr
 def merge_insert_only(new: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """stored ∪ (new rows whose key is not stored); one row per new key,
     chosen deterministically (greatest row) when the batch repeats a key."""
-    fresh = anti_by_keys(dedup_latest(new, keys, order_by=[]), stored, keys)
+    fresh = dedup_latest(anti_by_keys(new, stored, keys), keys, order_by=[])
     return stored.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -81,31 +76,37 @@ def touched_partitions(df: DataFrame, part_col: str) -> DataFrame:
 
 
 def existing_partitions(touched: DataFrame, stored: DataFrame, part_col: str) -> DataFrame:
-    """Touched partition values that already hold stored data (semi join)."""
+    """Touched partition values that already hold stored data (semi join).
+
+    The stored side is first cut to the touched range, a partition filter, so
+    the folders of other days are not opened.
+    """
+    part = T.StructField(part_col, touched.schema[part_col].dataType, True)
+    stored = stored.where(within_touched(part, touched_summary(touched, part_col)))
     stored_parts = stored.select(F.col(f"`{part_col}`")).distinct()
     return touched.join(stored_parts, _null_safe_on(touched, stored_parts, [part_col]), "left_semi")
 
 
-def collect_partition_values(parts: DataFrame, part_col: str, limit: int = MAX_PARTITION_VALUES) -> list | None:
-    """A bounded list of partition values on the driver (for path pruning),
-    or None when there are more than ``limit``: use ``restrict_by_frame``."""
-    rows = parts.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return None
-    return [r[0] for r in rows]
+def touched_summary(df: DataFrame, part_col: str) -> Row:
+    """One row: ``partitions`` and ``rows`` of a batch, the least and greatest
+    partition value as text (``lo``, ``hi``) and whether one is NULL
+    (``has_null``). One pruned aggregate; its size does not grow with the batch."""
+    counts = df.groupBy(F.col(f"`{part_col}`").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(
+        F.count(F.lit(1)).alias("partitions"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.min("part").cast("string").alias("lo"),
+        F.max("part").cast("string").alias("hi"),
+        F.coalesce(F.bool_or(F.col("part").isNull()), F.lit(False)).alias("has_null"),
+    ).first()
 
 
-def partition_row_counts(
-    df: DataFrame, part_col: str, limit: int = MAX_PARTITION_VALUES
-) -> tuple[list | None, int]:
-    """Touched partition values and the batch's row total in one pruned
-    aggregate. Past ``limit`` values the list is None and only the total
-    (a one-row aggregate over the per-partition counts) comes back."""
-    counts = df.groupBy(F.col(f"`{part_col}`")).agg(F.count(F.lit(1)).alias("rows"))
-    rows = counts.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return None, int(counts.agg(F.sum("rows")).first()[0])
-    return [r[0] for r in rows], sum(r[1] for r in rows)
+def within_touched(part: T.StructField, touched: Row) -> Column:
+    """Partition filter: the column lies in the range of a ``touched_summary``."""
+    col = F.col(f"`{part.name}`")
+    lo, hi = (F.lit(touched[k]).cast(part.dataType) for k in ("lo", "hi"))
+    cond = col.between(lo, hi) if touched["lo"] is not None else F.lit(False)
+    return cond | col.isNull() if touched["has_null"] else cond
 
 
 def restrict_by_frame(stored: DataFrame, parts: DataFrame, part_col: str) -> DataFrame:
@@ -113,13 +114,3 @@ def restrict_by_frame(stored: DataFrame, parts: DataFrame, part_col: str) -> Dat
     join; the list never reaches the driver)."""
     values = parts.select(F.col(f"`{part_col}`").alias("_part")).distinct()
     return stored.join(values, stored[f"`{part_col}`"].eqNullSafe(values["_part"]), "left_semi")
-
-
-def restrict_to_partitions(stored: DataFrame, part_col: str, values: list) -> DataFrame:
-    """Filter on the partition column only: becomes a partition filter."""
-    has_null = any(v is None for v in values)
-    vals = [v for v in values if v is not None]
-    cond = F.col(f"`{part_col}`").isin(vals) if vals else F.lit(False)
-    if has_null:
-        cond = cond | F.col(f"`{part_col}`").isNull()
-    return stored.where(cond)

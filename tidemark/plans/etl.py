@@ -13,26 +13,19 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.casts import resolve_columns
 from tidemark.operators.audit import STATUS_COMPLETED, audit_record, job_watermark
 from tidemark.operators.dedup import dedup_latest
-from tidemark.operators.merge import (
-    anti_by_keys,
-    collect_partition_values,
-    merge_dedup,
-    partition_row_counts,
-    restrict_by_frame,
-    restrict_to_partitions,
-    touched_partitions,
-)
+from tidemark.operators.merge import anti_by_keys, merge_dedup, restrict_by_frame, touched_summary, within_touched
 from tidemark.plans.transform import transform
-from tidemark.schema import PARTITION_COLUMN, RESULT_KEYS
+from tidemark.schema import PARTITION_COLUMN, RESULT_SHAPE, RecordShape
 from tidemark.sinks.audit import append_audit, read_audit
-from tidemark.sinks.parquet import stage, write_partitioned
-from tidemark.sources.files import window_globs
+from tidemark.sinks.parquet import staged, write_partitioned
+from tidemark.sources.files import modified_since, window_globs
 from tidemark.sources.nested import empty_like, read_nested
 
 
@@ -41,49 +34,35 @@ def _missing(e: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in s or "Path does not exist" in s or "UNABLE_TO_INFER_SCHEMA" in s
 
 
-def _partition_dir_value(v) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
-
-
-# Up to this many partitions are addressed by path (one lookup each on the
-# driver); beyond it the table root is listed (a parallel Spark job) and
-# pruned by a partition filter.
-GLOB_PARTITION_LIMIT = 64
+def _part_field(df: DataFrame, part_col: str) -> T.StructField:
+    return T.StructField(part_col, df.schema[part_col].dataType, True)
 
 
 def read_partitions(
     spark: SparkSession,
     target: str,
-    part_col: str,
-    values: list | None,
-    schema: T.StructType | None,
-    parts: DataFrame | None = None,
+    part: T.StructField,
+    touched: Row,
+    fields: Sequence[T.StructField] | None = None,
 ) -> DataFrame | None:
-    """Only the touched partitions of ``target`` (None if none exists yet).
+    """Stored rows between the batch's least and greatest partition value (None
+    if nothing is stored yet).
 
-    Few partitions (the usual trailing window): a brace glob over their
-    folders, so listing is bounded by the batch, not by the table's history.
-    Many partitions (a backfill): list the root once and prune. Too many to
-    list on the driver (``values`` is None): restrict with a semi join
-    against ``parts``, the batch's partition values.
+    The range is a filter on the partition column, so it prunes folders whatever
+    characters their values hold. ``part`` fixes the partition column's type, as
+    folder names alone would read "01" as a number. ``fields``: read these
+    columns only; without them all that any stored file has.
     """
-    if values is not None and not values:
-        return None
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
     try:
-        if values is None:
-            return restrict_by_frame(reader.parquet(target), parts, part_col)
-        if len(values) > GLOB_PARTITION_LIMIT:
-            return restrict_to_partitions(reader.parquet(target), part_col, values)
-        alts = ",".join(sorted({_partition_dir_value(v) for v in values}))
-        pattern = f"{target.rstrip('/')}/{part_col}={{{alts}}}"
-        return reader.option("basePath", target).parquet(pattern)
+        if fields is None:
+            found = spark.read.option("mergeSchema", "true").parquet(target).schema.fields
+            fields = [f for f in found if f.name != part.name]
+        stored = spark.read.schema(T.StructType([*fields, part])).parquet(target)
     except AnalysisException as e:
         if _missing(e):
             return None
         raise
+    return stored.where(within_touched(part, touched))
 
 
 def upsert_partitions(
@@ -93,10 +72,13 @@ def upsert_partitions(
     keys: Sequence[str],
     part_col: str = PARTITION_COLUMN,
     prefer: str = "stored",
-    touched: list | None = None,
-) -> list | None:
-    """Merge ``new`` into ``target``; returns the touched partition values
-    (None when there were too many to collect and a semi join was used).
+    order_by: Sequence[str] = (),
+    touched: Row | None = None,
+) -> int:
+    """Merge ``new`` into ``target``; returns the number of touched partitions.
+
+    ``keys`` must hold ``part_col``: a merge sees the touched partitions only,
+    so a key that may move between partitions could not be kept unique.
 
     ``prefer="stored"`` (insert-only, the default): stored rows never change,
     so nothing is rewritten. Only the batch rows whose key is not stored yet
@@ -104,28 +86,41 @@ def upsert_partitions(
     partitions. A crash anywhere is repaired by re-running: rows that made it
     are now "stored" and are not appended twice.
 
-    ``prefer="new"`` / ``"latest"``: the touched partitions are rebuilt from
-    stored + batch, staged under the checkpoint root (the merge reads what it
+    ``prefer="new"`` / ``"latest"`` (greatest ``order_by``, which must be
+    given): the touched partitions are rebuilt from stored + batch with the
+    columns of both, staged under the checkpoint root (the merge reads what it
     replaces), then swapped in by dynamic partition overwrite. Untouched
-    partitions are neither read nor rewritten in either mode.
+    partitions are not rewritten in either mode.
     """
+    if part_col.lower() not in {k.lower() for k in keys}:
+        raise ValueError(f"keys {list(keys)} must hold the partition column {part_col!r}")
+    if prefer == "latest" and not order_by:
+        raise ValueError('prefer="latest" needs order_by')
+    part = _part_field(new, part_col)
+    if isinstance(part.dataType, T.StringType):
+        # an empty value is stored in the NULL partition
+        new = new.withColumn(part_col, F.nullif(F.col(f"`{part_col}`"), F.lit("")))
     if touched is None:
-        touched = collect_partition_values(touched_partitions(new, part_col), part_col)
-    if touched is not None and not touched:
-        return []
-    batch = dedup_latest(new, keys, order_by=[])  # deterministic survivor within the batch
-    stored = read_partitions(spark, target, part_col, touched, new.schema, parts=new)
+        touched = touched_summary(new, part_col)
+    if not touched["partitions"]:
+        return 0
     if prefer == "stored":
-        fresh = batch if stored is None else anti_by_keys(batch, stored, keys)
-        write_partitioned(fresh.select(*new.columns), target, [part_col], mode="append", dynamic=False)
-        return touched
+        names = resolve_columns(new, keys).values()
+        stored = read_partitions(spark, target, part, touched, [new.schema[k] for k in names if k != part_col])
+        # stored keys leave before the wide rows are reduced to one per key
+        fresh = new if stored is None else anti_by_keys(new, stored, keys)
+        batch = dedup_latest(fresh, keys, order_by=[])
+        write_partitioned(batch.select(*new.columns), target, [part_col], mode="append", dynamic=False)
+        return touched["partitions"]
+    stored = read_partitions(spark, target, part, touched)
     if stored is None:
+        batch = dedup_latest(new, keys, order_by)
         write_partitioned(batch.select(*new.columns), target, [part_col])
-        return touched
-    merged = merge_dedup(batch, stored, keys, prefer)
-    staged = stage(merged.select(*new.columns), spark, "merge")
-    write_partitioned(staged, target, [part_col])
-    return touched
+        return touched["partitions"]
+    merged = merge_dedup(new, restrict_by_frame(stored, new, part_col), keys, prefer, order_by)
+    with staged(merged, spark, "merge") as rows:
+        write_partitioned(rows, target, [part_col])
+    return touched["partitions"]
 
 
 def scan_window(
@@ -137,9 +132,12 @@ def scan_window(
     days: int | None = None,
     fmt: str = "json",
 ) -> DataFrame:
-    """Records of files modified after ``after`` within the trailing window.
+    """Records of files modified at or after the second of ``after``, within the
+    trailing window.
 
-    The modification-time condition is on ``_metadata`` and prunes files at
+    Object stores stamp whole seconds, so a file put later in the watermark's
+    own second carries a time before it; reading that second again is harmless,
+    as the merge is idempotent. The modification-time condition is on ``_metadata`` and prunes files at
     planning; the window is a path glob, so other days are never listed.
     """
     if days and as_of is None:
@@ -151,8 +149,7 @@ def scan_window(
         if _missing(e):
             return empty_like(spark, schema)
         raise
-    after_ts = F.lit(after) if not isinstance(after, str) else F.to_timestamp(F.lit(after))
-    return df.where(F.col("_metadata.file_modification_time") > after_ts)
+    return df.where(modified_since(F.col("_metadata.file_modification_time"), after))
 
 
 def run_etl(
@@ -165,15 +162,21 @@ def run_etl(
     as_of=None,
     days: int | None = None,
     fmt: str = "json",
-    keys: Sequence[str] = RESULT_KEYS,
+    keys: Sequence[str] | None = None,
     run_id: str | None = None,
     run_ts: _dt.datetime | None = None,
     flat_target: str | None = None,
+    shape: RecordShape = RESULT_SHAPE,
 ) -> dict:
     """One incremental run. Returns a small summary (driver-side values).
 
-    ``flat_target``: optional second output holding every flat row of the
-    run before key de-duplication (day-partitioned, appended).
+    ``shape`` says which columns a record has and what becomes of them; ``keys``
+    replaces the shape's own dedup key. ``flat_target``: optional second output
+    holding every flat row of the run before key de-duplication
+    (day-partitioned; rows already there from a run that died are not repeated).
+
+    The landing files are evaluated once: the flat rows are staged under the
+    checkpoint root, and counts, flat output and merge read the staged copy.
     """
     start = _dt.datetime.now(_dt.timezone.utc)
     run_id = run_id or f"{job_name}-{uuid.uuid4().hex[:12]}"
@@ -181,18 +184,22 @@ def run_etl(
     records = scan_window(spark, landing_root, schema, wm, as_of, days, fmt)
     records = records.select(*schema.fieldNames(), "source_path")
     # no separate distinct: the key dedup of the merge removes exact copies too
-    flat = transform(records, run_ts=run_ts or start.replace(tzinfo=None), distinct=False)
-    # one pruned pass: touched partitions and the run's row count
-    touched, flat_rows = partition_row_counts(flat, PARTITION_COLUMN)
-    if flat_target and flat_rows:
-        write_partitioned(flat, flat_target, [PARTITION_COLUMN], mode="append", dynamic=False)
-    # touched is None when too many partitions to list: the merge semi-joins
-    replaced = upsert_partitions(spark, flat, target, keys, touched=touched) if flat_rows else []
+    flat = transform(records, shape, run_ts=run_ts or start.replace(tzinfo=None), distinct=False)
+    with staged(flat, spark, "flat") as rows:
+        touched = touched_summary(rows, shape.part_col)
+        if flat_target and touched["partitions"]:
+            part = _part_field(rows, shape.part_col)
+            # a random id cannot tell rows of one file apart on a replay; the file and day can
+            ids = ["file_path", "ale_id"] if shape.id_mode == "content" else ["file_path"]
+            kept = read_partitions(spark, flat_target, part, touched, [rows.schema[c] for c in ids])
+            fresh = rows if kept is None else anti_by_keys(rows, kept, [*ids, shape.part_col])
+            write_partitioned(fresh, flat_target, [shape.part_col], mode="append", dynamic=False)
+        replaced = upsert_partitions(spark, rows, target, keys or shape.keys, shape.part_col, touched=touched)
     end = _dt.datetime.now(_dt.timezone.utc)
     append_audit(audit_record(spark, run_id, job_name, start, end, STATUS_COMPLETED), audit_root)
     return {
         "run_id": run_id,
         "watermark": wm,
-        "partitions": len(replaced) if replaced is not None else -1,
-        "flat_rows": flat_rows,
+        "partitions": replaced,
+        "flat_rows": touched["rows"],
     }

@@ -46,8 +46,8 @@ _RESULT_NAMES = [n for n, _ in _RESULT_COLS]
 
 
 def _content_id(cols) -> str:
-    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols)
-    return f"md5(concat_ws('|', {parts}))"
+    texts = [f"CAST({c} AS VARCHAR)" for c in cols]
+    return "md5(concat(" + ", ".join(f"coalesce(length({t}) || ':' || {t}, '-')" for t in texts) + "))"
 
 
 def _path_date(col: str) -> str:
@@ -174,6 +174,17 @@ SELECT event_id,
 FROM events
 """
 
+ORACLE_SQL["cast_whitespace"] = """
+SELECT event_id, CAST(user_id AS BIGINT) AS padded_bigint, CAST(user_id AS DOUBLE) AS padded_double FROM events
+"""
+
+ORACLE_SQL["cast_timestamp_zoned"] = """
+SELECT event_id, epoch_us(date_trunc('second', ts) - INTERVAL 5 HOUR) AS instant_us,
+  date_trunc('second', ts) - INTERVAL 5 HOUR AS utc_wall_clock,
+  CAST((event_id * 3600 + 1704067200) * 1000000 AS BIGINT) AS epoch_us, CAST(NULL AS BIGINT) AS huge_us
+FROM events
+"""
+
 ORACLE_SQL["derive_date"] = """
 SELECT event_id, CAST(ts AS DATE) AS transaction_date,
   CAST(strftime(ts, '%Y-%m-%d') AS DATE) AS date_from_text
@@ -230,10 +241,8 @@ SELECT CAST(ts AS DATE) AS transaction_date, count(*) AS n_rows FROM events
 WHERE CAST(ts AS DATE) < DATE '2024-01-21' GROUP BY 1
 """
 
-ORACLE_SQL["surrogate_key"] = """
-SELECT event_id, md5(concat_ws('|', coalesce(CAST(event_id AS VARCHAR), ''), coalesce(CAST(user_id AS VARCHAR), ''),
-  coalesce(event_type, ''), coalesce(CAST(ts AS VARCHAR), ''))) AS row_id
-FROM events
+ORACLE_SQL["surrogate_key"] = f"""
+SELECT event_id, {_content_id(['event_id', 'user_id', 'event_type', 'ts'])} AS row_id FROM events
 """
 
 ORACLE_SQL["stamp_rows"] = f"SELECT event_id, ts, {_RUN_TS} AS ale_transform_time FROM events"
@@ -293,6 +302,34 @@ UNION ALL {_NEW}
 """
 
 ORACLE_SQL["upsert_partitions"] = ORACLE_SQL["merge_insert_only"]
+
+_NEW_WINS = f"""
+SELECT * FROM ({_NEW}) n
+UNION ALL
+SELECT * FROM ({_STORED}) s WHERE NOT EXISTS (SELECT 1 FROM ({_NEW}) n2
+  WHERE s.event_id = n2.event_id AND s.transaction_date = n2.transaction_date)
+"""
+ORACLE_SQL["upsert_new_wins"] = _NEW_WINS
+
+# of each pair in the overlap the stored copy is an hour later for even ids, an hour earlier for odd ones
+ORACLE_SQL["upsert_latest"] = f"""
+SELECT event_id, ts, transaction_date,
+  CASE WHEN batch = 'new' AND ts < TIMESTAMP '2024-01-20 00:00:00' AND event_id % 2 = 0 THEN NULL ELSE batch END AS batch,
+  CASE WHEN ts >= TIMESTAMP '2024-01-20 00:00:00' THEN ts
+       WHEN event_id % 2 = 0 THEN ts + INTERVAL 1 HOUR
+       WHEN batch = 'new' THEN ts ELSE ts - INTERVAL 1 HOUR END AS seen
+FROM ({_NEW_WINS}) w
+"""
+
+_AWKWARD = "event_type || ': a,b {' || CAST(event_id % 3 AS VARCHAR)"
+ORACLE_SQL["upsert_string_partition"] = f"""
+SELECT event_id, value, {_AWKWARD} AS kind, batch FROM ({_NEW_WINS}) w
+"""
+
+ORACLE_SQL["upsert_extra_columns"] = f"""
+SELECT w.*, CASE WHEN batch IS NULL THEN 'kept-' || CAST(event_id AS VARCHAR) END AS note FROM ({_NEW_WINS}) w
+"""
+
 ORACLE_SQL["replay_idempotent"] = ORACLE_SQL["merge_insert_only"]
 
 # -- audit ---------------------------------------------------------------------------
@@ -335,6 +372,12 @@ FROM ({_AUDIT}) a GROUP BY etl_job_name
 
 ORACLE_SQL["file_inventory"] = "SELECT DISTINCT CAST(ts AS DATE) AS date, true AS files_nonempty FROM events"
 
+ORACLE_SQL["partition_file_counts"] = f"""
+SELECT transaction_date AS date, count(*) AS n_files
+FROM (SELECT DISTINCT transaction_date, batch FROM ({_STORED}) s UNION ALL {_TOUCHED.replace("transaction_date", "transaction_date, batch", 1)}) d
+GROUP BY 1
+"""
+
 ORACLE_SQL["incremental_files"] = """
 SELECT event_id, ts, CAST(ts AS DATE) AS date FROM events
 WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'

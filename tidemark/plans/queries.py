@@ -15,23 +15,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.casts import cast_rejects, conform, to_bigint, to_double, to_timestamp_ntz
+from tidemark.functions.casts import cast_rejects, conform, to_bigint, to_double, to_string, to_timestamp, to_timestamp_ntz
 from tidemark.functions.ids import content_id, run_stamp
 from tidemark.functions.paths import partition_key, path_date, path_hour, trailing_days_on_timestamp
 from tidemark.operators.audit import latest_run, watermark, with_parsed_times
 from tidemark.operators.dedup import dedup_by_key, dedup_latest, distinct_rows, dup_count
 from tidemark.operators.flatten import flatten_structs
 from tidemark.operators.merge import (
-    collect_partition_values,
     existing_partitions,
     merge_insert_only,
     merge_union,
-    restrict_to_partitions,
+    restrict_by_frame,
     touched_partitions,
+    touched_summary,
 )
-from tidemark.plans.batches import EVENT_KEYS, audit_rows, event_rows, new_events, stored_events
+from tidemark.plans.batches import EVENT_KEYS, NEW_FROM, audit_rows, event_rows, new_events, stored_events
 from tidemark.plans.catalog import register
-from tidemark.plans.etl import upsert_partitions
+from tidemark.plans.etl import read_partitions, scan_window, upsert_partitions
 from tidemark.plans.landing import delivery, nested_results, order_envelopes
 from tidemark.plans.tables import load
 from tidemark.plans.transform import flatten_records, transform
@@ -39,7 +39,7 @@ from tidemark.schema import PARTITION_COLUMN
 from tidemark.session import scratch_path
 from tidemark.sinks.audit import append_audit, read_audit
 from tidemark.sinks.parquet import write_partitioned
-from tidemark.sources.files import file_inventory, window_globs
+from tidemark.sources.files import file_inventory
 from tidemark.sources.nested import read_nested
 
 # Fixed values of the test runs.
@@ -190,14 +190,24 @@ def q_cast_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("cast_whitespace")
+def q_cast_whitespace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts padded with a tab and a carriage return cast like bare ones."""
+    st = T.StringType()
+    padded = F.concat(F.lit("\t"), F.col("user_id").cast("string"), F.lit("\r"))
+    return load(spark, sf_dir, "events").select(
+        "event_id", to_bigint(padded, st).alias("padded_bigint"), to_double(padded, st).alias("padded_double")
+    )
+
+
 @register("cast_string")
 def q_cast_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem")
     return li.select(
-        F.col("l_orderkey").try_cast("string").alias("orderkey_text"),
-        F.col("l_linenumber").try_cast("string").alias("linenumber_text"),
-        F.col("l_shipdate").try_cast("string").alias("shipdate_text"),
-        F.col("l_returnflag").try_cast("string").alias("l_returnflag"),
+        to_string(F.col("l_orderkey")).alias("orderkey_text"),
+        to_string(F.col("l_linenumber")).alias("linenumber_text"),
+        to_string(F.col("l_shipdate")).alias("shipdate_text"),
+        to_string(F.col("l_returnflag")).alias("l_returnflag"),
     )
 
 
@@ -218,6 +228,22 @@ def q_cast_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("cast_timestamp_zoned")
+def q_cast_timestamp_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets are kept as instants; numbers out of range become NULL."""
+    st = T.StringType()
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+05:00"))
+    huge = F.col("event_id") + F.lit(10**15)
+    epoch_s = F.col("event_id") * F.lit(3600) + F.lit(EPOCH_2024)
+    return load(spark, sf_dir, "events").select(
+        "event_id",
+        F.unix_micros(to_timestamp(text, st)).alias("instant_us"),
+        to_timestamp_ntz(text, st).alias("utc_wall_clock"),
+        F.unix_micros(to_timestamp(epoch_s, T.LongType())).alias("epoch_us"),
+        F.unix_micros(to_timestamp(huge, T.LongType())).alias("huge_us"),
+    )
+
+
 @register("derive_date")
 def q_derive_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = load(spark, sf_dir, "events")
@@ -367,8 +393,9 @@ def _write_stored(spark: SparkSession, sf_dir: str) -> str:
 @register("scan_partitions")
 def q_scan_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = _write_stored(spark, sf_dir)
-    touched = collect_partition_values(touched_partitions(new_events(spark, sf_dir), PARTITION_COLUMN), PARTITION_COLUMN)
-    return restrict_to_partitions(spark.read.parquet(target), PARTITION_COLUMN, touched)
+    new = new_events(spark, sf_dir)
+    stored = read_partitions(spark, target, new.schema[PARTITION_COLUMN], touched_summary(new, PARTITION_COLUMN))
+    return restrict_by_frame(stored, new, PARTITION_COLUMN)
 
 
 @register("partition_overwrite")
@@ -385,6 +412,55 @@ def q_upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+@register("upsert_new_wins")
+def q_upsert_new_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _write_stored(spark, sf_dir)
+    upsert_partitions(spark, new_events(spark, sf_dir), target, EVENT_KEYS, prefer="new")
+    return spark.read.parquet(target)
+
+
+@register("upsert_latest")
+def q_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row seen last wins: in the overlap a stored copy is an hour later for
+    even ids and an hour earlier for odd ones."""
+    target = scratch_path(spark, "stored")
+    even = F.pmod("event_id", F.lit(2)) == 0
+    hour = F.expr("INTERVAL 1 HOUR")
+    overlap = F.col("ts") >= F.lit(NEW_FROM.isoformat(sep=" ")).cast("timestamp_ntz")
+    cols = ["event_id", "ts", PARTITION_COLUMN, "batch", "seen"]
+    stored = stored_events(spark, sf_dir).withColumns(
+        {"batch": F.lit(None).cast("string"), "seen": F.when(even, F.col("ts") + hour).otherwise(F.col("ts") - hour)}
+    )
+    write_partitioned(stored.select(*cols), target, [PARTITION_COLUMN])
+    new = new_events(spark, sf_dir).withColumn("seen", F.col("ts"))
+    upsert_partitions(spark, new.select(*cols), target, EVENT_KEYS, prefer="latest", order_by=["seen"])
+    return spark.read.parquet(target)
+
+
+@register("upsert_string_partition")
+def q_upsert_string_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partition values whose folder names are escaped."""
+    target = scratch_path(spark, "stored")
+    kind = F.concat("event_type", F.lit(": a,b {"), F.pmod("event_id", F.lit(3)).cast("string"))
+    stored = stored_events(spark, sf_dir).withColumns({"kind": kind, "batch": F.lit(None).cast("string")})
+    cols = ["event_id", "value", "kind", "batch"]
+    write_partitioned(stored.select(*cols), target, ["kind"])
+    new = new_events(spark, sf_dir).withColumn("kind", kind).select(*cols)
+    upsert_partitions(spark, new, target, ["event_id", "kind"], part_col="kind", prefer="new")
+    return spark.read.parquet(target)
+
+
+@register("upsert_extra_columns")
+def q_upsert_extra_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns that only the stored side has outlive a rebuild."""
+    target = scratch_path(spark, "stored")
+    note = F.concat(F.lit("kept-"), F.col("event_id").cast("string"))
+    stored = stored_events(spark, sf_dir).withColumns({"note": note, "batch": F.lit(None).cast("string")})
+    write_partitioned(stored, target, [PARTITION_COLUMN])
+    upsert_partitions(spark, new_events(spark, sf_dir), target, EVENT_KEYS, prefer="new")
+    return spark.read.option("mergeSchema", "true").parquet(target)
+
+
 @register("replay_idempotent")
 def q_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = _write_stored(spark, sf_dir)
@@ -448,8 +524,12 @@ def q_file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("partition_file_counts")
 def q_partition_file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries of one file a day each: a day in both has two files."""
     root = scratch_path(spark, "events-landing")
-    _land_events(spark, event_rows(spark, sf_dir), root)
+    for rows in (stored_events(spark, sf_dir), new_events(spark, sf_dir).drop("batch")):
+        by_day = rows.withColumn("date", F.to_date("ts")).repartition("date")
+        write_partitioned(by_day, root, ["date"], mode="append", dynamic=False, rebalance=False,
+                          max_records_per_file=None)
     inv = file_inventory(spark, root, glob="*.parquet")
     return inv.groupBy("date").agg(F.count(F.lit(1)).alias("n_files"))
 
@@ -464,9 +544,8 @@ def q_incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     mark = _dt.datetime.now(_dt.timezone.utc)
     time.sleep(1.1)
     _land_events(spark, rows.where(F.col("ts") >= F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")), root)
-    paths = window_globs(root, AS_OF, INCREMENTAL_WINDOW_DAYS)
-    recs = spark.read.option("basePath", root).parquet(*paths)
-    fresh = recs.where(F.col("_metadata.file_modification_time") > F.lit(mark))
+    schema = rows.schema.add("date", "date")
+    fresh = scan_window(spark, root, schema, mark, AS_OF, INCREMENTAL_WINDOW_DAYS, fmt="parquet")
     return fresh.select("event_id", "ts", "date")
 
 

@@ -10,7 +10,9 @@ projection, so a 129-column spec needs no 129 hand-written casts.
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 
 # Envelope struct (``module.*``): one per landed record.
 MODULE_SPEC = [
@@ -50,9 +52,6 @@ LINEAGE_SPEC = [("file_path", "string")]
 
 RESULT_SPEC = MODULE_SPEC + CUSTOMER_SPEC + RESULT_ITEM_SPEC + LINEAGE_SPEC
 
-# Columns added after conformance (derived from the path and the record).
-DERIVED_COLUMNS = ["date_", "hr_", "transaction_date", "ale_id", "ale_transform_time"]
-
 # Event time of a flat row: its calendar day is the output partition.
 EVENT_TIME_COLUMN = "l_shipdate"
 PARTITION_COLUMN = "transaction_date"
@@ -60,6 +59,35 @@ PARTITION_COLUMN = "transaction_date"
 # Business key of a flat result row (plus the partition column).
 RESULT_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", PARTITION_COLUMN]
 
+
+
+@dataclass(frozen=True)
+class RecordShape:
+    """What a nested record holds and what its flat rows become.
+
+    ``envelope`` structs and ``keep`` top-level columns repeat on every element
+    of ``array_col``; ``spec`` lists the flat columns with their types;
+    ``event_time`` gives the day ``part_col``; ``keys`` (with ``part_col``) say
+    which rows are the same. ``on_collision``: error | prefix | first;
+    ``missing``: error | null; ``id_mode``: content | random; ``unit`` of
+    numeric times: s | ms | us.
+    """
+
+    spec: Sequence[tuple[str, str]]
+    keys: Sequence[str]
+    event_time: str
+    part_col: str = PARTITION_COLUMN
+    envelope: Sequence[str] = ("module", "customerInfo")
+    keep: Sequence[str] = ()
+    array_col: str = "data"
+    on_collision: str = "error"
+    missing: str = "error"
+    id_mode: str = "content"
+    unit: str = "s"
+
+
+RESULT_SHAPE = RecordShape(RESULT_SPEC, RESULT_KEYS, EVENT_TIME_COLUMN)
+
 # Spec for the events table when it is conformed to the stored layer.
 EVENT_SPEC = [
     ("event_id", "bigint"),
@@ -69,9 +97,3 @@ EVENT_SPEC = [
     ("value", "double"),
     ("props", "string"),
 ]
-
-
-def struct_type(spec) -> T.StructType:
-    return T.StructType(
-        [T.StructField(n, T._parse_datatype_string(t) if isinstance(t, str) else t, True) for n, t in spec]
-    )

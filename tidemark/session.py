@@ -23,6 +23,9 @@ RECOMMENDED_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.session.timeZone": "UTC",
+    # the keys of a streaming dedup's horizon need not fit the executors' heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -73,6 +76,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of our own (a ``scratch_path``) on whatever file system holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def apply_recommended_conf(spark: SparkSession) -> SparkSession:
     for key, value in RECOMMENDED_CONF.items():
         spark.conf.set(key, value)

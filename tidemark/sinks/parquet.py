@@ -13,11 +13,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import scratch_path
+from tidemark.session import remove_path, scratch_path
 
 
 def write_partitioned(
@@ -39,18 +40,16 @@ def write_partitioned(
     writer.partitionBy(*partition_by).parquet(path)
 
 
-def stage(df: DataFrame, spark: SparkSession, name: str = "stage") -> DataFrame:
-    """Write ``df`` to a fresh folder under the checkpoint root, read it back.
+@contextmanager
+def staged(df: DataFrame, spark: SparkSession, name: str = "stage") -> Iterator[DataFrame]:
+    """Write ``df`` to a fresh folder under the checkpoint root and read it back;
+    the folder goes when the block ends.
 
     Cuts lineage to the inputs (here: the partitions about to be replaced).
     """
     where = scratch_path(spark, name)
     df.write.mode("error").parquet(where)
-    return spark.read.parquet(where)
-
-
-def read_partitioned(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(where)
+    finally:
+        remove_path(spark, where)

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark.plans.etl import upsert_partitions
 from tidemark.schema import PARTITION_COLUMN
+from tidemark.sinks.parquet import staged
 
 
 def file_stream(
@@ -55,7 +56,9 @@ def stream_ingest(
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = transform(batch) if transform else batch
-        upsert_partitions(batch.sparkSession, rows, target, keys, part_col)
+        # written once: the touched days and the merge both read it
+        with staged(rows, batch.sparkSession, "batch") as kept:
+            upsert_partitions(batch.sparkSession, kept, target, keys, part_col)
 
     stream = file_stream(spark, landing_root, schema, fmt, max_files_per_trigger)
     query = (
