@@ -239,17 +239,18 @@ def _join_whole(t: Threshold):
     return run
 
 
+CELLS = "region long, doc_id long, pivot long, near boolean"
+
+
 def _cells(t: Threshold):
-    """Deal one part of a region out to the cells of the region's pivots, with 2e windows."""
+    """Cells of each document of one part of a region: a row for each pivot in its 2e window."""
 
     def run(part: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
         if part.empty or pivots.empty:
-            return pd.DataFrame(columns=["region", "doc_id", "n", "shingles", "pivot", "near"])
-        pivots = pivots.sort_values("doc_id")
+            return pd.DataFrame(columns=["region", "doc_id", "pivot", "near"])
         d = distances(_as_sets(part), _as_sets(pivots))
-        inside = d <= d.min(axis=1, keepdims=True) + 2 * t.distance + 1e-9
-        i, j = np.nonzero(inside)
-        out = part.iloc[i][["region", "doc_id", "n", "shingles"]].copy()
+        i, j = np.nonzero(d <= d.min(axis=1, keepdims=True) + 2 * t.distance + 1e-9)
+        out = part.iloc[i][["region", "doc_id"]].copy()
         out["pivot"] = pivots["doc_id"].to_numpy()[j]
         out["near"] = d[i, j] <= t.distance
         return out
@@ -281,10 +282,18 @@ def join_regions(members: DataFrame, t: Threshold, region_docs: int = REGION_DOC
         pivots = over.join(first, "region").filter(is_pivot).select("region", "doc_id", "shingles", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
         pivots = cut(pivots, "pivots")  # its own columns, as both sides of the cogroup come from one table
         dealt = over.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), parts))
-        cells = dealt.groupBy("region", "part").cogroup(pivots.groupBy("region", "part")).applyInPandas(_cells(t), MEMBERS + ", pivot long, near boolean")
+        cells = dealt.groupBy("region", "part").cogroup(pivots.groupBy("region", "part")).applyInPandas(_cells(t), CELLS)
         cells = cut(cells, "cells")
         links.append(cells.filter("near").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")))
-        members = cells.select(F.xxhash64("region", "pivot").alias("region"), "doc_id", "n", "shingles")
+        # a region splits if no cell holds more than half of it and the cells cost less than its blocks would
+        filled = cells.groupBy("region", "pivot").agg(F.count("*").alias("c")).groupBy("region").agg(F.max("c").alias("most"), F.sum("c").alias("rows"))
+        apart = (2 * F.col("most") <= F.col("docs")) & (F.col("rows") < F.col("docs") * _blocks(region_docs, region_shingles))
+        splits_up = cut(filled.join(large, "region").filter(apart).select("region"), "split-regions")
+        tight = over.join(splits_up, "region", "left_anti")
+        links.append(cut(_join_blocks(tight, t, region_docs, region_shingles), "block-links"))
+        held = over.join(splits_up, "region", "left_semi").select("region", "doc_id", "n", "shingles")
+        members = cells.join(held, ["region", "doc_id"]).select(F.xxhash64("region", "pivot").alias("region"), "doc_id", "n", "shingles")
+        members = cut(members, "members", release=True)
         depth += 1
     out = links[0]
     for more in links[1:]:
@@ -292,10 +301,14 @@ def join_regions(members: DataFrame, t: Threshold, region_docs: int = REGION_DOC
     return out
 
 
+def _blocks(region_docs: int, region_shingles: int):
+    """Blocks of a region of which any two fit into one task."""
+    return 2 * F.greatest(F.ceil(F.col("docs") / region_docs), F.ceil(F.col("weight") / region_shingles))
+
+
 def _join_blocks(over: DataFrame, t: Threshold, region_docs: int, region_shingles: int) -> DataFrame:
     """Every pair of blocks of a region that pivots could not split is one bounded task."""
-    blocks = 2 * F.greatest(F.ceil(F.col("docs") / region_docs), F.ceil(F.col("weight") / region_shingles))
-    own = over.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit("block")), F.col("blocks")))
+    own = over.withColumn("blocks", _blocks(region_docs, region_shingles)).withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit("block")), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     pairs = own.withColumn("other", other).select(
         F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other")).alias("region"), "doc_id", "n", "shingles"
