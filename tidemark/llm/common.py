@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch_path
+from tidemark.session import remove_path, scratch_path
 
 BLANKS = frozenset(b"\t\n\v\f\r ")
 SPLIT_ON_BLANKS = bytes(32 if b in BLANKS else b for b in range(256))
@@ -52,18 +52,27 @@ def crc_fold(column: str = "doc_id", folds: int = 5) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def cut(df: DataFrame, name: str, release: bool = False) -> DataFrame:
+def cut(df: DataFrame, name: str, release: bool = False, **options) -> DataFrame:
     """Write ``df`` to a fresh folder of the shared checkpoint root and read it back.
 
     Later plans start from the files, so a lost executor repeats one read and
     not the steps before it. ``release`` asks the driver's JVM to collect its
     garbage, which lets Spark's cleaner drop the shuffle files of done steps.
+    ``options`` go to the Parquet writer.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     if release:
         df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that ``cut`` wrote, once nothing that is still to run reads them."""
+    for table in tables:
+        remove_path(table.sparkSession, table.cut_path)
 
 
 def partitions_for(spark: SparkSession) -> int:

@@ -1,6 +1,6 @@
 """Line dedup: exact set-similarity join of lines, by DataFrame functions only.
 
-A line's tokens are its words. Lines link if the Jaccard similarity of their
+A line's tokens are its words, held as 64-bit hashes. Lines link if the Jaccard similarity of their
 word sets is at least ``percent`` / 100. A line is removed if an earlier line
 (smaller document id, or an earlier line of the same document) links with it,
 whether that one was removed or not; equal lines link, lines without a word do
@@ -12,7 +12,7 @@ lines, rarest first, ties by hash. Two linked lines share a token in the prefixe
 of that order, of |x| - ceil(t|x|) + 1 tokens each. Lines that share one are
 candidates if their lengths, the places of the shared token, and a 64-bit sketch
 of their words (each word sets one bit; the bits that differ are at most the
-words that differ) allow the similarity; candidates are verified on their words.
+words that differ) allow the similarity; candidates are verified on all tokens.
 
 Dense groups: every line is first held against the ``EARLIEST`` first lines of
 each of its prefix groups, at most that many rows a prefix token; only lines
@@ -29,11 +29,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import cut, drop
 
 SLOTS = 1 << 18
 FILTER_SLOTS = 6 << 18
 EARLIEST = 16
+DICTIONARY_BYTES = 4 << 20
 BLANKS = "\t\u000b\f\r"
 
 
@@ -43,12 +44,12 @@ def distinct_lines(text: Column) -> Column:
 
 
 def words_of(line: Column) -> Column:
-    """The distinct words (runs without ASCII white space) of a line."""
+    """Hashes of the distinct words (runs without ASCII white space) of a line."""
     odd = F.contains(line, F.lit(BLANKS[0]))
     for b in BLANKS[1:]:
         odd = odd | F.contains(line, F.lit(b))
     plain = F.when(odd, F.translate(line, BLANKS, " " * len(BLANKS))).otherwise(line)
-    return F.array_remove(F.array_distinct(F.split(plain, " ")), "")
+    return F.array_distinct(F.transform(F.array_remove(F.split(plain, " "), ""), lambda w: F.xxhash64(w)))
 
 
 def line_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -67,7 +68,7 @@ def _table(values: np.ndarray) -> Column:
 def rarity(classes: DataFrame) -> Column:
     """For each hash slot, 2 log2 of its tokens' number of occurrences in lines."""
     token = classes.select(F.explode("words").alias("token"))
-    slot = F.xxhash64("token").bitwiseAND(SLOTS - 1)
+    slot = F.col("token").bitwiseAND(SLOTS - 1)
     counted = token.groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))  # SLOTS rows at most
     got = counted.select(F.col("slot").cast("int"), F.least(F.floor(2 * F.log2("n")) + 1, F.lit(63)).cast("int").alias("rank")).toArrow()
     table = np.zeros(SLOTS, np.uint8)
@@ -78,8 +79,7 @@ def rarity(classes: DataFrame) -> Column:
 def ordered_tokens(words: Column, table: Column) -> Column:
     """The words as numbers, rarest first: rank in the highest bits, then the hash."""
 
-    def number(word: Column) -> Column:
-        h = F.xxhash64(word)
+    def number(h: Column) -> Column:
         rank = F.get(table, h.bitwiseAND(SLOTS - 1).cast("int")).cast("long")
         return F.shiftleft(rank, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
@@ -127,20 +127,25 @@ def _pairs(probe: DataFrame, held: DataFrame, earliest: Column, percent: int) ->
     return met.select("x.doc", "x.at", F.col("y.doc").alias("doc_y"), F.col("y.at").alias("at_y")).distinct()
 
 
-def _members(ids: DataFrame, classes: DataFrame) -> DataFrame:
-    """The lines of the given places; one bit a place lets most others be skipped before the join."""
+def _mark(ids: DataFrame) -> Column:
+    """Whether a line may be one of ``ids``: one bit a hashed place, in a table of fixed size."""
     slot = F.pmod(F.xxhash64("doc", "at"), F.lit(FILTER_SLOTS)).cast("int")
     marks = ids.select((slot / 6).cast("int").alias("char"), (slot % 6).alias("bit")).distinct().groupBy("char")
     got = marks.agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("bit"))).alias("value")).toArrow()
     table = np.zeros(FILTER_SLOTS // 6, np.uint8)
     table[got.column("char").to_numpy()] = got.column("value").to_numpy()
-    flag = F.call_function("shiftright", F.get(_table(table), (slot / 6).cast("int")).cast("int"), slot % 6).bitwiseAND(1)
-    return classes.filter(flag == 1).join(ids, ["doc", "at"])
+    return F.call_function("shiftright", F.get(_table(table), (slot / 6).cast("int")).cast("int"), slot % 6).bitwiseAND(1) == 1
+
+
+def _without(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of other lines than ``ids``; only those that bear a mark are shuffled."""
+    marked = _mark(ids)
+    return rows.filter(~marked).unionByName(rows.filter(marked).join(ids, ["doc", "at"], "left_anti"))
 
 
 def _slots(words: Column) -> Column:
-    """Distinct 16-bit hashes of the words: sets differ in at most as many of these as in words."""
-    return F.array_distinct(F.transform(words, lambda w: (F.xxhash64(w).bitwiseAND(65535) - 32768).cast("smallint")))
+    """Distinct 16-bit ends of the words' hashes: sets differ in at most as many of these as in words."""
+    return F.array_distinct(F.transform(words, lambda h: (F.shiftrightunsigned(h, 40).bitwiseAND(65535) - 32768).cast("smallint")))
 
 
 def _both(pairs: DataFrame, texts: DataFrame, column: str) -> DataFrame:
@@ -150,38 +155,42 @@ def _both(pairs: DataFrame, texts: DataFrame, column: str) -> DataFrame:
     return pairs.join(x, ["doc", "at"]).join(y, ["doc_y", "at_y"])
 
 
-def _of_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The lines that stand in some pair."""
-    ids = pairs.select("doc", "at").unionByName(pairs.select(F.col("doc_y").alias("doc"), F.col("at_y").alias("at"))).distinct()
-    return _members(ids, classes)
-
-
 def _linked(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """doc, at of lines that really link with an earlier one."""
+    """doc, at of lines that really link with an earlier one; takes ``pairs`` off the disk."""
+    ids = pairs.select("doc", "at").unionByName(pairs.select(F.col("doc_y").alias("doc"), F.col("at_y").alias("at"))).distinct()
     held = F.struct(_slots(F.col("words")).alias("slots"), F.size("words").alias("n"))
-    small = cut(_of_pairs(pairs, classes).select("doc", "at", held.alias("held")), "candidate-lines", release=True)
-    differ = F.size(F.array_except("x.slots", "y.slots")) + F.size(F.array_except("y.slots", "x.slots"))
+    found = classes.filter(_mark(ids)).join(ids, ["doc", "at"])
+    small = _compact(found.select("doc", "at", "words", held.alias("held")), "candidate-lines")
+    differ = F.size("x.slots") + F.size("y.slots") - 2 * F.size(F.array_intersect("x.slots", "y.slots"))
     may = (100 + percent) * differ <= (100 - percent) * (F.col("x.n") + F.col("y.n"))
     close = cut(_both(pairs, small, "held").filter(may).select(*pairs.columns), "close-pairs", release=True)
     both = F.size(F.array_intersect("x", "y"))
-    verified = _both(close, _of_pairs(close, classes), "words").filter(100 * both >= percent * (F.size("x") + F.size("y") - both))
-    return verified.select("doc", "at").distinct()
+    verified = _both(close, small, "words").filter(100 * both >= percent * (F.size("x") + F.size("y") - both))
+    linked = cut(verified.select("doc", "at").distinct(), "linked", release=True)
+    drop(pairs, small, close)
+    return linked
+
+
+def _compact(rows: DataFrame, name: str) -> DataFrame:
+    """A written table whose hashes are kept in dictionaries."""
+    return cut(rows, name, release=True, **{"parquet.dictionary.page.size": DICTIONARY_BYTES})
 
 
 def kept_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, kept: for each document with any, the places of its kept lines among its distinct lines."""
-    classes = cut(line_classes(docs, id_col, text_col), "lines", release=True)
-    ranked = cut(_ranked(prefixes(classes, rarity(classes), percent)), "prefixes", release=True)
+    classes = _compact(line_classes(docs, id_col, text_col), "lines")
+    ranked = ranked_table = cut(_ranked(prefixes(classes, rarity(classes), percent)), "prefixes", release=True)
     # nothing is null here; saying so keeps both sides of the join alike, so one shuffle serves them
     for c in ranked.columns:
         ranked = ranked.filter(F.col(c).isNotNull())
     first = F.least(F.col("x.rank"), F.lit(EARLIEST + 1))
     easy = cut(_pairs(ranked, ranked, first, percent), "easy-pairs", release=True)
-    removed = cut(_linked(easy, classes, percent), "removed", release=True)
+    removed = _linked(easy, classes, percent)
     later = ranked.filter(F.col("rank") > EARLIEST)
-    hard = cut(_pairs(later.join(removed, ["doc", "at"], "left_anti"), later, F.col("x.rank"), percent), "hard-pairs", release=True)
+    hard = cut(_pairs(_without(later, removed), later, F.col("x.rank"), percent), "hard-pairs", release=True)
+    drop(ranked_table)
     removed = removed.unionByName(_linked(hard, classes, percent)).distinct()
-    left = classes.select("doc", "at").join(removed, ["doc", "at"], "left_anti")
+    left = _without(classes.select("doc", "at"), removed)
     return left.groupBy("doc").agg(F.sort_array(F.collect_list("at")).alias("kept"))
 
 
