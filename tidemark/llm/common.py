@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -21,6 +22,7 @@ SPLIT_ON_BLANKS = bytes(32 if b in BLANKS else b for b in range(256))
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 LOWER_SPLIT_ON_BLANKS = LOWER.translate(SPLIT_ON_BLANKS)
 SLICE_BYTES = 4 << 20
+RELEASE_PAUSE_S = 1.0
 
 
 _shipped: set[str] = set()
@@ -57,13 +59,16 @@ def cut(df: DataFrame, name: str, release: bool = False, **options) -> DataFrame
 
     Later plans start from the files, so a lost executor repeats one read and
     not the steps before it. ``release`` asks the driver's JVM to collect its
-    garbage, which lets Spark's cleaner drop the shuffle files of done steps.
+    garbage, which lets Spark's cleaner drop the shuffle files of done steps; the
+    second time is for plans that pending listener events held the first time.
     ``options`` go to the Parquet writer.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.options(**options).parquet(path)
     if release:
-        df.sparkSession.sparkContext._jvm.System.gc()
+        for pause in (0.0, RELEASE_PAUSE_S):
+            time.sleep(pause)
+            df.sparkSession.sparkContext._jvm.System.gc()
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.cut_path = path
     return out
