@@ -155,9 +155,14 @@ def _both(pairs: DataFrame, texts: DataFrame, column: str) -> DataFrame:
     return pairs.join(x, ["doc", "at"]).join(y, ["doc_y", "at_y"])
 
 
+def _places(pairs: DataFrame) -> DataFrame:
+    """doc, at of all lines that stand in some pair."""
+    return pairs.select("doc", "at").unionByName(pairs.select(F.col("doc_y").alias("doc"), F.col("at_y").alias("at"))).distinct()
+
+
 def _linked(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """doc, at of lines that really link with an earlier one; takes ``pairs`` off the disk."""
-    ids = pairs.select("doc", "at").unionByName(pairs.select(F.col("doc_y").alias("doc"), F.col("at_y").alias("at"))).distinct()
+    ids = _places(pairs)
     held = F.struct(_slots(F.col("words")).alias("slots"), F.size("words").alias("n"))
     found = classes.filter(_mark(ids)).join(ids, ["doc", "at"])
     small = _compact(found.select("doc", "at", "words", held.alias("held")), "candidate-lines")
@@ -165,7 +170,7 @@ def _linked(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     may = (100 + percent) * differ <= (100 - percent) * (F.col("x.n") + F.col("y.n"))
     close = cut(_both(pairs, small, "held").filter(may).select(*pairs.columns), "close-pairs", release=True)
     both = F.size(F.array_intersect("x", "y"))
-    verified = _both(close, small, "words").filter(100 * both >= percent * (F.size("x") + F.size("y") - both))
+    verified = _both(close, small.filter(_mark(_places(close))), "words").filter(100 * both >= percent * (F.size("x") + F.size("y") - both))
     linked = cut(verified.select("doc", "at").distinct(), "linked", release=True)
     drop(pairs, small, close)
     return linked
