@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_arrow, slices
+from tidemark.llm.common import cut, map_arrow, slices
 from tidemark.llm.tokens import encoder
 
 
@@ -38,7 +38,8 @@ def token_lengths(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Da
 def length_histogram(docs: DataFrame, tokenizer: str, text_col: str = "text", block: int = 1024) -> DataFrame:
     """length, n_docs, tokens and the sums up to and from that length, one row a distinct length."""
     counts = token_lengths(docs, tokenizer, text_col).groupBy("length").agg(F.count("*").alias("n_docs"))
-    counts = counts.withColumn("tokens", F.col("length") * F.col("n_docs"))
+    # written, as the sums read it twice and texts are to be encoded once
+    counts = cut(counts.withColumn("tokens", F.col("length") * F.col("n_docs")), "length-counts")
     return suffix_sums(counts, block)
 
 
