@@ -35,13 +35,13 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
+    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, added_tokens: bool = False
 ) -> DataFrame:
     """Encode every whole text, append the end id and cut what is longer than ``capacity``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        enc, end = encoder(tokenizer), np.array([end_id], np.uint32)
+        enc, end = encoder(tokenizer, added_tokens), np.array([end_id], np.uint32)
         for batch in batches:
             for part in slices(batch, "text"):
                 ids, counts = enc.encode(part.column("text"))

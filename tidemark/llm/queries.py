@@ -29,11 +29,11 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, capacity=2048, end_id=0)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, capacity=2048, end_id=0, added_tokens=True)
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.length_histogram(table(spark, sf_dir, "documents"), TOKENIZER)
+    return token_counts.length_histogram(table(spark, sf_dir, "documents"), TOKENIZER, added_tokens=True)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +78,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-store")
-    token_store.write(table(spark, sf_dir, "documents"), path, TOKENIZER, end_id=2)
+    token_store.write(table(spark, sf_dir, "documents"), path, TOKENIZER, end_id=2, added_tokens=True)
     return token_store.read(spark, path)
 
 

@@ -23,11 +23,11 @@ from tidemark.llm.common import cut, map_arrow, slices
 from tidemark.llm.tokens import encoder
 
 
-def token_lengths(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
+def token_lengths(docs: DataFrame, tokenizer: str, text_col: str = "text", added_tokens: bool = False) -> DataFrame:
     """One row (length) a document."""
 
     def lengths(batches):
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, added_tokens)
         for batch in batches:
             for part in slices(batch, "text"):
                 yield pa.RecordBatch.from_arrays([pa.array(enc.encode(part.column("text"))[1])], ["length"])
@@ -35,9 +35,9 @@ def token_lengths(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Da
     return map_arrow(docs.select(F.col(text_col).cast("string").alias("text")), lengths, "length long")
 
 
-def length_histogram(docs: DataFrame, tokenizer: str, text_col: str = "text", block: int = 1024) -> DataFrame:
+def length_histogram(docs: DataFrame, tokenizer: str, text_col: str = "text", block: int = 1024, added_tokens: bool = False) -> DataFrame:
     """length, n_docs, tokens and the sums up to and from that length, one row a distinct length."""
-    counts = token_lengths(docs, tokenizer, text_col).groupBy("length").agg(F.count("*").alias("n_docs"))
+    counts = token_lengths(docs, tokenizer, text_col, added_tokens).groupBy("length").agg(F.count("*").alias("n_docs"))
     # written, as the sums read it twice and texts are to be encoded once
     counts = cut(counts.withColumn("tokens", F.col("length") * F.col("n_docs")), "length-counts")
     return suffix_sums(counts, block)

@@ -133,7 +133,7 @@ def _segments(docs: Iterator[tuple[int | None, np.ndarray]]) -> Iterator[pd.Data
         yield close()
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", added_tokens: bool = False) -> None:
     """Encode every whole text, append ``end_id`` and write the ids in ascending document order."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -141,7 +141,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str =
         F.col("doc_id").asc_nulls_first(), "text"
     )
     def documents(batches) -> Iterator[tuple[int | None, np.ndarray]]:
-        enc, end = encoder(tokenizer), np.array([end_id], np.uint32)
+        enc, end = encoder(tokenizer, added_tokens), np.array([end_id], np.uint32)
         for batch in batches:
             for part in slices(batch, "text"):
                 ids, counts = enc.encode(part.column("text"))

@@ -4,7 +4,9 @@ Byte-level BPE never merges across the words of its pre-tokenizer, and a blank
 before a visible character always begins a new word. A text is therefore cut
 at those blanks (and at line ends between visible characters) and the ids of a
 text are gathered from its pieces; the library's model encodes every distinct
-word once. The ids equal those of one call over the whole text.
+word once. The strings of the file's added tokens are ordinary text, unless
+``added_tokens`` is set: then a text that holds one goes through the library
+whole, and the ids equal those of ``encode(text, add_special_tokens=False)``.
 """
 
 from __future__ import annotations
@@ -122,12 +124,14 @@ def _plain_literal(piece: str) -> str | None:
 class Encoder:
     """Ids of many texts at a time; keeps the words it has met, within fixed bounds."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
 
-        self.words = _Words(Tokenizer.from_file(path))
+        self.tokenizer = Tokenizer.from_file(path)
+        self.words = _Words(self.tokenizer)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content] if added_tokens else []
         self.cut = regex.compile(public_tokenizers.PATTERN).findall
         self.plain = _Pieces(self._encode_piece, _plain_literal)
         self.spaced = _Pieces(self._encode_piece, lambda piece: piece)
@@ -144,6 +148,29 @@ class Encoder:
         if len(self.words) > MEMO_PIECES:
             self.words.clear()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if self.added:
+            held = np.zeros(len(texts), bool)
+            for content in self.added:
+                held |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+            if held.any():
+                return self._with_added(texts, held)
+        return self._encode_ordinary(texts)
+
+    def _with_added(self, texts: pa.Array, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Texts that hold an added token go through the library, each in one call; the others as ever."""
+        more = [np.array(self.tokenizer.encode(texts[int(i)].as_py(), add_special_tokens=False).ids, np.uint32) for i in np.flatnonzero(held)]
+        rest, counts = self._encode_ordinary(texts.filter(pa.array(~held)))
+        total = np.zeros(len(texts), np.int64)
+        total[~held], total[held] = counts, [len(x) for x in more]
+        out = np.empty(int(total.sum()), np.uint32)
+        is_held = np.repeat(held, total)
+        out[is_held], out[~is_held] = np.concatenate(more), rest
+        return out, total
+
+    def _encode_ordinary(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts without nulls, added tokens' strings as ordinary text."""
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         # a line end in front makes the first piece one like those after line ends; its id goes again below
         line_end, nothing = (pa.scalar(x, pa.large_string()) for x in ("\n", ""))
         framed = pc.binary_join_element_wise(line_end, pc.replace_substring(texts, "\n", " \n"), nothing)
@@ -180,9 +207,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added_tokens: bool = False) -> Encoder:
     """One encoder for each worker process and file."""
-    return Encoder(path)
+    return Encoder(path, added_tokens)
 
 
 def ids_crc32(ids: np.ndarray) -> int:
