@@ -5,7 +5,7 @@ import public_tokenizers
 import numpy as np
 import pytest
 
-from tidemark.llm import queries
+from tidemark.llm import line_dedup, queries
 from tidemark.llm.tokens import Encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -39,3 +39,16 @@ def test_queries_count_added_tokens_as_the_library(spark, tmp_path, library):
     assert sorted(n for r in counted for n in [r.length] * r.n_docs) == sorted(want)
     packed = queries.op3_best_fit_packing(spark, str(tmp_path)).collect()
     assert sum(r.length for r in packed) == sum(want) + len(want)
+
+
+def test_line_dedup_keeps_every_wordless_line(spark):
+    rows = [
+        (1, "a one\n\nb two\n\n\nc three\n \n \nd four"),
+        (2, "\n\nnew line\n\na one\nnew line\n\nother words\n"),
+        (3, "b two\n\n\nc three"),
+        (4, None),
+        (5, ""),
+        (6, "same same\nsame same\n\nsame same"),
+    ]
+    got = {r.doc_id: r.text for r in line_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "\n\nnew line\n\n\nother words\n", 3: "\n", 4: None, 5: "", 6: "same same\n"}

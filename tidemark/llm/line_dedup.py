@@ -199,12 +199,37 @@ def kept_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_
     return left.groupBy("doc").agg(F.sort_array(F.collect_list("at")).alias("kept"))
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once (a lambda would compute it again for every element)."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _first_places(lines: Column) -> Column:
+    """For each distinct line, in order, its first place among all lines."""
+
+    def of_sorted(placed: Column) -> Column:
+        first = F.filter(placed, lambda x, j: (j == 0) | (F.get(placed, j - 1)["line"] != x["line"]))
+        return F.sort_array(F.transform(first, lambda x: x["i"]))
+
+    return _bound(F.sort_array(F.transform(lines, lambda line, i: F.struct(line.alias("line"), i.alias("i")))), of_sorted)
+
+
+def text_of_kept(text: Column, places: Column) -> Column:
+    """The text with its lines without a word and the distinct lines at ``places``, each where it first stands."""
+
+    def joined(lines: Column) -> Column:
+        firsts = F.when(F.size(F.array_distinct(lines)) == F.size(lines), F.sequence(F.lit(0), F.size(lines) - 1)).otherwise(_first_places(lines))
+        at = _bound(firsts, lambda first: F.transform(places, lambda k: F.get(first, k)))
+        wordless = lambda line: ~line.rlike("[^\\x20\\x09-\\x0D]")
+        return _bound(at, lambda stay: F.array_join(F.filter(lines, lambda line, i: wordless(line) | F.array_contains(stay, i)), "\n"))
+
+    return _bound(F.split(text, "\n"), joined)
+
+
 def deduplicate(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with the removed lines taken out of their texts; all columns stay."""
+    """The documents with the removed lines taken out of their texts; all columns and all lines without a word stay."""
     kept = cut(kept_lines(docs, percent, id_col, text_col), "kept")
-    wordless = lambda line: ~line.rlike("[^\\x20\\x09-\\x0D]")
     places = F.coalesce(F.col("llm_kept.kept"), F.array().cast("array<int>"))
-    lines = F.filter(distinct_lines(F.col(f"llm_docs.{text_col}")), lambda line, i: wordless(line) | F.array_contains(places, i))
-    text = F.when(F.col(f"llm_docs.{id_col}").isNull(), F.col(f"llm_docs.{text_col}")).otherwise(F.array_join(lines, "\n"))
+    text = F.when(F.col(f"llm_docs.{id_col}").isNull(), F.col(f"llm_docs.{text_col}")).otherwise(text_of_kept(F.col(f"llm_docs.{text_col}"), places))
     met = docs.alias("llm_docs").join(kept.alias("llm_kept"), F.col(f"llm_docs.{id_col}") == F.col("llm_kept.doc"), "left")
     return met.select(*(text.alias(c) if c == text_col else F.col(f"llm_docs.{c}").alias(c) for c in docs.columns))
