@@ -1,5 +1,6 @@
 """What the operators must do beyond their first tests: cases that an earlier version cut short."""
 
+import corpus_pipeline
 import pyarrow as pa
 import public_tokenizers
 import numpy as np
@@ -52,3 +53,11 @@ def test_line_dedup_keeps_every_wordless_line(spark):
     ]
     got = {r.doc_id: r.text for r in line_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: rows[0][1], 2: "\n\nnew line\n\n\nother words\n", 3: "\n", 4: None, 5: "", 6: "same same\n"}
+
+
+def test_near_duplicates_link_at_five_words_and_eight_tenths(spark):
+    base = [f"w{i}" for i in range(200)]
+    near = ["changed" + w if i in (20, 70, 120, 170) else w for i, w in enumerate(base)]  # five-word 0.815, three-word 0.886
+    far = ["changed" + w if i % 30 == 10 else w for i, w in enumerate(base)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate((base, near, far))], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()) == [0, 2]
