@@ -1,12 +1,16 @@
 """What the operators must do beyond their first tests: cases that an earlier version cut short."""
 
+import collections
+
 import corpus_pipeline
 import pyarrow as pa
 import public_tokenizers
 import numpy as np
 import pytest
 
-from tidemark.llm import line_dedup, queries
+from pyspark.sql import functions as F
+
+from tidemark.llm import line_dedup, queries, suffix_tree_lm
 from tidemark.llm.tokens import Encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -61,3 +65,42 @@ def test_near_duplicates_link_at_five_words_and_eight_tenths(spark):
     far = ["changed" + w if i % 30 == 10 else w for i, w in enumerate(base)]
     docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate((base, near, far))], "doc_id long, text string")
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()) == [0, 2]
+
+
+def lm_corpus(n):
+    rng = np.random.default_rng(11)
+    vocabulary = [f"{a}{b}{c}" for a in ("st", "pl", "qu", "é") for b in ("a", "ea", "o") for c in ("r", "nd", "st", "")]
+    return [(i, " ".join(vocabulary[k] for k in rng.geometric(0.06, 40) % len(vocabulary)) if i % 9 else None) for i in range(n)]
+
+
+def automaton_of(texts, depth, min_count, min_gain, smooth):
+    """The model by ``learn``, from all contexts that occur often enough."""
+    code, n = suffix_tree_lm.windows(pa.array(texts, pa.string()), depth)
+    grams, contexts = collections.Counter(), collections.Counter()
+    for w, k in zip(code.tolist(), n.tolist(), strict=True):
+        for size in range(depth + 1):
+            grams[size, w & (1 << 8 * (size + 1)) - 1] += k
+    for (size, gram), k in grams.items():
+        contexts[size, gram >> 8] += k
+    kept = [(size, gram, k) for (size, gram), k in grams.items() if not size or contexts[size, gram >> 8] >= min_count]
+    return suffix_tree_lm.learn(*(np.array(x, np.int64) for x in zip(*kept, strict=True)), depth, min_gain / n.sum(), smooth)
+
+
+@pytest.mark.parametrize("split_bytes", [32 << 20, 500])
+def test_lm_scores_equal_the_automaton(spark, monkeypatch, split_bytes):
+    monkeypatch.setattr(suffix_tree_lm, "SPLIT_BYTES", split_bytes)
+    rows = [*lm_corpus(60), (60, "zzz unseen \U0001f600 words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in suffix_tree_lm.score(docs, F.col("doc_id") < 40, depth=4, min_count=5, min_gain=2.0, smooth=3.0).collect()}
+    tree = automaton_of([t for _, t in rows[:40]], 4, 5, 2.0, 3.0)
+    want = tree.scores(pa.array([t for _, t in rows], pa.string()))
+    assert np.allclose([got[i] for i, _ in rows], want, rtol=1e-4)
+
+
+def test_lm_keeps_contexts_that_any_corpus_size_makes_rare(spark):
+    """A phrase of a rare source is learned though its share of a larger corpus is small."""
+    rare = [(10_000 + i, "xqxq zvzv") for i in range(30)]
+    common = [(i, "some plain words of the common source " * 500) for i in range(400)]  # 7.6 million symbols
+    docs = spark.createDataFrame([*common, *rare], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in suffix_tree_lm.score(docs, F.lit(True)).collect()}
+    assert got[10_000] > -12  # about -50 by single bytes

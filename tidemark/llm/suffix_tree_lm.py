@@ -1,18 +1,20 @@
 """LM scoring: a probabilistic suffix tree over the bytes of lower-cased words.
 
 A text is the bytes of its words, a blank after each, and one end symbol. The
-tree holds contexts of up to ``depth`` bytes. A context is a candidate if its
-share of all training symbols is at least ``p_min`` (so there are at most
-depth / p_min of them, whatever the corpus), and is kept if its next-symbol
-distribution diverges from that of its longest proper suffix by more than
-``divergence`` (Kullback-Leibler, weighted by the context's share). The
-distribution of a kept context is smoothed with that of its parent. A symbol is
-scored in the state that is the longest kept suffix of what stands before it.
-
-Counting covers all training texts: byte windows are counted in Spark and summed
-for every context length. For scoring, the tree becomes an automaton (state,
-byte) -> (state, log probability), run over many pieces of text in step; a piece
-starts ``depth`` bytes early, which fixes its state.
+tree holds contexts of up to ``depth`` bytes (windows of ``depth`` + 1 are packed
+in one long). A context is kept if it occurs at least ``min_count`` times and its
+next symbols are told better by its own distribution than by that of its longest
+kept proper suffix: by more than ``min_gain`` in natural log likelihood over all
+its occurrences. Both are counts, not shares, so the tree grows with the corpus.
+The distribution of a kept context is smoothed with that of its parent. A symbol
+is scored in the state that is the longest kept suffix of what stands before it.
+
+All of it is tables in Spark. The texts are numbered and written, with a split
+number for about ``SPLIT_BYTES`` of them each; every split's distinct windows are
+counted. For each context length, grams (context and symbol) that stand in any
+text get their probability from the grams one byte shorter, by a join. The
+probabilities of the windows then meet the splits that hold them, and each split's
+texts are looked up in its own windows alone.
 
 Beside the score stands the unigram base of the words. Words that make up at
 least ``p_word`` of the training tokens (at most 1 / p_word of them, of up to
@@ -35,12 +37,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER_SPLIT_ON_BLANKS, cut, map_arrow, ranges, slices, spans_to_rows, words
+from tidemark.llm.common import LOWER_SPLIT_ON_BLANKS, cut, drop, map_arrow, partitions_for, ranges, slices, spans_to_rows, words
 
 END = 10  # a line end: no word holds one
 BLANK = 32
 STEP = 512  # bytes of a piece that are scored
 COUNT_SLICE = 12 << 20
+SPLIT_BYTES = 32 << 20  # of texts whose windows are looked up together
 
 
 def stream(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,28 +85,100 @@ def windows(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(code[ranges(first, total - depth)], return_counts=True)
 
 
-def window_counts(docs: DataFrame, text_col: str, depth: int) -> DataFrame:
-    """window, n over all texts."""
+def placed_texts(docs: DataFrame, training: Column, id_col: str, text_col: str) -> DataFrame:
+    """split, number, doc_id, learned, text: every row with a number of its own and that of its split."""
 
     def run(batches):
+        task, rows, held, split = TaskContext.get().partitionId(), 0, 0, 0
         for batch in batches:
-            for part in slices(batch, "text", COUNT_SLICE):
-                code, n = windows(part.column("text"), depth)
-                yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["window", "n"])
+            for part in slices(batch, "text"):
+                n = len(part)
+                whole = [pa.array(np.full(n, task << 32 | split)), pa.array((task << 36) + rows + np.arange(n))]
+                yield pa.RecordBatch.from_arrays([*whole, *part.columns], ["split", "number", *part.schema.names])
+                rows += n
+                held += pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
+                if held >= SPLIT_BYTES:
+                    held, split = 0, split + 1
 
-    rows = docs.select(F.col(text_col).cast("string").alias("text"))
-    return map_arrow(rows, run, "window long, n long").groupBy("window").agg(F.sum("n").alias("n"))
+    columns = (F.col(id_col).cast("long").alias("doc_id"), F.coalesce(training, F.lit(False)).alias("learned"), F.col(text_col).cast("string").alias("text"))
+    return map_arrow(docs.select(*columns), run, "split long, number long, doc_id long, learned boolean, text string")
+
+
+def split_windows(texts: DataFrame, depth: int) -> DataFrame:
+    """split, window, n: the distinct windows of every split, and how often training texts hold them."""
+
+    def run(batches):
+        split, codes, counts = None, [], []
 
+        def close():
+            window, row = np.unique(np.concatenate(codes), return_inverse=True)
+            n = np.bincount(row, weights=np.concatenate(counts), minlength=len(window)).astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(window), split)), pa.array(window), pa.array(n)], ["split", "window", "n"])
 
-def context_counts(counted: DataFrame, depth: int, p_min: float) -> DataFrame:
-    """size, gram (context and next symbol), n for every context with a share of at least ``p_min``."""
-    sizes = F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("size")
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("size") + 1) * 8) - 1
-    grams = counted.select(sizes, "window", "n").groupBy("size", F.col("window").bitwiseAND(mask).alias("gram")).agg(F.sum("n").alias("n"))
-    of_context = Window.partitionBy("size", F.shiftright("gram", 8))  # at most 256 rows
-    grams = grams.withColumn("of", F.sum("n").over(of_context))
-    symbols = counted.agg(F.sum("n")).first()[0] or 0
-    return grams.filter(F.col("of") >= p_min * symbols).select("size", "gram", "n")
+        for batch in batches:
+            of = batch.column("split").to_numpy()
+            ends = [*(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)] if len(of) else []
+            for a, b in zip([0, *ends[:-1]], ends, strict=False):
+                if codes and of[a] != split:
+                    yield close()
+                    codes, counts = [], []
+                split = int(of[a])
+                for part in slices(batch.slice(a, b - a), "text", COUNT_SLICE):
+                    for learned in (True, False):
+                        texts = part.column("text").filter(pc.equal(part.column("learned"), learned))
+                        if len(texts):
+                            code, n = windows(texts, depth)
+                            codes.append(code)
+                            counts.append(n * learned)
+                if len(codes) >= 8:  # slices of a split have most windows in common
+                    window, row = np.unique(np.concatenate(codes), return_inverse=True)
+                    counts = [np.bincount(row, weights=np.concatenate(counts), minlength=len(window)).astype(np.int64)]
+                    codes = [window]
+        if codes:
+            yield close()
+
+    return map_arrow(texts.select("split", "learned", "text"), run, "split long, window long, n long")
+
+
+def gram_probabilities(counted: DataFrame, depth: int, min_count: int, min_gain: float, smooth: float) -> DataFrame:
+    """gram (context of ``depth`` bytes and next symbol), p: the model's probability of each of the windows.
+
+    ``counted`` has each window with its number in training texts, which may be 0.
+    """
+    tables = [cut(counted.select(F.col("window").alias("gram"), "n"), "grams", release=True)]
+    for size in range(depth - 1, -1, -1):
+        shorter = F.col("gram").bitwiseAND((1 << 8 * (size + 1)) - 1)
+        tables.append(cut(tables[-1].groupBy(shorter.alias("gram")).agg(F.sum("n").alias("n")), "grams"))
+    symbols = tables[-1].agg(F.sum("n")).first()[0] or 0
+    found = tables[-1].select("gram", ((F.col("n") + 0.5) / F.lit(symbols + 128.0)).alias("p"))
+    of_context = Window.partitionBy("context")  # at most 256 rows
+    for size in range(1, depth + 1):
+        parent = found.select(F.col("gram").alias("shorter"), "p")
+        rows = tables[depth - size].withColumn("shorter", F.col("gram").bitwiseAND((1 << 8 * size) - 1)).join(parent, "shorter")
+        rows = rows.select("gram", "n", "p", F.shiftright("gram", 8).alias("context"))
+        gained = F.when(F.col("n") > 0, F.col("n") * F.log(F.col("n") / F.col("p"))).otherwise(0.0)
+        rows = rows.select("gram", "n", "p", F.sum("n").over(of_context).alias("total"), F.sum(gained).over(of_context).alias("told"))
+        total = F.col("total")
+        keep = (total >= max(1, min_count)) & (F.col("told") - total * F.log(F.greatest(total, F.lit(1))) > min_gain)
+        own = (F.col("n") + smooth * F.col("p")) / (total + smooth)
+        found = cut(rows.select("gram", F.when(keep, own).otherwise(F.col("p")).alias("p")), "probabilities", release=True)
+    drop(*tables)
+    return found
+
+
+def window_scores(texts: pa.Array, depth: int, window: np.ndarray, log10: np.ndarray) -> np.ndarray:
+    """log10 probability of each text from those of its windows (in ascending order)."""
+    symbols, total = stream(texts, depth)
+    if not len(total):
+        return np.zeros(0)
+    code = np.zeros(len(symbols) - depth, np.int64)
+    for k in range(depth + 1):
+        code = code << 8 | symbols[k : k + len(code)]
+    scored = total - depth
+    code = code[ranges(np.cumsum(total) - total, scored)]
+    order = np.argsort(code)  # in order, neighbours are looked up in the same memory
+    at = np.searchsorted(window, code[order])
+    return np.bincount(spans_to_rows(scored)[order], weights=log10[at], minlength=len(total))
 
 
 @dataclass
@@ -144,7 +219,10 @@ class Automaton:
 
 
 def learn(size: np.ndarray, gram: np.ndarray, n: np.ndarray, depth: int, divergence: float, smooth: float) -> Automaton:
-    """Divergence tests, smoothing and the automaton, from the counts of the candidate contexts."""
+    """The same model in one process, for a small corpus: tests, smoothing and the automaton from candidate contexts' counts.
+
+    ``divergence`` is the least gain as a share of all training symbols.
+    """
     seen = np.unique(np.concatenate([gram[size == 0], [END, BLANK]]).astype(np.int64))
     symbol = np.full(256, len(seen), np.int64)  # bytes that training lacks share the last column
     symbol[seen] = np.arange(len(seen))
@@ -220,65 +298,86 @@ def score(
     id_col: str = "doc_id",
     text_col: str = "text",
     depth: int = 6,
-    p_min: float = 1e-5,
-    divergence: float = 2e-8,
+    min_count: int = 8,
+    min_gain: float = 1.0,
     smooth: float = 4.0,
     p_word: float = 1e-5,
 ) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score for every text."""
     spark = docs.sparkSession
-    learned = docs.filter(training)
-    counted = cut(window_counts(learned, text_col, depth), "windows")
-    grams = context_counts(counted, depth, p_min).toArrow()
-    tree = learn(*(grams.column(c).to_numpy() for c in ("size", "gram", "n")), depth, divergence, smooth)
-    del grams
-    known = cut(word_counts(learned, text_col), "words")
+    placed = cut(placed_texts(docs, training, id_col, text_col), "texts")
+    learned = placed.filter("learned")
+    held = cut(split_windows(placed, depth), "windows")
+    counted = held.groupBy("window").agg(F.sum("n").alias("n"))
+    found = gram_probabilities(counted, depth, min_count, min_gain, smooth)
+    log10 = found.select(F.col("gram").alias("window"), F.log10("p").cast("float").alias("log10"))
+    looked_up = cut(held.select("split", "window").join(log10, "window").select("split", "window", "log10"), "split-windows", release=True)
+    drop(held, found)
+    known = cut(word_counts(learned, "text"), "words")
     n_texts = learned.count()  # each has one end
     row = known.agg(F.sum("n"), F.count("*")).first()
     n_all, n_distinct = (row[0] or 0) + n_texts, row[1] + (n_texts > 0)
     frequent = known.filter((F.col("n") >= p_word * n_all) & (F.octet_length("word") <= 64)).toArrow()
     table = dict(zip(frequent.column("word").to_pylist(), frequent.column("n").to_pylist(), strict=True))
-    shared = spark.sparkContext.broadcast((tree, table))
+    shared = spark.sparkContext.broadcast(table)
     room = n_all + 0.5 * (n_distinct + 1)
 
     def run(batches):
-        automaton, often = shared.value
-        task, rows = TaskContext.get().partitionId() << 36, 0
+        often = shared.value
+        split, window, log10 = None, [], []
         for batch in batches:
-            for part in slices(batch, "text"):
-                texts = part.column("text")
-                codes, vocabulary, counts = words(texts, LOWER_SPLIT_ON_BLANKS)
-                n = len(counts)
-                c = np.fromiter((often.get(w, 0) for w in vocabulary), np.float64, len(vocabulary))
-                row = spans_to_rows(counts)
-                is_often = c[codes] > 0 if len(codes) else np.zeros(0, bool)
-                base = np.bincount(row[is_often], weights=np.log10((c[codes[is_often]] + 0.5) / room), minlength=n)
-                base = base + np.log10((n_texts + 0.5) / room)
-                n_often = np.bincount(row[is_often], minlength=n)
-                number = task + rows + np.arange(n)
-                rows += n
-                # a text's own row has a "word" that no text holds, so it joins with none
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(number),
-                        pa.array([f" {i}" for i in number.tolist()]),
-                        part.column("doc_id"),
-                        pa.array(counts + 1),
-                        pa.array(n_often + (n_texts > 0)),
-                        pa.array(base),
-                        pa.array(automaton.scores(texts)),
-                    ],
-                    NAMES,
-                )
-                pairs, times = np.unique(row[~is_often] * len(vocabulary) + codes[~is_often], return_counts=True)
-                if len(pairs):
-                    nothing = pa.nulls(len(pairs), pa.float64())
-                    seldom = pa.array(vocabulary, pa.string()).take(pa.array(pairs % len(vocabulary)))
-                    where = number[pairs // len(vocabulary)]
-                    whole = pa.nulls(len(pairs), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(where), seldom, whole, pa.array(times, pa.int64()), whole, nothing, nothing], NAMES)
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+            of, is_text = batch.column("split").to_numpy(), batch.column("number").is_valid().to_numpy(zero_copy_only=False)
+            ends = [*(np.flatnonzero((np.diff(of) != 0) | (np.diff(is_text.astype(np.int8)) != 0)) + 1).tolist(), len(of)] if len(of) else []
+            for a, b in zip([0, *ends[:-1]], ends, strict=False):
+                if of[a] != split:
+                    split, window, log10 = of[a], [], []
+                some = batch.slice(a, b - a)
+                if not is_text[a]:
+                    window.append(some.column("window").to_numpy())
+                    log10.append(some.column("log10").to_numpy())
+                    continue
+                if len(window) > 1:
+                    window, log10 = [np.concatenate(window)], [np.concatenate(log10)]
+                for part in slices(some, "text"):
+                    yield from scored(part, often, window[0], log10[0])
+
+    def scored(part, often, window, log10):
+        texts = part.column("text")
+        codes, vocabulary, counts = words(texts, LOWER_SPLIT_ON_BLANKS)
+        n = len(counts)
+        c = np.fromiter((often.get(w, 0) for w in vocabulary), np.float64, len(vocabulary))
+        row = spans_to_rows(counts)
+        is_often = c[codes] > 0 if len(codes) else np.zeros(0, bool)
+        base = np.bincount(row[is_often], weights=np.log10((c[codes[is_often]] + 0.5) / room), minlength=n)
+        base = base + np.log10((n_texts + 0.5) / room)
+        n_often = np.bincount(row[is_often], minlength=n)
+        number = part.column("number").to_numpy()
+        # a text's own row has a "word" that no text holds, so it joins with none
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(number),
+                pa.array([f" {i}" for i in number.tolist()]),
+                part.column("doc_id"),
+                pa.array(counts + 1),
+                pa.array(n_often + (n_texts > 0)),
+                pa.array(base),
+                pa.array(window_scores(texts, depth, window, log10)),
+            ],
+            NAMES,
+        )
+        pairs, times = np.unique(row[~is_often] * len(vocabulary) + codes[~is_often], return_counts=True)
+        if len(pairs):
+            nothing = pa.nulls(len(pairs), pa.float64())
+            seldom = pa.array(vocabulary, pa.string()).take(pa.array(pairs % len(vocabulary)))
+            where = number[pairs // len(vocabulary)]
+            whole = pa.nulls(len(pairs), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(where), seldom, whole, pa.array(times, pa.int64()), whole, nothing, nothing], NAMES)
+
+    nothing = lambda kind: F.lit(None).cast(kind)
+    tables = looked_up.select("split", "window", "log10", nothing("long").alias("number"), nothing("long").alias("doc_id"), nothing("string").alias("text"))
+    rows = tables.unionByName(placed.drop("learned"), allowMissingColumns=True)
+    # a split's windows, in ascending order, then its texts
+    rows = rows.repartition(partitions_for(spark), "split").sortWithinPartitions("split", F.col("window").asc_nulls_last())
     parts = map_arrow(rows, run, "number long, word string, doc_id long, times long, n_often long, base double, score double")
     seldom = F.col("score").isNull()
     count = F.coalesce(F.col("n"), F.lit(0))
