@@ -104,3 +104,23 @@ def test_lm_keeps_contexts_that_any_corpus_size_makes_rare(spark):
     docs = spark.createDataFrame([*common, *rare], "doc_id long, text string")
     got = {r.doc_id: r.score for r in suffix_tree_lm.score(docs, F.lit(True)).collect()}
     assert got[10_000] > -12  # about -50 by single bytes
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark, tmp_path):
+    rows = [(7, "first line of seven\nsecond thing here"), (7, "other words entirely\nsecond thing here\nthe last"), (3, "first line of seven"), (None, "the last")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in line_dedup.deduplicate(docs).collect()]
+    assert collections.Counter(d for d, _ in got) == collections.Counter(d for d, _ in rows) and (None, "the last") in got
+    lines = [x for d, t in got if d is not None for x in t.split("\n") if x]
+    assert sorted(lines) == ["first line of seven", "other words entirely", "second thing here", "the last"]
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.op9_line_dedup(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0, r.n_lines) for r in found) == [(0, 1), (3, 1), (7, 2), (7, 3)]
+    assert sum(r.n_kept for r in found) == 4
+
+
+def test_near_duplicates_of_one_id(spark):
+    base = " ".join(f"w{i}" for i in range(50))
+    docs = spark.createDataFrame([(1, base), (5, base + " more"), (5, "nothing like the others at all"), (9, "twice the same text here ok"), (9, "twice the same text here ok")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.text) for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect())
+    assert got == [(1, base), (5, "nothing like the others at all"), (9, "twice the same text here ok")]

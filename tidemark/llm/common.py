@@ -80,6 +80,21 @@ def drop(*tables: DataFrame) -> None:
         remove_path(table.sparkSession, table.cut_path)
 
 
+def named_rows(docs: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
+    """``docs`` with column ``name``: a number of the row that no other row has, in the order of the ids.
+
+    Where no id repeats, that is the id; else the numbered rows are written, so
+    that the numbers stay. Rows without an id have none.
+    """
+    named = F.col(id_col).cast("long")
+    given = docs.filter(named.isNotNull()).groupBy(named.alias("id")).agg(F.count("*").alias("n"))
+    if given.filter("n > 1").isEmpty():
+        return docs.withColumn(name, named)
+    order = [named.asc_nulls_first(), F.xxhash64(text_col)]
+    ordered = docs.repartitionByRange(partitions_for(docs.sparkSession), *order).sortWithinPartitions(*order)
+    return cut(ordered.withColumn(name, F.when(named.isNotNull(), F.monotonically_increasing_id())), "named")
+
+
 def partitions_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -19,7 +19,8 @@ each of its prefix groups, at most that many rows a prefix token; only lines
 that this leaves are held against the later lines of groups that have more.
 
 Nulls: a null text has no lines. Rows with a null id are passed through whole.
-Rows that share an id count as one place: a line's first place is all of them.
+``kept_lines`` takes ids that do not repeat (``named_rows`` gives such); ``deduplicate``
+names rows that share an id each for itself.
 An empty table gives an empty table.
 """
 
@@ -29,7 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, drop
+from tidemark.llm.common import cut, drop, named_rows
 
 SLOTS = 1 << 18
 FILTER_SLOTS = 6 << 18
@@ -227,9 +228,13 @@ def text_of_kept(text: Column, places: Column) -> Column:
 
 
 def deduplicate(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with the removed lines taken out of their texts; all columns and all lines without a word stay."""
-    kept = cut(kept_lines(docs, percent, id_col, text_col), "kept")
+    """The documents with the removed lines taken out of their texts; all columns and all lines without a word stay.
+
+    Rows that share an id are documents of their own.
+    """
+    rows = named_rows(docs, id_col, text_col, "llm_row")
+    kept = cut(kept_lines(rows, percent, "llm_row", text_col), "kept")
     places = F.coalesce(F.col("llm_kept.kept"), F.array().cast("array<int>"))
     text = F.when(F.col(f"llm_docs.{id_col}").isNull(), F.col(f"llm_docs.{text_col}")).otherwise(text_of_kept(F.col(f"llm_docs.{text_col}"), places))
-    met = docs.alias("llm_docs").join(kept.alias("llm_kept"), F.col(f"llm_docs.{id_col}") == F.col("llm_kept.doc"), "left")
+    met = rows.alias("llm_docs").join(kept.alias("llm_kept"), F.col("llm_docs.llm_row") == F.col("llm_kept.doc"), "left")
     return met.select(*(text.alias(c) if c == text_col else F.col(f"llm_docs.{c}").alias(c) for c in docs.columns))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, jaccard_join, language_id, line_dedup, packing, quality_classifier, repetition, suffix_tree_lm, token_counts, token_store
-from tidemark.llm.common import crc_fold
+from tidemark.llm.common import crc_fold, named_rows
 from tidemark.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -64,10 +64,10 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines (distinct lines) and the places of those that stay."""
-    docs = table(spark, sf_dir, "documents")
-    kept = line_dedup.kept_lines(docs.select("doc_id", "text"), percent=80)
-    sizes = docs.select("doc_id", F.coalesce(F.size(line_dedup.distinct_lines(F.col("text"))), F.lit(0)).alias("n_lines"))
-    met = sizes.join(kept, sizes["doc_id"] == kept["doc"], "left")
+    docs = named_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", "row")
+    kept = line_dedup.kept_lines(docs, percent=80, id_col="row")
+    sizes = docs.select("doc_id", "row", F.coalesce(F.size(line_dedup.distinct_lines(F.col("text"))), F.lit(0)).alias("n_lines"))
+    met = sizes.join(kept, sizes["row"] == kept["doc"], "left")
     return met.select(
         "doc_id",
         F.greatest("n_lines", F.lit(0)).cast("long").alias("n_lines"),
