@@ -10,7 +10,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, queries, suffix_tree_lm
+from tidemark.llm import line_dedup, queries, suffix_tree_lm, token_counts
 from tidemark.llm.tokens import Encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -124,3 +124,18 @@ def test_near_duplicates_of_one_id(spark):
     docs = spark.createDataFrame([(1, base), (5, base + " more"), (5, "nothing like the others at all"), (9, "twice the same text here ok"), (9, "twice the same text here ok")], "doc_id long, text string")
     got = sorted((r.doc_id, r.text) for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect())
     assert got == [(1, base), (5, "nothing like the others at all"), (9, "twice the same text here ok")]
+
+
+def test_token_counts_at_any_limit(spark):
+    lengths = [3, 3, 10, 50, 0, 120]
+    rows = [(n, lengths.count(n), n * lengths.count(n)) for n in set(lengths)]
+    histogram = token_counts.suffix_sums(spark.createDataFrame(rows, "length long, n_docs long, tokens long"), block=16)
+    limits = [1, 3, 7, 49, 50, 119, 120, 4096]
+    got = {r.limit: tuple(r)[1:] for r in token_counts.at_limits(histogram, limits).collect()}
+    for k in limits:
+        fits = [n for n in lengths if n <= k]
+        cut_to = sum(min(n, k) for n in lengths)
+        assert got[k] == (len(fits), sum(fits), len(lengths) - len(fits), cut_to, sum(lengths) - cut_to)
+    above_least = token_counts.suffix_sums(spark.createDataFrame([(5, 2, 10)], "length long, n_docs long, tokens long"))
+    assert [tuple(r) for r in token_counts.at_limits(above_least, [2]).collect()] == [(2, 0, 0, 2, 4, 6)]
+    assert [tuple(r) for r in token_counts.at_limits(above_least.limit(0), [2]).collect()] == [(2, 0, 0, 0, 0, 0)]

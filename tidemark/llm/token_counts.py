@@ -2,7 +2,7 @@
 
 Every document is encoded once for its length; documents are then summed by
 length. Sums over the histogram from either end answer, for every context limit
-that is some document's length: how many documents fit, their tokens, the
+that is some document's length (``at_limits``: for any): how many documents fit, their tokens, the
 tokens left when longer ones are cut at the limit, and the share of documents.
 
 The histogram has at most one row a distinct length. Its running sums are taken
@@ -76,6 +76,31 @@ def suffix_sums(counts: DataFrame, block: int = 1024) -> DataFrame:
     )
 
 
+def at_limits(histogram: DataFrame, limits: list[int]) -> DataFrame:
+    """limit, docs_fitting, tokens_fitting, docs_longer, tokens_truncated, tokens_cut for any limits, a bounded list of them."""
+    spark = histogram.sparkSession
+    wanted = spark.createDataFrame([(int(n),) for n in sorted(set(limits))], "limit long")
+    fits = F.col("length") <= F.col("limit")
+    over = lambda c: F.coalesce(F.sum(F.when(~fits, F.col(c))), F.lit(0))
+    upto = lambda c: F.coalesce(F.sum(F.when(fits, F.col(c))), F.lit(0))
+    met = wanted.join(histogram.select("length", "n_docs", "tokens"), how="left").groupBy("limit")
+    summed = met.agg(
+        upto("n_docs").alias("docs_fitting"),
+        upto("tokens").alias("tokens_fitting"),
+        over("n_docs").alias("docs_longer"),
+        over("tokens").alias("longer"),
+    )
+    left = F.col("docs_longer") * F.col("limit")
+    return summed.select(
+        "limit",
+        "docs_fitting",
+        "tokens_fitting",
+        "docs_longer",
+        (F.col("tokens_fitting") + left).alias("tokens_truncated"),
+        (F.col("longer") - left).alias("tokens_cut"),
+    )
+
+
 def length_quantile(histogram: DataFrame, q: float) -> DataFrame:
     """The smallest length that at least the share ``q`` of the documents doesn't exceed."""
     return histogram.filter(F.col("quantile") >= q).agg(F.min("length").alias("length"))
