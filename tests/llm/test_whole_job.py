@@ -10,7 +10,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, queries, suffix_tree_lm, token_counts
+from tidemark.llm import line_dedup, quality_classifier, queries, suffix_tree_lm, token_counts
 from tidemark.llm.tokens import Encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -139,3 +139,16 @@ def test_token_counts_at_any_limit(spark):
     above_least = token_counts.suffix_sums(spark.createDataFrame([(5, 2, 10)], "length long, n_docs long, tokens long"))
     assert [tuple(r) for r in token_counts.at_limits(above_least, [2]).collect()] == [(2, 0, 0, 2, 4, 6)]
     assert [tuple(r) for r in token_counts.at_limits(above_least.limit(0), [2]).collect()] == [(2, 0, 0, 0, 0, 0)]
+
+
+def test_long_texts_train_the_classifier(spark):
+    good, bad = "plain calm prose about rivers and towns. ", "$$$ BUY!!! now*** 1234 %%% "
+    rows = [(i, "é" + (good if i % 2 else bad) * 600) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")  # half of no document
+    texts, y = quality_classifier.training_rows(docs, labels, F.lit(True), 30, 8192, "quality", "doc_id", "text")
+    assert len(texts) == 30 and 0 < sum(y) < 30 and {len(t) for t in texts} == {8192}
+    whole = {t.encode() for _, t in rows}
+    assert all(any(t in w for w in whole) for t in texts) and len(set(texts)) > 2
+    got = {r.doc_id: r.score for r in quality_classifier.classify(docs, labels, F.lit(True)).collect()}
+    assert all((got[i] > 0.5) == bool(i % 2) for i in range(40))

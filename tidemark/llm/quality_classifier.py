@@ -9,9 +9,10 @@ Scoring needs no embedding: the response to a pair of neighbouring bytes is one
 row of a table, so a place costs three lookups. Training follows the maxima
 back (only the places that won a chunk have a gradient) and uses Adam.
 
-The network is fitted on at most ``max_rows`` labelled documents of at most
-``max_bytes`` bytes, those with the smallest hash of their id; all else covers
-every document and byte. Labels, language, source and id are no inputs.
+The network is fitted on ``max_rows`` labelled documents (all, if there are fewer),
+those with the smallest hash of their id; of a text longer than ``max_bytes``
+bytes it takes a stretch of that size, at a place hashed from the id. All else
+covers every document and byte. Labels, language, source and id are no inputs.
 
 Nulls: a null text is an empty one and gets a score. A null label is no label;
 of several labels of one id the smallest counts. Without labelled rows every
@@ -162,13 +163,17 @@ def fit(texts: list[bytes], labels: list[int], d: int = 8, f: int = 16, epochs:
 def training_rows(
     docs: DataFrame, labels: DataFrame, usable: Column, max_rows: int, max_bytes: int, label_col: str, id_col: str, text_col: str
 ) -> tuple[list[bytes], list[int]]:
-    """At most ``max_rows`` labelled texts; their ids are chosen before any text is read."""
+    """``max_rows`` labelled texts or stretches of them; their ids are chosen before any text is read."""
     rows = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & usable)
     rows = rows.groupBy(F.col(id_col).alias("wanted")).agg(F.min(label_col).alias("y"))
+    rows = rows.join(docs.select(F.col(id_col).alias("wanted")), "wanted", "left_semi")  # labels of other documents take no place
     chosen = rows.orderBy(F.xxhash64("wanted"), "wanted").limit(max_rows)
     texts = docs.select(F.col(id_col).alias("wanted"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = texts.filter(F.octet_length("text") <= max_bytes).join(F.broadcast(chosen), "wanted")
-    got = sorted(found.select("wanted", F.col("text").cast("binary"), "y").collect(), key=lambda r: (r[0], r[1]))
+    found = texts.join(F.broadcast(chosen), "wanted")
+    spare = F.greatest(F.octet_length("text") - max_bytes, F.lit(0))
+    first = F.pmod(F.xxhash64("wanted", F.lit("stretch")), spare + 1).cast("int") + 1
+    stretch = F.col("text").cast("binary").substr(first, F.lit(max_bytes))
+    got = sorted(found.select("wanted", stretch, "y").collect(), key=lambda r: (r[0], r[1]))
     return [bytes(r[1]) for r in got], [int(r[2]) for r in got]
 
 
