@@ -9,8 +9,10 @@ import numpy as np
 import pytest
 
 from pyspark.sql import functions as F
+from test_operators import brute_components
 
 from tidemark.llm import line_dedup, quality_classifier, queries, suffix_tree_lm, token_counts
+from tidemark.llm.common import crc_fold
 from tidemark.llm.tokens import Encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -152,3 +154,69 @@ def test_long_texts_train_the_classifier(spark):
     assert all(any(t in w for w in whole) for t in texts) and len(set(texts)) > 2
     got = {r.doc_id: r.score for r in quality_classifier.classify(docs, labels, F.lit(True)).collect()}
     assert all((got[i] > 0.5) == bool(i % 2) for i in range(40))
+
+
+def pipeline_tables(folder, spark):
+    rng = np.random.default_rng(21)
+    vocabulary = [f"{a}{b}{c}" for a in ("ri", "ta", "mo", "sel", "ba") for b in ("ver", "lo", "nik", "da", "pu") for c in ("s", "ra", "t", "en", "")]
+    prose = lambda n: [vocabulary[k] for k in rng.integers(len(vocabulary), size=n)]
+    lines = lambda w, shift=0: "\n".join(" ".join(w[max(a, 0) : a + 12]) for a in range(-shift, len(w), 12) if w[max(a, 0) : a + 12])
+    texts = ["\n\n".join(" ".join(prose(25)) for _ in range(4)) + "\n" for _ in range(24)]
+    base = prose(200)
+    near, far = list(base), list(base)
+    for k in (20, 70, 120, 170):  # five-word similarity 0.815, three-word 0.886
+        near[k] = f"near{k}"
+    for k in range(10, 200, 30):
+        far[k] = f"far{k}"
+    texts += [lines(base), lines(near, 4), lines(far, 8)]
+    line = prose(20)
+    texts += [" ".join(line) + "\n\n" + " ".join(prose(20)), " ".join(prose(20)) + "\n\n\n" + " ".join([*line[:19], "other"]), " ".join(line)]
+    item = [f"item{k}" for k in range(14)]
+    texts += [" ".join(prose(9) + item[2:12] + prose(9)), " ".join(prose(9) + item[2:11] + prose(9)), "a <|endoftext|> b", None, ""]
+    texts += [" ".join(f"$$$ BUY{k}!!! {k * 7919} ***" for k in range(j, j + 40)) for j in range(0, 1200, 60)]
+    rows = [(i, t, "en", "web", len(t or "")) for i, t in enumerate(texts)]
+    labels = [(i, int("$$$" not in (t or "")), 0) for i, t in enumerate(texts) if t]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([("x", " ".join(item))], "item_id string, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return dict(enumerate(texts)), [x.lower() for x in item]
+
+
+def brute_line_stage(texts):
+    first = {}
+    for d in sorted(texts):
+        for i, line in enumerate((texts[d] or "").split("\n")):
+            if line.split():
+                first.setdefault(line, (d, i))
+    classes = sorted((p, set(line.split())) for line, p in first.items())
+    stay = {p for k, (p, s) in enumerate(classes) if not any(100 * len(s & e) >= 80 * len(s | e) for _, e in classes[:k])}
+    out = {}
+    for d, t in texts.items():
+        left = None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if not x.split() or (d, i) in stay)
+        if (left or "").split() or not (t or "").split():
+            out[d] = left
+    return out
+
+
+def test_pipeline_stages_equal_brute_force(spark, tmp_path, monkeypatch, library):
+    texts, item = pipeline_tables(str(tmp_path), spark)
+    found, real = {}, corpus_pipeline.cut
+    monkeypatch.setattr(corpus_pipeline, "cut", lambda df, name, **options: found.setdefault(name, real(df, name, **options)))
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    got = {name: {r.doc_id: r.text for r in found[name].collect()} for name, _ in corpus_pipeline.STAGES[:-1]}
+    docs, labels = (spark.read.parquet(f"{tmp_path}/{name}.parquet") for name in ("documents", "labels"))
+    scores = {r.doc_id: r.score for r in quality_classifier.classify(docs, labels, crc_fold() != 0).collect()}
+    want = {d: t for d, t in texts.items() if scores[d] >= 0.3}
+    assert got["quality_classifier"] == want and 24 <= len(want) < len(texts)
+    want = brute_line_stage(want)
+    assert got["line_dedup"] == want
+    assert all(r.n_chars == len(r.text) for r in found["line_dedup"].collect() if r.text is not None)
+    _, label = brute_components([(d, t) for d, t in want.items()], 80, 5)
+    want = {d: t for d, t in want.items() if label[d] == d}
+    assert got["near_duplicates"] == want and 24 in want and 25 not in want and 26 in want
+    windows = {tuple(item[i : i + 10]) for i in range(5)}
+    held = lambda t: any(tuple(w[i : i + 10]) in windows for w in [(t or "").lower().split()] for i in range(len(w)))
+    want = {d: t for d, t in want.items() if not held(t)}
+    assert got["decontamination"] == want and 30 not in want and 31 in want
+    assert {d: sum(r.length for r in packed if r.doc_id == d) for d in want} == {d: len(library(t)) + 1 for d, t in want.items()}
+    assert {r.doc_id for r in packed} == set(want)
