@@ -73,4 +73,50 @@ SELECT d.doc_id, coalesce(s.n_lines, 0) AS n_lines, coalesce(k.n_kept, 0) AS n_k
 FROM documents d LEFT JOIN sized s ON s.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 
-ORACLE_SQL = {"op6_decontamination": DECONTAMINATION, "op9_line_dedup": LINE_DEDUP}
+SOURCE_DIVERGENCE = """
+WITH docs AS (
+    SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+    FROM documents
+), occurring AS (
+    SELECT d, lang, source, term, count(*) AS n FROM (SELECT d, lang, source, unnest(terms) AS term FROM docs) GROUP BY ALL
+), kept AS (
+    SELECT lang, term, sum(n) AS n FROM occurring GROUP BY lang, term HAVING count(*) >= 3
+), lang_sums AS (
+    SELECT lang, sum(n) AS total, count(*) AS v FROM kept GROUP BY lang
+), groups AS (
+    SELECT DISTINCT lang, source FROM docs
+), dense AS (
+    SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS n
+    FROM groups g JOIN kept k USING (lang)
+    LEFT JOIN (SELECT lang, source, term, sum(n) AS n FROM occurring GROUP BY ALL) o
+        ON o.lang = g.lang AND o.source = g.source AND o.term = k.term
+), group_sums AS (
+    SELECT lang, source, sum(n) AS total FROM dense GROUP BY ALL
+), chances AS (
+    SELECT d.lang, d.source, d.term, d.n, 1 + 1000000000::HUGEINT * (d.n + 1)::HUGEINT // (s.total + l.v)::HUGEINT AS p,
+        1 + 1000000000::HUGEINT * (k.n + 1)::HUGEINT // (l.total + l.v)::HUGEINT AS q
+    FROM dense d JOIN group_sums s USING (lang, source) JOIN lang_sums l USING (lang) JOIN kept k USING (lang, term)
+), pairs AS (
+    SELECT g.lang, g.source, h.source AS item, coalesce(x.value, 0) AS value
+    FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+    LEFT JOIN (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+        FROM chances a JOIN chances b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    ) x ON x.lang = g.lang AND x.source = g.source AND x.item = h.source
+), ranked AS (
+    SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS r FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // q,
+        row_number() OVER (PARTITION BY lang, source ORDER BY (p - q) * (p - q) // q DESC, encode(term))
+    FROM chances WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR r <= 200
+"""
+
+ORACLE_SQL = {
+    "op6_decontamination": DECONTAMINATION,
+    "op9_line_dedup": LINE_DEDUP,
+    "op12_source_divergence": SOURCE_DIVERGENCE,
+}

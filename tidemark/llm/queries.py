@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, jaccard_join, language_id, line_dedup, packing, quality_classifier, repetition, suffix_tree_lm, token_counts, token_store
+from tidemark.llm import conversation_repair, decontamination, divergence_audit, jaccard_join, language_id, line_dedup, packing, quality_classifier, repetition, setsketch_dedup, suffix_tree_lm, token_counts, token_store
 from tidemark.llm.common import crc_fold, named_rows
 from tidemark.session import scratch_path
 
@@ -82,6 +82,19 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read(spark, path)
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=80, length=2)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_audit.audit(table(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    original = conversation_repair.rows_of(table(spark, sf_dir, "conversations"))
+    return conversation_repair.report(original, conversation_repair.damage(original, parts=20))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_lm_scoring": op2_lm_scoring,
@@ -93,4 +106,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_store": op10_token_store,
+    "op11_minhash_near_dedup": op11_minhash_near_dedup,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_conversation_repair": op13_conversation_repair,
 }
