@@ -79,7 +79,6 @@ def test_copies_on_odd_texts(spark):
 def test_copies_in_one_hot_group(spark, monkeypatch):
     """A group whose members link with the original, but hardly with each other, beside one of close copies."""
     monkeypatch.setattr(setsketch_dedup, "BLOCK", 16)
-    monkeypatch.setattr(setsketch_dedup, "PARTNERS", 8)
     rng = random.Random(5)
     base = [f"b{k}" for k in range(120)]
     other = [f"c{k}" for k in range(90)]

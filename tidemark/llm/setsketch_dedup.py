@@ -11,9 +11,9 @@ the threshold is beyond belief go. What is left is verified on the full sets.
 Equal sets are one node throughout. In each bucket of a band the smallest node is
 the hub, and a node is first held against the hub it shares most bands with, so a
 group of near copies costs one pair a node, however large. Buckets that then
-still hold nodes of several components are searched in blocks of bounded size,
-for pairs of different components only, a bounded number a node and round, until
-no such pair is left. Links are those of the full sets; a pair is missed only if
+still hold nodes of several components are searched in pairs of blocks of bounded
+size, for pairs of different components only; links that connect these leave the
+task, no pairs. Links are those of the full sets; a pair is missed only if
 all its bands differ (about 3 in a million at the threshold, before other paths).
 
 Nulls: a null or wordless text has the empty set, linked with nothing. A row with
@@ -31,15 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER_SPLIT_ON_BLANKS, cut, drop, map_arrow, mix64, named_rows, ship, slices, words
+from tidemark.llm.common import LOWER_SPLIT_ON_BLANKS, cut, drop, map_arrow, mix64, named_rows, ranges, ship, slices, words
 from tidemark.llm.components import components
 
 BANDS, ROWS = 42, 6
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 65534  # of the registers' scale; they hold 0 to TOP + 1
-DOUBT = 18.0  # log likelihood that a pair may lack at the threshold (six standard deviations)
-BLOCK = 512
-PARTNERS = 16
+DOUBT = 12.0  # log likelihood that a pair may lack at the threshold (about five standard deviations)
+BLOCK, BLOCK_SHINGLES = 512, 2_000_000
 FILTER_BITS = 1 << 22
 FACTORS = mix64(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -212,49 +211,77 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataF
     return rows.join(named, node, "left").withColumn(name, F.coalesce(name, node))
 
 
-def _search(percent: int, turn: int):
-    """Pairs of different components in two blocks of a bucket whose registers leave the threshold possible.
+def _differing(registers: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many registers of each of ``rows`` are greater and smaller than those of every set (at most 255 registers)."""
+    more, less = np.zeros((2, len(rows), len(registers)), np.uint8)
+    for r in np.ascontiguousarray(registers.T):
+        more += r[rows, None] > r[None, :]
+        less += r[rows, None] < r[None, :]
+    return more, less
 
-    A node's possible partners have an order that no turn changes; each turn takes the
-    next few of them. A row of nulls says that more are left.
+
+def _search(percent: int):
+    """Links between different components in two blocks of a bucket, as many as connect what they connect.
+
+    Registers choose the pairs, the full sets decide.
     """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        node, label, n = (group[c].to_numpy() for c in ("node", "label", "n"))
+        node, n = (group[c].to_numpy() for c in ("node", "n"))
+        names, of = np.unique(group["label"].to_numpy(), return_inverse=True)
+        rows = np.flatnonzero(of != np.bincount(of).argmax())  # every pair of components has one outside the largest
         registers = np.frombuffer(b"".join(group["registers"]), np.uint16).reshape(-1, REGISTERS)
-        more, less = np.zeros((2, len(node), len(node)), np.int32)
-        for r in registers.T:
-            more += r[:, None] > r[None, :]
-            less += r[:, None] < r[None, :]
-        i, j = np.nonzero(100 * np.minimum.outer(n, n) >= percent * np.maximum.outer(n, n))
-        best, some = estimate(more[i, j], less[i, j], n[i], n[j], percent / 100)
-        some &= i != j
-        i, j, best = i[some], j[some], best[some]
-        by = np.lexsort((node[j], -best, i))
-        i, j = i[by], j[by]
-        place = np.arange(len(i)) - np.searchsorted(i, i)
-        apart = label[i] != label[j]
-        now = apart & (place >= turn * PARTNERS) & (place < (turn + 1) * PARTNERS)
-        out = pd.DataFrame({"a": np.maximum(node[i[now]], node[j[now]]), "b": np.minimum(node[i[now]], node[j[now]])}, dtype="Int64").drop_duplicates()
-        if (apart & (place >= (turn + 1) * PARTNERS)).any():
-            out.loc[len(out)] = [pd.NA, pd.NA]
-        return out
+        more, less = _differing(registers, rows)
+        i, j = np.nonzero((of[rows, None] != of[None, :]) & (100 * np.minimum(n[rows, None], n) >= percent * np.maximum(n[rows, None], n)))
+        _, some = estimate(more[i, j], less[i, j], n[rows[i]], n[j], percent / 100)
+        i, j = rows[i[some]], j[some]
+        sizes = np.array([len(x) for x in group["shingles"]])
+        values, codes = np.unique(np.concatenate(group["shingles"].to_numpy()), return_inverse=True)
+        starts = np.cumsum(sizes) - sizes
+        held = np.zeros(len(values), bool)
+        links = []
+        for x in np.unique(i):
+            others = j[i == x]
+            others = others[of[others] != of[x]]
+            if not len(others):
+                continue
+            own = codes[starts[x] : starts[x] + sizes[x]]
+            held[own] = True
+            met = held[codes[ranges(starts[others], sizes[others])]]
+            held[own] = False
+            common = np.add.reduceat(met, np.cumsum(sizes[others]) - sizes[others], dtype=np.int64)
+            for y in others[100 * common >= percent * (sizes[x] + sizes[others] - common)]:
+                if of[y] != of[x]:
+                    links.append((max(node[x], node[y]), min(node[x], node[y])))
+                    of[of == of[y]] = of[x]
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return run
 
 
-def _leftover(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Pairs that hubs did not see, in buckets of several components; equal buckets are searched once."""
-    named = _labelled(buckets, labels, "node", "label")
+def _leftover(buckets: DataFrame, nodes: DataFrame, rows: DataFrame, labels: DataFrame, percent: int, length: int) -> DataFrame:
+    """Links that hubs did not see, in buckets of several components; equal buckets are searched once."""
+    named = _labelled(buckets, labels, "node", "label").join(nodes.select("node", "n"), "node")
     of_key = named.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.xxhash64("node", F.lit(1)) / 2).alias("y")
+        F.count("*").alias("size"),
+        F.sum("n").alias("weight"),
+        F.min("label").alias("lo"),
+        F.max("label").alias("hi"),
+        F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
     )
     mixed = of_key.filter((F.col("size") > 2) & (F.col("lo") != F.col("hi")))
-    once = mixed.groupBy("size", "x", "y").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("size") / BLOCK).alias("blocks"))
-    held = named.join(once, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("weight") / BLOCK_SHINGLES)).alias("blocks")
+    once = cut(mixed.groupBy("size", "weight", "x", "y").agg(F.min("key").alias("key")).select("key", blocks), "mixed-buckets")
+    held = named.drop("n").join(once, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     dealt = held.withColumn("other", other).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "label")
-    return dealt.join(nodes, "node").groupBy("key", "i", "j").applyInPandas(_search(percent, turn), "a long, b long")
+    dealt = cut(dealt, "dealt")
+    wanted = dealt.select("node").distinct()
+    sets = cut(nodes.join(sets_of(rows, wanted, length), "node"), "full-sets")
+    links = cut(dealt.join(sets, "node").groupBy("key", "i", "j").applyInPandas(_search(percent), "a long, b long"), "links")
+    drop(once, dealt, sets)
+    return links
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, length: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -286,15 +313,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, length: int = 2, id_col:
     labels = labels_of(links)
     apart = _labelled(_labelled(spokes, labels, "a", "of_a"), labels, "b", "of_b").filter(F.col("of_a") != F.col("of_b"))
     more = of(apart.select("a", "b").join(best, ["a", "b"], "left_anti"))
-    turn, left = 0, True
-    while True:
-        links = cut(links.unionByName(more), "links")
-        labels = labels_of(links)
-        if not left:
-            break
-        found = cut(_leftover(buckets, nodes, labels, percent, turn), "leftover")
-        left, turn = not found.filter(F.col("a").isNull()).isEmpty(), turn + 1
-        more = verified(found.filter(F.col("a").isNotNull()).distinct().join(spokes, ["a", "b"], "left_anti"), known, percent, length)
+    links = cut(links.unionByName(more), "links")
+    more = _leftover(buckets, nodes, known, labels_of(links), percent, length)
+    labels = labels_of(links.unionByName(more))
     reached = labels.join(classes.select(F.col("node").alias("label"), F.col("node_id").alias("component")), "label").select("node", "component")
     named = cut(classes.join(reached, "node", "left").select("set_a", "set_b", F.coalesce("component", "node_id").alias("component")), "components")
     out = sets.drop("registers").join(named, ["set_a", "set_b"], "left")
