@@ -11,13 +11,15 @@ back (only the places that won a chunk have a gradient) and uses Adam.
 
 The network is fitted on ``max_rows`` labelled documents (all, if there are fewer),
 those with the smallest hash of their id; of a text longer than ``max_bytes``
-bytes it takes a stretch of that size, at a place hashed from the id. All else
+bytes it takes a stretch of that size, at a place hashed from the id, and one
+text of each id. All else
 covers every document and byte. Labels, language, source and id are no inputs.
 
 Nulls: a null text is an empty one and gets a score. A null label is no label;
 of several labels of one id the smallest counts. Without labelled rows every
 score is 0.5. Repeated documents are scored each for itself; an empty table
-gives an empty table.
+gives an empty table. A score depends on the text alone. Columns besides id and
+text are not read; those of ``keep`` are passed on as ``kept_<name>``.
 """
 
 from __future__ import annotations
@@ -67,6 +69,15 @@ def blocks_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data + bytes(WIDTH), np.uint8), counts
 
 
+def inner(got: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Responses by block and place; places of a text's last block whose window leaves it don't count.
+
+    Behind its bytes every text has a whole window of zeros, so no byte goes unseen.
+    """
+    got[last, 1 - WIDTH :] = -np.inf
+    return got
+
+
 def chunks_of(block_max: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Maximum over each block and the next block of the same text."""
     last = np.cumsum(counts) - 1
@@ -89,6 +100,8 @@ def score(net: Network, tables: list[np.ndarray], texts: list[bytes]) -> np.ndar
     data, counts = blocks_of(texts)
     pairs = data[:-1].astype(np.uint16) | data[1:].astype(np.uint16) << 8
     n = int(counts.sum())
+    last = np.zeros(n, bool)
+    last[np.cumsum(counts) - 1] = True
     block_max = np.empty((n, len(net.bias)), np.float32)
     for a in range(0, n, TILE):
         b = min(n, a + TILE)
@@ -96,7 +109,7 @@ def score(net: Network, tables: list[np.ndarray], texts: list[bytes]) -> np.ndar
         got = tables[0][pairs[at]]
         for k in (1, 2):
             got += tables[k][pairs[at.start + 2 * k : at.stop + 2 * k]]
-        block_max[a:b] = got.reshape(b - a, BLOCK, -1).max(axis=1)
+        block_max[a:b] = inner(got.reshape(b - a, BLOCK, -1), last[a:b]).max(axis=1)
     return pooled(net, block_max, counts)
 
 
@@ -108,7 +121,7 @@ def gradients(net: Network, texts: list[bytes], labels: np.ndarray, weights: np.
     got = tables[0][data[: n * BLOCK]]
     for k in range(1, WIDTH):
         got += tables[k][data[k : n * BLOCK + k]]
-    got = got.reshape(n, BLOCK, f)
+    got = inner(got.reshape(n, BLOCK, f), np.cumsum(counts) - 1)
     where = got.argmax(axis=1)
     block_max = np.take_along_axis(got, where[:, None, :], axis=1)[:, 0, :]
     chunk = chunks_of(block_max, counts)
@@ -173,7 +186,8 @@ def training_rows(
     spare = F.greatest(F.octet_length("text") - max_bytes, F.lit(0))
     first = F.pmod(F.xxhash64("wanted", F.lit("stretch")), spare + 1).cast("int") + 1
     stretch = F.col("text").cast("binary").substr(first, F.lit(max_bytes))
-    got = sorted(found.select("wanted", stretch, "y").collect(), key=lambda r: (r[0], r[1]))
+    one = found.groupBy("wanted").agg(F.min(F.struct(stretch.alias("bytes"), "y")).alias("row"))  # of the texts of one id, the least stretch
+    got = sorted(one.select("wanted", "row.bytes", "row.y").collect(), key=lambda r: (r[0], r[1]))
     return [bytes(r[1]) for r in got], [int(r[2]) for r in got]
 
 
