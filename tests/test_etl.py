@@ -254,3 +254,50 @@ def test_read_audit_for_one_job_lists_only_its_folder(spark):
     assert [r["etl_run_id"] for r in read_audit(spark, root, "j1").collect()] == ["r1"]
     assert read_audit(spark, root).count() == 2
     assert read_audit(spark, root, "nope").count() == 0
+
+
+def _opened(df) -> set[str]:
+    """Partition folders that a frame's scans list."""
+    return {f.rsplit("/", 2)[-2] for f in df.inputFiles()}
+
+
+def test_merge_opens_only_the_touched_folders(spark):
+    """One old and one new day: what lies between them is neither listed nor opened."""
+    import datetime as dt
+
+    from tidemark.operators.merge import touched_summary
+    from tidemark.plans.etl import read_partitions
+
+    target = scratch_path(spark, "t")
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(60)]
+    stored = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "k long, transaction_date date")
+    write_partitioned(stored, target, ["transaction_date"])
+    new = spark.createDataFrame([(0, days[0]), (99, days[59])], "k long, transaction_date date")
+    part = new.schema["transaction_date"]
+    read = read_partitions(spark, target, part, touched_summary(new, part.name), [new.schema["k"]])
+    assert _opened(read) == {"transaction_date=2024-01-01", "transaction_date=2024-02-29"}
+    assert sorted(r.k for r in read.collect()) == [0, 59]
+    far = spark.createDataFrame([(7, dt.date(2025, 1, 1))], "k long, transaction_date date")
+    assert read_partitions(spark, target, part, touched_summary(far, part.name)) is None
+
+
+def test_touched_folders_of_odd_values(spark, monkeypatch):
+    import datetime as dt
+
+    from tidemark.operators import merge
+    from tidemark.plans import etl
+
+    at = [dt.datetime(2024, 1, 1, 10, 30), dt.datetime(2024, 1, 1, 11)]
+    for ddl, values in (("string", ["a:b", "p,q", None, "x=y", "z"]), ("timestamp", [*at, None]), ("timestamp_ntz", at), ("bigint", [1, -5, None])):
+        target = scratch_path(spark, "t")
+        stored = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"k long, p {ddl}")
+        write_partitioned(stored, target, ["p"])
+        for some in (values[:2], values[1:]):
+            new = stored.where(stored["k"].isin([values.index(v) for v in some]))
+            read = etl.read_partitions(spark, target, new.schema["p"], merge.touched_summary(new, "p"))
+            assert len(_opened(read)) == len(some)
+            assert sorted((tuple(r) for r in read.select("k", "p").collect()), key=str) == sorted((tuple(r) for r in new.collect()), key=str)
+    monkeypatch.setattr(merge, "MAX_FOLDERS", 1)  # more values than may be named: a filter over the root
+    touched = merge.touched_summary(stored, "p")
+    assert touched["values"] is None and touched["partitions"] == 3
+    assert etl.read_partitions(spark, target, stored.schema["p"], touched).count() == 3

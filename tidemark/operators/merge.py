@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.dedup import _keys, dedup_latest
+from tidemark.sources.partitions import MAX_FOLDERS
+
 
 def merge_union(new: DataFrame, stored: DataFrame) -> DataFrame:
     """UNION ALL by column name; columns missing on one side become NULL."""
@@ -89,15 +91,23 @@ def existing_partitions(touched: DataFrame, stored: DataFrame, part_col: str) ->
 
 def touched_summary(df: DataFrame, part_col: str) -> Row:
     """One row: ``partitions`` and ``rows`` of a batch, the least and greatest
-    partition value as text (``lo``, ``hi``) and whether one is NULL
-    (``has_null``). One pruned aggregate; its size does not grow with the batch."""
-    counts = df.groupBy(F.col(f"`{part_col}`").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    partition value as text (``lo``, ``hi``), whether one is NULL (``has_null``)
+    and the ``values`` as text, NULL included (None if there are more than
+    ``MAX_FOLDERS``). One pruned aggregate; what it brings to the driver is bounded."""
+    part = F.col(f"`{part_col}`")
+    counts = df.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    some = counts.select("part", F.col("part").cast("string").alias("text"), "n").limit(MAX_FOLDERS + 1).collect()
+    if len(some) <= MAX_FOLDERS:
+        known = [r for r in some if r["part"] is not None]
+        lo, hi = (f(known, key=lambda r: r["part"])["text"] if known else None for f in (min, max))
+        return Row(partitions=len(some), rows=sum(r["n"] for r in some), lo=lo, hi=hi, has_null=len(known) < len(some), values=[r["text"] for r in some])
     return counts.agg(
         F.count(F.lit(1)).alias("partitions"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.min("part").cast("string").alias("lo"),
         F.max("part").cast("string").alias("hi"),
         F.coalesce(F.bool_or(F.col("part").isNull()), F.lit(False)).alias("has_null"),
+        F.lit(None).alias("values"),
     ).first()
 
 

@@ -27,6 +27,7 @@ from tidemark.sinks.audit import append_audit, read_audit
 from tidemark.sinks.parquet import staged, write_partitioned
 from tidemark.sources.files import modified_since, window_globs
 from tidemark.sources.nested import empty_like, read_nested
+from tidemark.sources.partitions import stored_folders
 
 
 def _missing(e: AnalysisException) -> bool:
@@ -45,19 +46,23 @@ def read_partitions(
     touched: Row,
     fields: Sequence[T.StructField] | None = None,
 ) -> DataFrame | None:
-    """Stored rows between the batch's least and greatest partition value (None
-    if nothing is stored yet).
-
-    The range is a filter on the partition column, so it prunes folders whatever
-    characters their values hold. ``part`` fixes the partition column's type, as
-    folder names alone would read "01" as a number. ``fields``: read these
-    columns only; without them all that any stored file has.
+    """Stored rows of the batch's partitions (None if none of them is stored).
+
+    Only the folders of these values are listed and opened, whatever characters
+    the values hold. A batch of more than ``MAX_FOLDERS`` partitions reads the
+    folders between its least and greatest value through a partition filter.
+    ``part`` fixes the partition column's type, as folder names alone would read
+    "01" as a number. ``fields``: read these columns only; without them all that
+    any file of these folders has.
     """
+    paths = [target] if touched["values"] is None else stored_folders(spark, target, part.name, touched["values"])
+    if not paths:
+        return None
     try:
         if fields is None:
-            found = spark.read.option("mergeSchema", "true").parquet(target).schema.fields
+            found = spark.read.option("basePath", target).option("mergeSchema", "true").parquet(*paths).schema.fields
             fields = [f for f in found if f.name != part.name]
-        stored = spark.read.schema(T.StructType([*fields, part])).parquet(target)
+        stored = spark.read.schema(T.StructType([*fields, part])).option("basePath", target).parquet(*paths)
     except AnalysisException as e:
         if _missing(e):
             return None
