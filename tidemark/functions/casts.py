@@ -229,3 +229,32 @@ def cast_rejects(
         for name, t in spec
     ]
     return df.agg(*sums).select(F.inline(F.array(*pairs)))
+
+
+REJECT = T.ArrayType(T.StructType([T.StructField(n, T.StringType(), True) for n in ("column_name", "raw", "target_type")]))
+
+
+def reject_array(df: DataFrame, spec: Sequence[tuple[str, T.DataType | str]], unit: str = "s") -> Column:
+    """Array of (column_name, raw, target_type): the values of a row that are set but do not cast."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    resolved = resolve_columns(df, [n for n, _ in spec])
+    found = []
+    for name, target in spec:
+        src, target = resolved.get(name), _as_type(target)
+        if src is None or types[src] == target:
+            continue
+        c = F.col(f"`{src}`")
+        bad = c.isNotNull() & cast_to(c, target, types[src], unit).isNull()
+        entry = F.struct(F.lit(name).alias("column_name"), c.try_cast("string").alias("raw"), F.lit(target.simpleString()).alias("target_type"))
+        found.append(F.when(bad, entry))
+    return F.filter(F.array(*found), lambda x: x.isNotNull()).cast(REJECT) if found else F.array().cast(REJECT)
+
+
+def rejected_rows(df: DataFrame, keys: Sequence[str], errors_col: str) -> DataFrame:
+    """One row a rejected value: the row's keys, column_name, raw, target_type."""
+    return df.where(F.size(errors_col) > 0).select(*keys, F.inline(errors_col))
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """Rejected values per column, from the rows of ``rejected_rows``."""
+    return rejects.groupBy("column_name", "target_type").agg(F.count(F.lit(1)).alias("rejected"))

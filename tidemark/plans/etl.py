@@ -13,11 +13,11 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.casts import resolve_columns
+from tidemark.functions.casts import rejected_rows, resolve_columns
 from tidemark.operators.audit import STATUS_COMPLETED, audit_record, job_watermark
 from tidemark.operators.dedup import dedup_latest
 from tidemark.operators.merge import anti_by_keys, merge_dedup, restrict_by_frame, touched_summary, within_touched
@@ -25,11 +25,15 @@ from tidemark.plans.transform import transform
 from tidemark.schema import PARTITION_COLUMN, RESULT_SHAPE, RecordShape
 from tidemark.sinks.audit import append_audit, read_audit
 from tidemark.sinks.parquet import staged, write_partitioned
-from tidemark.sources.files import modified_since, window_globs
+from tidemark.sources.files import DAY_PARTITION, file_inventory, modified_since, window_globs
+from tidemark.sources.ledger import NewFiles
 from tidemark.sources.nested import empty_like, read_nested
 from tidemark.sources.partitions import stored_folders
 
 
+ERRORS = "_errors"
+
+
 def _missing(e: AnalysisException) -> bool:
     s = str(e)
     return "PATH_NOT_FOUND" in s or "Path does not exist" in s or "UNABLE_TO_INFER_SCHEMA" in s
@@ -79,6 +83,7 @@ def upsert_partitions(
     prefer: str = "stored",
     order_by: Sequence[str] = (),
     touched: Row | None = None,
+    observed: Observation | None = None,
 ) -> int:
     """Merge ``new`` into ``target``; returns the number of touched partitions.
 
@@ -96,7 +101,13 @@ def upsert_partitions(
     columns of both, staged under the checkpoint root (the merge reads what it
     replaces), then swapped in by dynamic partition overwrite. Untouched
     partitions are not rewritten in either mode.
+
+    ``observed`` gets ``rows_written`` as the write itself counts them.
     """
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.observe(observed, F.count(F.lit(1)).alias("rows_written")) if observed else rows
+
     if part_col.lower() not in {k.lower() for k in keys}:
         raise ValueError(f"keys {list(keys)} must hold the partition column {part_col!r}")
     if prefer == "latest" and not order_by:
@@ -115,16 +126,16 @@ def upsert_partitions(
         # stored keys leave before the wide rows are reduced to one per key
         fresh = new if stored is None else anti_by_keys(new, stored, keys)
         batch = dedup_latest(fresh, keys, order_by=[])
-        write_partitioned(batch.select(*new.columns), target, [part_col], mode="append", dynamic=False)
+        write_partitioned(counted(batch.select(*new.columns)), target, [part_col], mode="append", dynamic=False)
         return touched["partitions"]
     stored = read_partitions(spark, target, part, touched)
     if stored is None:
         batch = dedup_latest(new, keys, order_by)
-        write_partitioned(batch.select(*new.columns), target, [part_col])
+        write_partitioned(counted(batch.select(*new.columns)), target, [part_col])
         return touched["partitions"]
     merged = merge_dedup(new, restrict_by_frame(stored, new, part_col), keys, prefer, order_by)
     with staged(merged, spark, "merge") as rows:
-        write_partitioned(rows, target, [part_col])
+        write_partitioned(counted(rows), target, [part_col])
     return touched["partitions"]
 
 
@@ -172,6 +183,8 @@ def run_etl(
     run_ts: _dt.datetime | None = None,
     flat_target: str | None = None,
     shape: RecordShape = RESULT_SHAPE,
+    ledger_root: str | None = None,
+    reject_target: str | None = None,
 ) -> dict:
     """One incremental run. Returns a small summary (driver-side values).
 
@@ -180,17 +193,36 @@ def run_etl(
     holding every flat row of the run before key de-duplication
     (day-partitioned; rows already there from a run that died are not repeated).
 
-    The landing files are evaluated once: the flat rows are staged under the
-    checkpoint root, and counts, flat output and merge read the staged copy.
+    ``ledger_root``: choose files by the ledger of processed files instead of the
+    watermark, so that each file is read once, however late it came or was
+    stamped. ``reject_target``: keep every value that did not cast (row id, file,
+    column, text, target type) there, one folder a run.
+
+    The landing files are evaluated once: the flat rows, with the values that did
+    not cast beside them, are staged under the checkpoint root; flat output,
+    rejects and merge read the staged copy. Rows read, rejected and written are
+    counted by the writes themselves and stand in the audit record.
     """
     start = _dt.datetime.now(_dt.timezone.utc)
     run_id = run_id or f"{job_name}-{uuid.uuid4().hex[:12]}"
     wm = job_watermark(read_audit(spark, audit_root, job_name), job_name)
-    records = scan_window(spark, landing_root, schema, wm, as_of, days, fmt)
+    fresh_files = None
+    if ledger_root:
+        if days and as_of is None:
+            as_of = _dt.datetime.now(_dt.timezone.utc).date()
+        where = window_globs(landing_root, as_of, days) if days else None
+        fresh_files = NewFiles(spark, file_inventory(spark, landing_root, paths=where, partitions=DAY_PARTITION), ledger_root, job_name)
+        records = fresh_files.read(schema, fmt, landing_root)
+    else:
+        records = scan_window(spark, landing_root, schema, wm, as_of, days, fmt)
     records = records.select(*schema.fieldNames(), "source_path")
     # no separate distinct: the key dedup of the merge removes exact copies too
-    flat = transform(records, shape, run_ts=run_ts or start.replace(tzinfo=None), distinct=False)
-    with staged(flat, spark, "flat") as rows:
+    flat = transform(records, shape, run_ts=run_ts or start.replace(tzinfo=None), distinct=False, errors_col=ERRORS)
+    read, wrote = Observation("read"), Observation("written")
+    rejected = F.coalesce(F.sum(F.size(ERRORS)), F.lit(0)).alias("rows_rejected")
+    flat = flat.observe(read, F.count(F.lit(1)).alias("rows_read"), rejected)
+    with staged(flat, spark, "flat") as kept_rows:
+        rows = kept_rows.drop(ERRORS)
         touched = touched_summary(rows, shape.part_col)
         if flat_target and touched["partitions"]:
             part = _part_field(rows, shape.part_col)
@@ -199,12 +231,22 @@ def run_etl(
             kept = read_partitions(spark, flat_target, part, touched, [rows.schema[c] for c in ids])
             fresh = rows if kept is None else anti_by_keys(rows, kept, [*ids, shape.part_col])
             write_partitioned(fresh, flat_target, [shape.part_col], mode="append", dynamic=False)
-        replaced = upsert_partitions(spark, rows, target, keys or shape.keys, shape.part_col, touched=touched)
+        if reject_target:
+            # a replayed run writes its own folder again
+            rejects = rejected_rows(kept_rows, ["ale_id", "file_path"], ERRORS).withColumn("run_id", F.lit(run_id))
+            write_partitioned(rejects, reject_target, ["run_id"], rebalance=False)
+        replaced = upsert_partitions(spark, rows, target, keys or shape.keys, shape.part_col, touched=touched, observed=wrote)
+    written = wrote.get["rows_written"] if replaced else 0
+    counts = read.get | {"rows_written": written, "rows_duplicate": read.get["rows_read"] - written}
+    if fresh_files:
+        fresh_files.done(run_id)
+        fresh_files.forget()
     end = _dt.datetime.now(_dt.timezone.utc)
-    append_audit(audit_record(spark, run_id, job_name, start, end, STATUS_COMPLETED), audit_root)
+    append_audit(audit_record(spark, run_id, job_name, start, end, STATUS_COMPLETED, counts), audit_root)
     return {
         "run_id": run_id,
         "watermark": wm,
         "partitions": replaced,
         "flat_rows": touched["rows"],
+        **counts,
     }

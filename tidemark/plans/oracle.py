@@ -211,6 +211,24 @@ ORACLE_SQL["cast_rejects"] = "\nUNION ALL\n".join(
     ]
 )
 
+
+
+def _rejected(name: str, target: str, cast: str, raw: str) -> str:
+    return f"""SELECT event_id, '{name}' AS column_name, {raw} AS raw, '{target}' AS target_type FROM events
+WHERE {name} IS NOT NULL AND ({cast}) IS NULL"""
+
+
+_REJECTED = "\nUNION ALL\n".join(
+    _rejected(name, target, cast, f"CAST({name} AS VARCHAR)")
+    for name, target, cast in (
+        ("event_type", "bigint", _bigint_text("event_type")),
+        ("props", "bigint", _bigint_text("props")),
+    )
+)
+ORACLE_SQL["rejected_rows"] = f"""
+SELECT r.*, count(*) OVER (PARTITION BY column_name, target_type) AS rejected FROM ({_REJECTED}) r
+"""
+
 # -- paths, keys, windows ---------------------------------------------------------
 
 _D = "strftime(ts, '%Y-%m-%d')"
@@ -429,3 +447,43 @@ FROM (SELECT {_RESULT_SELECT}
 ORACLE_SQL["surrogate_key_random"] = """
 SELECT count(*) AS n_rows, count(*) AS n_ids, 36 AS id_len FROM events
 """
+
+ORACLE_SQL["file_ledger"] = """
+SELECT event_id, ts, CAST(ts AS DATE) AS date,
+  CASE WHEN ts < TIMESTAMP '2024-01-20 00:00:00' THEN 1 WHEN hour(ts) < 12 THEN 2 ELSE 3 END AS run
+FROM events
+"""
+
+ORACLE_SQL["compaction"] = """
+SELECT CAST(ts AS DATE) AS transaction_date, count(*) AS n_rows, bit_xor(event_id) AS ids, true AS few_files,
+  (SELECT count(DISTINCT CAST(ts AS DATE)) FROM events) AS days_compacted
+FROM events GROUP BY 1
+"""
+
+ORACLE_SQL["retention_drop"] = """
+SELECT CAST(ts AS DATE) AS transaction_date,
+  CASE WHEN CAST(ts AS DATE) < DATE '2024-01-21' THEN 0 ELSE count(*) END AS n_rows,
+  CASE WHEN CAST(ts AS DATE) < DATE '2024-01-21' THEN 'expired' ELSE 'kept' END AS state
+FROM events GROUP BY 1
+"""
+
+ORACLE_SQL["nested_records"] = """
+SELECT l_orderkey AS o_orderkey, (count(*) + 1) // 2 AS n_records, count(*) AS n_items, count(*) // 2 AS n_full
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1
+"""
+
+_METRIC_ROWS = f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE) AS transaction_date,
+  CAST(o_orderstatus IS NOT NULL AND ({_bigint_text('o_orderstatus')}) IS NULL AS BIGINT)
+    + CAST(c_name IS NOT NULL AND TRY_CAST(c_name AS DOUBLE) IS NULL AS BIGINT) AS bad
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+"""
+ORACLE_SQL["run_metrics"] = f"""
+SELECT 'run-1' AS etl_run_id, 'COMPLETED' AS etl_status, count(*) AS rows_read, CAST(sum(bad) AS BIGINT) AS rows_rejected,
+  count(*) - count(DISTINCT (l_orderkey, l_linenumber, l_partkey, l_suppkey, transaction_date)) AS rows_duplicate,
+  count(DISTINCT (l_orderkey, l_linenumber, l_partkey, l_suppkey, transaction_date)) AS rows_written, CAST(sum(bad) AS BIGINT) AS reject_rows
+FROM ({_METRIC_ROWS}) m
+UNION ALL
+SELECT 'run-2', 'COMPLETED', count(*), CAST(sum(bad) AS BIGINT), count(*), 0, CAST(sum(bad) AS BIGINT)
+FROM ({_METRIC_ROWS}) m WHERE l_orderkey % 3 = 0
+"""

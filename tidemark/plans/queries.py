@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.casts import cast_rejects, conform, to_bigint, to_double, to_string, to_timestamp, to_timestamp_ntz
+from tidemark.functions.casts import cast_rejects, conform, reject_array, reject_counts, rejected_rows, to_bigint, to_double, to_string, to_timestamp, to_timestamp_ntz
 from tidemark.functions.ids import content_id, run_stamp
 from tidemark.functions.paths import partition_key, path_date, path_hour, trailing_days_on_timestamp
-from tidemark.operators.audit import latest_run, watermark, with_parsed_times
+from tidemark.operators.audit import METRIC_FIELDS, latest_run, watermark, with_parsed_times
 from tidemark.operators.dedup import dedup_by_key, dedup_latest, distinct_rows, dup_count
 from tidemark.operators.flatten import flatten_structs
 from tidemark.operators.merge import (
@@ -31,16 +31,20 @@ from tidemark.operators.merge import (
 )
 from tidemark.plans.batches import EVENT_KEYS, NEW_FROM, audit_rows, event_rows, new_events, stored_events
 from tidemark.plans.catalog import register
+from tidemark.plans.compaction import compact_partitions
 from tidemark.plans.etl import read_partitions, scan_window, upsert_partitions
 from tidemark.plans.landing import delivery, nested_results, order_envelopes
 from tidemark.plans.tables import load
 from tidemark.plans.transform import flatten_records, transform
-from tidemark.schema import PARTITION_COLUMN
+from tidemark.schema import PARTITION_COLUMN, RESULT_SHAPE
 from tidemark.session import scratch_path
 from tidemark.sinks.audit import append_audit, read_audit
 from tidemark.sinks.parquet import write_partitioned
-from tidemark.sources.files import file_inventory
+from tidemark.sinks.retention import drop_expired
+from tidemark.sources.files import DAY_PARTITION, file_inventory
+from tidemark.sources.ledger import NewFiles
 from tidemark.sources.nested import read_nested
+from tidemark.sources.partitions import file_system
 
 # Fixed values of the test runs.
 RUN_TS = _dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -254,17 +258,28 @@ def q_derive_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+REJECT_SPEC = [
+    ("event_id", "bigint"),
+    ("ts", "timestamp_ntz"),
+    ("user_id", "int"),
+    ("event_type", "bigint"),
+    ("value", "bigint"),
+    ("props", "bigint"),
+]
+
+
 @register("cast_rejects")
 def q_cast_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = [
-        ("event_id", "bigint"),
-        ("ts", "timestamp_ntz"),
-        ("user_id", "int"),
-        ("event_type", "bigint"),
-        ("value", "bigint"),
-        ("props", "bigint"),
-    ]
-    return cast_rejects(load(spark, sf_dir, "events"), spec)
+    return cast_rejects(load(spark, sf_dir, "events"), REJECT_SPEC)
+
+
+@register("rejected_rows")
+def q_rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rejected value with its row's key, beside the count of its column."""
+    events = load(spark, sf_dir, "events")
+    marked = events.select("event_id", reject_array(events, REJECT_SPEC).alias("errors"))
+    rows = rejected_rows(marked, ["event_id"], "errors")
+    return rows.join(reject_counts(rows), ["column_name", "target_type"])
 
 
 # -- paths, partition keys and windows ------------------------------------------
@@ -549,6 +564,98 @@ def q_incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fresh.select("event_id", "ts", "date")
 
 
+def _age_files(spark: SparkSession, root: str, seconds: int) -> None:
+    """Set back the times of all files under ``root`` (a delivery of some time ago)."""
+    fs, where = file_system(spark, root)
+    files = fs.listFiles(where, True)
+    while files.hasNext():
+        status = files.next()
+        fs.setTimes(status.getPath(), status.getModificationTime() - 1000 * seconds, -1)
+
+
+@register("file_ledger")
+def q_file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries, each run reads what the ledger lacks: run 1 the stored
+    days; run 2 files stamped within the same seconds; run 3 files that came last
+    with the oldest times; run 4 nothing."""
+    root, ledger = scratch_path(spark, "ledger-landing"), scratch_path(spark, "ledger")
+    rows = event_rows(spark, sf_dir)
+    schema = rows.schema.add("date", "date")
+    noon = F.hour("ts") < 12
+    later = rows.where(F.col("ts") >= F.lit("2024-01-20 00:00:00").cast("timestamp_ntz"))
+    out = None
+    for run, delivery_rows in enumerate((stored_events(spark, sf_dir), later.where(noon), later.where(~noon), None), 1):
+        if run == 3:
+            aside = scratch_path(spark, "late")
+            _land_events(spark, delivery_rows, aside)
+            _age_files(spark, aside, 86_400)
+            _put_files(spark, aside, root)
+        elif delivery_rows is not None:
+            _land_events(spark, delivery_rows, root)
+        files = NewFiles(spark, file_inventory(spark, root, glob="*.parquet", partitions=DAY_PARTITION), ledger, "events")
+        found = files.read(schema, "parquet", root).select("event_id", "ts", "date", F.lit(run).alias("run"))
+        files.done(f"run-{run}")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _put_files(spark: SparkSession, source: str, root: str) -> None:
+    """Move the data files of one landing folder into another; their times stay."""
+    fs, where = file_system(spark, source)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = [s.getPath() for folder in fs.listStatus(where) if folder.isDirectory() for s in fs.listStatus(folder.getPath())]
+    for f in files:
+        to = path(f"{root}/{f.getParent().getName()}")
+        fs.mkdirs(to)
+        fs.rename(f, path(to, f.getName()))
+
+
+COMPACTION_APPENDS = 5
+
+
+@register("compaction")
+def q_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days that got a file or more in each of five appends, compacted."""
+    target = scratch_path(spark, "compaction")
+    rows = event_rows(spark, sf_dir)
+    for k in range(COMPACTION_APPENDS):
+        some = rows.where(F.pmod("event_id", F.lit(COMPACTION_APPENDS)) == k)
+        write_partitioned(some, target, [PARTITION_COLUMN], mode="append", dynamic=False)
+    part = rows.schema[PARTITION_COLUMN]
+    days = compact_partitions(spark, target, part)
+    back = spark.read.schema(rows.schema).parquet(target).withColumn("_file", F.col("_metadata.file_path"))
+    per_day = back.groupBy(PARTITION_COLUMN).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.bit_xor(F.col("event_id")).alias("ids"), (F.count_distinct("_file") <= 2).alias("few_files")
+    )
+    return per_day.withColumn("days_compacted", F.lit(days).cast("bigint"))
+
+
+@register("retention_drop")
+def q_retention_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days before the horizon go (a dry run names the same); the rows of the others stay."""
+    target, tombs = scratch_path(spark, "retention"), scratch_path(spark, "tombstones")
+    rows = event_rows(spark, sf_dir)
+    write_partitioned(rows, target, [PARTITION_COLUMN])
+    part, before = rows.schema[PARTITION_COLUMN], AS_OF - _dt.timedelta(days=RETENTION_DAYS - 1)
+    planned = drop_expired(spark, target, part, before, tombs, dry_run=True).select(F.col("value").alias("planned"))
+    planned = spark.createDataFrame(planned.toArrow())  # as they were before anything went
+    gone = drop_expired(spark, target, part, before, tombs)
+    day = F.col("value").cast("date").alias(PARTITION_COLUMN)
+    expired = gone.join(planned, F.col("value") == F.col("planned")).select(day, F.lit(0).cast("bigint").alias("n_rows"), F.lit("expired").alias("state"))
+    left = spark.read.schema(rows.schema).parquet(target).groupBy(PARTITION_COLUMN).agg(F.count(F.lit(1)).alias("n_rows"))
+    return left.withColumn("state", F.lit("kept")).unionByName(expired)
+
+
+@register("nested_records")
+def q_nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of each order, cut at two items: all full but the last."""
+    small = nested_results(spark, sf_dir, max_items=2).where("data IS NOT NULL")
+    sizes = small.select(F.col("module.o_orderkey").alias("o_orderkey"), F.size("data").alias("n"))
+    return sizes.groupBy("o_orderkey").agg(
+        F.count(F.lit(1)).alias("n_records"), F.sum("n").cast("bigint").alias("n_items"), F.sum((F.col("n") == 2).cast("bigint")).alias("n_full")
+    )
+
+
 @register("write_layout")
 def q_write_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "layout")
@@ -649,6 +756,31 @@ def q_etl_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.drop("file_path", "ale_id")
 
 
+REJECT_SHAPE_TYPES = {"o_orderstatus": "bigint", "c_name": "double"}
+
+
+@register("run_metrics")
+def q_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over the same delivery and a re-delivery, files chosen by the
+    ledger; two columns get types that their texts do not have. What the runs
+    read, rejected, found stored and wrote stands in their audit records."""
+    from dataclasses import replace
+
+    from tidemark.plans.etl import run_etl
+
+    landing, target, audit, ledger, rejects = (scratch_path(spark, f"metrics-{n}") for n in ("landing", "target", "audit", "ledger", "rejects"))
+    nested = nested_results(spark, sf_dir).drop("source_path")
+    shape = replace(RESULT_SHAPE, spec=[(n, REJECT_SHAPE_TYPES.get(n, t)) for n, t in RESULT_SHAPE.spec])
+    again = nested.where(F.pmod("module.o_orderkey", F.lit(3)) == 0)
+    for run, rows in enumerate((nested, again), 1):
+        write_partitioned(delivery(rows, AS_OF), landing, ["date", "hr"], mode="append", dynamic=False)
+        run_etl(spark, landing, target, audit, ETL_JOB, nested.schema, as_of=AS_OF, days=WINDOW_DAYS, fmt="parquet", run_ts=RUN_TS,
+                shape=shape, run_id=f"run-{run}", ledger_root=ledger, reject_target=rejects)
+    kept = spark.read.parquet(rejects).groupBy("run_id").agg(F.count(F.lit(1)).alias("reject_rows"))
+    runs = read_audit(spark, audit, ETL_JOB, metrics=True)
+    return runs.join(kept, runs["etl_run_id"] == kept["run_id"], "left").select("etl_run_id", "etl_status", *METRIC_FIELDS, "reject_rows")
+
+
 @register("flat_layer")
 def q_flat_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run that also keeps the flat, not de-duplicated rows in a second
