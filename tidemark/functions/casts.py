@@ -21,8 +21,10 @@ INTEGRAL_TEXT = r"^([+-]?[0-9]+)([.][0-9]*)?$"
 # Epoch at 00:00 without a zone, the origin for numeric -> timestamp_ntz.
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
-# Fixed value: a time of day followed by a UTC offset or Z.
-OFFSET_END = r"[0-9]:[0-9]{2}.*?(Z|[+-][0-9]{1,2}(:?[0-9]{2})?)$"
+# A time of day with a zone behind it (Z, a UTC offset or a zone's
+# name), and the year that a text must begin with to have a date at all.
+ZONE_END = r"[0-9]:[0-9]{1,2}(:[0-9]{1,2}([.][0-9]*)?)?\s*([A-Za-z]|[+-][0-9])"
+DATE_START = r"^[+-]?[0-9]{4}"
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -84,6 +86,11 @@ def to_string(col: Column, source: T.DataType | None = None) -> Column:
     return col.try_cast("string")
 
 
+def to_json_text(col: Column) -> Column:
+    """JSON text of an array, struct or map (``to_string`` gives Spark's own rendering)."""
+    return F.to_json(col)
+
+
 def epoch_to_timestamp_ntz(col: Column, unit: str = "s") -> Column:
     """Epoch number -> wall-clock timestamp without a zone (no session tz)."""
     scale = {"s": 1_000_000, "ms": 1_000, "us": 1}[unit]
@@ -102,19 +109,21 @@ def ntz_as_utc_instant(col: Column) -> Column:
 
 
 def to_timestamp_ntz(col: Column, source: T.DataType | None = None, unit: str = "s") -> Column:
-    """Wall-clock timestamp; a text with an offset gives its UTC wall clock."""
+    """Wall-clock timestamp; a text with an offset or a named zone gives its UTC
+    wall clock, a time without a date NULL (a cast would take the day of the run)."""
     if source is not None and isinstance(source, _NUMERIC):
         return epoch_to_timestamp_ntz(col, unit)
     if isinstance(source, T.StringType):
         text = _strip(col)
         instant = F.unix_micros(text.try_cast("timestamp"))
         shifted = F.timestamp_add("MICROSECOND", instant, F.expr(_EPOCH_NTZ))
-        return F.when(text.rlike(OFFSET_END), shifted).otherwise(text.try_cast("timestamp_ntz"))
+        dated = F.when(text.rlike(ZONE_END), shifted).otherwise(text.try_cast("timestamp_ntz"))
+        return F.when(text.rlike(DATE_START), dated)
     return col.try_cast("timestamp_ntz")
 
 
 def to_timestamp(col: Column, source: T.DataType | None = None, unit: str = "s") -> Column:
-    """Zoned timestamp; numbers are epoch seconds (or ``unit``)."""
+    """Zoned timestamp; numbers are epoch seconds (or ``unit``), a time without a date is NULL."""
     if source is not None and isinstance(source, _NUMERIC):
         scale = {"s": 1_000_000, "ms": 1_000, "us": 1}[unit]
         # whole numbers stay exact; what does not fit in microseconds becomes NULL
@@ -123,7 +132,7 @@ def to_timestamp(col: Column, source: T.DataType | None = None, unit: str = "s")
             col.try_cast("decimal(38,6)"), F.lit(scale))
         return F.timestamp_micros(micros.try_cast("bigint"))
     if isinstance(source, T.StringType):
-        return _strip(col).try_cast("timestamp")
+        return F.when(_strip(col).rlike(DATE_START), _strip(col).try_cast("timestamp"))
     return col.try_cast("timestamp")
 
 

@@ -40,6 +40,9 @@ def compact_partitions(spark: SparkSession, target: str, part: T.StructField, ta
         met = rows.join(wanted, rows[f"`{part.name}`"].eqNullSafe(F.col("_part")))
         with staged(met.select(*rows.columns, "needed"), spark, "compacted") as kept:
             share = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns if c != part.name]), F.col("needed"))
-            dealt = kept.withColumn("_share", share).repartition(f"`{part.name}`", "_share").select(*rows.columns)
+            # a given number of tasks, so that adaptive planning does not merge shares again
+            files = crowded.agg(F.sum("needed")).first()[0]
+            tasks = max(2 * files, int(spark.conf.get("spark.sql.shuffle.partitions")))
+            dealt = kept.withColumn("_share", share).repartition(tasks, f"`{part.name}`", "_share").select(*rows.columns)
             write_partitioned(dealt, target, [part.name], rebalance=False, max_records_per_file=None)
     return touched["partitions"]

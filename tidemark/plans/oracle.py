@@ -487,3 +487,23 @@ UNION ALL
 SELECT 'run-2', 'COMPLETED', count(*), CAST(sum(bad) AS BIGINT), count(*), 0, CAST(sum(bad) AS BIGINT)
 FROM ({_METRIC_ROWS}) m WHERE l_orderkey % 3 = 0
 """
+
+ORACLE_SQL["array_text"] = """
+SELECT l_orderkey, '[' || string_agg(CAST(l_linenumber AS VARCHAR), ', ' ORDER BY l_linenumber) || ']' AS lines_text,
+  '[' || string_agg('{"line":' || CAST(l_linenumber AS VARCHAR) || '}', ',' ORDER BY l_linenumber) || ']' AS lines_json
+FROM lineitem GROUP BY 1
+"""
+
+ORACLE_SQL["other_case_names"] = """
+SELECT DISTINCT event_id, ts, CAST(user_id AS INTEGER) AS user_id, event_type FROM events
+"""
+
+ORACLE_SQL["trailing_partition_days"] = f"""
+SELECT * FROM ({_EVENT_ROWS}) e WHERE transaction_date BETWEEN DATE '2024-01-24' AND DATE '2024-01-30'
+"""
+
+_ZONED = "date_trunc('second', ts) - to_hours(CASE event_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 9 ELSE 0 END)"
+ORACLE_SQL["cast_timestamp_named_zones"] = f"""
+SELECT event_id, {_ZONED} AS utc_wall_clock, epoch_us({_ZONED}) AS instant_us, CAST(NULL AS TIMESTAMP) AS no_day
+FROM events WHERE ts IS NOT NULL
+"""

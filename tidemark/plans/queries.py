@@ -9,15 +9,14 @@ folder under the session's checkpoint root and return what they read back.
 from __future__ import annotations
 
 import datetime as _dt
-import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.casts import cast_rejects, conform, reject_array, reject_counts, rejected_rows, to_bigint, to_double, to_string, to_timestamp, to_timestamp_ntz
+from tidemark.functions.casts import cast_rejects, conform, reject_array, reject_counts, rejected_rows, to_bigint, to_double, to_json_text, to_string, to_timestamp, to_timestamp_ntz
 from tidemark.functions.ids import content_id, run_stamp
-from tidemark.functions.paths import partition_key, path_date, path_hour, trailing_days_on_timestamp
+from tidemark.functions.paths import partition_key, path_date, path_hour, trailing_days_on_date, trailing_days_on_timestamp
 from tidemark.operators.audit import METRIC_FIELDS, latest_run, watermark, with_parsed_times
 from tidemark.operators.dedup import dedup_by_key, dedup_latest, distinct_rows, dup_count
 from tidemark.operators.flatten import flatten_structs
@@ -215,6 +214,24 @@ def q_cast_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("array_text")
+def q_array_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line numbers of each order: as text the way a cast renders them, and as JSON."""
+    li = load(spark, sf_dir, "lineitem")
+    lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("l_linenumber")).alias("lines"))
+    pairs = F.transform("lines", lambda x: F.struct(x.alias("line")))
+    return lines.select("l_orderkey", to_string(F.col("lines")).alias("lines_text"), to_json_text(pairs).alias("lines_json"))
+
+
+@register("other_case_names")
+def q_other_case_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A spec and keys whose names are spelled in another case than the table's columns."""
+    spec = [("EVENT_ID", "bigint"), ("Ts", "timestamp_ntz"), ("user_ID", "int"), ("Event_Type", "string")]
+    out = conform(load(spark, sf_dir, "events"), spec)
+    kept = dedup_by_key(out, ["event_id", "EVENT_type"])
+    return kept.select(*(F.col(c).alias(c.lower()) for c in kept.columns))
+
+
 # 2024-01-01 00:00:00 UTC in epoch seconds (fixed value)
 EPOCH_2024 = 1_704_067_200
 
@@ -232,6 +249,25 @@ def q_cast_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ZONES = {"Europe/Berlin": 1, "Asia/Tokyo": 9, "UTC": 0}
+
+
+@register("cast_timestamp_named_zones")
+def q_cast_timestamp_named_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Named zones give their instant; a time without a date gives NULL, whatever the day of the run."""
+    st = T.StringType()
+    ev = load(spark, sf_dir, "events").where("ts IS NOT NULL")
+    names = F.array(*map(F.lit, ZONES))
+    text = F.concat_ws(" ", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.get(names, F.pmod("event_id", F.lit(len(ZONES))).cast("int")))
+    time_only = F.date_format("ts", "HH:mm:ss")
+    return ev.select(
+        "event_id",
+        to_timestamp_ntz(text, st).alias("utc_wall_clock"),
+        F.unix_micros(to_timestamp(text, st)).alias("instant_us"),
+        to_timestamp_ntz(time_only, st).alias("no_day"),
+    )
+
+
 @register("cast_timestamp_zoned")
 def q_cast_timestamp_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offsets are kept as instants; numbers out of range become NULL."""
@@ -324,6 +360,16 @@ def q_trailing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("trailing_partition_days")
+def q_trailing_partition_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same window on the stored table's partition column: other days' files are not opened."""
+    target = scratch_path(spark, "trailing")
+    rows = event_rows(spark, sf_dir)
+    write_partitioned(rows, target, [PARTITION_COLUMN])
+    stored = spark.read.schema(rows.schema).parquet(target)
+    return stored.where(trailing_days_on_date(F.col(PARTITION_COLUMN), AS_OF, WINDOW_DAYS))
+
+
 @register("retention")
 def q_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partitions older than the retention horizon, with their row counts."""
@@ -555,9 +601,8 @@ def q_incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "events-landing")
     rows = event_rows(spark, sf_dir)
     _land_events(spark, stored_events(spark, sf_dir).drop("batch"), root)
-    time.sleep(1.1)  # file times have (at worst) one-second resolution
-    mark = _dt.datetime.now(_dt.timezone.utc)
-    time.sleep(1.1)
+    _age_files(spark, root, 3600)
+    mark = _dt.datetime.now(_dt.timezone.utc) - _dt.timedelta(minutes=30)
     _land_events(spark, rows.where(F.col("ts") >= F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")), root)
     schema = rows.schema.add("date", "date")
     fresh = scan_window(spark, root, schema, mark, AS_OF, INCREMENTAL_WINDOW_DAYS, fmt="parquet")
@@ -746,9 +791,8 @@ def q_etl_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
                 fmt="parquet", run_ts=RUN_TS)
 
     deliver(nested.where(od < lit_ts(ETL_SECOND_DELIVERY_FROM)), AS_OF - _dt.timedelta(days=1))
-    time.sleep(1.1)  # file times have (at worst) one-second resolution
+    _age_files(spark, landing, 3600)  # so the second run, which takes what came since the first began, leaves it
     run()
-    time.sleep(1.1)
     deliver(nested.where(od >= lit_ts(ETL_REDELIVERED_FROM)), AS_OF)
     run()
     stored = spark.read.parquet(target)
