@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import time
@@ -43,10 +44,32 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def give_back() -> None:
+    """Return memory that this worker has freed to the system; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:  # another C library
+        pass
+
+
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """``mapInArrow`` with this package's code on the workers."""
+    """``mapInArrow`` with this package's code on the workers, which give memory back when a task's input ends."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def tidy(batches):
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(tidy, schema)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the frame lacks."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name += "_"
+    return name
 
 
 def crc_fold(column: str = "doc_id", folds: int = 5) -> Column:
@@ -99,11 +122,6 @@ def partitions_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def text_column(batch: pa.RecordBatch, name: str) -> list[str]:
-    """Texts of one column; null is the empty text."""
-    return [x or "" for x in batch.column(name).to_pylist()]
-
-
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive row ranges of a batch with about ``limit`` bytes of text each, at least one row."""
     column = batch.column(text)

@@ -26,11 +26,10 @@ An empty table gives an empty table.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, drop, named_rows
+from tidemark.llm.common import cut, drop, free_name, named_rows
 
 SLOTS = 1 << 18
 FILTER_SLOTS = 6 << 18
@@ -61,20 +60,29 @@ def line_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return first.select("doc", "at", words_of(F.col("line")).alias("words"))
 
 
-def _table(values: np.ndarray) -> Column:
-    """Small numbers as a constant array (Spark folds the expression once)."""
-    return F.split(F.lit(",".join(map(str, values.tolist()))), ",").cast("array<tinyint>")
+def _table(rows: DataFrame, name: str) -> Column:
+    """``value`` of every ``slot`` below ``SLOTS`` (0 if it has none) as one array.
+
+    The array is the one row of a written table and a scalar subquery, so plans
+    name it and do not hold it.
+    """
+    slots = rows.sparkSession.range(SLOTS).withColumnRenamed("id", "slot")
+    filled = slots.join(rows, "slot", "left").select(F.struct("slot", F.coalesce("value", F.lit(0)).cast("tinyint").alias("value")).alias("x"))
+    one = filled.agg(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["value"]).alias("numbers"))
+    return cut(one, name).scalar()
 
 
 def rarity(classes: DataFrame) -> Column:
-    """For each hash slot, 2 log2 of its tokens' number of occurrences in lines."""
+    """For each hash slot, 2 log2 of its tokens' number of occurrences in lines.
+
+    Subqueries may not stand in functions over arrays, so this table is a constant.
+    """
     token = classes.select(F.explode("words").alias("token"))
     slot = F.col("token").bitwiseAND(SLOTS - 1)
     counted = token.groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))  # SLOTS rows at most
-    got = counted.select(F.col("slot").cast("int"), F.least(F.floor(2 * F.log2("n")) + 1, F.lit(63)).cast("int").alias("rank")).toArrow()
-    table = np.zeros(SLOTS, np.uint8)
-    table[got.column("slot").to_numpy()] = got.column("rank").to_numpy()
-    return _table(table)
+    ranks = counted.select("slot", F.least(F.floor(2 * F.log2("n")) + 1, F.lit(63)).cast("int").alias("rank")).collect()
+    held = dict(map(tuple, ranks))
+    return F.split(F.lit(",".join(str(held.get(i, 0)) for i in range(SLOTS))), ",").cast("array<tinyint>")
 
 
 def ordered_tokens(words: Column, table: Column) -> Column:
@@ -131,11 +139,9 @@ def _pairs(probe: DataFrame, held: DataFrame, earliest: Column, percent: int) ->
 def _mark(ids: DataFrame) -> Column:
     """Whether a line may be one of ``ids``: one bit a hashed place, in a table of fixed size."""
     slot = F.pmod(F.xxhash64("doc", "at"), F.lit(FILTER_SLOTS)).cast("int")
-    marks = ids.select((slot / 6).cast("int").alias("char"), (slot % 6).alias("bit")).distinct().groupBy("char")
-    got = marks.agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("bit"))).alias("value")).toArrow()
-    table = np.zeros(FILTER_SLOTS // 6, np.uint8)
-    table[got.column("char").to_numpy()] = got.column("value").to_numpy()
-    return F.call_function("shiftright", F.get(_table(table), (slot / 6).cast("int")).cast("int"), slot % 6).bitwiseAND(1) == 1
+    marks = ids.select((slot / 6).cast("long").alias("slot"), (slot % 6).alias("bit")).distinct().groupBy("slot")
+    table = _table(marks.agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("bit"))).alias("value")), "marks")
+    return F.call_function("shiftright", F.get(table, (slot / 6).cast("int")).cast("int"), slot % 6).bitwiseAND(1) == 1
 
 
 def _without(rows: DataFrame, ids: DataFrame) -> DataFrame:
@@ -230,11 +236,12 @@ def text_of_kept(text: Column, places: Column) -> Column:
 def deduplicate(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with the removed lines taken out of their texts; all columns and all lines without a word stay.
 
-    Rows that share an id are documents of their own.
+    Rows that share an id are documents of their own. Other columns pass through, whatever their names.
     """
-    rows = named_rows(docs, id_col, text_col, "llm_row")
-    kept = cut(kept_lines(rows, percent, "llm_row", text_col), "kept")
+    row = free_name(docs, "llm_row")
+    rows = named_rows(docs, id_col, text_col, row)
+    kept = cut(kept_lines(rows, percent, row, text_col), "kept")
     places = F.coalesce(F.col("llm_kept.kept"), F.array().cast("array<int>"))
     text = F.when(F.col(f"llm_docs.{id_col}").isNull(), F.col(f"llm_docs.{text_col}")).otherwise(text_of_kept(F.col(f"llm_docs.{text_col}"), places))
-    met = rows.alias("llm_docs").join(kept.alias("llm_kept"), F.col("llm_docs.llm_row") == F.col("llm_kept.doc"), "left")
+    met = rows.alias("llm_docs").join(kept.alias("llm_kept"), F.col(f"llm_docs.{row}") == F.col("llm_kept.doc"), "left")
     return met.select(*(text.alias(c) if c == text_col else F.col(f"llm_docs.{c}").alias(c) for c in docs.columns))

@@ -35,9 +35,12 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, added_tokens: bool = False
+    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, added_tokens: bool = False, keep_words: bool = True
 ) -> DataFrame:
-    """Encode every whole text, append the end id and cut what is longer than ``capacity``."""
+    """Encode every whole text, append the end id and cut what is longer than ``capacity``.
+
+    Without ``keep_words`` a worker forgets the words it has met when a task's input ends.
+    """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
@@ -56,6 +59,8 @@ def pieces(
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=False)], names)
+        if not keep_words:
+            enc.forget()
 
     return map_arrow(rows, run, PIECES + ", ids array<long>" * with_ids)
 

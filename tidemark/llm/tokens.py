@@ -136,6 +136,11 @@ class Encoder:
         self.plain = _Pieces(self._encode_piece, _plain_literal)
         self.spaced = _Pieces(self._encode_piece, lambda piece: piece)
 
+    def forget(self) -> None:
+        """Let go of all words met so far."""
+        for store in (self.plain, self.spaced, self.words):
+            store.clear()
+
     def _encode_piece(self, text: str) -> bytes:
         return b"".join(map(self.words.__getitem__, self.cut(text)))
 
