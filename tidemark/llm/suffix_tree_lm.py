@@ -11,8 +11,11 @@ is scored in the state that is the longest kept suffix of what stands before it.
 
 All of it is tables in Spark. The texts are numbered and written, with a split
 number for about ``SPLIT_BYTES`` of them each; every split's distinct windows are
-counted. For each context length, grams (context and symbol) that stand in any
-text get their probability from the grams one byte shorter, by a join. The
+counted. Grams (context and symbol) of up to ``TOP`` context bytes get their
+probability from those one byte shorter, by joins of small tables. Longer contexts
+end in the same ``TOP`` bytes as their suffixes, so windows are dealt by these
+bytes and one task counts and tests all longer lengths of a group in a row (a
+group's distinct windows are bounded by the alphabet, not by the corpus). The
 probabilities of the windows then meet the splits that hold them, and each split's
 texts are looked up in its own windows alone.
 
@@ -28,6 +31,7 @@ uniform and the base counts are zero. An empty table gives an empty table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,8 +46,10 @@ from tidemark.llm.common import LOWER_SPLIT_ON_BLANKS, cut, drop, map_arrow, par
 END = 10  # a line end: no word holds one
 BLANK = 32
 STEP = 512  # bytes of a piece that are scored
-COUNT_SLICE = 12 << 20
+SLICE = 1 << 20  # bytes of text or places worked on at a time: what numpy holds stays in the cache
 SPLIT_BYTES = 32 << 20  # of texts whose windows are looked up together
+TOP = 3  # context bytes up to which grams are tables of their own
+GROUP_ROWS = 1 << 19  # windows that are tested at a time, or one group
 
 
 def stream(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,27 +68,50 @@ def stream(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
     keep = word | before
     upto = np.concatenate([[0], np.cumsum(keep)])
     sizes = upto[ends] - upto[offsets[:-1] - offsets[0]]
+    del upto
     open_end = np.zeros(len(texts), bool)
     some = ends > offsets[:-1] - offsets[0]
     open_end[some] = word[ends[some] - 1]
     total = sizes + open_end + depth + 1
-    out = np.full(int(total.sum()), END, np.uint8)
-    first = np.cumsum(total) - total + depth
-    out[ranges(first, sizes)] = data[keep]
-    out[(first + sizes)[open_end]] = BLANK
+    after = np.cumsum(total)
+    body = np.ones(int(total.sum()), bool)  # all but what a text gets before and behind its own bytes
+    body[((after - total)[:, None] + np.arange(depth)).ravel()] = False
+    body[after - 1] = False
+    body[after[open_end] - 2] = False
+    out = np.full(len(body), END, np.uint8)
+    out[body] = data[keep]
+    out[after[open_end] - 2] = BLANK
     return out, total
 
 
+def codes(symbols: np.ndarray, total: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places in the stream, windows there as numbers), ``SLICE`` places at a time; windows lie within one text."""
+    whole = np.ones(len(symbols), bool)
+    whole[(np.cumsum(total)[:, None] - 1 - np.arange(depth)).ravel()] = False
+    for a in range(0, len(symbols) - depth, SLICE):
+        b = min(a + SLICE, len(symbols) - depth)
+        code = symbols[a:b].astype(np.int64)
+        for k in range(1, depth + 1):
+            code <<= 8
+            code |= symbols[a + k : b + k]
+        yield a + np.flatnonzero(whole[a:b]), code[whole[a:b]]
+
+
 def windows(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(distinct windows of ``depth`` + 1 symbols as numbers, how often each occurs)."""
-    symbols, total = stream(texts, depth)
-    if len(symbols) <= depth:
+    found = [np.unique(code, return_counts=True) for _, code in codes(*stream(texts, depth), depth)]
+    if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    code = np.zeros(len(symbols) - depth, np.int64)
-    for k in range(depth + 1):
-        code = code << 8 | symbols[k : k + len(code)]
-    first = np.cumsum(total) - total
-    return np.unique(code[ranges(first, total - depth)], return_counts=True)
+    return found[0] if len(found) == 1 else merged([w for w, _ in found], [n for _, n in found])
+
+
+def merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of several tables, with the sums of their counts."""
+    code, n = np.concatenate(codes), np.concatenate(counts)
+    order = np.argsort(code, kind="stable")  # runs in order: merged, not sorted
+    code, n = code[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+    return code[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def placed_texts(docs: DataFrame, training: Column, id_col: str, text_col: str) -> DataFrame:
@@ -108,33 +137,30 @@ def split_windows(texts: DataFrame, depth: int) -> DataFrame:
     """split, window, n: the distinct windows of every split, and how often training texts hold them."""
 
     def run(batches):
-        split, codes, counts = None, [], []
+        split, found, counts = None, [], []
 
         def close():
-            window, row = np.unique(np.concatenate(codes), return_inverse=True)
-            n = np.bincount(row, weights=np.concatenate(counts), minlength=len(window)).astype(np.int64)
+            window, n = merged(found, counts)
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(window), split)), pa.array(window), pa.array(n)], ["split", "window", "n"])
 
         for batch in batches:
             of = batch.column("split").to_numpy()
             ends = [*(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)] if len(of) else []
             for a, b in zip([0, *ends[:-1]], ends, strict=False):
-                if codes and of[a] != split:
+                if found and of[a] != split:
                     yield close()
-                    codes, counts = [], []
+                    found, counts = [], []
                 split = int(of[a])
-                for part in slices(batch.slice(a, b - a), "text", COUNT_SLICE):
+                for part in slices(batch.slice(a, b - a), "text", SLICE):
                     for learned in (True, False):
                         texts = part.column("text").filter(pc.equal(part.column("learned"), learned))
                         if len(texts):
                             code, n = windows(texts, depth)
-                            codes.append(code)
+                            found.append(code)
                             counts.append(n * learned)
-                if len(codes) >= 8:  # slices of a split have most windows in common
-                    window, row = np.unique(np.concatenate(codes), return_inverse=True)
-                    counts = [np.bincount(row, weights=np.concatenate(counts), minlength=len(window)).astype(np.int64)]
-                    codes = [window]
-        if codes:
+                    if sum(map(len, found[1:])) > max(SLICE, len(found[0])):  # slices of a split have most windows in common
+                        found, counts = map(list, zip(merged(found, counts), strict=True))
+        if found:
             yield close()
 
     return map_arrow(texts.select("split", "learned", "text"), run, "split long, window long, n long")
@@ -145,40 +171,91 @@ def gram_probabilities(counted: DataFrame, depth: int, min_count: int, min_gain:
 
     ``counted`` has each window with its number in training texts, which may be 0.
     """
-    tables = [cut(counted.select(F.col("window").alias("gram"), "n"), "grams", release=True)]
-    for size in range(depth - 1, -1, -1):
+    whole = cut(counted.select(F.col("window").alias("gram"), "n"), "grams", release=True)
+    top = min(TOP, depth)
+    tables = {}  # by context length
+    for size in range(top, -1, -1):
         shorter = F.col("gram").bitwiseAND((1 << 8 * (size + 1)) - 1)
-        tables.append(cut(tables[-1].groupBy(shorter.alias("gram")).agg(F.sum("n").alias("n")), "grams"))
-    symbols = tables[-1].agg(F.sum("n")).first()[0] or 0
-    found = tables[-1].select("gram", ((F.col("n") + 0.5) / F.lit(symbols + 128.0)).alias("p"))
+        tables[size] = cut(tables.get(size + 1, whole).groupBy(shorter.alias("gram")).agg(F.sum("n").alias("n")), "grams")
+    symbols = tables[0].agg(F.sum("n")).first()[0] or 0
+    found = tables[0].select("gram", ((F.col("n") + 0.5) / F.lit(symbols + 128.0)).alias("p"))
     of_context = Window.partitionBy("context")  # at most 256 rows
-    for size in range(1, depth + 1):
-        parent = found.select(F.col("gram").alias("shorter"), "p")
-        rows = tables[depth - size].withColumn("shorter", F.col("gram").bitwiseAND((1 << 8 * size) - 1)).join(parent, "shorter")
+    for size in range(1, top + 1):
+        rows = _with_shorter(tables[size], found, size)
         rows = rows.select("gram", "n", "p", F.shiftright("gram", 8).alias("context"))
         gained = F.when(F.col("n") > 0, F.col("n") * F.log(F.col("n") / F.col("p"))).otherwise(0.0)
         rows = rows.select("gram", "n", "p", F.sum("n").over(of_context).alias("total"), F.sum(gained).over(of_context).alias("told"))
         total = F.col("total")
         keep = (total >= max(1, min_count)) & (F.col("told") - total * F.log(F.greatest(total, F.lit(1))) > min_gain)
         own = (F.col("n") + smooth * F.col("p")) / (total + smooth)
-        found = cut(rows.select("gram", F.when(keep, own).otherwise(F.col("p")).alias("p")), "probabilities", release=True)
-    drop(*tables)
+        found = cut(rows.select("gram", F.when(keep, own).otherwise(F.col("p")).alias("p")), "probabilities")
+    if depth > top:
+        suffix = F.shiftright(F.col("gram").bitwiseAND((1 << 8 * (top + 1)) - 1), 8)
+        rows = _with_shorter(whole, found, top + 1).select("gram", "n", "p", suffix.alias("suffix"))
+        rows = rows.repartition(partitions_for(counted.sparkSession), "suffix").sortWithinPartitions("suffix")
+
+        def run(batches):
+            held, rows, enough = [], 0, GROUP_ROWS
+            for batch in batches:
+                held.append(batch)
+                rows += len(batch)
+                if rows < enough:
+                    continue
+                table = pa.Table.from_batches(held)
+                of = table.column("suffix").to_numpy()
+                full = int(np.searchsorted(of, of[-1], side="left"))  # the last group may go on
+                if full:
+                    yield tested(table.slice(0, full))
+                held = table.slice(full).to_batches()
+                rows -= full
+                enough = max(GROUP_ROWS, 2 * rows)
+            if rows:
+                yield tested(pa.Table.from_batches(held))
+
+        def tested(table):
+            gram, n, p = (table.column(c).to_numpy() for c in ("gram", "n", "p"))
+            p = deep_probabilities(gram, n, p, range(top + 1, depth + 1), min_count, min_gain, smooth)
+            return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(p)], ["gram", "p"])
+
+        found = cut(map_arrow(rows, run, "gram long, p double"), "probabilities", release=True)
+    drop(whole, *tables.values())
     return found
 
 
+def _with_shorter(grams: DataFrame, found: DataFrame, size: int) -> DataFrame:
+    """The grams with ``p`` of the gram without the first of ``size`` context bytes, or of longer ones' last ``size``."""
+    parent = found.select(F.col("gram").alias("shorter"), "p")
+    return grams.withColumn("shorter", F.col("gram").bitwiseAND((1 << 8 * size) - 1)).join(parent, "shorter")
+
+
+def deep_probabilities(window: np.ndarray, n: np.ndarray, p: np.ndarray, sizes: range, min_count: int, min_gain: float, smooth: float) -> np.ndarray:
+    """Probability of each distinct window by contexts of the lengths ``sizes``, from ``p`` by contexts one byte shorter.
+
+    All windows whose contexts share the last ``sizes.start`` - 1 bytes have to be there.
+    """
+    for size in sizes:
+        gram, first, row = np.unique(window & (1 << 8 * (size + 1)) - 1, return_index=True, return_inverse=True)
+        count, parent = np.bincount(row, weights=n), p[first]
+        context = gram >> 8
+        start = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+        total = np.add.reduceat(count, start)
+        told = np.add.reduceat(count * np.log(np.maximum(count, 1) / parent), start)
+        keep = (total >= max(1, min_count)) & (told - total * np.log(np.maximum(total, 1)) > min_gain)
+        of = spans_to_rows(np.diff(np.append(start, len(gram))))
+        p = np.where(keep[of], (count + smooth * parent) / (total[of] + smooth), parent)[row]
+    return p
+
+
 def window_scores(texts: pa.Array, depth: int, window: np.ndarray, log10: np.ndarray) -> np.ndarray:
     """log10 probability of each text from those of its windows (in ascending order)."""
     symbols, total = stream(texts, depth)
     if not len(total):
         return np.zeros(0)
-    code = np.zeros(len(symbols) - depth, np.int64)
-    for k in range(depth + 1):
-        code = code << 8 | symbols[k : k + len(code)]
-    scored = total - depth
-    code = code[ranges(np.cumsum(total) - total, scored)]
-    order = np.argsort(code)  # in order, neighbours are looked up in the same memory
-    at = np.searchsorted(window, code[order])
-    return np.bincount(spans_to_rows(scored)[order], weights=log10[at], minlength=len(total))
+    told = np.zeros(len(symbols), np.float32)
+    for place, code in codes(symbols, total, depth):
+        order = np.argsort(code)  # in order, neighbours are looked up in the same memory
+        told[place[order]] = log10[np.searchsorted(window, code[order])]
+    return np.add.reduceat(told, np.cumsum(total) - total, dtype=np.float64)
 
 
 @dataclass
@@ -283,7 +360,7 @@ def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text", COUNT_SLICE):
+            for part in slices(batch, "text"):
                 codes, vocabulary, _ = words(part.column("text"), LOWER_SPLIT_ON_BLANKS)
                 n = np.bincount(codes, minlength=len(vocabulary))
                 yield pa.RecordBatch.from_arrays([pa.array(vocabulary, pa.string()), pa.array(n, pa.int64())], ["word", "n"])
@@ -311,7 +388,8 @@ def score(
     counted = held.groupBy("window").agg(F.sum("n").alias("n"))
     found = gram_probabilities(counted, depth, min_count, min_gain, smooth)
     log10 = found.select(F.col("gram").alias("window"), F.log10("p").cast("float").alias("log10"))
-    looked_up = cut(held.select("split", "window").join(log10, "window").select("split", "window", "log10"), "split-windows", release=True)
+    # a partition's distinct windows fit in a hash table, so the splits' windows need no sort
+    looked_up = cut(held.select("split", "window").join(log10.hint("shuffle_hash"), "window").select("split", "window", "log10"), "split-windows", release=True)
     drop(held, found)
     known = cut(word_counts(learned, "text"), "words")
     n_texts = learned.count()  # each has one end
@@ -324,7 +402,7 @@ def score(
 
     def run(batches):
         often = shared.value
-        split, window, log10 = None, [], []
+        split, ordered, window, log10 = None, None, [], []
         for batch in batches:
             of, is_text = batch.column("split").to_numpy(), batch.column("number").is_valid().to_numpy(zero_copy_only=False)
             ends = [*(np.flatnonzero((np.diff(of) != 0) | (np.diff(is_text.astype(np.int8)) != 0)) + 1).tolist(), len(of)] if len(of) else []
@@ -336,9 +414,11 @@ def score(
                     window.append(some.column("window").to_numpy())
                     log10.append(some.column("log10").to_numpy())
                     continue
-                if len(window) > 1:
-                    window, log10 = [np.concatenate(window)], [np.concatenate(log10)]
-                for part in slices(some, "text"):
+                if len(window) > 1 or ordered != split:
+                    window, log10, ordered = [np.concatenate(window)], [np.concatenate(log10)], split
+                    order = np.argsort(window[0])
+                    window[0], log10[0] = window[0][order], log10[0][order]
+                for part in slices(some, "text", SLICE):
                     yield from scored(part, often, window[0], log10[0])
 
     def scored(part, often, window, log10):
@@ -376,8 +456,8 @@ def score(
     nothing = lambda kind: F.lit(None).cast(kind)
     tables = looked_up.select("split", "window", "log10", nothing("long").alias("number"), nothing("long").alias("doc_id"), nothing("string").alias("text"))
     rows = tables.unionByName(placed.drop("learned"), allowMissingColumns=True)
-    # a split's windows, in ascending order, then its texts
-    rows = rows.repartition(partitions_for(spark), "split").sortWithinPartitions("split", F.col("window").asc_nulls_last())
+    # a split's windows, then its texts
+    rows = rows.repartition(partitions_for(spark), "split").sortWithinPartitions(F.col("split") * 2 + F.col("number").isNotNull().cast("long"))
     parts = map_arrow(rows, run, "number long, word string, doc_id long, times long, n_often long, base double, score double")
     seldom = F.col("score").isNull()
     count = F.coalesce(F.col("n"), F.lit(0))
