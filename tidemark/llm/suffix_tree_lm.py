@@ -19,10 +19,9 @@ group's distinct windows are bounded by the alphabet, not by the corpus). The
 probabilities of the windows then meet the splits that hold them, and each split's
 texts are looked up in its own windows alone.
 
-Beside the score stands the unigram base of the words. Words that make up at
-least ``p_word`` of the training tokens (at most 1 / p_word of them, of up to
-64 bytes) are looked up in a broadcast table; all others meet their counts in
-one shuffled join, so no task sees the vocabulary.
+Beside the score stands the unigram base of the words. It goes the same way: the
+distinct words of every split are counted, summed over all splits, and the sums
+meet the splits that hold the words, so no task sees the vocabulary.
 
 Nulls: a null text is an empty one, with one token, the end. Repeated rows and
 null ids are scored each for itself. Without training texts the model is
@@ -50,6 +49,8 @@ SLICE = 1 << 20  # bytes of text or places worked on at a time: what numpy holds
 SPLIT_BYTES = 32 << 20  # of texts whose windows are looked up together
 TOP = 3  # context bytes up to which grams are tables of their own
 GROUP_ROWS = 1 << 19  # windows that are tested at a time, or one group
+WORD_ROWS = 1 << 17  # counted words that are held before they are summed
+PLAIN = {"parquet.writer.version": "PARQUET_2_0"}  # windows in order are kept as differences
 
 
 def stream(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -355,18 +356,41 @@ def _automaton(tables, symbol, width, unseen, depth) -> Automaton:
     return Automaton(symbol, step, log10, 0, depth)
 
 
-def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
-    """word, n over all texts."""
+def split_words(texts: DataFrame) -> DataFrame:
+    """split, word, n: the distinct words of every split, and how often training texts hold them."""
 
     def run(batches):
+        split, found = None, []
+
+        def close():
+            table = summed(found)
+            for rows in table.to_batches():
+                whole = [pa.array(np.full(len(rows), split)), rows.column("word"), rows.column("n")]
+                yield pa.RecordBatch.from_arrays(whole, ["split", "word", "n"])
+
+        def summed(tables):
+            whole = pa.concat_tables(tables).group_by("word").aggregate([("n", "sum")])
+            return pa.table({"word": whole.column("word"), "n": whole.column("n_sum")})
+
         for batch in batches:
-            for part in slices(batch, "text"):
-                codes, vocabulary, _ = words(part.column("text"), LOWER_SPLIT_ON_BLANKS)
-                n = np.bincount(codes, minlength=len(vocabulary))
-                yield pa.RecordBatch.from_arrays([pa.array(vocabulary, pa.string()), pa.array(n, pa.int64())], ["word", "n"])
+            of = batch.column("split").to_numpy()
+            ends = [*(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)] if len(of) else []
+            for a, b in zip([0, *ends[:-1]], ends, strict=False):
+                if found and of[a] != split:
+                    yield from close()
+                    found = []
+                split = int(of[a])
+                for part in slices(batch.slice(a, b - a), "text"):
+                    codes, vocabulary, counts = words(part.column("text"), LOWER_SPLIT_ON_BLANKS)
+                    learned = part.column("learned").to_numpy(zero_copy_only=False)
+                    n = np.bincount(codes, weights=np.repeat(learned, counts), minlength=len(vocabulary)).astype(np.int64)
+                    found.append(pa.table({"word": pa.array(vocabulary, pa.large_string()), "n": n}))
+                    if sum(map(len, found[1:])) > max(WORD_ROWS, len(found[0])):
+                        found = [summed(found)]
+        if found:
+            yield from close()
 
-    rows = docs.select(F.col(text_col).cast("string").alias("text"))
-    return map_arrow(rows, run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return map_arrow(texts.select("split", "learned", "text"), run, "split long, word string, n long")
 
 
 def score(
@@ -378,97 +402,68 @@ def score(
     min_count: int = 8,
     min_gain: float = 1.0,
     smooth: float = 4.0,
-    p_word: float = 1e-5,
 ) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score for every text."""
     spark = docs.sparkSession
     placed = cut(placed_texts(docs, training, id_col, text_col), "texts")
-    learned = placed.filter("learned")
-    held = cut(split_windows(placed, depth), "windows")
+    held = cut(split_windows(placed, depth), "windows", **PLAIN)
     counted = held.groupBy("window").agg(F.sum("n").alias("n"))
     found = gram_probabilities(counted, depth, min_count, min_gain, smooth)
     log10 = found.select(F.col("gram").alias("window"), F.log10("p").cast("float").alias("log10"))
     # a partition's distinct windows fit in a hash table, so the splits' windows need no sort
-    looked_up = cut(held.select("split", "window").join(log10.hint("shuffle_hash"), "window").select("split", "window", "log10"), "split-windows", release=True)
+    met = held.select("split", "window").join(log10.hint("shuffle_hash"), "window")
+    looked_up = cut(met.select("split", "window", "log10"), "split-windows", release=True)
     drop(held, found)
-    known = cut(word_counts(learned, "text"), "words")
-    n_texts = learned.count()  # each has one end
-    row = known.agg(F.sum("n"), F.count("*")).first()
+    held = cut(split_words(placed), "words")
+    known = cut(held.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    row = known.agg(F.sum("n"), F.count_if(F.col("n") > 0)).first()
+    n_texts = placed.filter("learned").count()  # each has one end
     n_all, n_distinct = (row[0] or 0) + n_texts, row[1] + (n_texts > 0)
-    frequent = known.filter((F.col("n") >= p_word * n_all) & (F.octet_length("word") <= 64)).toArrow()
-    table = dict(zip(frequent.column("word").to_pylist(), frequent.column("n").to_pylist(), strict=True))
-    shared = spark.sparkContext.broadcast(table)
     room = n_all + 0.5 * (n_distinct + 1)
+    looked_up_words = cut(held.select("split", "word").join(known, "word").select("split", "word", "n"), "split-words", release=True)
+    drop(held, known)
 
     def run(batches):
-        often = shared.value
-        split, ordered, window, log10 = None, None, [], []
+        split, window, log10, word, count, ready = None, [], [], [], [], None
         for batch in batches:
             of, is_text = batch.column("split").to_numpy(), batch.column("number").is_valid().to_numpy(zero_copy_only=False)
             ends = [*(np.flatnonzero((np.diff(of) != 0) | (np.diff(is_text.astype(np.int8)) != 0)) + 1).tolist(), len(of)] if len(of) else []
             for a, b in zip([0, *ends[:-1]], ends, strict=False):
                 if of[a] != split:
-                    split, window, log10 = of[a], [], []
+                    split, window, log10, word, count, ready = of[a], [], [], [], [], None
                 some = batch.slice(a, b - a)
                 if not is_text[a]:
-                    window.append(some.column("window").to_numpy())
-                    log10.append(some.column("log10").to_numpy())
+                    is_word = some.column("word").is_valid()
+                    windowed, worded = some.filter(pc.invert(is_word)), some.filter(is_word)
+                    window.append(windowed.column("window").to_numpy())
+                    log10.append(windowed.column("log10").to_numpy())
+                    word.append(worded.column("word"))
+                    count.append(worded.column("n").to_numpy())
                     continue
-                if len(window) > 1 or ordered != split:
-                    window, log10, ordered = [np.concatenate(window)], [np.concatenate(log10)], split
-                    order = np.argsort(window[0])
-                    window[0], log10[0] = window[0][order], log10[0][order]
+                if ready is None:
+                    code = np.concatenate(window)
+                    order = np.argsort(code)
+                    counts = np.concatenate(count) if count else np.zeros(0)
+                    ready = code[order], np.concatenate(log10)[order], dict(zip(pa.chunked_array(word, pa.string()).to_pylist(), counts.tolist(), strict=True))
+                    window, log10, word, count = [], [], [], []
                 for part in slices(some, "text", SLICE):
-                    yield from scored(part, often, window[0], log10[0])
+                    yield scored(part, *ready)
 
-    def scored(part, often, window, log10):
+    def scored(part, window, log10, count):
         texts = part.column("text")
         codes, vocabulary, counts = words(texts, LOWER_SPLIT_ON_BLANKS)
-        n = len(counts)
-        c = np.fromiter((often.get(w, 0) for w in vocabulary), np.float64, len(vocabulary))
-        row = spans_to_rows(counts)
-        is_often = c[codes] > 0 if len(codes) else np.zeros(0, bool)
-        base = np.bincount(row[is_often], weights=np.log10((c[codes[is_often]] + 0.5) / room), minlength=n)
-        base = base + np.log10((n_texts + 0.5) / room)
-        n_often = np.bincount(row[is_often], minlength=n)
-        number = part.column("number").to_numpy()
-        # a text's own row has a "word" that no text holds, so it joins with none
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(number),
-                pa.array([f" {i}" for i in number.tolist()]),
-                part.column("doc_id"),
-                pa.array(counts + 1),
-                pa.array(n_often + (n_texts > 0)),
-                pa.array(base),
-                pa.array(window_scores(texts, depth, window, log10)),
-            ],
-            NAMES,
-        )
-        pairs, times = np.unique(row[~is_often] * len(vocabulary) + codes[~is_often], return_counts=True)
-        if len(pairs):
-            nothing = pa.nulls(len(pairs), pa.float64())
-            seldom = pa.array(vocabulary, pa.string()).take(pa.array(pairs % len(vocabulary)))
-            where = number[pairs // len(vocabulary)]
-            whole = pa.nulls(len(pairs), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(where), seldom, whole, pa.array(times, pa.int64()), whole, nothing, nothing], NAMES)
-
-    nothing = lambda kind: F.lit(None).cast(kind)
-    tables = looked_up.select("split", "window", "log10", nothing("long").alias("number"), nothing("long").alias("doc_id"), nothing("string").alias("text"))
+        c = np.fromiter((count[w] for w in vocabulary), np.float64, len(vocabulary))
+        row, n = spans_to_rows(counts), len(counts)
+        base = np.bincount(row, weights=np.log10((c + 0.5) / room)[codes], minlength=n) + np.log10((n_texts + 0.5) / room)
+        n_known = np.bincount(row, weights=(c > 0)[codes], minlength=n).astype(np.int64) + (n_texts > 0)
+        columns = [part.column("doc_id"), pa.array(counts + 1), pa.array(n_known), pa.array(np.full(n, n_all, np.int64)), pa.array(base)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(window_scores(texts, depth, window, log10))], NAMES)
+
+    tables = looked_up.unionByName(looked_up_words, allowMissingColumns=True)
     rows = tables.unionByName(placed.drop("learned"), allowMissingColumns=True)
-    # a split's windows, then its texts
+    # a split's windows and words, then its texts
     rows = rows.repartition(partitions_for(spark), "split").sortWithinPartitions(F.col("split") * 2 + F.col("number").isNotNull().cast("long"))
-    parts = map_arrow(rows, run, "number long, word string, doc_id long, times long, n_often long, base double, score double")
-    seldom = F.col("score").isNull()
-    count = F.coalesce(F.col("n"), F.lit(0))
-    met = parts.join(known, "word", "left").groupBy("number").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.sum(F.when(~seldom, F.col("times"))).alias("n_tokens"),
-        F.sum(F.when(seldom, F.when(count > 0, F.col("times")).otherwise(0)).otherwise(F.col("n_often"))).alias("n_known"),
-        F.sum(F.when(seldom, F.col("times") * F.log10((count + 0.5) / F.lit(room))).otherwise(F.col("base"))).alias("base_score"),
-        F.max("score").alias("score"),
-    )
-    return met.select("doc_id", "n_tokens", "n_known", F.lit(n_all).cast("long").alias("train_tokens"), "base_score", "score")
-
-
-NAMES = ["number", "word", "doc_id", "times", "n_often", "base", "score"]
+    return map_arrow(rows, run, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+NAMES = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
