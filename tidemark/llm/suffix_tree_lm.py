@@ -49,6 +49,7 @@ SLICE = 1 << 20  # bytes of text or places worked on at a time: what numpy holds
 SPLIT_BYTES = 32 << 20  # of texts whose windows are looked up together
 TOP = 3  # context bytes up to which grams are tables of their own
 GROUP_ROWS = 1 << 19  # windows that are tested at a time, or one group
+PACK_ROWS = 1 << 21  # windows or words that a task packs at a time
 WORD_ROWS = 1 << 17  # counted words that are held before they are summed
 PLAIN = {"parquet.writer.version": "PARQUET_2_0"}  # windows in order are kept as differences
 
@@ -393,6 +394,48 @@ def split_words(texts: DataFrame) -> DataFrame:
     return map_arrow(texts.select("split", "learned", "text"), run, "split long, word string, n long")
 
 
+def packed(rows: DataFrame, name: str) -> DataFrame:
+    """split, ``name``: the rows of a split as compressed Arrow tables, windows in order and as differences.
+
+    A task packs ``PACK_ROWS`` rows at a time, so a split has a few rows where it had one a window.
+    """
+    field = [c for c in rows.columns if c != "split"]
+
+    def pack(batches):
+        table = pa.Table.from_batches(batches)
+        by = [("split", "ascending"), (field[0], "ascending")] if field[0] == "window" else [("split", "ascending")]
+        table = table.take(pc.sort_indices(table, sort_keys=by)).combine_chunks()
+        of = table.column("split").to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        blobs = []
+        for a, b in zip(starts, [*starts[1:], len(of)], strict=True):
+            part = table.slice(a, b - a).select(field)
+            if field[0] == "window":
+                part = part.set_column(0, "window", pa.array(np.diff(part.column("window").to_numpy(), prepend=0)))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(part)
+            blobs.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays([pa.array(of[starts]), pa.array(blobs, pa.binary())], ["split", name])
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += len(batch)
+            if n >= PACK_ROWS:
+                yield pack(held)
+                held, n = [], 0
+        if n:
+            yield pack(held)
+
+    return map_arrow(rows, run, f"split long, {name} binary")
+
+
+def unpacked(blob: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(blob.as_buffer()).read_all()
+
+
 def score(
     docs: DataFrame,
     training: Column,
@@ -412,7 +455,7 @@ def score(
     log10 = found.select(F.col("gram").alias("window"), F.log10("p").cast("float").alias("log10"))
     # a partition's distinct windows fit in a hash table, so the splits' windows need no sort
     met = held.select("split", "window").join(log10.hint("shuffle_hash"), "window")
-    looked_up = cut(met.select("split", "window", "log10"), "split-windows", release=True)
+    looked_up = cut(packed(met.select("split", "window", "log10"), "windows"), "split-windows", release=True)
     drop(held, found)
     held = cut(split_words(placed), "words")
     known = cut(held.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
@@ -420,32 +463,32 @@ def score(
     n_texts = placed.filter("learned").count()  # each has one end
     n_all, n_distinct = (row[0] or 0) + n_texts, row[1] + (n_texts > 0)
     room = n_all + 0.5 * (n_distinct + 1)
-    looked_up_words = cut(held.select("split", "word").join(known, "word").select("split", "word", "n"), "split-words", release=True)
+    met = held.select("split", "word").join(known, "word")
+    looked_up_words = cut(packed(met.select("split", "word", "n"), "words"), "split-words", release=True)
     drop(held, known)
 
     def run(batches):
-        split, window, log10, word, count, ready = None, [], [], [], [], None
+        split, found, counted, ready = None, [], [], None
         for batch in batches:
             of, is_text = batch.column("split").to_numpy(), batch.column("number").is_valid().to_numpy(zero_copy_only=False)
             ends = [*(np.flatnonzero((np.diff(of) != 0) | (np.diff(is_text.astype(np.int8)) != 0)) + 1).tolist(), len(of)] if len(of) else []
             for a, b in zip([0, *ends[:-1]], ends, strict=False):
                 if of[a] != split:
-                    split, window, log10, word, count, ready = of[a], [], [], [], [], None
+                    split, found, counted, ready = of[a], [], [], None
                 some = batch.slice(a, b - a)
                 if not is_text[a]:
-                    is_word = some.column("word").is_valid()
-                    windowed, worded = some.filter(pc.invert(is_word)), some.filter(is_word)
-                    window.append(windowed.column("window").to_numpy())
-                    log10.append(windowed.column("log10").to_numpy())
-                    word.append(worded.column("word"))
-                    count.append(worded.column("n").to_numpy())
+                    found += [unpacked(x) for x in some.column("windows") if x.is_valid]
+                    counted += [unpacked(x) for x in some.column("words") if x.is_valid]
                     continue
                 if ready is None:
-                    code = np.concatenate(window)
-                    order = np.argsort(code)
-                    counts = np.concatenate(count) if count else np.zeros(0)
-                    ready = code[order], np.concatenate(log10)[order], dict(zip(pa.chunked_array(word, pa.string()).to_pylist(), counts.tolist(), strict=True))
-                    window, log10, word, count = [], [], [], []
+                    window = np.concatenate([np.cumsum(t.column("window").to_numpy()) for t in found])
+                    log10 = np.concatenate([t.column("log10").to_numpy() for t in found])
+                    order = np.argsort(window, kind="stable")  # runs in order
+                    count = {}
+                    for t in counted:
+                        count.update(zip(t.column("word").to_pylist(), t.column("n").to_pylist(), strict=True))
+                    ready = window[order], log10[order], count
+                    found, counted = [], []
                 for part in slices(some, "text", SLICE):
                     yield scored(part, *ready)
 
