@@ -10,9 +10,10 @@ class links with it.
 Tokens are ordered by rarity: how often their hash slot occurs over all distinct
 lines, rarest first, ties by hash. Two linked lines share a token in the prefixes
 of that order, of |x| - ceil(t|x|) + 1 tokens each. Lines that share one are
-candidates if their lengths, the places of the shared token, and a 64-bit sketch
-of their words (each word sets one bit; the bits that differ are at most the
-words that differ) allow the similarity; candidates are verified on all tokens.
+candidates if their lengths, the places of the shared token, and a sketch of
+their words (each word turns one of 64 bits over, or one of 128 if both lines are
+long; the bits that differ are at most the words that differ) allow the
+similarity; candidates are verified on all tokens.
 
 Dense groups: every line is first held against the ``EARLIEST`` first lines of
 each of its prefix groups, at most that many rows a prefix token; only lines
@@ -34,6 +35,7 @@ from tidemark.llm.common import cut, drop, free_name, named_rows
 SLOTS = 1 << 18
 FILTER_SLOTS = 6 << 18
 EARLIEST = 16
+LONG_LINE = 48
 DICTIONARY_BYTES = 4 << 20
 BLANKS = "\t\u000b\f\r"
 
@@ -96,26 +98,40 @@ def ordered_tokens(words: Column, table: Column) -> Column:
 
 
 def sketch(tokens: Column) -> Column:
-    """One of 64 bits for every token."""
-    return F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
+    """Each token turns one of 64 bits over (the lowest six bits of it say which)."""
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
+
+
+def half_sketch(tokens: Column) -> Column:
+    """As ``sketch``, of the tokens whose seventh bit is set."""
+
+    def turned(a: Column, t: Column) -> Column:
+        return a.bitwiseXOR(F.call_function("shiftleft", F.shiftright(t, 6).bitwiseAND(1), t.bitwiseAND(63).cast("int")))
+
+    return F.aggregate(tokens, F.lit(0).cast("long"), turned)
 
 
 def prefixes(classes: DataFrame, table: Column, percent: int) -> DataFrame:
-    """token, doc, at, size, place, bits: one row a prefix token of each line."""
+    """token, doc, at, size, place, bits, half: one row a prefix token of each line (half is 0 for lines that are not long)."""
     tokens = classes.select("doc", "at", ordered_tokens(F.col("words"), table).alias("tokens"))
-    sized = tokens.select("doc", "at", F.size("tokens").alias("size"), sketch(F.col("tokens")).alias("bits"), "tokens")
+    half = F.when(F.size("tokens") >= LONG_LINE, half_sketch(F.col("tokens"))).otherwise(F.lit(0).cast("long"))
+    sized = tokens.select("doc", "at", F.size("tokens").alias("size"), sketch(F.col("tokens")).alias("bits"), half.alias("half"), "tokens")
     length = F.col("size") - F.floor((percent * F.col("size") + 99) / 100).cast("int") + 1
-    return sized.select("doc", "at", "size", "bits", F.posexplode(F.slice("tokens", F.lit(1), length)).alias("place", "token"))
+    return sized.select("doc", "at", "size", "bits", "half", F.posexplode(F.slice("tokens", F.lit(1), length)).alias("place", "token"))
 
 
 def _possible(x: str, y: str, percent: int) -> Column:
     """What lengths, places and sketches of two lines that share a prefix token allow."""
     a, b = F.col(f"{x}.size"), F.col(f"{y}.size")
     rest = F.least(a - F.col(f"{x}.place"), b - F.col(f"{y}.place"))  # with the shared token
+    bits = F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits"))
+    half = F.col(f"{x}.half").bitwiseXOR(F.col(f"{y}.half"))
+    both_long = F.bit_count(bits.bitwiseXOR(half)) + F.bit_count(half)
     return (
         (100 * F.least(a, b) >= percent * F.greatest(a, b))
         & ((100 + percent) * rest >= percent * (a + b))
-        & ((100 + percent) * F.bit_count(F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits"))) <= (100 - percent) * (a + b))
+        & ((100 + percent) * F.bit_count(bits) <= (100 - percent) * (a + b))
+        & ((F.least(a, b) < LONG_LINE) | ((100 + percent) * both_long <= (100 - percent) * (a + b)))
     )
 
 
