@@ -16,8 +16,9 @@ long; the bits that differ are at most the words that differ) allow the
 similarity; candidates are verified on all tokens.
 
 Dense groups: every line is first held against the ``EARLIEST`` first lines of
-each of its prefix groups, at most that many rows a prefix token; only lines
-that this leaves are held against the later lines of groups that have more.
+each of its prefix groups, which a running window brings to it, so no group is
+walked a second time; only lines that this leaves are held, by a join, against the
+later lines of groups that have more.
 
 Nulls: a null text has no lines. Rows with a null id are passed through whole.
 ``kept_lines`` takes ids that do not repeat (``named_rows`` gives such); ``deduplicate``
@@ -34,7 +35,7 @@ from tidemark.llm.common import cut, drop, free_name, named_rows
 
 SLOTS = 1 << 18
 FILTER_SLOTS = 6 << 18
-EARLIEST = 16
+EARLIEST = 8
 LONG_LINE = 48
 DICTIONARY_BYTES = 4 << 20
 BLANKS = "\t\u000b\f\r"
@@ -121,11 +122,11 @@ def prefixes(classes: DataFrame, table: Column, percent: int) -> DataFrame:
 
 
 def _possible(x: str, y: str, percent: int) -> Column:
-    """What lengths, places and sketches of two lines that share a prefix token allow."""
-    a, b = F.col(f"{x}.size"), F.col(f"{y}.size")
-    rest = F.least(a - F.col(f"{x}.place"), b - F.col(f"{y}.place"))  # with the shared token
-    bits = F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits"))
-    half = F.col(f"{x}.half").bitwiseXOR(F.col(f"{y}.half"))
+    """What lengths, places and sketches of two lines (the prefixes of their columns' names) that share a prefix token allow."""
+    a, b = F.col(f"{x}size"), F.col(f"{y}size")
+    rest = F.least(a - F.col(f"{x}place"), b - F.col(f"{y}place"))  # with the shared token
+    bits = F.col(f"{x}bits").bitwiseXOR(F.col(f"{y}bits"))
+    half = F.col(f"{x}half").bitwiseXOR(F.col(f"{y}half"))
     both_long = F.bit_count(bits.bitwiseXOR(half)) + F.bit_count(half)
     return (
         (100 * F.least(a, b) >= percent * F.greatest(a, b))
@@ -135,20 +136,32 @@ def _possible(x: str, y: str, percent: int) -> Column:
     )
 
 
-def _ranked(rows: DataFrame) -> DataFrame:
+def _ranked(rows: DataFrame, percent: int) -> DataFrame:
     """Prefix rows of tokens that several lines share, with each line's number among these.
 
-    Running numbers need no more than the current row of a group, however large.
+    ``near`` are those of the group's first ``EARLIEST`` lines that stand before this
+    one and that it may link with. Running values need no more of a group, however
+    large, than its current row and these first ones.
     """
     group = Window.partitionBy("token").orderBy("doc", "at")
     upto = group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = rows.withColumns({"rank": F.count(F.lit(1)).over(upto), "next": F.lead("doc").over(group)})
-    return numbered.filter((F.col("rank") > 1) | F.col("next").isNotNull()).drop("next")
+    line = F.struct("doc", "at", "size", "place", "bits", "half")
+    first = {f"y{k}": F.nth_value(line, k).over(upto) for k in range(1, EARLIEST + 1)}
+    numbered = rows.withColumns({"rank": F.count(F.lit(1)).over(upto), "next": F.lead("doc").over(group), **first})
+    shared = numbered.filter((F.col("rank") > 1) | F.col("next").isNotNull())
+    may = [F.when((F.col("rank") > k) & _possible("", f"y{k}.", percent), F.struct(f"y{k}.doc", f"y{k}.at")) for k in range(1, EARLIEST + 1)]
+    return shared.select(*rows.columns, "rank", F.array_compact(F.array(*may)).alias("near"))
 
 
-def _pairs(probe: DataFrame, held: DataFrame, earliest: Column, percent: int) -> DataFrame:
-    """doc, at of later lines with doc_y, at_y of earlier ones (numbers below ``earliest``) that they may link with."""
-    met = probe.alias("x").join(held.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.rank") < earliest) & _possible("x", "y", percent))
+def _near_pairs(ranked: DataFrame) -> DataFrame:
+    """doc, at of lines with doc_y, at_y of the earliest ones that they may link with."""
+    met = ranked.select("doc", "at", F.explode("near").alias("y"))
+    return met.select("doc", "at", F.col("y.doc").alias("doc_y"), F.col("y.at").alias("at_y")).distinct()
+
+
+def _later_pairs(probe: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """As ``_near_pairs``, with the earlier ones of ``held``."""
+    met = probe.alias("x").join(held.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.rank") < F.col("x.rank")) & _possible("x.", "y.", percent))
     return met.select("x.doc", "x.at", F.col("y.doc").alias("doc_y"), F.col("y.at").alias("at_y")).distinct()
 
 
@@ -166,18 +179,6 @@ def _without(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.filter(~marked).unionByName(rows.filter(marked).join(ids, ["doc", "at"], "left_anti"))
 
 
-def _slots(words: Column) -> Column:
-    """Distinct 16-bit ends of the words' hashes: sets differ in at most as many of these as in words."""
-    return F.array_distinct(F.transform(words, lambda h: (F.shiftrightunsigned(h, 40).bitwiseAND(65535) - 32768).cast("smallint")))
-
-
-def _both(pairs: DataFrame, texts: DataFrame, column: str) -> DataFrame:
-    """The pairs with ``column`` of both lines, as x and y."""
-    x = texts.select("doc", "at", F.col(column).alias("x"))
-    y = texts.select(F.col("doc").alias("doc_y"), F.col("at").alias("at_y"), F.col(column).alias("y"))
-    return pairs.join(x, ["doc", "at"]).join(y, ["doc_y", "at_y"])
-
-
 def _places(pairs: DataFrame) -> DataFrame:
     """doc, at of all lines that stand in some pair."""
     return pairs.select("doc", "at").unionByName(pairs.select(F.col("doc_y").alias("doc"), F.col("at_y").alias("at"))).distinct()
@@ -186,16 +187,13 @@ def _places(pairs: DataFrame) -> DataFrame:
 def _linked(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """doc, at of lines that really link with an earlier one; takes ``pairs`` off the disk."""
     ids = _places(pairs)
-    held = F.struct(_slots(F.col("words")).alias("slots"), F.size("words").alias("n"))
-    found = classes.filter(_mark(ids)).join(ids, ["doc", "at"])
-    small = _compact(found.select("doc", "at", "words", held.alias("held")), "candidate-lines")
-    differ = F.size("x.slots") + F.size("y.slots") - 2 * F.size(F.array_intersect("x.slots", "y.slots"))
-    may = (100 + percent) * differ <= (100 - percent) * (F.col("x.n") + F.col("y.n"))
-    close = cut(_both(pairs, small, "held").filter(may).select(*pairs.columns), "close-pairs", release=True)
+    found = _compact(classes.filter(_mark(ids)).join(ids, ["doc", "at"]), "candidate-lines")
+    x = found.select("doc", "at", F.col("words").alias("x"))
+    y = found.select(F.col("doc").alias("doc_y"), F.col("at").alias("at_y"), F.col("words").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
-    verified = _both(close, small.filter(_mark(_places(close))), "words").filter(100 * both >= percent * (F.size("x") + F.size("y") - both))
-    linked = cut(verified.select("doc", "at").distinct(), "linked", release=True)
-    drop(pairs, small, close)
+    alike = 100 * both >= percent * (F.size("x") + F.size("y") - both)
+    linked = cut(pairs.join(x, ["doc", "at"]).join(y, ["doc_y", "at_y"]).filter(alike).select("doc", "at").distinct(), "linked", release=True)
+    drop(pairs, found)
     return linked
 
 
@@ -207,16 +205,11 @@ def _compact(rows: DataFrame, name: str) -> DataFrame:
 def kept_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, kept: for each document with any, the places of its kept lines among its distinct lines."""
     classes = _compact(line_classes(docs, id_col, text_col), "lines")
-    ranked = ranked_table = cut(_ranked(prefixes(classes, rarity(classes), percent)), "prefixes", release=True)
-    # nothing is null here; saying so keeps both sides of the join alike, so one shuffle serves them
-    for c in ranked.columns:
-        ranked = ranked.filter(F.col(c).isNotNull())
-    first = F.least(F.col("x.rank"), F.lit(EARLIEST + 1))
-    easy = cut(_pairs(ranked, ranked, first, percent), "easy-pairs", release=True)
-    removed = _linked(easy, classes, percent)
-    later = ranked.filter(F.col("rank") > EARLIEST)
-    hard = cut(_pairs(_without(later, removed), later, F.col("x.rank"), percent), "hard-pairs", release=True)
-    drop(ranked_table)
+    ranked = cut(_ranked(prefixes(classes, rarity(classes), percent), percent), "prefixes", release=True)
+    removed = _linked(cut(_near_pairs(ranked), "near-pairs", release=True), classes, percent)
+    later = ranked.filter(F.col("rank") > EARLIEST).drop("near")
+    hard = cut(_later_pairs(_without(later, removed), later, percent), "later-pairs", release=True)
+    drop(ranked)
     removed = removed.unionByName(_linked(hard, classes, percent)).distinct()
     left = _without(classes.select("doc", "at"), removed)
     return left.groupBy("doc").agg(F.sort_array(F.collect_list("at")).alias("kept"))
