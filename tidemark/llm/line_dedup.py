@@ -16,9 +16,8 @@ long; the bits that differ are at most the words that differ) allow the
 similarity; candidates are verified on all tokens.
 
 Dense groups: every line is first held against the ``EARLIEST`` first lines of
-each of its prefix groups, which a running window brings to it, so no group is
-walked a second time; only lines that this leaves are held, by a join, against the
-later lines of groups that have more.
+each of its prefix groups, so no group is held against itself whole; only lines
+that this leaves are held against the later lines of groups that have more.
 
 Nulls: a null text has no lines. Rows with a null id are passed through whole.
 ``kept_lines`` takes ids that do not repeat (``named_rows`` gives such); ``deduplicate``
@@ -35,8 +34,9 @@ from tidemark.llm.common import cut, drop, free_name, named_rows
 
 SLOTS = 1 << 18
 FILTER_SLOTS = 6 << 18
-EARLIEST = 8
-LONG_LINE = 48
+EARLIEST = 16
+LONG_LINE = 96
+TOKEN_BITS = 48
 DICTIONARY_BYTES = 4 << 20
 BLANKS = "\t\u000b\f\r"
 
@@ -113,12 +113,16 @@ def half_sketch(tokens: Column) -> Column:
 
 
 def prefixes(classes: DataFrame, table: Column, percent: int) -> DataFrame:
-    """token, doc, at, size, place, bits, half: one row a prefix token of each line (half is 0 for lines that are not long)."""
+    """token, doc, at, size, place, bits, half: one row a prefix token of each line (half is 0 for lines that are not long).
+
+    ``token`` is the last ``TOKEN_BITS`` of the token: two that agree there only make more candidates.
+    """
     tokens = classes.select("doc", "at", ordered_tokens(F.col("words"), table).alias("tokens"))
     half = F.when(F.size("tokens") >= LONG_LINE, half_sketch(F.col("tokens"))).otherwise(F.lit(0).cast("long"))
     sized = tokens.select("doc", "at", F.size("tokens").alias("size"), sketch(F.col("tokens")).alias("bits"), half.alias("half"), "tokens")
     length = F.col("size") - F.floor((percent * F.col("size") + 99) / 100).cast("int") + 1
-    return sized.select("doc", "at", "size", "bits", "half", F.posexplode(F.slice("tokens", F.lit(1), length)).alias("place", "token"))
+    rows = sized.select("doc", "at", "size", "bits", "half", F.posexplode(F.slice("tokens", F.lit(1), length)).alias("place", "token"))
+    return rows.withColumn("token", F.col("token").bitwiseAND((1 << TOKEN_BITS) - 1))
 
 
 def _possible(x: str, y: str, percent: int) -> Column:
@@ -136,31 +140,19 @@ def _possible(x: str, y: str, percent: int) -> Column:
     )
 
 
-def _ranked(rows: DataFrame, percent: int) -> DataFrame:
+def _ranked(rows: DataFrame) -> DataFrame:
     """Prefix rows of tokens that several lines share, with each line's number among these.
 
-    ``near`` are those of the group's first ``EARLIEST`` lines that stand before this
-    one and that it may link with. Running values need no more of a group, however
-    large, than its current row and these first ones.
+    Running numbers need no more than the current row of a group, however large.
     """
     group = Window.partitionBy("token").orderBy("doc", "at")
     upto = group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    line = F.struct("doc", "at", "size", "place", "bits", "half")
-    first = {f"y{k}": F.nth_value(line, k).over(upto) for k in range(1, EARLIEST + 1)}
-    numbered = rows.withColumns({"rank": F.count(F.lit(1)).over(upto), "next": F.lead("doc").over(group), **first})
-    shared = numbered.filter((F.col("rank") > 1) | F.col("next").isNotNull())
-    may = [F.when((F.col("rank") > k) & _possible("", f"y{k}.", percent), F.struct(f"y{k}.doc", f"y{k}.at")) for k in range(1, EARLIEST + 1)]
-    return shared.select(*rows.columns, "rank", F.array_compact(F.array(*may)).alias("near"))
-
-
-def _near_pairs(ranked: DataFrame) -> DataFrame:
-    """doc, at of lines with doc_y, at_y of the earliest ones that they may link with."""
-    met = ranked.select("doc", "at", F.explode("near").alias("y"))
-    return met.select("doc", "at", F.col("y.doc").alias("doc_y"), F.col("y.at").alias("at_y")).distinct()
+    numbered = rows.withColumns({"rank": F.count(F.lit(1)).over(upto).cast("int"), "next": F.lead("doc").over(group)})
+    return numbered.filter((F.col("rank") > 1) | F.col("next").isNotNull()).drop("next")
 
 
-def _later_pairs(probe: DataFrame, held: DataFrame, percent: int) -> DataFrame:
-    """As ``_near_pairs``, with the earlier ones of ``held``."""
+def _pairs(probe: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """doc, at of lines of ``probe`` with doc_y, at_y of earlier ones of ``held`` that they may link with."""
     met = probe.alias("x").join(held.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.rank") < F.col("x.rank")) & _possible("x.", "y.", percent))
     return met.select("x.doc", "x.at", F.col("y.doc").alias("doc_y"), F.col("y.at").alias("at_y")).distinct()
 
@@ -205,10 +197,11 @@ def _compact(rows: DataFrame, name: str) -> DataFrame:
 def kept_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, kept: for each document with any, the places of its kept lines among its distinct lines."""
     classes = _compact(line_classes(docs, id_col, text_col), "lines")
-    ranked = cut(_ranked(prefixes(classes, rarity(classes), percent), percent), "prefixes", release=True)
-    removed = _linked(cut(_near_pairs(ranked), "near-pairs", release=True), classes, percent)
-    later = ranked.filter(F.col("rank") > EARLIEST).drop("near")
-    hard = cut(_later_pairs(_without(later, removed), later, percent), "later-pairs", release=True)
+    ranked = cut(_ranked(prefixes(classes, rarity(classes), percent)), "prefixes", release=True)
+    first = ranked.filter(F.col("rank") <= EARLIEST)
+    removed = _linked(cut(_pairs(ranked.filter(F.col("rank") > 1), first, percent), "early-pairs", release=True), classes, percent)
+    later = ranked.filter(F.col("rank") > EARLIEST)
+    hard = cut(_pairs(_without(later, removed), later, percent), "late-pairs", release=True)
     drop(ranked)
     removed = removed.unionByName(_linked(hard, classes, percent)).distinct()
     left = _without(classes.select("doc", "at"), removed)
