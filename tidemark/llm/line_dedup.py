@@ -141,14 +141,13 @@ def _possible(x: str, y: str, percent: int) -> Column:
 
 
 def _ranked(rows: DataFrame) -> DataFrame:
-    """Prefix rows of tokens that several lines share, with each line's number among these.
+    """Prefix rows with each line's number among those of its token.
 
     Running numbers need no more than the current row of a group, however large.
+    No token is null; saying so keeps all plans that start here alike, so one shuffle serves them.
     """
-    group = Window.partitionBy("token").orderBy("doc", "at")
-    upto = group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = rows.withColumns({"rank": F.count(F.lit(1)).over(upto).cast("int"), "next": F.lead("doc").over(group)})
-    return numbered.filter((F.col("rank") > 1) | F.col("next").isNotNull()).drop("next")
+    upto = Window.partitionBy("token").orderBy("doc", "at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.filter(F.col("token").isNotNull()).withColumn("rank", F.count(F.lit(1)).over(upto).cast("int"))
 
 
 def _pairs(probe: DataFrame, held: DataFrame, percent: int) -> DataFrame:
@@ -177,7 +176,7 @@ def _places(pairs: DataFrame) -> DataFrame:
 
 
 def _linked(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """doc, at of lines that really link with an earlier one; takes ``pairs`` off the disk."""
+    """doc, at of lines that really link with an earlier one."""
     ids = _places(pairs)
     found = _compact(classes.filter(_mark(ids)).join(ids, ["doc", "at"]), "candidate-lines")
     x = found.select("doc", "at", F.col("words").alias("x"))
@@ -185,7 +184,7 @@ def _linked(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     both = F.size(F.array_intersect("x", "y"))
     alike = 100 * both >= percent * (F.size("x") + F.size("y") - both)
     linked = cut(pairs.join(x, ["doc", "at"]).join(y, ["doc_y", "at_y"]).filter(alike).select("doc", "at").distinct(), "linked", release=True)
-    drop(pairs, found)
+    drop(found)
     return linked
 
 
@@ -197,13 +196,16 @@ def _compact(rows: DataFrame, name: str) -> DataFrame:
 def kept_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, kept: for each document with any, the places of its kept lines among its distinct lines."""
     classes = _compact(line_classes(docs, id_col, text_col), "lines")
-    ranked = cut(_ranked(prefixes(classes, rarity(classes), percent)), "prefixes", release=True)
-    first = ranked.filter(F.col("rank") <= EARLIEST)
-    removed = _linked(cut(_pairs(ranked.filter(F.col("rank") > 1), first, percent), "early-pairs", release=True), classes, percent)
-    later = ranked.filter(F.col("rank") > EARLIEST)
+    ranked = _ranked(prefixes(classes, rarity(classes), percent))
+    early = _pairs(ranked.filter(F.col("rank") > 1), ranked.filter(F.col("rank") <= EARLIEST), percent)
+    # one table of both, as one shuffle gives both: pairs have a doc_y, prefix rows have none
+    first = cut(ranked.filter(F.col("rank") > EARLIEST).unionByName(early, allowMissingColumns=True), "early-pairs-and-later-rows", release=True)
+    removed = _linked(first.filter(F.col("doc_y").isNotNull()).select(*early.columns), classes, percent)
+    later = first.filter(F.col("doc_y").isNull()).select(*ranked.columns)
     hard = cut(_pairs(_without(later, removed), later, percent), "late-pairs", release=True)
-    drop(ranked)
+    drop(first)
     removed = removed.unionByName(_linked(hard, classes, percent)).distinct()
+    drop(hard)
     left = _without(classes.select("doc", "at"), removed)
     return left.groupBy("doc").agg(F.sort_array(F.collect_list("at")).alias("kept"))
 
