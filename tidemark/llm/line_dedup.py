@@ -115,7 +115,8 @@ def half_sketch(tokens: Column) -> Column:
 def prefixes(classes: DataFrame, table: Column, percent: int) -> DataFrame:
     """token, doc, at, size, place, bits, half: one row a prefix token of each line (half is 0 for lines that are not long).
 
-    ``token`` is the last ``TOKEN_BITS`` of the token: two that agree there only make more candidates.
+    ``token`` is the last ``TOKEN_BITS`` of the token. Two that agree there only make
+    more candidates; in one line they give it two rows, which are no pair.
     """
     tokens = classes.select("doc", "at", ordered_tokens(F.col("words"), table).alias("tokens"))
     half = F.when(F.size("tokens") >= LONG_LINE, half_sketch(F.col("tokens"))).otherwise(F.lit(0).cast("long"))
@@ -146,13 +147,14 @@ def _ranked(rows: DataFrame) -> DataFrame:
     Running numbers need no more than the current row of a group, however large.
     No token is null; saying so keeps all plans that start here alike, so one shuffle serves them.
     """
-    upto = Window.partitionBy("token").orderBy("doc", "at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = Window.partitionBy("token").orderBy("doc", "at", "place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return rows.filter(F.col("token").isNotNull()).withColumn("rank", F.count(F.lit(1)).over(upto).cast("int"))
 
 
 def _pairs(probe: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     """doc, at of lines of ``probe`` with doc_y, at_y of earlier ones of ``held`` that they may link with."""
-    met = probe.alias("x").join(held.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.rank") < F.col("x.rank")) & _possible("x.", "y.", percent))
+    other = (F.col("x.doc") != F.col("y.doc")) | (F.col("x.at") != F.col("y.at"))
+    met = probe.alias("x").join(held.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.rank") < F.col("x.rank")) & other & _possible("x.", "y.", percent))
     return met.select("x.doc", "x.at", F.col("y.doc").alias("doc_y"), F.col("y.at").alias("at_y")).distinct()
 
 
