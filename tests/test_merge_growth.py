@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import dedup_latest, dedup_repeated, repeated_keys
@@ -24,8 +25,10 @@ def test_unique_batch_is_not_aggregated_by_key(spark, monkeypatch):
     rows = spark.range(0, 100).select(F.col("id").alias("k"), F.lit(dt.date(2024, 1, 1)).alias("transaction_date"))
     monkeypatch.setattr(etl, "dedup_latest", _never)
     target = scratch_path(spark, "unique")
-    etl.upsert_partitions(spark, rows, target, ["k", "transaction_date"])
-    etl.upsert_partitions(spark, rows, target, ["k", "transaction_date"])
+    for n in (100, 0):
+        wrote = Observation("wrote")
+        etl.upsert_partitions(spark, rows, target, ["k", "transaction_date"], observed=wrote)
+        assert wrote.get == {"rows_written": n}
     assert spark.read.parquet(target).count() == 100
 
 
