@@ -99,9 +99,11 @@ def shingles(texts: pa.Array, length: int) -> list[np.ndarray]:
 def block_keys(values: np.ndarray, t: Threshold, bands: np.ndarray) -> np.ndarray:
     """Keys of the set's blocks, in its own size band and the next.
 
-    Differences spoil at most ``most`` blocks, so a set with more filled blocks
-    than that agrees with each partner in a filled one; only sets with fewer
-    also give keys to their empty blocks.
+    Differences spoil at most ``most`` blocks, so of the first ``most`` + 1 filled
+    blocks in an order that all sets share, at least one is the same in the partner,
+    and it is among the first of the one whose order ends earlier. The order is by
+    shingles in the block, most first: a block of one common shingle tells nothing.
+    Only sets with fewer filled blocks also give keys to their empty ones.
     """
     band = int(np.searchsorted(bands, len(values), side="right")) - 1
     with np.errstate(over="ignore"):
@@ -109,12 +111,15 @@ def block_keys(values: np.ndarray, t: Threshold, bands: np.ndarray) -> np.ndarra
         keys = []
         for b in (band, band + 1):
             most = t.differing(2 * int(bands[b + 1] - 1))
-            blocks = most + 2 + (most + 6) // 7
+            blocks = 2 * most + 2
             edges = np.searchsorted(values >> np.uint64(32), (np.arange(blocks + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(blocks))
-            filled = edges[1:] > edges[:-1]
+            weight = edges[1:] - edges[:-1]
+            filled = np.flatnonzero(weight)
             place = mix64(np.arange(blocks, dtype=np.uint64) + np.uint64((b + 1) << 40))
             own = mix64(sums[edges[1:]] - sums[edges[:-1]] + place)
-            keys.append(own[filled] if filled.sum() > most else own)
+            if len(filled) > most:
+                own = own[filled[np.lexsort((own[filled], -weight[filled]))[: most + 1]]]
+            keys.append(own)
     return np.concatenate(keys).view(np.int64)
 
 
