@@ -9,7 +9,7 @@ its occurrences. Both are counts, not shares, so the tree grows with the corpus.
 The distribution of a kept context is smoothed with that of its parent. A symbol
 is scored in the state that is the longest kept suffix of what stands before it.
 
-All of it is tables in Spark. The texts are numbered and written, with a split
+All of it is tables in Spark. The texts are written packed, with a split
 number for about ``SPLIT_BYTES`` of them each; every split's distinct windows are
 counted. Grams (context and symbol) of up to ``TOP`` context bytes get their
 probability from those one byte shorter, by joins of small tables. Longer contexts
@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER_SPLIT_ON_BLANKS, cut, drop, map_arrow, partitions_for, ranges, slices, spans_to_rows, words
+from tidemark.llm.common import LOWER_SPLIT_ON_BLANKS, arrow_words, cut, drop, map_arrow, partitions_for, ranges, slices, spans_to_rows, words
 
 END = 10  # a line end: no word holds one
 BLANK = 32
@@ -50,7 +50,7 @@ SPLIT_BYTES = 32 << 20  # of texts whose windows are looked up together
 TOP = 3  # context bytes up to which grams are tables of their own
 GROUP_ROWS = 1 << 19  # windows that are tested at a time, or one group
 PACK_ROWS = 1 << 21  # windows or words that a task packs at a time
-WORD_ROWS = 1 << 17  # counted words that are held before they are summed
+WORD_ROWS = 1 << 20  # counted words that are held before they are summed
 PLAIN = {"parquet.writer.version": "PARQUET_2_0"}  # windows in order are kept as differences
 
 
@@ -117,22 +117,21 @@ def merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 
 def placed_texts(docs: DataFrame, training: Column, id_col: str, text_col: str) -> DataFrame:
-    """split, number, doc_id, learned, text: every row with a number of its own and that of its split."""
+    """split, learned, texts: the rows as compressed Arrow tables (doc_id, learned, text) of a split, and how many are for training."""
 
     def run(batches):
-        task, rows, held, split = TaskContext.get().partitionId(), 0, 0, 0
+        task, held, split = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
-            for part in slices(batch, "text"):
-                n = len(part)
-                whole = [pa.array(np.full(n, task << 32 | split)), pa.array((task << 36) + rows + np.arange(n))]
-                yield pa.RecordBatch.from_arrays([*whole, *part.columns], ["split", "number", *part.schema.names])
-                rows += n
+            for part in slices(batch, "text", SLICE):
+                learned = pc.sum(part.column("learned")).as_py()
+                columns = [pa.array([task << 32 | split]), pa.array([learned], pa.int64()), pa.array([blob(pa.Table.from_batches([part]))], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["split", "learned", "texts"])
                 held += pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
                 if held >= SPLIT_BYTES:
                     held, split = 0, split + 1
 
     columns = (F.col(id_col).cast("long").alias("doc_id"), F.coalesce(training, F.lit(False)).alias("learned"), F.col(text_col).cast("string").alias("text"))
-    return map_arrow(docs.select(*columns), run, "split long, number long, doc_id long, learned boolean, text string")
+    return map_arrow(docs.select(*columns), run, "split long, learned long, texts binary")
 
 
 def split_windows(texts: DataFrame, depth: int) -> DataFrame:
@@ -145,27 +144,23 @@ def split_windows(texts: DataFrame, depth: int) -> DataFrame:
             window, n = merged(found, counts)
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(window), split)), pa.array(window), pa.array(n)], ["split", "window", "n"])
 
-        for batch in batches:
-            of = batch.column("split").to_numpy()
-            ends = [*(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)] if len(of) else []
-            for a, b in zip([0, *ends[:-1]], ends, strict=False):
-                if found and of[a] != split:
-                    yield close()
-                    found, counts = [], []
-                split = int(of[a])
-                for part in slices(batch.slice(a, b - a), "text", SLICE):
-                    for learned in (True, False):
-                        texts = part.column("text").filter(pc.equal(part.column("learned"), learned))
-                        if len(texts):
-                            code, n = windows(texts, depth)
-                            found.append(code)
-                            counts.append(n * learned)
-                    if sum(map(len, found[1:])) > max(SLICE, len(found[0])):  # slices of a split have most windows in common
-                        found, counts = map(list, zip(merged(found, counts), strict=True))
+        for of, part in unpacked_texts(batches):
+            if found and of != split:
+                yield close()
+                found, counts = [], []
+            split = of
+            for learned in (True, False):
+                texts = part.column("text").filter(pc.equal(part.column("learned"), learned))
+                if len(texts):
+                    code, n = windows(texts, depth)
+                    found.append(code)
+                    counts.append(n * learned)
+            if sum(map(len, found[1:])) > max(SLICE, len(found[0])):  # slices of a split have most windows in common
+                found, counts = map(list, zip(merged(found, counts), strict=True))
         if found:
             yield close()
 
-    return map_arrow(texts.select("split", "learned", "text"), run, "split long, window long, n long")
+    return map_arrow(texts.select("split", "texts"), run, "split long, window long, n long")
 
 
 def gram_probabilities(counted: DataFrame, depth: int, min_count: int, min_gain: float, smooth: float) -> DataFrame:
@@ -248,15 +243,50 @@ def deep_probabilities(window: np.ndarray, n: np.ndarray, p: np.ndarray, sizes:
     return p
 
 
-def window_scores(texts: pa.Array, depth: int, window: np.ndarray, log10: np.ndarray) -> np.ndarray:
-    """log10 probability of each text from those of its windows (in ascending order)."""
+class Places:
+    """Where each of some distinct numbers stands among them: a hash table, for a window is looked up once an occurrence."""
+
+    def __init__(self, numbers: np.ndarray):
+        self.numbers, self.bits = numbers, max(1, (2 * len(numbers)).bit_length())
+        self.table = np.full(1 << self.bits, -1, np.int32)
+        left, at = np.arange(len(numbers), dtype=np.int32), self._slot(numbers)
+        while len(left):
+            free = self.table[at] < 0
+            self.table[at[free]] = left[free]  # of those that want a slot, one gets it
+            lost = self.table[at] != left
+            left, at = left[lost], self._next(at[lost])
+
+    def _slot(self, numbers: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((numbers.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def _next(self, at: np.ndarray) -> np.ndarray:
+        return (at + 1) & ((1 << self.bits) - 1)
+
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        """Places of numbers that are all there; others raise a KeyError."""
+        at = self._slot(numbers)
+        found = self.table[at]
+        other = np.flatnonzero(self.numbers[found] != numbers) if len(self.numbers) else np.arange(len(numbers))
+        at = at[other]
+        while len(other):
+            if (found[other] < 0).any():
+                raise KeyError("a number that is not held")
+            at = self._next(at)
+            found[other] = self.table[at]
+            still = self.numbers[found[other]] != numbers[other]
+            other, at = other[still], at[still]
+        return found
+
+
+def window_scores(texts: pa.Array, depth: int, window: Places, log10: np.ndarray) -> np.ndarray:
+    """log10 probability of each text from those of its windows."""
     symbols, total = stream(texts, depth)
     if not len(total):
         return np.zeros(0)
     told = np.zeros(len(symbols), np.float32)
     for place, code in codes(symbols, total, depth):
-        order = np.argsort(code)  # in order, neighbours are looked up in the same memory
-        told[place[order]] = log10[np.searchsorted(window, code[order])]
+        told[place] = log10[window.of(code)]
     return np.add.reduceat(told, np.cumsum(total) - total, dtype=np.float64)
 
 
@@ -373,25 +403,21 @@ def split_words(texts: DataFrame) -> DataFrame:
             whole = pa.concat_tables(tables).group_by("word").aggregate([("n", "sum")])
             return pa.table({"word": whole.column("word"), "n": whole.column("n_sum")})
 
-        for batch in batches:
-            of = batch.column("split").to_numpy()
-            ends = [*(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)] if len(of) else []
-            for a, b in zip([0, *ends[:-1]], ends, strict=False):
-                if found and of[a] != split:
-                    yield from close()
-                    found = []
-                split = int(of[a])
-                for part in slices(batch.slice(a, b - a), "text"):
-                    codes, vocabulary, counts = words(part.column("text"), LOWER_SPLIT_ON_BLANKS)
-                    learned = part.column("learned").to_numpy(zero_copy_only=False)
-                    n = np.bincount(codes, weights=np.repeat(learned, counts), minlength=len(vocabulary)).astype(np.int64)
-                    found.append(pa.table({"word": pa.array(vocabulary, pa.large_string()), "n": n}))
-                    if sum(map(len, found[1:])) > max(WORD_ROWS, len(found[0])):
-                        found = [summed(found)]
+        for of, part in unpacked_texts(batches):
+            if found and of != split:
+                yield from close()
+                found = []
+            split = of
+            codes, vocabulary, counts = arrow_words(part.column("text"), LOWER_SPLIT_ON_BLANKS)
+            learned = part.column("learned").to_numpy(zero_copy_only=False)
+            n = np.bincount(codes, weights=np.repeat(learned, counts), minlength=len(vocabulary)).astype(np.int64)
+            found.append(pa.table({"word": vocabulary, "n": n}))
+            if sum(map(len, found[1:])) > max(WORD_ROWS, len(found[0])):
+                found = [summed(found)]
         if found:
             yield from close()
 
-    return map_arrow(texts.select("split", "learned", "text"), run, "split long, word string, n long")
+    return map_arrow(texts.select("split", "texts"), run, "split long, word string, n long")
 
 
 def packed(rows: DataFrame, name: str) -> DataFrame:
@@ -412,10 +438,7 @@ def packed(rows: DataFrame, name: str) -> DataFrame:
             part = table.slice(a, b - a).select(field)
             if field[0] == "window":
                 part = part.set_column(0, "window", pa.array(np.diff(part.column("window").to_numpy(), prepend=0)))
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                out.write_table(part)
-            blobs.append(sink.getvalue().to_pybytes())
+            blobs.append(blob(part))
         return pa.RecordBatch.from_arrays([pa.array(of[starts]), pa.array(blobs, pa.binary())], ["split", name])
 
     def run(batches):
@@ -432,10 +455,25 @@ def packed(rows: DataFrame, name: str) -> DataFrame:
     return map_arrow(rows, run, f"split long, {name} binary")
 
 
+def blob(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
 def unpacked(blob: pa.Scalar) -> pa.Table:
     return pa.ipc.open_stream(blob.as_buffer()).read_all()
 
 
+def unpacked_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """(split, rows) of packed texts."""
+    for batch in batches:
+        for split, packed in zip(batch.column("split").to_pylist(), batch.column("texts"), strict=True):
+            for part in unpacked(packed).to_batches():
+                yield split, part
+
+
 def score(
     docs: DataFrame,
     training: Column,
@@ -460,7 +498,7 @@ def score(
     held = cut(split_words(placed), "words")
     known = cut(held.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     row = known.agg(F.sum("n"), F.count_if(F.col("n") > 0)).first()
-    n_texts = placed.filter("learned").count()  # each has one end
+    n_texts = placed.agg(F.sum("learned")).first()[0] or 0  # each has one end
     n_all, n_distinct = (row[0] or 0) + n_texts, row[1] + (n_texts > 0)
     room = n_all + 0.5 * (n_distinct + 1)
     met = held.select("split", "word").join(known, "word")
@@ -470,26 +508,24 @@ def score(
     def run(batches):
         split, found, counted, ready = None, [], [], None
         for batch in batches:
-            of, is_text = batch.column("split").to_numpy(), batch.column("number").is_valid().to_numpy(zero_copy_only=False)
-            ends = [*(np.flatnonzero((np.diff(of) != 0) | (np.diff(is_text.astype(np.int8)) != 0)) + 1).tolist(), len(of)] if len(of) else []
-            for a, b in zip([0, *ends[:-1]], ends, strict=False):
-                if of[a] != split:
-                    split, found, counted, ready = of[a], [], [], None
-                some = batch.slice(a, b - a)
-                if not is_text[a]:
-                    found += [unpacked(x) for x in some.column("windows") if x.is_valid]
-                    counted += [unpacked(x) for x in some.column("words") if x.is_valid]
+            for of, texts, window, word in zip(batch.column("split").to_pylist(), *(batch.column(c) for c in ("texts", "windows", "words")), strict=True):
+                if of != split:
+                    split, found, counted, ready = of, [], [], None
+                if window.is_valid:
+                    found.append(unpacked(window))
+                if word.is_valid:
+                    counted.append(unpacked(word))
+                if not texts.is_valid:
                     continue
                 if ready is None:
-                    window = np.concatenate([np.cumsum(t.column("window").to_numpy()) for t in found])
+                    places = Places(np.concatenate([np.cumsum(t.column("window").to_numpy()) for t in found]))
                     log10 = np.concatenate([t.column("log10").to_numpy() for t in found])
-                    order = np.argsort(window, kind="stable")  # runs in order
                     count = {}
                     for t in counted:
-                        count.update(zip(t.column("word").to_pylist(), t.column("n").to_pylist(), strict=True))
-                    ready = window[order], log10[order], count
+                        count.update(zip(t.column("word").to_numpy().tolist(), t.column("n").to_numpy().tolist(), strict=True))
+                    ready = places, log10, count
                     found, counted = [], []
-                for part in slices(some, "text", SLICE):
+                for part in unpacked(texts).to_batches():
                     yield scored(part, *ready)
 
     def scored(part, window, log10, count):
@@ -505,7 +541,7 @@ def score(
     tables = looked_up.unionByName(looked_up_words, allowMissingColumns=True)
     rows = tables.unionByName(placed.drop("learned"), allowMissingColumns=True)
     # a split's windows and words, then its texts
-    rows = rows.repartition(partitions_for(spark), "split").sortWithinPartitions(F.col("split") * 2 + F.col("number").isNotNull().cast("long"))
+    rows = rows.repartition(partitions_for(spark), "split").sortWithinPartitions(F.col("split") * 2 + F.col("texts").isNotNull().cast("long"))
     return map_arrow(rows, run, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
