@@ -1,22 +1,28 @@
 """Line dedup: exact set-similarity join of lines, by DataFrame functions only.
 
-A line's tokens are its words, held as 64-bit hashes. Lines link if the Jaccard similarity of their
-word sets is at least ``percent`` / 100. A line is removed if an earlier line
+A line's tokens are its words, held as 63-bit numbers: a word's length, then its hash. Lines link if the Jaccard
+similarity of their word sets is at least ``percent`` / 100. A line is removed if an earlier line
 (smaller document id, or an earlier line of the same document) links with it,
 whether that one was removed or not; equal lines link, lines without a word do
 not. So every class of equal lines keeps its first place, unless an earlier
 class links with it.
 
-Tokens are ordered by rarity: how often their hash slot occurs over all distinct
-lines, rarest first, ties by hash. Two linked lines share a token in the prefixes
-of that order, of |x| - ceil(t|x|) + 1 tokens each. Lines that share one are
-candidates if their lengths, the places of the shared token, and a sketch of
+Tokens are ordered by length, longest first (long words are rare), ties by hash. That takes no
+counts, so no table goes through the driver. A line's elements are its neighbouring tokens in that
+order, two by two (the last one stands alone), ordered by the first. If a line x lacks b tokens of a
+linked line and has a that the other lacks, at most 2a + b of its elements are not the other's: a
+token spoils the two it is in, and one between two neighbours spoils one. So of the first
+max(2a + b) + 1 elements of each, its prefix, the two share one. For ``percent`` up to 50 that can be
+more than a line has; there the tokens themselves are the elements, and a line lacks at most a.
+Pairs of words are shared by few lines in tables of any size that single words would tie up. Lines
+that share an element are candidates if their lengths and a sketch of
 their words (each word turns one of 64 bits over, or one of 128 if both lines are
 long; the bits that differ are at most the words that differ) allow the
 similarity; candidates are verified on all tokens.
 
-Dense groups: every line is first held against the ``EARLIEST`` first lines of
-each of its prefix groups, so no group is held against itself whole; only lines
+Elements that one line alone has go at once; the others' lines get their sketches. Dense groups: every
+line is first held against the ``EARLIEST`` first lines of
+each of its elements' groups, so no group is held against itself whole; only lines
 that this leaves are held against the later lines of groups that have more.
 
 Nulls: a null text has no lines. Rows with a null id are passed through whole.
@@ -37,6 +43,7 @@ FILTER_SLOTS = 6 << 18
 EARLIEST = 16
 LONG_LINE = 96
 TOKEN_BITS = 48
+LENGTHS = 127
 DICTIONARY_BYTES = 4 << 20
 BLANKS = "\t\u000b\f\r"
 
@@ -47,12 +54,17 @@ def distinct_lines(text: Column) -> Column:
 
 
 def words_of(line: Column) -> Column:
-    """Hashes of the distinct words (runs without ASCII white space) of a line."""
+    """The distinct words (runs without ASCII white space) of a line as numbers, in order: longest first, then by hash."""
     odd = F.contains(line, F.lit(BLANKS[0]))
     for b in BLANKS[1:]:
         odd = odd | F.contains(line, F.lit(b))
     plain = F.when(odd, F.translate(line, BLANKS, " " * len(BLANKS))).otherwise(line)
-    return F.array_distinct(F.transform(F.array_remove(F.split(plain, " "), ""), lambda w: F.xxhash64(w)))
+
+    def number(w: Column) -> Column:
+        shortness = F.lit(LENGTHS) - F.least(F.octet_length(w), F.lit(LENGTHS))
+        return F.shiftleft(shortness.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 8))
+
+    return F.sort_array(F.transform(F.array_distinct(F.array_remove(F.split(plain, " "), "")), number))
 
 
 def line_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -75,29 +87,6 @@ def _table(rows: DataFrame, name: str) -> Column:
     return cut(one, name).scalar()
 
 
-def rarity(classes: DataFrame) -> Column:
-    """For each hash slot, 2 log2 of its tokens' number of occurrences in lines.
-
-    Subqueries may not stand in functions over arrays, so this table is a constant.
-    """
-    token = classes.select(F.explode("words").alias("token"))
-    slot = F.col("token").bitwiseAND(SLOTS - 1)
-    counted = token.groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))  # SLOTS rows at most
-    ranks = counted.select("slot", F.least(F.floor(2 * F.log2("n")) + 1, F.lit(63)).cast("int").alias("rank")).collect()
-    held = dict(map(tuple, ranks))
-    return F.split(F.lit(",".join(str(held.get(i, 0)) for i in range(SLOTS))), ",").cast("array<tinyint>")
-
-
-def ordered_tokens(words: Column, table: Column) -> Column:
-    """The words as numbers, rarest first: rank in the highest bits, then the hash."""
-
-    def number(h: Column) -> Column:
-        rank = F.get(table, h.bitwiseAND(SLOTS - 1).cast("int")).cast("long")
-        return F.shiftleft(rank, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
-
-    return F.sort_array(F.transform(words, number))
-
-
 def sketch(tokens: Column) -> Column:
     """Each token turns one of 64 bits over (the lowest six bits of it say which)."""
     return F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
@@ -112,49 +101,54 @@ def half_sketch(tokens: Column) -> Column:
     return F.aggregate(tokens, F.lit(0).cast("long"), turned)
 
 
-def prefixes(classes: DataFrame, table: Column, percent: int) -> DataFrame:
-    """token, doc, at, size, place, bits, half: one row a prefix token of each line (half is 0 for lines that are not long).
+def elements(classes: DataFrame, percent: int) -> DataFrame:
+    """key, doc, at: one row a prefix element of each line.
 
-    ``token`` is the last ``TOKEN_BITS`` of the token. Two that agree there only make
+    ``key`` is the last ``TOKEN_BITS`` of the element's hash. Two that agree there only make
     more candidates; in one line they give it two rows, which are no pair.
     """
-    tokens = classes.select("doc", "at", ordered_tokens(F.col("words"), table).alias("tokens"))
-    half = F.when(F.size("tokens") >= LONG_LINE, half_sketch(F.col("tokens"))).otherwise(F.lit(0).cast("long"))
-    sized = tokens.select("doc", "at", F.size("tokens").alias("size"), sketch(F.col("tokens")).alias("bits"), half.alias("half"), "tokens")
-    length = F.col("size") - F.floor((percent * F.col("size") + 99) / 100).cast("int") + 1
-    rows = sized.select("doc", "at", "size", "bits", "half", F.posexplode(F.slice("tokens", F.lit(1), length)).alias("place", "token"))
-    return rows.withColumn("token", F.col("token").bitwiseAND((1 << TOKEN_BITS) - 1))
+    words, size = F.col("words"), F.size("words")
+    if percent > 50:
+        length = F.floor(2 * (100 - percent) * size / 100).cast("int") + 1
+        hashed = lambda t, i: F.xxhash64(t, F.get(words, i + 1))
+    else:
+        length = size - F.floor((percent * size + 99) / 100).cast("int") + 1
+        hashed = lambda t, i: F.xxhash64(t)
+    keys = F.transform(F.slice(words, F.lit(1), length), lambda t, i: hashed(t, i).bitwiseAND((1 << TOKEN_BITS) - 1))
+    return classes.select(F.explode(keys).alias("key"), "doc", "at")
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """Rows whose key another line has too, with each line's number (rank) among those of its key."""
+    of_key = Window.partitionBy("key").orderBy("doc", "at")
+    rank = F.count(F.lit(1)).over(of_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int")
+    more = F.lead(F.lit(1)).over(of_key).isNotNull()
+    return rows.select("key", "doc", "at", rank.alias("rank"), more.alias("more")).filter((F.col("rank") > 1) | F.col("more")).drop("more")
+
+
+def _sketched(classes: DataFrame) -> DataFrame:
+    """doc, at, size, bits, half of each line (half is 0 for lines that are not long)."""
+    half = F.when(F.size("words") >= LONG_LINE, half_sketch(F.col("words"))).otherwise(F.lit(0).cast("long"))
+    return classes.select("doc", "at", F.size("words").alias("size"), sketch(F.col("words")).alias("bits"), half.alias("half"))
 
 
 def _possible(x: str, y: str, percent: int) -> Column:
-    """What lengths, places and sketches of two lines (the prefixes of their columns' names) that share a prefix token allow."""
+    """What lengths and sketches of two lines (the prefixes of their columns' names) that share an element allow."""
     a, b = F.col(f"{x}size"), F.col(f"{y}size")
-    rest = F.least(a - F.col(f"{x}place"), b - F.col(f"{y}place"))  # with the shared token
     bits = F.col(f"{x}bits").bitwiseXOR(F.col(f"{y}bits"))
     half = F.col(f"{x}half").bitwiseXOR(F.col(f"{y}half"))
     both_long = F.bit_count(bits.bitwiseXOR(half)) + F.bit_count(half)
     return (
         (100 * F.least(a, b) >= percent * F.greatest(a, b))
-        & ((100 + percent) * rest >= percent * (a + b))
         & ((100 + percent) * F.bit_count(bits) <= (100 - percent) * (a + b))
         & ((F.least(a, b) < LONG_LINE) | ((100 + percent) * both_long <= (100 - percent) * (a + b)))
     )
 
 
-def _ranked(rows: DataFrame) -> DataFrame:
-    """Prefix rows with each line's number among those of its token.
-
-    Running numbers need no more than the current row of a group, however large.
-    No token is null; saying so keeps all plans that start here alike, so one shuffle serves them.
-    """
-    upto = Window.partitionBy("token").orderBy("doc", "at", "place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.filter(F.col("token").isNotNull()).withColumn("rank", F.count(F.lit(1)).over(upto).cast("int"))
-
-
 def _pairs(probe: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     """doc, at of lines of ``probe`` with doc_y, at_y of earlier ones of ``held`` that they may link with."""
     other = (F.col("x.doc") != F.col("y.doc")) | (F.col("x.at") != F.col("y.at"))
-    met = probe.alias("x").join(held.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.rank") < F.col("x.rank")) & other & _possible("x.", "y.", percent))
+    met = probe.alias("x").join(held.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("y.rank") < F.col("x.rank")) & other & _possible("x.", "y.", percent))
     return met.select("x.doc", "x.at", F.col("y.doc").alias("doc_y"), F.col("y.at").alias("at_y")).distinct()
 
 
@@ -198,14 +192,15 @@ def _compact(rows: DataFrame, name: str) -> DataFrame:
 def kept_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, kept: for each document with any, the places of its kept lines among its distinct lines."""
     classes = _compact(line_classes(docs, id_col, text_col), "lines")
-    ranked = _ranked(prefixes(classes, rarity(classes), percent))
-    early = _pairs(ranked.filter(F.col("rank") > 1), ranked.filter(F.col("rank") <= EARLIEST), percent)
-    # one table of both, as one shuffle gives both: pairs have a doc_y, prefix rows have none
-    first = cut(ranked.filter(F.col("rank") > EARLIEST).unionByName(early, allowMissingColumns=True), "early-pairs-and-later-rows", release=True)
-    removed = _linked(first.filter(F.col("doc_y").isNotNull()).select(*early.columns), classes, percent)
-    later = first.filter(F.col("doc_y").isNull()).select(*ranked.columns)
+    shared = cut(_shared(elements(classes, percent)), "shared-elements", release=True)
+    seen = cut(shared.join(_sketched(classes), ["doc", "at"]), "sketched-elements", release=True)
+    drop(shared)
+    early = cut(_pairs(seen.filter(F.col("rank") > 1), seen.filter(F.col("rank") <= EARLIEST), percent), "early-pairs", release=True)
+    removed = _linked(early, classes, percent)
+    drop(early)
+    later = seen.filter(F.col("rank") > EARLIEST)
     hard = cut(_pairs(_without(later, removed), later, percent), "late-pairs", release=True)
-    drop(first)
+    drop(seen)
     removed = removed.unionByName(_linked(hard, classes, percent)).distinct()
     drop(hard)
     left = _without(classes.select("doc", "at"), removed)
