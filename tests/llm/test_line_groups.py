@@ -63,3 +63,29 @@ def test_sketches_never_differ_by_more_than_the_words(spark):
             differ, bits, half = len(set(a) ^ set(b)), got[i][0] ^ got[j][0], got[i][1] ^ got[j][1]
             assert bits.bit_count() <= differ
             assert (bits ^ half).bit_count() + half.bit_count() <= differ
+
+
+@pytest.mark.parametrize("percent", [80, 51, 40])
+def test_linked_lines_share_an_element_and_sharing_a_word_is_none(spark, percent):
+    rng = np.random.default_rng(5)
+    lines = {"w " * 3 + "only", "w"}
+    while len(lines) < 90:
+        base = [f"{'x' * (k % 9)}{k}" for k in range(int(rng.integers(4, 40)))]
+        lines |= {varied(rng, base, k, 50) for k in range(4)}
+    lines = sorted(x for x in lines if x)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    classes = line_dedup.line_classes(docs, "doc_id", "text")
+    keys = collections.defaultdict(set)
+    for r in line_dedup.elements(classes, percent).collect():
+        keys[r.doc].add(r.key)
+    sets, linked = [set(x.split()) for x in lines], 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 100 * len(a & b) >= percent * len(a | b):
+                linked += 1
+                assert keys[i] & keys[j]
+    assert linked > 20
+    # lines that have nothing but their longest word in common made one group of all (percent over 50)
+    apart = spark.createDataFrame([(i, f"commonlongword a{i} b{i} c{i} d{i}") for i in range(40)], "doc_id long, text string")
+    rows = line_dedup.elements(line_dedup.line_classes(apart, "doc_id", "text"), 80)
+    assert rows.groupBy("key").count().filter("count > 1").isEmpty()

@@ -20,10 +20,10 @@ their words (each word turns one of 64 bits over, or one of 128 if both lines ar
 long; the bits that differ are at most the words that differ) allow the
 similarity; candidates are verified on all tokens.
 
-Elements that one line alone has go at once; the others' lines get their sketches. Dense groups: every
-line is first held against the ``EARLIEST`` first lines of
-each of its elements' groups, so no group is held against itself whole; only lines
-that this leaves are held against the later lines of groups that have more.
+Elements that one line alone has go at once. Dense groups: every line is first held against the
+``EARLIEST`` first lines of each of its elements' groups, in the pass that sorts them, so no
+group is held against itself whole; only lines that this leaves are held against the later
+lines of groups that have more.
 
 Nulls: a null text has no lines. Rows with a null id are passed through whole.
 ``kept_lines`` takes ids that do not repeat (``named_rows`` gives such); ``deduplicate``
@@ -42,9 +42,8 @@ SLOTS = 1 << 18
 FILTER_SLOTS = 6 << 18
 EARLIEST = 16
 LONG_LINE = 96
-TOKEN_BITS = 48
+TOKEN_BITS = 40
 LENGTHS = 127
-DICTIONARY_BYTES = 4 << 20
 BLANKS = "\t\u000b\f\r"
 
 
@@ -68,11 +67,16 @@ def words_of(line: Column) -> Column:
 
 
 def line_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc, at, words: each distinct line with a word, at the first place it stands."""
+    """doc, at, line: each distinct line with a word, at the first place it stands."""
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.posexplode(distinct_lines(F.col(text_col))).alias("at", "line"))
     worded = rows.filter(F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
     first = worded.groupBy("line").agg(F.min("doc").alias("doc"), F.min_by("at", "doc").alias("at"))
-    return first.select("doc", "at", words_of(F.col("line")).alias("words"))
+    return first.select("doc", "at", "line")
+
+
+def worded(classes: DataFrame) -> DataFrame:
+    """doc, at, words of the lines."""
+    return classes.select("doc", "at", words_of(F.col("line")).alias("words"))
 
 
 def _table(rows: DataFrame, name: str) -> Column:
@@ -102,7 +106,7 @@ def half_sketch(tokens: Column) -> Column:
 
 
 def elements(classes: DataFrame, percent: int) -> DataFrame:
-    """key, doc, at: one row a prefix element of each line.
+    """key, doc, at, size, bits, half: one row a prefix element of each line (half is 0 for lines that are not long).
 
     ``key`` is the last ``TOKEN_BITS`` of the element's hash. Two that agree there only make
     more candidates; in one line they give it two rows, which are no pair.
@@ -115,21 +119,31 @@ def elements(classes: DataFrame, percent: int) -> DataFrame:
         length = size - F.floor((percent * size + 99) / 100).cast("int") + 1
         hashed = lambda t, i: F.xxhash64(t)
     keys = F.transform(F.slice(words, F.lit(1), length), lambda t, i: hashed(t, i).bitwiseAND((1 << TOKEN_BITS) - 1))
-    return classes.select(F.explode(keys).alias("key"), "doc", "at")
+    half = F.when(size >= LONG_LINE, half_sketch(words)).otherwise(F.lit(0).cast("long"))
+    # sketches come before the elements are rows, else each row computes its own
+    sketched = worded(classes).select("doc", "at", size.alias("size"), sketch(words).alias("bits"), half.alias("half"), keys.alias("keys"))
+    return sketched.select(F.explode("keys").alias("key"), "doc", "at", "size", "bits", "half")
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """Rows whose key another line has too, with each line's number (rank) among those of its key."""
+def _met(rows: DataFrame, percent: int) -> DataFrame:
+    """From one pass over sorted rows: pairs of lines that may link, and the rows behind the first ``EARLIEST`` of their key.
+
+    A pair is doc, at of a line with doc_y, at_y of one of the first ``EARLIEST`` of a group before it; a row has no doc_y.
+    Rows whose key no other line has go first. A running window holds ``EARLIEST`` lines and no group.
+    """
+    line = ["doc", "at", "size", "bits", "half"]
     of_key = Window.partitionBy("key").orderBy("doc", "at")
     rank = F.count(F.lit(1)).over(of_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int")
-    more = F.lead(F.lit(1)).over(of_key).isNotNull()
-    return rows.select("key", "doc", "at", rank.alias("rank"), more.alias("more")).filter((F.col("rank") > 1) | F.col("more")).drop("more")
-
-
-def _sketched(classes: DataFrame) -> DataFrame:
-    """doc, at, size, bits, half of each line (half is 0 for lines that are not long)."""
-    half = F.when(F.size("words") >= LONG_LINE, half_sketch(F.col("words"))).otherwise(F.lit(0).cast("long"))
-    return classes.select("doc", "at", F.size("words").alias("size"), sketch(F.col("words")).alias("bits"), half.alias("half"))
+    ranked = rows.withColumn("rank", rank).withColumn("more", F.lead(F.lit(1)).over(of_key).isNotNull())
+    shared = ranked.filter((F.col("rank") > 1) | F.col("more"))
+    first = F.collect_list(F.when(F.col("rank") <= EARLIEST, F.struct(*line))).over(of_key.rowsBetween(Window.unboundedPreceding, -1))
+    itself = F.when(F.col("rank") > EARLIEST, F.array(F.lit(None))).otherwise(F.array())
+    held = shared.withColumn("y", first).select("key", "rank", *line, F.explode(F.concat("y", itself)).alias("y"))
+    both = held.select("key", "rank", *line, *(F.col(f"y.{c}").alias(f"y_{c}") for c in line))
+    row, other = F.col("y_doc").isNull(), (F.col("doc") != F.col("y_doc")) | (F.col("at") != F.col("y_at"))
+    left = both.filter(row | (other & _possible("", "y_", percent)))
+    of_row = (F.when(row, F.col(c)).alias(c) for c in ("key", "rank", "size", "bits", "half"))
+    return left.select("doc", "at", F.col("y_doc").alias("doc_y"), F.col("y_at").alias("at_y"), *of_row)
 
 
 def _possible(x: str, y: str, percent: int) -> Column:
@@ -174,7 +188,7 @@ def _places(pairs: DataFrame) -> DataFrame:
 def _linked(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """doc, at of lines that really link with an earlier one."""
     ids = _places(pairs)
-    found = _compact(classes.filter(_mark(ids)).join(ids, ["doc", "at"]), "candidate-lines")
+    found = cut(worded(classes.filter(_mark(ids))).join(ids, ["doc", "at"]), "candidate-lines", release=True)
     x = found.select("doc", "at", F.col("words").alias("x"))
     y = found.select(F.col("doc").alias("doc_y"), F.col("at").alias("at_y"), F.col("words").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
@@ -184,23 +198,14 @@ def _linked(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return linked
 
 
-def _compact(rows: DataFrame, name: str) -> DataFrame:
-    """A written table whose hashes are kept in dictionaries."""
-    return cut(rows, name, release=True, **{"parquet.dictionary.page.size": DICTIONARY_BYTES})
-
-
 def kept_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, kept: for each document with any, the places of its kept lines among its distinct lines."""
-    classes = _compact(line_classes(docs, id_col, text_col), "lines")
-    shared = cut(_shared(elements(classes, percent)), "shared-elements", release=True)
-    seen = cut(shared.join(_sketched(classes), ["doc", "at"]), "sketched-elements", release=True)
-    drop(shared)
-    early = cut(_pairs(seen.filter(F.col("rank") > 1), seen.filter(F.col("rank") <= EARLIEST), percent), "early-pairs", release=True)
-    removed = _linked(early, classes, percent)
-    drop(early)
-    later = seen.filter(F.col("rank") > EARLIEST)
+    classes = cut(line_classes(docs, id_col, text_col), "lines", release=True, compression="zstd")
+    met = cut(_met(elements(classes, percent), percent), "met-lines", release=True)
+    removed = _linked(met.filter(F.col("doc_y").isNotNull()).select("doc", "at", "doc_y", "at_y").distinct(), classes, percent)
+    later = met.filter(F.col("doc_y").isNull()).drop("doc_y", "at_y")
     hard = cut(_pairs(_without(later, removed), later, percent), "late-pairs", release=True)
-    drop(seen)
+    drop(met)
     removed = removed.unionByName(_linked(hard, classes, percent)).distinct()
     drop(hard)
     left = _without(classes.select("doc", "at"), removed)
