@@ -75,8 +75,8 @@ def line_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def worded(classes: DataFrame) -> DataFrame:
-    """doc, at, words of the lines."""
-    return classes.select("doc", "at", words_of(F.col("line")).alias("words"))
+    """doc, at, words of the lines. A column of a generator is computed once, where others are put in wherever they are named."""
+    return classes.select("doc", "at", F.explode(F.array(words_of(F.col("line")))).alias("words"))
 
 
 def _table(rows: DataFrame, name: str) -> Column:
