@@ -5,9 +5,12 @@ from each other and from any pivot, so pivots alone tell nothing apart at the
 top. The first regions therefore come from projections, where the bound is the
 triangle inequality on symmetric differences: two sets within the threshold
 differ in at most (1-t)/(1+t) of their summed sizes, so of more blocks of
-shingles than that, at least one is the same in both. Sets that agree in a block
-are joined to a region (a connected component of these agreements); every link
-lies inside one region.
+shingles than that, at least one is the same in both. Two sets that agree in a block
+are a candidate pair if their sizes and bit sketches allow the similarity (each
+shingle turns one bit over, so sketches differ in no more bits than sets in
+shingles); sets with a block that more than ``PAIRED`` documents have are tied to the
+least of these without that test. Regions are connected components of
+candidates, and every link lies inside one region.
 
 Regions then join recursively. One that is too large for a task is split:
 sampled documents are its pivots, each document goes to the Voronoi cell of its
@@ -36,13 +39,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER_SPLIT_ON_BLANKS, cut, map_arrow, mix64, ship, slices, spans_to_rows, words
+from tidemark.llm.common import LOWER_SPLIT_ON_BLANKS, cut, drop, map_arrow, mix64, ship, slices, spans_to_rows, words
 from tidemark.llm.components import components
 
 REGION_DOCS = 1024
 REGION_SHINGLES = 2_000_000
 FILTER_BITS = 1 << 22
 TILE = 4096
+PAIRED = 8
+SKETCH_BITS = 64
 
 
 @dataclass(frozen=True)
@@ -123,8 +128,37 @@ def block_keys(values: np.ndarray, t: Threshold, bands: np.ndarray) -> np.ndarra
     return np.concatenate(keys).view(np.int64)
 
 
+def sketch(values: np.ndarray) -> bytes:
+    """Each shingle turns one bit over; of a power of two of bits, at least as many as there are shingles."""
+    bits = max(SKETCH_BITS, 1 << max(0, len(values) - 1).bit_length())
+    turned = np.bincount((values & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(turned.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Sketches (rows of bytes) as they would be with ``width`` bytes."""
+    while bits.shape[1] > width:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def possible(batch: pa.RecordBatch, t: Threshold) -> np.ndarray:
+    """Which rows (n_a, bits_a, n_b, bits_b) may be linked sets."""
+    n_a, n_b = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b"))
+    near = 100 * np.minimum(n_a, n_b) >= t.percent * np.maximum(n_a, n_b)
+    held = {c: batch.column(c).to_pylist() for c in ("bits_a", "bits_b")}
+    widths = {c: np.array([len(x) for x in held[c]], np.int64) for c in held}
+    for w_a, w_b in {*zip(widths["bits_a"][near].tolist(), widths["bits_b"][near].tolist(), strict=True)}:
+        rows = np.flatnonzero(near & (widths["bits_a"] == w_a) & (widths["bits_b"] == w_b))
+        a, b = (folded(np.frombuffer(b"".join(held[c][i] for i in rows), np.uint8).reshape(len(rows), w), min(w_a, w_b)) for c, w in (("bits_a", w_a), ("bits_b", w_b)))
+        differing = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+        near[rows] = differing <= t.differing(n_a[rows] + n_b[rows])
+    return near
+
+
 def described(docs: DataFrame, length: int) -> DataFrame:
-    """doc_id, n (set size), set_a and set_b (a 128-bit name of the set)."""
+    """doc_id, n (set size), set_a and set_b (a 128-bit name of the set), bits (its sketch)."""
 
     def run(batches):
         for batch in batches:
@@ -133,10 +167,11 @@ def described(docs: DataFrame, length: int) -> DataFrame:
                 with np.errstate(over="ignore"):
                     names = [[int(mix64(s ^ np.uint64(c)).sum(dtype=np.uint64).view(np.int64)) for s in sets] for c in (11, 13)]
                 sizes = pa.array([len(s) for s in sets], pa.int64())
-                columns = [part.column("doc_id"), sizes, pa.array(names[0], pa.int64()), pa.array(names[1], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "set_a", "set_b"])
+                bits = pa.array([sketch(s) for s in sets], pa.binary())
+                columns = [part.column("doc_id"), sizes, pa.array(names[0], pa.int64()), pa.array(names[1], pa.int64()), bits]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "set_a", "set_b", "bits"])
 
-    return map_arrow(docs, run, "doc_id long, n long, set_a long, set_b long")
+    return map_arrow(docs, run, "doc_id long, n long, set_a long, set_b long, bits binary")
 
 
 def keyed(docs: DataFrame, t: Threshold, length: int) -> DataFrame:
@@ -154,6 +189,33 @@ def keyed(docs: DataFrame, t: Threshold, length: int) -> DataFrame:
     return map_arrow(docs, run, "doc_id long, key long")
 
 
+def agreements(keys: DataFrame, nodes: DataFrame, t: Threshold) -> DataFrame:
+    """a, b: pairs of ``nodes`` (node, n, bits) that connect all that may be linked and share a key."""
+    of_key = Window.partitionBy("key").orderBy("doc_id")
+    whole = of_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    met = keys.select(
+        F.col("doc_id").alias("a"),
+        F.count("*").over(whole).alias("together"),
+        F.min("doc_id").over(whole).alias("least"),
+        F.collect_list("doc_id").over(of_key.rowsBetween(1 - PAIRED, -1)).alias("earlier"),
+    )
+    few = F.col("together") <= PAIRED
+    others = F.when(few, F.col("earlier")).when(F.col("a") != F.col("least"), F.array("least"))
+    # the least document of a key is a node if any is, as all equal sets agree; of the others only nodes are wanted
+    pairs = met.filter("together > 1").select("a", F.explode(others).alias("b"), (~few).alias("sure")).filter("a != b").groupBy("a", "b").agg(F.max("sure").alias("sure"))
+    pairs = cut(pairs, "pairs", release=True)
+    of_a, of_b = (nodes.select(*(F.col(c).alias(f"{x}{y}") for c, x, y in (("node", "", s), ("n", "n_", s), ("bits", "bits_", s)))) for s in ("a", "b"))
+    tested = map_arrow(
+        pairs.filter("not sure").join(of_a, "a").join(of_b, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b"),
+        lambda batches: (batch.filter(pa.array(possible(batch, t))).select(["a", "b"]) for batch in batches),
+        "a long, b long",
+    )
+    sure = pairs.filter("sure").select("a", "b").join(of_a.select("a"), "a", "left_semi")
+    out = cut(tested.unionByName(sure), "agreements", release=True)
+    drop(pairs)
+    return out
+
+
 def needed_sets(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """doc_id, n, shingles of the wanted documents.
 
@@ -297,9 +359,13 @@ def join_regions(members: DataFrame, t: Threshold, region_docs: int = REGION_DOC
         tight = over.join(splits_up, "region", "left_anti")
         links.append(cut(_join_blocks(tight, t, region_docs, region_shingles), "block-links"))
         held = over.join(splits_up, "region", "left_semi").select("region", "doc_id", "n", "shingles")
-        members = cells.join(held, ["region", "doc_id"]).select(F.xxhash64("region", "pivot").alias("region"), "doc_id", "n", "shingles")
-        members = cut(members, "members", release=True)
+        split = cells.join(held, ["region", "doc_id"]).select(F.xxhash64("region", "pivot").alias("region"), "doc_id", "n", "shingles")
+        split = cut(split, "members", release=True)
+        drop(over, pivots, splits_up, *([members] if depth else []))  # the first members are the caller's
+        members = split
         depth += 1
+    if depth:
+        drop(members)
     out = links[0]
     for more in links[1:]:
         out = out.unionByName(more)
@@ -330,13 +396,16 @@ def similar(docs: DataFrame, percent: int = 90, length: int = 3, id_col: str = "
     # equal sets are one node, named by its smallest id
     sized = named.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = cut(sized.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node")), "classes", release=True)
-    # the smallest id that agrees in a block is a node, as all equal sets agree; a window streams what a key holds
-    of_key = Window.partitionBy("key")
-    agree = keyed(known, t, length).withColumn("b", F.min("doc_id").over(of_key)).filter("doc_id != b").select(F.col("doc_id").alias("a"), "b").distinct()
-    agree = cut(agree.join(classes.select(F.col("node").alias("a")), "a", "left_semi"), "agreements", release=True)
+    own = sized.join(classes, (sized["doc_id"] == classes["node"]) & (sized["set_a"] == classes["set_a"]) & (sized["set_b"] == classes["set_b"]), "left_semi")
+    own = own.dropDuplicates(["doc_id", "set_a", "set_b"])  # an id may have several sets, and rows that come twice
+    nodes = cut(own.select(F.col("doc_id").alias("node"), "n", "bits"), "nodes", release=True)
+    agree = agreements(keyed(known, t, length), nodes, t)
+    drop(nodes)
     regions = cut(components(agree).withColumnRenamed("component", "region").withColumnRenamed("id", "doc_id"), "candidates")
-    members = cut(needed_sets(known, regions, length).select("region", "doc_id", "n", "shingles"), "members")
-    found = cut(join_regions(members, t), "found")
+    members = cut(needed_sets(known, regions, length).select("region", "doc_id", "n", "shingles"), "members", release=True)
+    drop(regions, agree)
+    found = cut(join_regions(members, t), "found", release=True)
+    drop(members)
     reached = cut(components(found), "components")
     labelled = classes.join(reached, F.col("node") == F.col("id"), "left").select(
         "set_a", "set_b", F.coalesce("component", "node").alias("component_id")

@@ -189,20 +189,26 @@ def _compact(rows: DataFrame, name: str) -> DataFrame:
     return cut(rows, name, release=True, **{"parquet.dictionary.page.size": DICTIONARY_BYTES})
 
 
-def kept_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc, kept: for each document with any, the places of its kept lines among its distinct lines."""
+def kept_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", spent: list[DataFrame] | None = None) -> DataFrame:
+    """doc, kept: for each document with any, the places of its kept lines among its distinct lines.
+
+    ``spent`` gets the tables that may go once the result is written.
+    """
     classes = _compact(line_classes(docs, id_col, text_col), "lines")
     shared = cut(_shared(elements(classes, percent)), "shared-elements", release=True)
     seen = cut(shared.join(_sketched(classes), ["doc", "at"]), "sketched-elements", release=True)
     drop(shared)
     early = cut(_pairs(seen.filter(F.col("rank") > 1), seen.filter(F.col("rank") <= EARLIEST), percent), "early-pairs", release=True)
-    removed = _linked(early, classes, percent)
+    first_removed = _linked(early, classes, percent)
     drop(early)
     later = seen.filter(F.col("rank") > EARLIEST)
-    hard = cut(_pairs(_without(later, removed), later, percent), "late-pairs", release=True)
+    hard = cut(_pairs(_without(later, first_removed), later, percent), "late-pairs", release=True)
     drop(seen)
-    removed = removed.unionByName(_linked(hard, classes, percent)).distinct()
+    late_removed = _linked(hard, classes, percent)
     drop(hard)
+    removed = first_removed.unionByName(late_removed).distinct()
+    if spent is not None:
+        spent += [classes, first_removed, late_removed]
     left = _without(classes.select("doc", "at"), removed)
     return left.groupBy("doc").agg(F.sort_array(F.collect_list("at")).alias("kept"))
 
@@ -241,7 +247,9 @@ def deduplicate(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     """
     row = free_name(docs, "llm_row")
     rows = named_rows(docs, id_col, text_col, row)
-    kept = cut(kept_lines(rows, percent, row, text_col), "kept")
+    spent: list[DataFrame] = []
+    kept = cut(kept_lines(rows, percent, row, text_col, spent), "kept", release=True)
+    drop(*spent)
     places = F.coalesce(F.col("llm_kept.kept"), F.array().cast("array<int>"))
     text = F.when(F.col(f"llm_docs.{id_col}").isNull(), F.col(f"llm_docs.{text_col}")).otherwise(text_of_kept(F.col(f"llm_docs.{text_col}"), places))
     met = rows.alias("llm_docs").join(kept.alias("llm_kept"), F.col(f"llm_docs.{row}") == F.col("llm_kept.doc"), "left")
