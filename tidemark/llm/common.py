@@ -5,7 +5,6 @@ from __future__ import annotations
 import ctypes
 import os
 import tempfile
-import time
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -16,14 +15,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import remove_path, scratch_path
+from tidemark.session import release_shuffles, remove_path, scratch_path
 
 BLANKS = frozenset(b"\t\n\v\f\r ")
 SPLIT_ON_BLANKS = bytes(32 if b in BLANKS else b for b in range(256))
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 LOWER_SPLIT_ON_BLANKS = LOWER.translate(SPLIT_ON_BLANKS)
 SLICE_BYTES = 4 << 20
-RELEASE_PAUSE_S = 1.0
 
 
 _shipped: set[str] = set()
@@ -89,9 +87,7 @@ def cut(df: DataFrame, name: str, release: bool = False, **options) -> DataFrame
     path = scratch_path(df.sparkSession, name)
     df.write.options(**options).parquet(path)
     if release:
-        for pause in (0.0, RELEASE_PAUSE_S):
-            time.sleep(pause)
-            df.sparkSession.sparkContext._jvm.System.gc()
+        release_shuffles(df.sparkSession)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.cut_path = path
     return out
